@@ -21,14 +21,14 @@ from edgewatch.sources.edge_files import attach_labels
 DAY = 86_400
 HOUR = 3_600
 ZSCORE = 2.0
-SELECTIVE = ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=30.0)
+SELECTIVE = ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=80.0)
 SLOW_DECAY = ScorerConfig(tick_seconds=HOUR, alpha=0.98)
 DAILY = ScorerConfig(tick_seconds=30 * DAY, alpha=0.5)
 SKETCHED = ScorerConfig(
     tick_seconds=HOUR, alpha=0.5, width=64, depth=3, counts="sketch", hash_fn="md5"
 )
 SMALL_SKETCH = ScorerConfig(width=64, depth=4, hash_fn="md5")
-FILTERED = ScorerConfig(tick_seconds=HOUR, alpha=0.5, filter_anomalies=True, filter_cutoff=40.0)
+FILTERED = ScorerConfig(tick_seconds=HOUR, alpha=0.5, filter_anomalies=True, filter_cutoff=80.0)
 FEATURES = ["quantity", "extendedprice", "discount", "tax"]
 RAW_FEATURES = ["Flow Duration", "Total Fwd Packets", "Flow Bytes/s"]
 
@@ -208,7 +208,7 @@ def midas_score_late(spark, sf_dir):
     events = _events(spark, sf_dir)
     back = F.pmod(F.col("event_id") * 7919, F.lit(9000))
     late = events.withColumn("timestamp", F.col("timestamp") - back)
-    cfg = ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=30.0, order="arrival")
+    cfg = ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=80.0, order="arrival")
     return _scores(score_edges(late, cfg))
 
 
@@ -796,7 +796,7 @@ SELECT event_id, CAST(edge_current AS BIGINT) AS edge_current, CAST(edge_total A
         "midas_score_sparse": f"WITH RECURSIVE {_score_ctes(_SHIP, DAILY)} {_score_select(False)}",
         "midas_score_late": "WITH RECURSIVE "
         + _score_ctes(
-            _LATE, ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=30.0, order="arrival")
+            _LATE, ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=80.0, order="arrival")
         )
         + " " + _score_select(True),
         "midas_sketch_score": f"WITH RECURSIVE {_sketch_ctes(_EV, SKETCHED)} {_score_select(True)}",

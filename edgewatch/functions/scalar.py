@@ -21,12 +21,20 @@ def tick_of(timestamp: Column, origin: Column | int, width: int) -> Column:
     return F.greatest(F.lit(0), bucket_of(timestamp, origin, width)).cast("bigint") + F.lit(1)
 
 
-def chi_squared(current: Column, total: Column, tick: Column) -> Column:
-    """How far ``current`` lies from the mean per tick, ``total / tick``, as a chi-squared statistic."""
-    tick = tick.cast("double")
-    gap = current - total / tick
-    value = gap * gap * tick * tick / (total * (tick - 1))
-    return F.when((total > 0) & (tick > 1) & (current > 0), value).otherwise(F.lit(0.0))
+def chi_squared_sql(current: str, total: str, tick: str) -> str:
+    """How far ``current`` lies from the mean per tick, ``total / tick``, as a chi-squared statistic.
+
+    0 without history, in the first tick, and for an entity that was not seen.
+    """
+    gap = f"({current} - {total} / {tick})"
+    return (
+        f"CASE WHEN {total} > 0 AND {tick} > 1 AND {current} > 0 THEN "
+        f"{gap} * {gap} * {tick} * {tick} / ({total} * ({tick} - 1)) ELSE 0D END"
+    )
+
+
+def chi_squared(current: str, total: str, tick: str) -> Column:
+    return F.expr(chi_squared_sql(current, total, tick))
 
 
 def uuid_from(*parts: Column) -> Column:

@@ -8,6 +8,7 @@ for all its entities at once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 TABLE_SIZE = 1 << 16
-SCALAR_BELOW = 24  # entities left in a batch; fewer than this are walked one by one
+SCALAR_BELOW = 48  # entities left in a batch; fewer than this are walked one by one
 
 
 class Decay:
@@ -44,10 +45,24 @@ class Decay:
             large = large[(count[large] >= TABLE_SIZE) & (gap[large] > 0)]
         # a count below the table size is gone after that many steps at most
         gap = np.minimum(gap, TABLE_SIZE)
-        for j, table in enumerate(self.tables):
+        for j in range(int(gap.max(initial=0)).bit_length()):
             hit = np.flatnonzero((gap >> j) & 1)
             if hit.size:
-                count[hit] = table[count[hit]]
+                count[hit] = self.tables[j][count[hit]]
+        return count
+
+    def one(self, count: float, gap: int) -> float:
+        """The same for one counter."""
+        if not self.floor:
+            return count * self.alpha**gap
+        while gap > 0 and count > 0:
+            if gap > 32 and count < TABLE_SIZE:
+                for j, table in enumerate(self.tables):
+                    if min(gap, TABLE_SIZE) >> j & 1:
+                        count = int(table[count])
+                return count
+            count = math.floor(count * self.alpha)
+            gap -= 1
         return count
 
 
@@ -82,12 +97,13 @@ def _walk(
         step += 1
         alive = int(np.searchsorted(-lengths, -step, side="left"))
     for g in range(alive):
-        v, r = value[g : g + 1], last[g : g + 1]
-        for i in range(starts[g] + step, starts[g] + lengths[g]):
-            gap = rank[i : i + 1] - r
-            v = decay(v, gap) if gap[0] else v
-            before[i] = v[0]
-            v, r = v + added[i], rank[i : i + 1]
+        rows = slice(int(starts[g]) + step, int(starts[g] + lengths[g]))
+        v, r, walked = value[g].item(), int(last[g]), []
+        for next_rank, add in zip(rank[rows].tolist(), added[rows].tolist()):
+            v = decay.one(v, next_rank - r)
+            walked.append(v)
+            v, r = v + add, next_rank
+        before[rows] = walked
     return before
 
 

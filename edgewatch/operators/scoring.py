@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from edgewatch.config import ScorerConfig
 from edgewatch.functions.ordering import dense_ranks
-from edgewatch.functions.scalar import bucket_of, chi_squared, tick_of
+from edgewatch.functions.scalar import bucket_of, chi_squared_sql, named, tick_of
 from edgewatch.functions.sizing import join_measured, join_sized
 from edgewatch.operators.decay_fold import fold_counts
 from edgewatch.operators.sketch import cell_ids
@@ -164,7 +164,10 @@ def _ranked(counts: DataFrame, ranks: DataFrame, bound: int) -> DataFrame:
 
 def _tick_ranks(counts: DataFrame, clock: Clock, bound: int) -> DataFrame:
     """Rank of every observed tick. A tick already open keeps the rank it has."""
-    fresh = dense_ranks(counts.filter(F.col("_at") > clock.max_tick), "_at", bound)
+    # the (always true) test on the sums keeps this on the shuffled counts instead of a new scan
+    seen = counts.groupBy("_at").agg(F.sum(F.col("n_cur") + F.col("n_tot")).alias("n"))
+    seen = seen.filter((F.col("n") > 0) & (F.col("_at") > clock.max_tick)).select("_at")
+    fresh = dense_ranks(seen, "_at", bound)
     ranks = fresh.select("_at", (F.col("_rank") + clock.max_rank).cast("bigint").alias("_rank"))
     if clock.max_rank == 0:
         return ranks
@@ -181,7 +184,6 @@ class Scoring:
 
     scored: DataFrame
     folds: dict[str, tuple[list[str], DataFrame]]
-    ranks: DataFrame
 
     def counters(self) -> DataFrame:
         """``(kind, key1, key2, cell, rank, current, total)`` after the last event of each entity."""
@@ -195,8 +197,8 @@ class Scoring:
             last = fold.groupBy(*keys).agg(
                 F.max_by(after, F.struct("_rank", "_slice")).alias("s")
             )
-            named = {"edge": ("src", "dst"), "src": ("src", None), "dst": ("dst", None)}
-            key1, key2 = named.get(kind, (None, None))
+            parts_of = {"edge": ("src", "dst"), "src": ("src", None), "dst": ("dst", None)}
+            key1, key2 = parts_of.get(kind, (None, None))
             missing = F.lit(None)
             parts.append(
                 last.select(
@@ -232,22 +234,16 @@ def _with_state(counts: DataFrame, keys: list[str], kind: str, state: DataFrame
 
 
 def _sums(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys, "_at", "_slice").agg(
-        F.sum("n_cur").alias("n_cur"), F.sum("n_tot").alias("n_tot")
-    )
+    sums = F.expr("sum(n_cur) AS n_cur"), F.expr("sum(n_tot) AS n_tot")
+    return df.groupBy(*keys, "_at", "_slice").agg(*sums)
 
 
 def _score_columns(df: DataFrame, cfg: ScorerConfig, payload: list[str]) -> DataFrame:
-    tick = F.col("tick")
-    for kind in KINDS:
-        df = df.withColumn(
-            f"{kind}_score", chi_squared(F.col(f"{kind}_current"), F.col(f"{kind}_total"), tick)
-        )
-    score = F.greatest("edge_score", "src_score", "dst_score")
+    scores = [f"{chi_squared_sql(f'{k}_current', f'{k}_total', 'tick')} AS {k}_score" for k in KINDS]
     return (
-        df.withColumn("score", score)
-        .withColumn("is_alert", F.col("score") >= F.lit(float(cfg.threshold)))
-        .withColumn("expected_edge", F.col("edge_total") / tick)
+        df.selectExpr("*", *scores, "edge_total / tick AS expected_edge")
+        .selectExpr("*", "greatest(edge_score, src_score, dst_score) AS score")
+        .selectExpr("*", f"score >= {float(cfg.threshold)!r}D AS is_alert")
         .select(*SCORE_COLUMNS, *payload)
     )
 
@@ -256,38 +252,42 @@ def _place_events(
     events: DataFrame,
     groups: list[tuple[str, list[str], DataFrame]],
     order: list[str],
+    all_kept: bool,
 ) -> DataFrame:
     """Give each event its counters, for groups nested in one another, with a single shuffle.
 
     The counters of a group travel as one marker row that sorts before its events, so no join with
-    the events is needed: the marker's values and the running event counts come from one window.
+    the events is needed: a running sum starts from the marker's counters and adds the events. An
+    entity without history needs no marker.
     """
-    own = ["_mark", *order]
-    mixed = events.withColumn("_mark", F.lit(len(groups)))
+    last = len(groups)
+    mixed = events.selectExpr("*", f"{last} AS _mark")
+    columns = []
     for i, (kind, keys, fold) in enumerate(groups):
-        marker = fold.filter("_slice >= 0").select(
+        marker = fold.filter("_slice >= 0 AND (cur0 > 0 OR tot0 > 0)").selectExpr(
             *keys,
             "_at",
             "_slice",
-            F.lit(i).alias("_mark"),
-            F.col("cur0").alias(f"_{kind}_cur0"),
-            F.col("tot0").alias(f"_{kind}_tot0"),
+            f"{i} AS _mark",
+            f"cur0 AS _{kind}_cur0",
+            f"tot0 AS _{kind}_tot0",
         )
         mixed = mixed.unionByName(marker, allowMissingColumns=True)
-    is_event = (F.col("_mark") == len(groups)).cast("bigint")
-    kept = F.when(F.col("_keep"), 1).otherwise(0).cast("bigint")
-    columns = []
-    for kind, keys, _ in groups:
         # shared leading columns let nested groups use one partitioning
-        nested = ["_at", "_slice", *keys]
-        running = Window.partitionBy(*nested).orderBy(*own).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
+        running = (
+            f"OVER (PARTITION BY _at, _slice, {', '.join(keys)} ORDER BY _mark, {', '.join(order)} "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         )
-        current = F.max(f"_{kind}_cur0").over(running) + F.sum(is_event).over(running)
-        total = F.max(f"_{kind}_tot0").over(running) + F.sum(kept).over(running) - kept + 1
-        columns += [current.alias(f"{kind}_current"), total.alias(f"{kind}_total")]
-    carried = [c for c in events.columns]
-    return mixed.select(*carried, "_mark", *columns).filter(F.col("_mark") == len(groups)).drop("_mark")
+        kept = "1" if all_kept else "if(_keep, 1, 0)"
+        # the event itself always counts, whether or not later events will see it
+        own = "" if all_kept else " + if(_keep, 0, 1)"
+        columns += [
+            f"sum(if(_mark = {last}, 1, coalesce(_{kind}_cur0, 0))) {running} AS {kind}_current",
+            f"sum(if(_mark = {last}, {kept}, coalesce(_{kind}_tot0, 0))) {running}{own}"
+            f" AS {kind}_total",
+        ]
+    placed = mixed.selectExpr(*[f"`{c}`" for c in events.columns], "_mark", *columns)
+    return placed.filter(f"_mark = {last}").drop("_mark")
 
 
 def _score_exact(
@@ -304,11 +304,11 @@ def _score_exact(
         counts = _with_state(_ranked(counts, ranks, bound), keys, kind, state)
         folds[kind] = (keys, fold_counts(counts, keys, cfg.alpha, floor))
     order = stream_order(cfg)
-    placed = _place_events(
-        events, [("src", *folds["src"]), ("edge", *folds["edge"])], order
-    )
-    placed = _place_events(placed, [("dst", *folds["dst"])], order)
-    return Scoring(_score_columns(placed, cfg, payload), folds, ranks)
+    every = not cfg.filter_anomalies
+    nested = [("src", *folds["src"]), ("edge", *folds["edge"])]
+    placed = _place_events(events, nested, order, every)
+    placed = _place_events(placed, [("dst", *folds["dst"])], order, every)
+    return Scoring(_score_columns(placed, cfg, payload), folds)
 
 
 def _score_sketch(
@@ -327,7 +327,7 @@ def _score_sketch(
     narrow = events.select(
         *dict.fromkeys(["event_id", *order]), "_at", "_slice", "_keep", cells
     )
-    placed = _place_events(narrow, [("cell", ["_cell"], fold)], order)
+    placed = _place_events(narrow, [("cell", ["_cell"], fold)], order, not cfg.filter_anomalies)
     kind = F.floor(F.col("_cell") / F.lit(cfg.depth * cfg.width))
     estimates = []
     for i, name in enumerate(KINDS):
@@ -336,7 +336,7 @@ def _score_sketch(
             estimates.append(F.min(own).alias(f"{name}_{counter}"))
     estimated = placed.groupBy("event_id").agg(*estimates)
     scored = _score_columns(events.join(estimated, "event_id"), cfg, payload)
-    return Scoring(scored, {"cell": (["_cell"], fold)}, ranks)
+    return Scoring(scored, {"cell": (["_cell"], fold)})
 
 
 def _event_cells(cfg: ScorerConfig) -> Column:
@@ -381,18 +381,19 @@ def _filter_to_fixed_point(ticked, cfg, clock, state, bound, payload, kernel) ->
 
     Which events those are depends on the scores of earlier ones only, so repeating the scoring with
     the last pass's choice settles at least one more event per pass, in stream order, and the choice
-    that repeats itself is the sequential one. Each pass is written to the shared folder.
+    that repeats itself is the sequential one. Each pass is written to the shared folder once; the
+    next pass and the comparison read it from there.
     """
-    current = materialize(ticked.withColumn("_keep", F.lit(True)), "keep")
+    inner = ["_at", "_slice", "_keep"]
+    inputs = ["src", "dst", "timestamp", "tick", "_at", "_slice", *payload]
+    current = ticked.withColumn("_keep", F.lit(True))
+    keep = F.col("score") <= F.lit(float(cfg.filter_cutoff))
     while True:
-        result = kernel(current, cfg, clock, state, bound, payload)
-        keep = F.col("score") <= F.lit(float(cfg.filter_cutoff))
-        flags = materialize(result.scored.select("event_id", keep.alias("_next")), "flags")
-        joined = current.join(flags, "event_id")
-        changed = joined.filter(F.col("_next") != F.col("_keep")).limit(1).count()
-        if not changed:
-            return result
-        current = materialize(joined.drop("_keep").withColumnRenamed("_next", "_keep"), "keep")
+        result = kernel(current, cfg, clock, state, bound, [*payload, *inner])
+        scored = materialize(result.scored.withColumn("_next", keep), "filter")
+        if not scored.filter(F.col("_next") != F.col("_keep")).limit(1).count():
+            return Scoring(scored.select(*SCORE_COLUMNS, *payload), result.folds)
+        current = scored.select(*[named(c) for c in inputs], F.col("_next").alias("_keep"))
 
 
 def score_edges(events: DataFrame, cfg: ScorerConfig | None = None) -> DataFrame:

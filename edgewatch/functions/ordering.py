@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgewatch.functions.scalar import named
-from edgewatch.functions.sizing import join_measured, join_sized
+from edgewatch.functions.sizing import held, is_small, join_measured, join_sized, settle
 
 POSITION_BLOCK = 4096
-ROWS_PER_SLICE = 4_000_000
+ROWS_PER_SLICE = 100_000
 MAX_SLICES = 16_384
+ONE_PASS = 1_000_000
+SAMPLED_PER_SLICE = 500
 
 
 # --- row positions -------------------------------------------------------------------------------
@@ -137,8 +139,9 @@ def slices_for(
 ) -> Slices:
     """Cut points that split every column into slices of about ``rows_per_slice`` rows.
 
-    One pass with a bounded quantile sketch per column. Cuts need not be exact, because every use
-    counts the rows per slice; they only decide the balance.
+    Cuts are quantiles of a sample, found by a bounded sketch per column. They need not be exact,
+    because every use counts the rows per slice; as in a range partitioner they decide the balance
+    and nothing else.
     """
     parts = min(MAX_SLICES, -(-rows // rows_per_slice))
     if parts <= 1:
@@ -146,7 +149,10 @@ def slices_for(
     probabilities = [i / parts for i in range(1, parts)]
     plain = [f"_c{i}" for i in range(len(columns))]
     narrow = df.select(*[named(c).cast("double").alias(p) for c, p in zip(columns, plain)])
-    found = narrow.approxQuantile(plain, probabilities, 1 / (2 * parts))
+    share = SAMPLED_PER_SLICE * parts / rows
+    if share < 1:
+        narrow = narrow.sample(share, seed=42)
+    found = narrow.approxQuantile(plain, probabilities, 1 / (4 * parts))
     return Slices({c: sorted(set(cuts)) for c, cuts in zip(columns, found)})
 
 
@@ -179,14 +185,19 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles as ``([by,] feature, n, low, high, q0, q1, ...)``.
 
-    Up to ``rows_per_slice`` numbers the built-in ``percentile`` does it in one pass. Beyond, a group
-    may not fit one task: rows are counted per slice of the value range, the counts say which slice
+    For few numbers (``ONE_PASS``, or four times that in groups) the built-in ``percentile`` does it
+    in one pass. Beyond, a group may not fit one task: rows are counted per slice of the value range, the counts say which slice
     holds each wanted rank, and only the values of those slices are shuffled and ranked.
     """
     rows = df.count() if rows is None else rows
-    if rows * len(columns) <= rows_per_slice:
+    if rows * len(columns) <= (4 * ONE_PASS if by else ONE_PASS) and rows <= 10 * rows_per_slice:
         return _quantiles_one_pass(df, columns, probabilities, by)
-    return _quantiles_by_slice(df, columns, probabilities, by, rows, rows_per_slice)
+    if not is_small(rows):
+        return _quantiles_by_slice(df, columns, probabilities, by, rows, rows_per_slice)
+    narrow = df if df.storageLevel.useMemory else df.select(*([by] if by else []), *map(named, columns))
+    with held(narrow, rows) as kept:
+        found = _quantiles_by_slice(kept, columns, probabilities, by, rows, rows_per_slice)
+        return settle(found)[0]
 
 
 def _quantiles_one_pass(
@@ -251,9 +262,11 @@ def _quantiles_by_slice(
             *keys, "slice", "n", "low", "high", "which", (F.col("rank") - F.col("_before")).alias("_at")
         )
     )
+    targets, small = settle(targets)
     wanted = targets.select(*keys, "slice").distinct()
+    hint = F.broadcast if small else (lambda frame: frame)
     values = (
-        join_measured(cells, wanted, [*keys, "slice"])
+        cells.join(hint(wanted), [*keys, "slice"])
         .groupBy(*keys, "slice", "value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -261,7 +274,7 @@ def _quantiles_by_slice(
         Window.unboundedPreceding, Window.currentRow
     )
     ranked = values.withColumn("_upto", F.sum("_n").over(up_to))
-    picked = join_measured(ranked, targets, [*keys, "slice"]).filter(
+    picked = ranked.join(hint(targets), [*keys, "slice"]).filter(
         "_at < _upto AND _at >= _upto - _n"
     )
     ends = [

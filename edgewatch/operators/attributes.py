@@ -15,7 +15,7 @@ from edgewatch.functions.ordering import (
     slices_for,
 )
 from edgewatch.functions.scalar import named
-from edgewatch.functions.sizing import join_sized
+from edgewatch.functions.sizing import held, is_small, join_sized, settle
 from edgewatch.operators.clean import column_medians, fill_medians
 from edgewatch.schemas import BENIGN, PROFILE_FEATURES
 
@@ -31,6 +31,20 @@ def profile_features(flows: DataFrame, features: list[str] | None = None) -> lis
     return [f for f in wanted if f in flows.columns]
 
 
+def _narrow(flows: DataFrame, features: list[str]) -> DataFrame:
+    return flows.select(CLASS, *[named(f).cast("double").alias(f) for f in features])
+
+
+def _over_held(flows: DataFrame, features: list[str], rows: int, analyse) -> DataFrame:
+    """``analyse`` a column-pruned table that is read several times; its result has few rows."""
+    if not is_small(rows):
+        return analyse(_narrow(flows, features))
+    if flows.storageLevel.useMemory:
+        return analyse(flows)
+    with held(_narrow(flows, features), rows) as kept:
+        return settle(analyse(kept))[0]
+
+
 def position_of(feature: Column, features: list[str]) -> Column:
     """Place of a feature in the list, the tie-break of every ranking."""
     return F.array_position(F.array(*[F.lit(f) for f in features]), feature)
@@ -50,6 +64,14 @@ def cliffs_delta(
     """
     features = profile_features(flows, features)
     rows = flows.count() if rows is None else rows
+    return _over_held(
+        flows, features, rows, lambda held: _cliffs_delta(held, features, rows, rows_per_slice)
+    )
+
+
+def _cliffs_delta(
+    flows: DataFrame, features: list[str], rows: int, rows_per_slice: int
+) -> DataFrame:
     slices = slices_for(flows, features, rows, rows_per_slice)
     counted = (
         long_form(flows, features, slices, F.col(CLASS))
@@ -94,6 +116,14 @@ def feature_statistics(
     """Medians, interquartile ranges, Cliff's delta and discrimination per attack class and feature."""
     features = profile_features(flows, features)
     rows = flows.count() if rows is None else rows
+    return _over_held(
+        flows, features, rows, lambda held: _feature_statistics(held, features, rows, rows_per_slice)
+    )
+
+
+def _feature_statistics(
+    flows: DataFrame, features: list[str], rows: int, rows_per_slice: int
+) -> DataFrame:
     quartiles = exact_quantiles(flows, features, [0.25, 0.5, 0.75], CLASS, rows, rows_per_slice)
     sides = quartiles.select(
         CLASS,
@@ -132,19 +162,33 @@ def feature_statistics(
     )
 
 
-def quantile_bins(
-    df: DataFrame, features: list[str], bins: int = BINS, rows: int | None = None
-) -> dict[str, list[float]]:
-    """Edges of equal-frequency bins per feature, equal edges merged."""
+def medians_and_bins(
+    flows: DataFrame, features: list[str], rows: int, bins: int = BINS
+) -> tuple[dict[str, float], dict[str, list[float]]]:
+    """Median, and edges of equal-frequency bins with equal edges merged, of each feature with values.
+
+    Bins are those of the median-filled column. One pass serves both for columns without gaps; only
+    columns with gaps need a second one.
+    """
     probabilities = [i / bins for i in range(bins + 1)]
-    found = exact_quantiles(df, features, probabilities, rows=rows).collect()
-    return {r.feature: sorted({r[f"q{i}"] for i in range(bins + 1)}) for r in found}
+    found = exact_quantiles(flows, features, [0.5, *probabilities], rows=rows).collect()
+    medians = {r.feature: r.q0 for r in found}
+    edges = {r.feature: sorted({r[f"q{i + 1}"] for i in range(bins + 1)}) for r in found}
+    gaps = [r.feature for r in found if r.n < rows]
+    if gaps:
+        filled = fill_medians(flows, {f: medians[f] for f in gaps})
+        again = exact_quantiles(filled, gaps, probabilities, rows=rows).collect()
+        edges.update({r.feature: sorted({r[f"q{i}"] for i in range(bins + 1)}) for r in again})
+    return medians, edges
 
 
 def bin_of(value: Column, edges: list[float]) -> Column:
     """Right-closed bin number; the lowest edge belongs to bin 0."""
-    below = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e < value))
-    return F.greatest(F.lit(0), below - 1)
+    inner = edges[1:-1]
+    number = F.lit(len(inner))
+    for i in reversed(range(len(inner))):
+        number = F.when(value <= F.lit(float(inner[i])), i).otherwise(number)
+    return number
 
 
 def _entropy_term(share: Column) -> Column:
@@ -163,10 +207,15 @@ def feature_importance(
     """
     features = profile_features(flows, features)
     rows = flows.count() if rows is None else rows
-    medians = column_medians(flows, features, rows=rows)
+    return _over_held(
+        flows, features, rows, lambda held: _feature_importance(held, features, rows, top)
+    )
+
+
+def _feature_importance(flows: DataFrame, features: list[str], rows: int, top: int) -> DataFrame:
+    medians, edges = medians_and_bins(flows, features, rows)
     features = [f for f in features if f in medians]
     filled = fill_medians(flows, medians)
-    edges = quantile_bins(filled, features, rows=rows)
     cells = [
         F.struct(F.lit(f).alias("feature"), bin_of(named(f), edges[f]).alias("bin")) for f in features
     ]
@@ -221,6 +270,12 @@ def correlation_matrix(
     A constant feature has no correlation (null), also not with itself.
     """
     features = profile_features(flows, features)
+    rows = flows.count() if rows is None else rows
+    with held(_narrow(flows, features), rows) as kept:
+        return _correlation_matrix(kept, features, rows)
+
+
+def _correlation_matrix(flows: DataFrame, features: list[str], rows: int) -> DataFrame:
     medians = column_medians(flows, features, rows=rows)
     features = [f for f in features if f in medians]
     filled = fill_medians(flows, medians)

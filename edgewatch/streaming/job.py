@@ -44,8 +44,14 @@ class ScoringJob:
                 return
             clock, state = store.load(batch_id)
             scoring, clock = score_batch(events, self.cfg, clock, state, profile)
-            write_table(score_rows(scoring.scored), f"{self.path}/scores", batch_id)
-            store.save(batch_id, scoring.counters(), clock)
+            # scores and counters both come from the folds
+            folds = [fold.persist(StorageLevel.MEMORY_AND_DISK) for _, fold in scoring.folds.values()]
+            try:
+                write_table(score_rows(scoring.scored), f"{self.path}/scores", batch_id)
+                store.save(batch_id, scoring.counters(), clock)
+            finally:
+                for fold in folds:
+                    fold.unpersist()
             self._raise_alerts(spark, batch_id)
         finally:
             events.unpersist()

@@ -29,7 +29,7 @@ def values(kind, at):
     return np.array([r[at] for r in table() if r[0] == kind and r[at] is not None])
 
 
-@pytest.mark.parametrize("per_slice", [1_000_000, 60])
+@pytest.mark.parametrize("per_slice", [1_000_000, 50])
 def test_cliffs_delta_equals_all_pairs(flows, per_slice):
     found = attributes.cliffs_delta(flows, FEATURES, 600, per_slice).collect()
     assert len(found) == 12
@@ -40,7 +40,7 @@ def test_cliffs_delta_equals_all_pairs(flows, per_slice):
         assert r.cliff_delta == pytest.approx(pairs.sum() / (len(x) * len(y)))
 
 
-@pytest.mark.parametrize("per_slice", [1_000_000, 60])
+@pytest.mark.parametrize("per_slice", [1_000_000, 50])
 def test_statistics(flows, per_slice):
     found = attributes.feature_statistics(flows, FEATURES, 600, per_slice).collect()
     assert len(found) == 12

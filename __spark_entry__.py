@@ -649,14 +649,43 @@ counted AS (SELECT t.*, est.* EXCLUDE (event_id) FROM t JOIN est USING (event_id
 {_scored(cfg)}"""
 
 
-def _score_select(label: bool) -> str:
+def _filtered_ctes(events: str, cfg: ScorerConfig, passes: int = 16) -> str:
+    """Repeats the choice of filtered events often enough for it to settle.
+
+    The current counters do not depend on it. A total is the number of earlier events that were kept,
+    plus one.
+    """
+    unfiltered = _score_ctes(events, cfg)
+    steps = ["s0 AS (SELECT * EXCLUDE (edge_total, src_total, dst_total), 1 AS k FROM counted)"]
+    for i in range(1, passes + 1):
+        totals = ", ".join(
+            f"coalesce(sum(k) OVER (PARTITION BY {key} ORDER BY timestamp, event_id "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS {kind}_total"
+            for kind, key in (("edge", "src, dst"), ("src", "src"), ("dst", "dst"))
+        )
+        chis = ", ".join(f"{_chi(kind)} AS {kind}_score" for kind in ("edge", "src", "dst"))
+        gone = "edge_total, src_total, dst_total, edge_score, src_score, dst_score, score"
+        source = f"s{i - 1}" if i == 1 else f"(SELECT * EXCLUDE ({gone}) FROM s{i - 1})"
+        steps.append(f"p{i} AS (SELECT * EXCLUDE (k), {totals} FROM {source})")
+        steps.append(f"c{i} AS (SELECT *, {chis} FROM p{i})")
+        steps.append(
+            f"s{i} AS (SELECT *, greatest(edge_score, src_score, dst_score) AS score, CASE WHEN "
+            f"greatest(edge_score, src_score, dst_score) > {cfg.filter_cutoff} THEN 0 ELSE 1 END AS k "
+            f"FROM c{i})"
+        )
+    return f"""{unfiltered}, {', '.join(steps)},
+settled AS (SELECT *, score >= {cfg.threshold} AS is_alert,
+  CAST(edge_total AS DOUBLE) / tick AS expected_edge FROM s{passes})"""
+
+
+def _score_select(label: bool, source: str = "scored") -> str:
     return f"""SELECT round(score, 6) AS score, is_alert, timestamp, round(edge_score, 6) AS edge_score,
  round(src_score, 6) AS src_score, round(dst_score, 6) AS dst_score,
  CAST(edge_current AS BIGINT) AS edge_current, CAST(edge_total AS BIGINT) AS edge_total,
  CAST(src_current AS BIGINT) AS src_current, CAST(src_total AS BIGINT) AS src_total,
  CAST(dst_current AS BIGINT) AS dst_current, CAST(dst_total AS BIGINT) AS dst_total,
  CAST(tick AS BIGINT) AS tick, round(expected_edge, 6) AS expected_edge, src, dst,
- event_id{', label' if label else ''} FROM scored"""
+ event_id{', label' if label else ''} FROM {source}"""
 
 
 _UUID = (
@@ -800,6 +829,8 @@ SELECT event_id, CAST(edge_current AS BIGINT) AS edge_current, CAST(edge_total A
         )
         + " " + _score_select(True),
         "midas_sketch_score": f"WITH RECURSIVE {_sketch_ctes(_EV, SKETCHED)} {_score_select(True)}",
+        "midas_f_score": f"WITH RECURSIVE {_filtered_ctes(_EV, FILTERED)} "
+        + _score_select(True, "settled"),
         "cms_cells": f"""{cells} SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col,
   count(*) AS cnt FROM hits GROUP BY ALL""",
         "cms_estimate": f"""{cells},

@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from edgewatch.config import ScorerConfig
 from edgewatch.functions.ordering import dense_ranks
 from edgewatch.functions.scalar import bucket_of, chi_squared_sql, named, tick_of
-from edgewatch.functions.sizing import join_measured, join_sized
+from edgewatch.functions.sizing import join_measured, join_sized, settle
 from edgewatch.operators.decay_fold import fold_counts
 from edgewatch.operators.sketch import cell_ids
 from edgewatch.session import materialize
 
 SLICE_ROWS = 1_000_000
 MAX_CUTS = 100_000
+MAX_CUTS_PER_TICK = 20_000
 ARRIVAL_BLOCK = 1 << 20
 
 KINDS = ("edge", "src", "dst")
@@ -140,15 +141,23 @@ def with_slices(events: DataFrame, cfg: ScorerConfig, profile: StreamProfile) ->
     busy = (
         events.groupBy("_at").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > per_slice)
     )
+    busy, _ = settle(busy)
+    most = busy.agg(F.max("_rows")).first()[0]
+    if most is None:
+        return events.withColumn("_slice", F.lit(0)).drop("_place")
+    points = min(MAX_CUTS_PER_TICK, -(-most // per_slice))
+    grid = [i / points for i in range(1, points)]
     hot = join_measured(events.select("_at", "_place"), busy, ["_at"])
     steps = F.ceil(F.max("_rows") / F.lit(per_slice)).cast("int")
     spread = hot.groupBy("_at").agg(
-        F.percentile_approx("_place", [i / 1000 for i in range(1, 1000)], 10_000).alias("_grid"),
-        F.least(steps, F.lit(1000)).alias("_steps"),
+        F.percentile_approx("_place", grid, max(10_000, 10 * points)).alias("_grid"),
+        F.least(steps, F.lit(points)).alias("_steps"),
     )
     picked = F.transform(
         F.sequence(F.lit(1), F.col("_steps") - 1),
-        lambda i: F.element_at("_grid", F.greatest(F.lit(1), (i * 1000 / F.col("_steps")).cast("int"))),
+        lambda i: F.element_at(
+            "_grid", F.greatest(F.lit(1), (i * points / F.col("_steps")).cast("int"))
+        ),
     )
     cuts = spread.select("_at", picked.alias("_cuts"))
     sliced = join_measured(events, cuts, ["_at"], how="left")

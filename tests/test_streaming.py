@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -76,6 +77,8 @@ def test_file_stream_end_to_end(spark, tmp_path):
         with open(source / f"{part}.json", "w") as f:
             for src, dst, ts, i in rows[part * 40 : part * 40 + 40]:
                 f.write(json.dumps({"src": src, "dst": dst, "timestamp": ts, "event_id": i, "label": 1}) + "\n")
+        # the file source takes files by age, so files of the same millisecond have no order
+        os.utime(source / f"{part}.json", (1_700_000_000 + part, 1_700_000_000 + part))
     sent = []
     job = ScoringJob(
         str(tmp_path / "out"), CONFIGS["exact"], publish=lambda df, i: sent.extend(df.collect())

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgewatch.config import ScorerConfig
-from edgewatch.functions.ordering import smallest_per_group, with_row_index
+from edgewatch.functions.ordering import exact_quantiles, smallest_per_group, with_row_index
 from edgewatch.functions.scalar import event_seconds
 from edgewatch.operators import alerts as alert_ops
 from edgewatch.operators import attributes, baseline, clean, edges, evaluate, monitor, replay, sketch
-from edgewatch.operators.scoring import assign_ticks, Clock, profile_events, score_edges
+from edgewatch.operators.scoring import Clock, assign_ticks, profile_events, score_edges
 from edgewatch.operators.trees import decision_trees
 from edgewatch.plans.detection import compare_detectors, evaluate_batch
 from edgewatch.schemas import LABEL_CLASSES
@@ -419,8 +419,6 @@ def dataset_summary(spark, sf_dir):
 
 def quantiles(spark, sf_dir):
     """Quartiles per class and feature, by the two-step method meant for large tables."""
-    from edgewatch.functions.ordering import exact_quantiles
-
     flows = _flows(spark, sf_dir)
     found = exact_quantiles(
         flows, FEATURES, [0.25, 0.5, 0.75], "attack_type", rows=flows.count(), rows_per_slice=5_000

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
 SMALL_ROWS = 20_000_000
+ROWS_PER_TASK = 20_000
 
 
 def join_sized(
@@ -72,7 +73,8 @@ def held(df: DataFrame, rows: int) -> Iterator[DataFrame]:
         yield df
         return
     cores = df.sparkSession.sparkContext.defaultParallelism
-    kept = df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    tasks = min(cores, rows // ROWS_PER_TASK + 1)
+    kept = df.repartition(tasks) if 0 < len(df.inputFiles()) < tasks else df
     kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from edgewatch.functions import ordering, sizing
 from edgewatch.operators import attributes
 from edgewatch.operators.trees import decision_trees, tree_splits
 
@@ -120,3 +121,27 @@ def test_suggested_rules(spark):
     df = spark.createDataFrame([("f", 10.0, 4.0), ("f", 1.0, 4.0), ("f", 5.0, 4.0), ("f", 2.0, 0.0)], "f string, a double, b double")
     rules = df.select(attributes.suggested_rule(df.f, df.a, df.b).alias("r")).collect()
     assert [r.r for r in rules] == ["f > 6.00", "f < 2.00", "f in anomaly distribution", "f > 1.00"]
+
+
+def test_large_tables_take_the_same_steps(spark, tmp_path, monkeypatch):
+    """The way for tables too large to hold gives what the way for small ones gives."""
+    schema = "attack_type string, `Flow Duration` double, `Flow Packets/s` double, `SYN Flag Count` double, Constant double"
+    spark.createDataFrame(table(), schema).write.parquet(str(tmp_path / "flows"))
+    stored = spark.read.parquet(str(tmp_path / "flows"))
+
+    def results():
+        frames = (
+            attributes.feature_statistics(stored, FEATURES, 600, 50),
+            attributes.feature_importance(stored, FEATURES, 600),
+            attributes.correlation_matrix(stored, FEATURES, 600),
+        )
+        return [
+            sorted(tuple(round(x, 9) if isinstance(x, float) else str(x) for x in r) for r in f.collect())
+            for f in frames
+        ]
+
+    small = results()
+    monkeypatch.setattr(sizing, "SMALL_ROWS", 0)
+    monkeypatch.setattr(ordering, "ONE_PASS", 0)
+    monkeypatch.setattr(ordering, "ROWS_PER_SLICE", 50)
+    assert results() == small

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edgewatch.functions import ordering
-from edgewatch.functions.sizing import join_measured
+from edgewatch.functions.sizing import join_measured, join_sized
 from edgewatch.operators.replay import sample_per_file, sample_rows
 
 
@@ -102,3 +102,11 @@ def test_join_measured_both_ways(spark, limit):
     joined = join_measured(left, right, ["k"], limit=limit)
     assert {(r.k, r.v) for r in joined.collect()} == {(k, 10 * k) for k in range(5)}
     assert joined.count() == 50
+
+
+def test_join_sized_broadcasts_within_its_bound_only(spark):
+    left, right = spark.range(50).selectExpr("id % 5 AS k"), spark.range(5).selectExpr("id AS k")
+    for bound, hinted in ((5, True), (600_000, False)):
+        joined = join_sized(left, right, ["k"], bound)
+        assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) == hinted
+        assert joined.count() == 50

@@ -18,6 +18,19 @@ from edgewatch.plans.detection import compare_detectors, evaluate_batch
 from edgewatch.schemas import LABEL_CLASSES
 from edgewatch.sources.edge_files import attach_labels
 
+try:
+    from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
+    from corpus_pipeline import run as _pipeline
+    from edgewatch.llm.queries import ORACLE_SQL as _LLM_SQL
+    from edgewatch.llm.queries import QUERIES as _LLM_QUERIES
+except ModuleNotFoundError as missing:  # the subpackage is optional, its own faults are not hidden
+    if missing.name not in ("corpus_pipeline", "edgewatch.llm", "edgewatch.llm.queries"):
+        raise
+    _CORPUS, _CORPUS_SQL = {}, {}
+else:
+    _CORPUS = {**_LLM_QUERIES, "pipeline": _pipeline}
+    _CORPUS_SQL = _LLM_SQL | ({"pipeline": _PIPELINE_SQL} if _PIPELINE_SQL else {})
+
 DAY = 86_400
 HOUR = 3_600
 ZSCORE = 2.0
@@ -501,7 +514,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: _in_utc(q) for q in _QUERIES}
+    own = {q.__name__: q for q in _QUERIES}
+    return {name: _in_utc(query) for name, query in (own | _CORPUS).items()}
 
 
 def _in_utc(query):
@@ -954,4 +968,4 @@ SELECT r.attack_type, key_features,
         / (SELECT count(*) FROM flows), 6) AS support_percent
 FROM ranked r JOIN top USING (attack_type) WHERE place = 1""",
     }
-    return sql
+    return sql | _CORPUS_SQL

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,20 +28,9 @@ def local_session(app: str = "edgewatch", cpus: str | int = "*", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder; a cluster without the setting is an
-    error, because a machine-local folder would be lost with its machine.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="edgewatch-"))
-    return context.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgewatch.llm import bpe_matrix, token_counts
+from edgewatch.llm import bpe_matrix, line_dedup, token_counts, warc
+from edgewatch.session import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe_matrix.encode_texts(
@@ -35,9 +41,48 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.scratch_path(shared_dir(spark))
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.read_records(spark, path).select(
+        warc.page_id_of(F.col("record_id")).alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        warc.page_id_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op9_warc": op9_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Stripped at both ends and lower-cased as the operators do it, A-Z only.
+_SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE_SQL = {
+    "op1_line_dedup": f"""WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM split),
+keyed AS (SELECT *, translate(trim(line, {_SPACE}), {_LETTERS}) AS key FROM lines),
+shared AS (SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS dropped
+  FROM keyed k LEFT JOIN shared s USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (dropped) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+    "op9_warc": """WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+kept AS (SELECT payload_digest, max(page_id) AS keeper FROM payloads WHERE payload_bytes >= 1000
+  GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM payloads LEFT JOIN kept USING (payload_digest)""",
+}

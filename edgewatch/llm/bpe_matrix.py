@@ -16,12 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from edgewatch.llm.hash_table import HashTable
 from edgewatch.llm.rows import keyed_texts, pieces, strings
 from edgewatch.llm.word_split import Splitter
 
 NO_PAIR = np.int32(2**31 - 1)
-MEMO_WORDS = 400_000
-MATRIX_CELLS = 1 << 20
+MEMO_WORDS = 300_000
+MATRIX_CELLS = 1 << 19
 WIDE = 256
 VOCABULARY_BYTES = 64 << 20
 
@@ -43,44 +44,11 @@ class RankTable:
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = rank
         keys = np.fromiter(pairs.keys(), np.uint64, len(pairs))
-        self._fill(keys, np.fromiter(pairs.values(), np.int32, len(pairs)))
-
-    def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """Linear probing; the keys of one probe distance are placed together, the first comer wins."""
-        self.bits = max(4, int(2 * len(keys)).bit_length())
-        self.keys = np.full(1 << self.bits, np.iinfo(np.uint64).max, np.uint64)
-        self.values = np.full(1 << self.bits, NO_PAIR, np.int32)
-        empty, self.probes = np.iinfo(np.uint64).max, 0
-        at = self._slots(keys)
-        while len(keys):
-            self.probes += 1
-            free = np.flatnonzero(self.keys[at] == empty)
-            _, winners = np.unique(at[free], return_index=True)
-            placed = free[winners]
-            self.keys[at[placed]], self.values[at[placed]] = keys[placed], values[placed]
-            rest = np.ones(len(keys), bool)
-            rest[placed] = False
-            keys, values, at = keys[rest], values[rest], (at[rest] + 1) & (len(self.keys) - 1)
-
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        mixed = keys * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.pairs = HashTable(keys, np.fromiter(pairs.values(), np.int32, len(pairs)), NO_PAIR)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each adjacent pair's union, ``NO_PAIR`` where the vocabulary has none."""
-        keys = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
-        at = self._slots(keys)
-        found = np.where(self.keys[at] == keys, self.values[at], NO_PAIR)
-        pending = np.flatnonzero((found == NO_PAIR) & (self.keys[at] != np.iinfo(np.uint64).max))
-        for _ in range(self.probes - 1):
-            if not len(pending):
-                break
-            at[pending] = (at[pending] + 1) & (len(self.keys) - 1)
-            held = self.keys[at[pending]]
-            hit = held == keys[pending]
-            found[pending[hit]] = self.values[at[pending[hit]]]
-            pending = pending[~hit & (held != np.iinfo(np.uint64).max)]
-        return found
+        return self.pairs.find(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64))
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgewatch.llm import perfect_hash
-from edgewatch.llm.rows import column, pieces
+from edgewatch.llm.rows import column, pieces, with_carried
 from edgewatch.session import materialize
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -166,10 +166,11 @@ def drop_repeated_lines(
     stay. ``carried`` is a struct of the columns named in ``carry``.
     """
     spark = docs.sparkSession
-    rows = docs.select(
-        column(docs, id_col).cast("long").alias("doc_id"),
-        column(docs, text_col).cast("binary").alias("text"),
-        F.struct(F.lit(True).alias("row"), *(column(docs, c) for c in carry)).alias("carried"),
+    rows = with_carried(
+        docs,
+        carry,
+        doc_id=column(docs, id_col).cast("long"),
+        text=column(docs, text_col).cast("binary"),
     )
     lines = materialize(repeated_lines(rows.select("doc_id", "text"), min_chars, min_docs), "lines")
     n_lines = lines.count()

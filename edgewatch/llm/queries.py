@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgewatch.llm import bpe_matrix, line_dedup, token_counts, warc
+from edgewatch.llm import bpe_matrix, line_dedup, positional_index, ppm_language, token_counts, warc
 from edgewatch.session import shared_dir
 
 
@@ -41,6 +41,22 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional_index.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    lengths = F.zip_with("starts", "ends", lambda start, end: end - start)
+    n_hit = F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b)
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("items") > 0).alias("contaminated"),
+    )
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.scratch_path(shared_dir(spark))
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
@@ -53,16 +69,30 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = ppm_language.identify_language(docs, ppm_language.train(docs))
+    return found.select(
+        "doc_id",
+        ppm_language.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("lang").alias("lang_pred"),
+        "score",
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op7_decontamination": op7_decontamination,
     "op9_warc": op9_warc,
+    "op10_language_id": op10_language_id,
 }
 
 #: Stripped at both ends and lower-cased as the operators do it, A-Z only.
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_NOT_WORD = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 ORACLE_SQL = {
     "op1_line_dedup": f"""WITH split AS (
@@ -76,6 +106,25 @@ marked AS (SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS dropped
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (dropped) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op7_decontamination": f"""WITH
+doc_words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
+  {_NOT_WORD}), lambda x: x <> '') AS w FROM documents),
+item_words AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
+  {_NOT_WORD}), lambda x: x <> '') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS w FROM (
+  SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+sized AS (SELECT DISTINCT w, len(w) AS n FROM windows),
+grams AS (SELECT doc_id, i, list_slice(w, i, i + n - 1) AS w, n FROM (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+  FROM doc_words, (SELECT DISTINCT n FROM sized) WHERE len(w) >= n)),
+found AS (SELECT g.doc_id, g.i, g.n, g.w FROM grams g JOIN sized USING (w)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+  SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (
+  SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found JOIN windows USING (w)) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op9_warc": """WITH payloads AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
   FROM pages),

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -25,6 +25,12 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def with_carried(df: DataFrame, names: list[str] | tuple[str, ...], **own: Column) -> DataFrame:
+    """The columns ``own`` and a struct ``carried`` of the columns in ``names``, which passes through."""
+    kept = F.struct(F.lit(True).alias("row"), *(column(df, n) for n in names))
+    return df.select(*(c.alias(n) for n, c in own.items()), kept.alias("carried"))
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], by: str = "text", limit: int = PIECE_BYTES
 ) -> Iterator[pa.RecordBatch]:

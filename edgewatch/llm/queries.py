@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgewatch.llm import bpe_matrix, line_dedup, positional_index, ppm_language, token_counts, warc
+from edgewatch.llm import bpe_matrix, line_dedup, positional_index, ppm_language, shingle_join, token_counts, warc
 from edgewatch.session import shared_dir
 
 
@@ -41,6 +41,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicate_groups(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -84,6 +88,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_decontamination": op7_decontamination,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
@@ -106,6 +111,22 @@ marked AS (SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS dropped
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (dropped) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op5_ngram_jaccard_join": f"""WITH RECURSIVE
+cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
+  '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2)) END) AS s FROM cut),
+sized AS (SELECT doc_id, len(s) AS n FROM sets),
+rows AS (SELECT doc_id, unnest(s) AS g FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM rows a JOIN rows b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sized
+  UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a)
+SELECT r.a AS doc_id, any_value(n) AS n_shingles, min(r.b) AS component_id
+FROM reach r JOIN sized ON sized.doc_id = r.a GROUP BY r.a""",
     "op7_decontamination": f"""WITH
 doc_words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
   {_NOT_WORD}), lambda x: x <> '') AS w FROM documents),

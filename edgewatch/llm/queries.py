@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgewatch.llm import bpe_matrix, line_dedup, positional_index, ppm_language, shingle_join, token_counts, warc
+from edgewatch.llm import bpe_matrix, line_dedup, paragraph_sketch, positional_index, ppm_language, shingle_join, token_counts, warc
 from edgewatch.session import shared_dir
 
 
@@ -45,6 +45,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicate_groups(_table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_sketch.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -89,6 +93,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_decontamination": op7_decontamination,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,

@@ -64,12 +64,18 @@ def word_hashes(
 
 def _hash_group(texts: list[bytes], word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(b" ".join(t.lower() for t in texts) + b" ", np.uint8)
-    inside = word_bytes[raw].view(np.int8)
-    edges = np.flatnonzero(np.diff(inside, prepend=np.int8(0)))
+    return run_hashes(raw, word_bytes[raw], np.cumsum([len(t) + 1 for t in texts]))
+
+
+def run_hashes(raw: np.ndarray, inside: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of bytes that are ``inside``, and the runs before each of ``ends``' parts end.
+
+    The byte before each end is outside, so no run reaches from one part into the next.
+    """
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
     first, last = edges[0::2], edges[1::2]
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_LETTERS[raw] * _powers(_BASE, len(raw)), out=sums[1:])
     moved = (sums[last] - sums[first]) * _powers(_INVERSE, len(raw))[first]
-    ends = np.cumsum([len(t) + 1 for t in texts])
     counts = np.diff(np.searchsorted(first, ends), prepend=0)
     return mixed(moved + (last - first).astype(np.uint64)), counts

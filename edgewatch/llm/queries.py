@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgewatch.llm import bpe_matrix, line_dedup, paragraph_sketch, positional_index, ppm_language, shingle_join, token_counts, warc
+from edgewatch.llm import (
+    bpe_matrix,
+    line_dedup,
+    paragraph_sketch,
+    positional_index,
+    ppm_language,
+    secret_scan,
+    shingle_join,
+    token_counts,
+    warc,
+)
 from edgewatch.session import shared_dir
 
 
@@ -41,6 +51,24 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = secret_scan.find_secrets(docs, secret_scan.train(docs))
+
+    def listed(spans):
+        text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.concat_ws(",", text)
+
+    base = F.filter("spans", lambda s: s["kind"] != "model")
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+          for k in ("assign", "access", "hex")),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicate_groups(_table(spark, sf_dir, "documents"), words=3, percent=90)
 
@@ -92,6 +120,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_secret_scan": op4_secret_scan,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_decontamination": op7_decontamination,

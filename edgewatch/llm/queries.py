@@ -16,6 +16,7 @@ from edgewatch.llm import (
     shingle_join,
     token_counts,
     warc,
+    wrapper_induction,
 )
 from edgewatch.session import shared_dir
 
@@ -93,6 +94,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper_induction.extract_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.scratch_path(shared_dir(spark))
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
@@ -124,6 +130,7 @@ QUERIES = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_decontamination": op7_decontamination,
+    "op8_html_extraction": op8_html_extraction,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
 }

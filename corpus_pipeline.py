@@ -1,17 +1,51 @@
 """A training corpus from ``documents``: stages that are written as Parquet and read again.
 
-Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept.
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept. All but the last
+return the columns of documents. Extra columns pass through; a null id stays null and is never dropped
+as a copy; an empty table gives empty tables.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-from edgewatch.llm import bpe_matrix
+from edgewatch.llm import bpe_matrix, line_dedup, positional_index, ppm_language, shingle_join
+from edgewatch.llm.rows import without
 from edgewatch.session import materialize
 
+SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a language: null texts and texts without a letter."""
+    found = ppm_language.identify_language(docs, ppm_language.train(docs), carry=docs.columns)
+    kept = found.filter(F.col("lang") != ppm_language.UNDETERMINED)
+    return kept.select(*(F.col("carried").getField(c).alias(c) for c in docs.columns))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes out lines that a document of a larger id keeps; ``n_chars`` follows the text."""
+    kept = line_dedup.drop_repeated_lines(docs, carry=docs.columns)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return kept.select(*(new.get(c, F.col("carried").getField(c)).alias(c) for c in docs.columns))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group."""
+    groups = shingle_join.near_duplicate_groups(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
+    others = groups.filter("doc_id != component_id").select("doc_id").distinct()
+    return without(docs, materialize(others, "copies"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = positional_index.contamination(docs, items)
+    hit = found.filter(F.size("items") > 0).select("doc_id").distinct()
+    return without(docs, materialize(hit, "contaminated"))
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every kept text and the bytes that they decode to."""
@@ -25,7 +59,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("language", language),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("encode", encode),
+]
 
 #: Language ID and the encoding cannot be written in SQL.
 ORACLE_SQL = None

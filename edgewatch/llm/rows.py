@@ -27,7 +27,10 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def with_carried(df: DataFrame, names: list[str] | tuple[str, ...], **own: Column) -> DataFrame:
     """The columns ``own`` and a struct ``carried`` of the columns in ``names``, which passes through."""
-    kept = F.struct(F.lit(True).alias("row"), *(column(df, n) for n in names))
+    filler = "row"  # a struct needs a field
+    while filler.lower() in {n.lower() for n in names}:
+        filler += "_"
+    kept = F.struct(*(column(df, n) for n in names), F.lit(True).alias(filler))
     return df.select(*(c.alias(n) for n, c in own.items()), kept.alias("carried"))
 
 
@@ -51,3 +54,16 @@ def pieces(
 def strings(values: pa.Array) -> list[str]:
     """Texts as Python strings, null as the empty one."""
     return [x or "" for x in values.to_pylist()]
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", limit: int = 1_000_000) -> DataFrame:
+    """Rows of ``docs`` whose id is not in ``ids`` (a written table of one column); null ids stay.
+
+    The ids go to every task if they are at most ``limit``; more are joined by a shuffle.
+    """
+    gone = "gone"
+    while gone.lower() in {c.lower() for c in docs.columns}:
+        gone += "_"
+    ids = ids.toDF(gone)
+    ids = F.broadcast(ids) if ids.count() <= limit else ids
+    return docs.join(ids, column(docs, id_col) == F.col(gone), "left_anti")

@@ -90,7 +90,9 @@ def column_medians(
 
 
 def fill_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(named(c), F.lit(m)) for c, m in medians.items()})
+    """Null and NaN become the column's median."""
+    filled = {c: F.coalesce(F.nanvl(named(c).cast("double"), F.lit(None)), F.lit(m)) for c, m in medians.items()}
+    return df.withColumns(filled)
 
 
 def impute_medians(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:

@@ -65,9 +65,13 @@ def precision_recall(truth: DataFrame, **methods: DataFrame) -> DataFrame:
         for m in methods
     ]
     counts = hits.agg(*rows).select(F.inline(F.array(*[F.col(m) for m in methods])))
-    whole = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("flagged_edges", "true_edges", "true_positives")]
-    counts = counts.select("method", *whole)
-    return counts.select(
+    return with_quality(counts)
+
+
+def with_quality(counts: DataFrame) -> DataFrame:
+    """Precision and recall beside the counts of edges, which are 0 where there are none."""
+    whole = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("flagged_edges", "true_edges", "true_positives")}
+    return counts.withColumns(whole).select(
         "*",
         _ratio(F.col("true_positives"), F.col("flagged_edges")).alias("precision"),
         _ratio(F.col("true_positives"), F.col("true_edges")).alias("recall"),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgewatch.operators.alerts import TEST_SOURCE, without_test_rows
-from edgewatch.operators.edges import precision_recall
+from edgewatch.operators.edges import with_quality
+
+METHODS = ("batch", "streaming")
 
 
 def score_stats(scores: DataFrame, test_source: str = TEST_SOURCE) -> DataFrame:
@@ -30,20 +32,39 @@ def method_comparison(truth: DataFrame, batch_flags: DataFrame, scores: DataFram
     ``flagged_events`` counts flags before they are collapsed to edges; the delays are those of the
     streaming detector's alerts and null for the batch one.
     """
-    alerts = scores.filter("is_alert")
-    quality = precision_recall(truth, batch=batch_flags, streaming=alerts)
     delay = (F.unix_micros("ingested_at") - F.unix_micros("event_time")) / F.lit(1e6)
-    batch_events = batch_flags.agg(
-        F.lit("batch").alias("method"),
-        F.count(F.lit(1)).alias("flagged_events"),
-        F.lit(None).cast("double").alias("max_detection_delay"),
-        F.lit(None).cast("double").alias("avg_detection_delay"),
-    )
-    stream_events = alerts.agg(
-        F.lit("streaming").alias("method"),
-        F.count(F.lit(1)).alias("flagged_events"),
-        F.max(delay).alias("max_detection_delay"),
-        F.avg(delay).alias("avg_detection_delay"),
+    nothing = F.lit(None).cast("double")
+
+    def flags(frame: DataFrame, name: str, delay: Column) -> DataFrame:
+        marks = [F.lit(1 if n == name else 0).alias(n) for n in ("is_true", *METHODS)]
+        return frame.select("src", "dst", *marks, delay.alias("delay"))
+
+    # every input is read once: an edge's flags of both methods and its delays come from one grouping
+    stacked = flags(truth, "is_true", nothing).unionByName(flags(batch_flags, "batch", nothing))
+    stacked = stacked.unionByName(flags(scores.filter("is_alert"), "streaming", delay))
+    per_edge = stacked.groupBy("src", "dst").agg(
+        F.max("is_true").alias("is_true"),
+        *[F.sum(m).alias(m) for m in METHODS],
+        F.max("delay").alias("most"),
+        F.sum("delay").alias("delays"),
     )
-    # one row per method on both sides
-    return quality.join(F.broadcast(batch_events.unionByName(stream_events)), "method")
+    rows = []
+    for m in METHODS:
+        streaming = m == "streaming"
+        rows.append(
+            F.struct(
+                F.lit(m).alias("method"),
+                F.count_if(F.col(m) > 0).alias("flagged_edges"),
+                F.sum("is_true").alias("true_edges"),
+                F.sum(F.when(F.col(m) > 0, F.col("is_true"))).alias("true_positives"),
+                F.sum(m).alias("flagged_events"),
+                (F.max("most") if streaming else nothing).alias("max_detection_delay"),
+                (F.sum("delays") / F.sum(m) if streaming else nothing).alias("avg_detection_delay"),
+            ).alias(m)
+        )
+    counts = per_edge.agg(*rows).select(F.inline(F.array(*METHODS)))
+    return with_quality(counts).select(
+        "method", "flagged_edges", "true_edges", "true_positives", "precision", "recall",
+        F.coalesce("flagged_events", F.lit(0)).alias("flagged_events"),
+        "max_detection_delay", "avg_detection_delay",
+    )

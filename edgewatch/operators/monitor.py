@@ -43,15 +43,20 @@ def alert_graph_edges(alerts: DataFrame, limit: int | None = VISIBLE_EDGES) -> D
 
     A display keeps the ``limit`` edges that were first alerted last.
     """
+    return _visible(_alerted_edges(alerts), limit).drop("_first")
+
+
+def _alerted_edges(alerts: DataFrame) -> DataFrame:
     place = F.struct("event_time", "event_id")
-    edges = alerts.groupBy(F.col("src").alias("source"), F.col("dst").alias("target")).agg(
+    return alerts.groupBy(F.col("src").alias("source"), F.col("dst").alias("target")).agg(
         F.max_by("score", place).alias("score"),
         F.count(F.lit(1)).alias("alerts"),
         F.min(place).alias("_first"),
     )
-    if limit is not None:
-        edges = edges.orderBy(F.desc("_first")).limit(limit)
-    return edges.drop("_first")
+
+
+def _visible(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.orderBy(F.desc("_first")).limit(limit)
 
 
 def alert_graph_nodes(
@@ -64,19 +69,19 @@ def alert_graph_nodes(
     A display keeps the ``limit`` nodes first alerted last; degrees count its visible edges.
     """
     ends = F.array(
-        F.struct(F.col("src").alias("node"), F.lit(0).alias("end")),
-        F.struct(F.col("dst").alias("node"), F.lit(1).alias("end")),
+        F.struct(F.col("source").alias("node"), F.lit(0).alias("end")),
+        F.struct(F.col("target").alias("node"), F.lit(1).alias("end")),
     )
-    # an edge meets its nodes at its first alert, so alerts shrink to edges before they are doubled
-    firsts = alerts.groupBy("src", "dst").agg(F.min(F.struct("event_time", "event_id")).alias("at"))
+    # an edge meets its nodes at its first alert, so alerts shrink to edges before they are doubled;
+    # both branches start from the same grouping, which is computed once
+    grouped = _alerted_edges(alerts).select("source", "target", "_first")
     nodes = (
-        firsts.select("at", F.inline(ends))
+        grouped.select(F.col("_first").alias("at"), F.inline(ends))
         .groupBy("node")
         .agg(F.min(F.struct("at", "end")).alias("_first"))
     )
-    if limit is not None:
-        nodes = nodes.orderBy(F.desc("_first")).limit(limit)
-    edges = alert_graph_edges(alerts, edge_limit).select("source", "target")
+    nodes = _visible(nodes, limit)
+    edges = _visible(grouped, edge_limit).select("source", "target")
     sides = F.array(
         F.struct(F.col("source").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")),
         F.struct(F.col("target").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i")),

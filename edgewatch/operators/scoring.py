@@ -33,6 +33,7 @@ MAX_CUTS_PER_TICK = 20_000
 ARRIVAL_BLOCK = 1 << 20
 
 KINDS = ("edge", "src", "dst")
+#: The columns of a scored event, in order.
 SCORE_COLUMNS = (
     "score",
     "is_alert",
@@ -238,8 +239,11 @@ def _with_state(counts: DataFrame, keys: list[str], kind: str, state: DataFrame
         F.col("rank").alias("_rank"),
     )
     # only entities of this batch are needed; the rest keep the counters they have
-    carried = carried.join(counts.select(*keys).distinct(), keys, "left_semi")
-    return counts.unionByName(carried)
+    touched = counts.select(*[F.col(k).alias(f"_touched_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:  # a null id is an entity like any other
+        same &= F.col(k).eqNullSafe(F.col(f"_touched_{k}"))
+    return counts.unionByName(carried.join(touched, same, "left_semi"))
 
 
 def _sums(df: DataFrame, keys: list[str]) -> DataFrame:

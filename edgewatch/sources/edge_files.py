@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgewatch.functions.ordering import with_row_index
+from edgewatch.operators.edges import MISSING_ADDRESS
 
 # Words that mark a first row as a header, and accepted column names.
 EDGE_HEADER_WORDS = ("src", "source", "dst", "destination", "timestamp")
@@ -38,19 +39,23 @@ def _position(fields: list[str], names: tuple[str, ...], default: int) -> int:
     return next((lowered.index(n) for n in names if n in lowered), default)
 
 
-def _scan(spark: SparkSession, path: str, fields: int, header: bool, malformed: str) -> DataFrame:
+def _scan(spark: SparkSession, path: str, fields: int, header: bool) -> DataFrame:
+    """Text columns ``c0, c1, ...``; the whole line where its number of fields is another one."""
     columns = [T.StructField(f"c{i}", T.StringType()) for i in range(fields)]
-    reader = spark.read.option("header", header)
-    if malformed == "quarantine":
-        columns.append(T.StructField(CORRUPT, T.StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        return reader.option("mode", "PERMISSIVE").schema(T.StructType(columns)).csv(path)
-    return reader.option("mode", "FAILFAST").schema(T.StructType(columns)).csv(path)
+    schema = T.StructType([*columns, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.option("header", header).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.option("mode", "PERMISSIVE").schema(schema).csv(path)
+
+
+def _is_short(fields: int) -> Column:
+    """Fewer fields than the first line; more are no fault, the first ones count."""
+    return F.col(CORRUPT).isNotNull() & F.col(f"c{fields - 1}").isNull()
 
 
-def _seconds(text: Column, strict: bool) -> Column:
-    number = text.cast("double") if strict else text.try_cast("double")
-    return F.floor(number).cast("bigint")
+def _refuse(rows: DataFrame, bad: Column) -> DataFrame:
+    """``rows``, with an error as soon as one of them is bad."""
+    message = F.concat(F.lit("malformed row "), F.col("row_idx").cast("string"))
+    return rows.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
 def read_edges(
@@ -63,8 +68,10 @@ def read_edges(
     """``src, dst, timestamp, event_id[, label]``; ``event_id`` is the 0-based row number.
 
     ``header`` "auto" looks at the first line. Columns are found by name, or by position where a
-    name is missing. ``malformed`` "fail" stops at a row with missing fields; "quarantine" keeps it
-    out (see ``malformed_rows``). ``labelled`` None means: if the file has a fourth column.
+    name is missing. ``malformed`` "fail" stops at a row with too few fields or without a time, an
+    empty id is ``0.0.0.0``; "quarantine" keeps such rows and rows without ids out (see
+    ``malformed_rows``). Fields beyond those of the first line are ignored. ``labelled`` None means: if
+    the file has a fourth column.
     """
     if malformed not in ("fail", "quarantine"):
         raise ValueError("malformed must be 'fail' or 'quarantine'")
@@ -78,17 +85,17 @@ def read_edges(
     ]
     if len(fields) <= max(at):
         raise ValueError(f"{path}: expected at least {max(at) + 1} columns, got {len(fields)}")
-    scan = _scan(spark, path, len(fields), with_header, malformed)
-    rows = with_row_index(scan)
+    rows = with_row_index(_scan(spark, path, len(fields), with_header))
     if malformed == "quarantine":
-        rows = rows.filter(~_is_malformed(at))
+        rows = rows.filter(~_is_malformed(at, len(fields)))
+    else:
+        rows = _refuse(rows, _is_short(len(fields)) | F.col(f"c{at[2]}").try_cast("double").isNull())
     label_at = _position(names, LABEL_HEADER_WORDS[:1], 3)
     labelled = len(fields) > label_at if labelled is None else labelled
-    strict = malformed == "fail"
     columns = [
-        F.col(f"c{at[0]}").alias("src"),
-        F.col(f"c{at[1]}").alias("dst"),
-        _seconds(F.col(f"c{at[2]}"), strict).alias("timestamp"),
+        F.coalesce(f"c{at[0]}", F.lit(MISSING_ADDRESS)).alias("src"),
+        F.coalesce(f"c{at[1]}", F.lit(MISSING_ADDRESS)).alias("dst"),
+        F.floor(F.col(f"c{at[2]}").try_cast("double")).cast("bigint").alias("timestamp"),
         F.col("row_idx").alias("event_id"),
     ]
     if labelled:
@@ -96,10 +103,10 @@ def read_edges(
     return rows.select(*columns)
 
 
-def _is_malformed(at: list[int]) -> Column:
+def _is_malformed(at: list[int], fields: int) -> Column:
     missing = F.col(f"c{at[0]}").isNull() | F.col(f"c{at[1]}").isNull()
     number = F.col(f"c{at[2]}").try_cast("double")
-    return F.col(CORRUPT).isNotNull() | missing | number.isNull()
+    return _is_short(fields) | missing | number.isNull()
 
 
 def malformed_rows(spark: SparkSession, path: str, header: str | bool = "auto") -> DataFrame:
@@ -112,17 +119,18 @@ def malformed_rows(spark: SparkSession, path: str, header: str | bool = "auto")
         _position(names, DESTINATION_NAMES, 1),
         _position(names, TIMESTAMP_NAMES, 2),
     ]
-    rows = with_row_index(_scan(spark, path, len(fields), with_header, "quarantine"))
+    rows = with_row_index(_scan(spark, path, len(fields), with_header))
     whole = F.concat_ws(",", *[F.col(f"c{i}") for i in range(len(fields))])
     line = F.coalesce(F.col(CORRUPT), whole)
-    return rows.filter(_is_malformed(at)).select("row_idx", line.alias("line"))
+    return rows.filter(_is_malformed(at, len(fields))).select("row_idx", line.alias("line"))
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """``row_idx, label`` of a label file; the label is the last column, a header is skipped."""
     fields = first_fields(spark, path)
     header = fields[0].lower() in LABEL_HEADER_WORDS
-    rows = with_row_index(_scan(spark, path, len(fields), header, "fail"))
+    rows = with_row_index(_scan(spark, path, len(fields), header))
+    rows = _refuse(rows, _is_short(len(fields)))
     return rows.select("row_idx", F.col(f"c{len(fields) - 1}").cast("smallint").alias("label"))
 
 

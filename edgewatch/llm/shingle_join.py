@@ -6,10 +6,10 @@ in at most ``k`` shingles, where ``k`` follows from the smaller size, so of ``k
 the same in both: each class enters the tiles (band, part, content of the part) of its first ``k + 1``
 filled parts. A tile thus holds documents that already share a whole part.
 
-In a tile every class is compared with the smallest id, then, in blocks, the classes that are still in
-different components with each other. A comparison bounds the overlap from above with bit counts of
-hashed bitmaps (a bit that only one side has is a shingle that the other lacks) and intersects the sorted
-arrays only where the bound allows a link.
+In a tile every class is compared with the smallest and the greatest id, then, in blocks, the classes that
+are still in different components with each other. A comparison first bounds the overlap from above with
+bit counts of hashed bitmaps (a bit that only one side has is a shingle that the other lacks); only the
+pairs whose bound allows a link get their sorted arrays, which are intersected exactly.
 """
 
 from __future__ import annotations
@@ -29,9 +29,8 @@ from edgewatch.llm.word_hash import SPACE_BYTES, mixed, word_hashes
 from edgewatch.session import materialize
 
 BLOCK = 256
-BROADCAST_IDS = 1_000_000
+BROADCAST_ROWS = 1_000_000
 SETS = "doc_id long, n long, high long, low long, tiles array<bigint>"
-ARRAYS = "id long, bitmap binary, shingles binary"
 
 
 # --- sets --------------------------------------------------------------------------------------
@@ -146,21 +145,9 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def _views(bits: bytes, shingles: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(bits, np.uint64), np.frombuffer(shingles, np.uint64)
-
-
-def _linked(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], limit: Limit) -> bool:
-    (bits_a, a), (bits_b, b) = one, two
-    needed = limit.needed(len(a), len(b))
-    if min(len(a), len(b)) < needed or overlap_bound(bits_a, bits_b, len(a), len(b)) < needed:
-        return False
-    return limit.linked(common(a, b), len(a), len(b))
-
-
-def class_arrays(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """``id, bitmap, shingles`` of the documents in ``ids``, computed from their texts again."""
-    if ids.count() <= BROADCAST_IDS:
+def _for_ids(docs: DataFrame, ids: DataFrame, words: int, kind: str, pack) -> DataFrame:
+    """``id, n, kind`` of the documents in ``ids``, computed from their texts again."""
+    if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     wanted = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi")
 
@@ -168,30 +155,56 @@ def class_arrays(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         for piece in pieces(batches):
             sets = shingle_sets([t or b"" for t in piece["text"].to_pylist()], words)
             yield pa.RecordBatch.from_arrays(
-                [piece["doc_id"], pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["id", "bitmap", "shingles"],
+                [piece["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([pack(s).tobytes() for s in sets], pa.binary())],
+                ["id", "n", kind],
             )
 
-    return wanted.mapInArrow(build, ARRAYS).dropDuplicates(["id", "shingles"])
+    built = wanted.mapInArrow(build, f"id long, n long, {kind} binary").dropDuplicates(["id", kind])
+    return materialize(built, kind)
 
 
-def linked_pairs(pairs: DataFrame, arrays: DataFrame, limit: Limit) -> DataFrame:
-    """Those of the pairs ``a, b`` that are linked."""
+def _sides(pairs: DataFrame, own: DataFrame, kind: str) -> DataFrame:
+    """``pairs`` with ``kind`` and ``n`` of both ends."""
+    for end in ("a", "b"):
+        names = {"id": end, "n": f"n_{end}", kind: f"{kind}_{end}"}
+        pairs = pairs.join(own.select(*(F.col(k).alias(v) for k, v in names.items())), end)
+    return pairs
+
+
+def possible_pairs(pairs: DataFrame, bitmaps: DataFrame, limit: Limit) -> DataFrame:
+    """The pairs ``a, b`` whose bitmaps do not rule out a link."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch[c].to_pylist() for c in ("bitmap_a", "n_a", "bitmap_b", "n_b")), strict=True)
+            keep = [
+                min(i, j) >= limit.needed(i, j)
+                and overlap_bound(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), i, j) >= limit.needed(i, j)
+                for x, i, y, j in rows
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return _sides(pairs, bitmaps, "bitmap").mapInArrow(bound, "a long, b long").distinct()
+
+
+def verified_pairs(pairs: DataFrame, docs: DataFrame, words: int, limit: Limit) -> DataFrame:
+    """The pairs that are linked, by exact intersection of their sorted arrays."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    arrays = _for_ids(docs, materialize(ids, "pair-ids"), words, "shingles", lambda s: s)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(n).to_pylist() for n in ("bits_a", "set_a", "bits_b", "set_b"))
-            keep = [_linked(_views(i, j), _views(k, m), limit) for i, j, k, m in zip(*columns, strict=True)]
+            columns = (batch[c].to_pylist() for c in ("shingles_a", "shingles_b"))
+            sets = ((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(*columns, strict=True))
+            keep = [limit.linked(common(x, y), len(x), len(y)) for x, y in sets]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = arrays.select(F.col("id").alias("a"), F.col("bitmap").alias("bits_a"), F.col("shingles").alias("set_a"))
-    right = arrays.select(F.col("id").alias("b"), F.col("bitmap").alias("bits_b"), F.col("shingles").alias("set_b"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(verify, "a long, b long")
+    return _sides(pairs, arrays, "shingles").mapInArrow(verify, "a long, b long")
 
 
-def block_links(members: DataFrame, arrays: DataFrame, limit: Limit) -> DataFrame:
-    """Links ``a, b`` that connect the components which still meet in a tile.
+def block_pairs(members: DataFrame, bitmaps: DataFrame, limit: Limit) -> DataFrame:
+    """Pairs ``a, b`` of different components that meet in a tile and could be linked.
 
     ``members`` has ``tile, id, component``. A tile is cut into blocks by hash; every pair of its blocks
     is one group, in which documents of one component are not compared with each other.
@@ -204,25 +217,23 @@ def block_links(members: DataFrame, arrays: DataFrame, limit: Limit) -> DataFram
     )
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        sets = [_views(b, s) for b, s in zip(frame["bitmap"], frame["shingles"], strict=True)]
-        ids, roots = frame["id"].to_numpy(), frame["component"].to_numpy().copy()
-        sizes = np.array([len(s) for _, s in sets])
-        found = []
-        words = min(len(b) for b, _ in sets)
-        small = np.stack([_folded(b, words) for b, _ in sets])
+        bits = [np.frombuffer(b, np.uint64) for b in frame["bitmap"]]
+        ids, roots, sizes = (frame[c].to_numpy() for c in ("id", "component", "n"))
+        words = min(len(b) for b in bits)
+        folded = np.stack([_folded(b, words) for b in bits])
+        found = [np.empty((0, 2), np.int64)]
         for i in range(len(ids) - 1):
             rest = np.arange(i + 1, len(ids))
             rest = rest[roots[rest] != roots[i]]
             needed = limit.needed(sizes[rest], sizes[i])
-            bound = sizes[i] - np.bitwise_count(small[i] & ~small[rest]).sum(axis=1, dtype=np.int64)
-            rest = rest[(np.minimum(bound, sizes[rest]) >= needed)]
-            for j in rest.tolist():
-                if roots[j] != roots[i] and _linked(sets[i], sets[j], limit):
-                    found.append((ids[i], ids[j]))
-                    roots[roots == roots[j]] = roots[i]
-        return pd.DataFrame(found, columns=["a", "b"])
+            mine = sizes[i] - np.bitwise_count(folded[i] & ~folded[rest]).sum(axis=1, dtype=np.int64)
+            theirs = sizes[rest] - np.bitwise_count(folded[rest] & ~folded[i]).sum(axis=1, dtype=np.int64)
+            rest = rest[np.minimum(mine, theirs) >= needed]
+            found.append(np.stack((np.minimum(ids[i], ids[rest]), np.maximum(ids[i], ids[rest])), axis=1))
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
-    return dealt.join(arrays, "id").groupBy("tile", "row", "col").applyInPandas(compare, "a long, b long")
+    grouped = dealt.join(bitmaps, "id").groupBy("tile", "row", "col").applyInPandas(compare, "a long, b long")
+    return grouped.distinct()
 
 
 # --- the join ----------------------------------------------------------------------------------
@@ -253,26 +264,35 @@ def near_duplicate_groups(
     shared = held.groupBy("tile").agg(
         F.count(F.lit(1)).alias("members"),
         F.min("id").alias("least"),
+        F.max("id").alias("most"),
         F.sum(F.xxhash64("id") % (1 << 31)).alias("x"),
         F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
     )
     # tiles with the same members are one
-    shared = shared.filter("members > 1").groupBy("members", "least", "x", "y").agg(F.min("tile").alias("tile"))
-    shared = materialize(shared.select("tile", "least", "members"), "shared-tiles")
-    inside = materialize(held.join(shared, "tile"), "tile-members")
-    stars = inside.filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    shared = shared.filter("members > 1").groupBy("members", "least", "most", "x", "y").agg(F.min("tile").alias("tile"))
+    shared = materialize(shared.select("tile", "least", "most", "members"), "shared-tiles")
+    few = shared.count() <= BROADCAST_ROWS
+    inside = materialize(held.join(F.broadcast(shared) if few else shared, "tile"), "tile-members")
+    ends = F.explode(F.array("least", "most")).alias("end")
+    stars = inside.select("id", ends).filter("id != end").select(
+        F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")
+    )
+    stars = materialize(stars.distinct(), "stars")
     ids = materialize(inside.select("id").distinct(), "tile-ids")
-    arrays = materialize(class_arrays(texts, ids, words), "arrays")
-    links = materialize(linked_pairs(stars, arrays, limit), "links")
+    bitmaps = _for_ids(texts, ids, words, "bitmap", bitmap)
+    possible = materialize(possible_pairs(stars, bitmaps, limit), "possible")
+    links = materialize(verified_pairs(possible, texts, words, limit), "links")
     groups = components(links)
-    # two members have been compared; larger tiles may hold links that no star has shown
-    named = inside.filter("members > 2").join(groups, F.col("id") == F.col("a"), "left")
+    # up to three members have all been compared; larger tiles may hold links that no star has shown
+    named = inside.filter("members > 3").join(groups, F.col("id") == F.col("a"), "left")
     named = named.select("tile", "id", F.coalesce("b", "id").alias("component"))
     split = named.groupBy("tile").agg(F.min("component").alias("first"), F.max("component").alias("last"))
     split = split.filter("first != last").select("tile")
-    more = materialize(block_links(named.join(split, "tile"), arrays, limit), "links")
+    more = block_pairs(named.join(split, "tile"), bitmaps, limit).join(stars, ["a", "b"], "left_anti")
+    more = materialize(more, "possible")
     if not more.isEmpty():
-        groups = components(groups.unionByName(more))
+        links = materialize(verified_pairs(more, texts, words, limit), "links")
+        groups = components(groups.unionByName(links))
     of_class = classes.join(groups, F.col("id") == F.col("a"), "left").select(
         *alike, F.coalesce("b", "id").alias("component_id")
     )

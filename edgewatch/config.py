@@ -11,8 +11,9 @@ class ScorerConfig:
 
     counts   "exact" keeps one counter per entity, "sketch" a fixed number of Count-Min cells.
     decay    "floor" rounds decayed counters down to whole numbers, "none" keeps them real.
-    order    "event_time" scores by (timestamp, event_id); "arrival" by event_id alone, so an event
-             whose timestamp lies in an earlier tick is late and counts towards the newest tick.
+    order    "event_time" scores by (timestamp, event_id); "arrival" by the column ``arrival`` alone, so
+             an event whose timestamp lies in an earlier tick is late and counts towards the newest tick.
+    arrival  the column that orders arrivals; its values are unique and can be compared.
     hash_fn  hash of the sketch rows, "xxhash64" or "md5".
     """
 
@@ -27,6 +28,7 @@ class ScorerConfig:
     counts: str = "exact"
     decay: str = "floor"
     order: str = "event_time"
+    arrival: str = "event_id"
     hash_fn: str = "xxhash64"
 
     def __post_init__(self) -> None:

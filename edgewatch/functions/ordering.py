@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgewatch.functions.scalar import named
-from edgewatch.functions.sizing import held, is_small, join_measured, join_sized, settle
+from edgewatch.functions.sizing import join_sized
+from edgewatch.session import materialize
 
 POSITION_BLOCK = 4096
 ROWS_PER_SLICE = 100_000
-MAX_SLICES = 16_384
-ONE_PASS = 1_000_000
+SLICES = 1_024
 SAMPLED_PER_SLICE = 500
 
 
@@ -45,8 +45,8 @@ def with_scan_order(df: DataFrame, parquet: bool = False) -> DataFrame:
 def with_row_index(scan: DataFrame, parquet: bool = False) -> DataFrame:
     """Add ``row_idx``, the 0-based position of each row over all files in path order.
 
-    Rows are counted per split and the counts summed over the list of splits, so rows are numbered
-    inside their own split only; a split is bounded by ``spark.sql.files.maxPartitionBytes``.
+    Rows are counted per split and the counts summed over the list of splits. A split's rows follow one
+    another in the scan, so its first number gives the others their place without a shuffle.
     """
     ordered = with_scan_order(scan, parquet)
     split = ["_file", "_block"]
@@ -54,18 +54,14 @@ def with_row_index(scan: DataFrame, parquet: bool = False) -> DataFrame:
     before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ordered.groupBy(*split)
-        .agg(rows.alias("_rows"))
-        .select(*split, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .agg(rows.alias("_rows"), (F.lit(0) if parquet else F.min("_seq")).cast("bigint").alias("_first"))
+        .select(*split, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    if parquet:
-        local = F.col("_seq")
-    else:
-        local = F.row_number().over(Window.partitionBy(*split).orderBy("_seq")) - 1
-    numbered = ordered.withColumn("_local", local)
+    splits = len(scan.inputFiles()) + scan.rdd.getNumPartitions()
     return (
-        join_measured(numbered, offsets, split)
-        .withColumn("row_idx", (F.col("_offset") + F.col("_local")).cast("bigint"))
-        .drop("_offset", "_local", "_seq", *split)
+        join_sized(ordered, offsets, split, splits)
+        .withColumn("row_idx", (F.col("_offset") + F.col("_seq") - F.col("_first")).cast("bigint"))
+        .drop("_offset", "_first", "_seq", *split)
     )
 
 
@@ -94,16 +90,35 @@ def with_prefix_sums(df: DataFrame, position: str, columns: list[str]) -> DataFr
     return out.drop("_block", *[f"_in_{c}" for c in columns], *[f"_off_{c}" for c in columns])
 
 
-def dense_ranks(df: DataFrame, position: str, bound: int) -> DataFrame:
-    """``(position, _rank)`` for the distinct positions of ``df``, of which there are ``<= bound``."""
-    distinct = df.select(position).distinct()
-    if bound <= 100_000:
-        return distinct.withColumn("_rank", F.row_number().over(Window.orderBy(position)).cast("bigint"))
-    ones = distinct.withColumn("_one", F.lit(1).cast("bigint"))
+def dense_ranks(df: DataFrame, position: str) -> DataFrame:
+    """``(position, _rank)`` for the distinct positions of ``df``."""
+    ones = df.select(position).distinct().withColumn("_one", F.lit(1).cast("bigint"))
     ranked = with_prefix_sums(ones, position, ["_one"])
     return ranked.select(position, (F.col("_one_before") + 1).cast("bigint").alias("_rank"))
 
 
+def with_running_sums(values: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Add ``<c>_upto``, the sum of ``c`` over the rows of the same keys up to the own ``value``.
+
+    ``values`` has one row per keys and value. It is sorted by range partitioning, summed inside the
+    partitions and then over the list of partitions, so the values of one key may fill many tasks.
+    """
+    ordered = values.repartitionByRange(*keys, "value").withColumn("_part", F.spark_partition_id())
+    ordered = materialize(ordered, "sorted")
+    part = ["_part", *keys]
+    up_to = Window.partitionBy(*part).orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ordered.groupBy(*part).agg(*[F.sum(c).alias(c) for c in columns])
+    offsets = totals.select(
+        *part, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_off_{c}") for c in columns]
+    )
+    out = ordered.withColumns({f"_in_{c}": F.sum(c).over(up_to) for c in columns}).join(offsets, part)
+    out = out.withColumns({f"{c}_upto": F.col(f"_in_{c}") + F.col(f"_off_{c}") for c in columns})
+    return out.drop("_part", *[f"_in_{c}" for c in columns], *[f"_off_{c}" for c in columns])
+
+
 # --- slices of a value range ---------------------------------------------------------------------
 
 
@@ -139,11 +154,11 @@ def slices_for(
 ) -> Slices:
     """Cut points that split every column into slices of about ``rows_per_slice`` rows.
 
-    Cuts are quantiles of a sample, found by a bounded sketch per column. They need not be exact,
-    because every use counts the rows per slice; as in a range partitioner they decide the balance
-    and nothing else.
+    There are at most ``SLICES`` of them; what is inside a slice may fill many tasks. Cuts are quantiles
+    of a sample, found by a bounded sketch per column. They need not be exact, because every use counts
+    the rows per slice; as in a range partitioner they decide the balance and nothing else.
     """
-    parts = min(MAX_SLICES, -(-rows // rows_per_slice))
+    parts = min(SLICES, -(-rows // rows_per_slice))
     if parts <= 1:
         return Slices({})
     probabilities = [i / parts for i in range(1, parts)]
@@ -185,52 +200,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles as ``([by,] feature, n, low, high, q0, q1, ...)``.
 
-    For few numbers (``ONE_PASS``, or four times that in groups) the built-in ``percentile`` does it
-    in one pass. Beyond, a group may not fit one task: rows are counted per slice of the value range, the counts say which slice
-    holds each wanted rank, and only the values of those slices are shuffled and ranked.
+    Rows are counted per slice of the value range, the counts say which slice holds each wanted rank,
+    and only the values of those slices are shuffled and ranked. ``df`` is read three times, so it
+    should be a stored table.
     """
     rows = df.count() if rows is None else rows
-    if rows * len(columns) <= (4 * ONE_PASS if by else ONE_PASS) and rows <= 10 * rows_per_slice:
-        return _quantiles_one_pass(df, columns, probabilities, by)
-    if not is_small(rows):
-        return _quantiles_by_slice(df, columns, probabilities, by, rows, rows_per_slice)
-    narrow = df if df.storageLevel.useMemory else df.select(*([by] if by else []), *map(named, columns))
-    with held(narrow, rows) as kept:
-        found = _quantiles_by_slice(kept, columns, probabilities, by, rows, rows_per_slice)
-        return settle(found)[0]
-
-
-def _quantiles_one_pass(
-    df: DataFrame, columns: list[str], probabilities: list[float], by: str | None
-) -> DataFrame:
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    aggregates = []
-    for i, c in enumerate(columns):
-        value = F.nanvl(named(c).cast("double"), F.lit(None))
-        aggregates.append(
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.count(value).alias("n"),
-                F.min(value).alias("low"),
-                F.max(value).alias("high"),
-                F.percentile(value, wanted).alias("q"),
-            ).alias(f"_f{i}")
-        )
-    keys = [by] if by else []
-    wide = df.groupBy(*keys).agg(*aggregates)
-    out = wide.select(*keys, F.inline(F.array(*[f"_f{i}" for i in range(len(columns))])))
-    quantiles = [F.col("q")[i].alias(f"q{i}") for i in range(len(probabilities))]
-    return out.filter("n > 0").select(*keys, "feature", "n", "low", "high", *quantiles)
-
-
-def _quantiles_by_slice(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: list[float],
-    by: str | None,
-    rows: int,
-    rows_per_slice: int,
-) -> DataFrame:
     keys = ([by] if by else []) + ["feature"]
     slices = slices_for(df, columns, rows, rows_per_slice)
     cells = long_form(df, columns, slices, *([F.col(by)] if by else []))
@@ -262,21 +236,16 @@ def _quantiles_by_slice(
             *keys, "slice", "n", "low", "high", "which", (F.col("rank") - F.col("_before")).alias("_at")
         )
     )
-    targets, small = settle(targets)
+    # a few rows per group and column: stored, so that their size is known when they are joined
+    targets = materialize(targets, "targets")
     wanted = targets.select(*keys, "slice").distinct()
-    hint = F.broadcast if small else (lambda frame: frame)
     values = (
-        cells.join(hint(wanted), [*keys, "slice"])
+        cells.join(wanted, [*keys, "slice"])
         .groupBy(*keys, "slice", "value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    up_to = Window.partitionBy(*keys, "slice").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = values.withColumn("_upto", F.sum("_n").over(up_to))
-    picked = ranked.join(hint(targets), [*keys, "slice"]).filter(
-        "_at < _upto AND _at >= _upto - _n"
-    )
+    ranked = with_running_sums(values, [*keys, "slice"], ["_n"])
+    picked = ranked.join(targets, [*keys, "slice"]).filter("_at < _n_upto AND _at >= _n_upto - _n")
     ends = [
         F.max(F.when(F.col("which") == w, F.col("value"))).alias(f"_v{w}")
         for w in range(2 * len(probabilities))
@@ -306,7 +275,7 @@ def smallest_per_group(df: DataFrame, group: str, key: Column, n: int, *tie_brea
         .groupBy(group)
         .agg(F.max("_range").alias("_cut"), F.max("_before").alias("_full"))
     )
-    marked = join_measured(hashed, cut, [group]).filter(F.col("_range") <= F.col("_cut"))
+    marked = hashed.join(cut, group).filter(F.col("_range") <= F.col("_cut"))
     within = Window.partitionBy(group, "_range").orderBy("_hash", *tie_break)
     return (
         marked.withColumn("_place", F.row_number().over(within))
@@ -319,12 +288,12 @@ __all__ = [
     "Slices",
     "dense_ranks",
     "exact_quantiles",
-    "join_measured",
     "join_sized",
     "long_form",
     "slices_for",
     "smallest_per_group",
     "with_prefix_sums",
     "with_row_index",
+    "with_running_sums",
     "with_scan_order",
 ]

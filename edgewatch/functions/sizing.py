@@ -1,17 +1,11 @@
-"""Joins whose small side is measured before it is broadcast."""
+"""Joins whose small side has a known bound."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
-SMALL_ROWS = 20_000_000
-ROWS_PER_TASK = 20_000
 
 
 def join_sized(
@@ -29,54 +23,3 @@ def join_sized(
     if row_bound <= limit:
         other = F.broadcast(other)
     return df.join(other, on, how)
-
-
-def settle(df: DataFrame, limit: int = 50_000) -> tuple[DataFrame, bool]:
-    """``df`` as a local table if it has at most ``limit`` rows, and whether it has.
-
-    No more than ``limit + 1`` rows are fetched; a larger frame comes back as it was.
-    """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df, False
-    return df.sparkSession.createDataFrame(rows, df.schema), True
-
-
-def join_measured(
-    df: DataFrame,
-    other: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    limit: int = 50_000,
-) -> DataFrame:
-    """Join with ``other``, an aggregate of unknown size that is usually tiny.
-
-    If it is, it is computed once and broadcast; otherwise the two sides are joined by shuffle.
-    """
-    other, small = settle(other, limit)
-    return df.join(F.broadcast(other) if small else other, on, how)
-
-
-def is_small(rows: int) -> bool:
-    return rows <= SMALL_ROWS
-
-
-@contextmanager
-def held(df: DataFrame, rows: int) -> Iterator[DataFrame]:
-    """A small table kept in memory, dealt out over the cores, while it is read several times.
-
-    A file with a single row group is read by one task, and so would be all work up to the first
-    shuffle of every pass. Larger tables have enough splits and are read again instead. Results of a
-    held table must be settled before it is let go.
-    """
-    if not is_small(rows) or df.storageLevel != StorageLevel.NONE:
-        yield df
-        return
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = min(cores, rows // ROWS_PER_TASK + 1)
-    kept = df.repartition(tasks) if 0 < len(df.inputFiles()) < tasks else df
-    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()

@@ -8,21 +8,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgewatch.functions.ordering import (
-    MAX_SLICES,
     ROWS_PER_SLICE,
+    Slices,
     exact_quantiles,
     long_form,
-    slices_for,
+    with_running_sums,
 )
 from edgewatch.functions.scalar import named
-from edgewatch.functions.sizing import held, is_small, join_sized, settle
+from edgewatch.functions.sizing import join_sized
 from edgewatch.operators.clean import column_medians, fill_medians
 from edgewatch.schemas import BENIGN, PROFILE_FEATURES
+from edgewatch.session import materialize
 
 CLASS = "attack_type"
 BINS = 5
 MIN_ROWS_IMPORTANCE = 10
 TOP_IMPORTANCE = 10
+#: Texts of the attribute table.
+IN_DISTRIBUTION = " in anomaly distribution"
+NO_FEATURES = "No discriminative features"
+NO_RANGE = "N/A"
 
 
 def profile_features(flows: DataFrame, features: list[str] | None = None) -> list[str]:
@@ -31,18 +36,9 @@ def profile_features(flows: DataFrame, features: list[str] | None = None) -> lis
     return [f for f in wanted if f in flows.columns]
 
 
-def _narrow(flows: DataFrame, features: list[str]) -> DataFrame:
-    return flows.select(CLASS, *[named(f).cast("double").alias(f) for f in features])
-
-
-def _over_held(flows: DataFrame, features: list[str], rows: int, analyse) -> DataFrame:
-    """``analyse`` a column-pruned table that is read several times; its result has few rows."""
-    if not is_small(rows):
-        return analyse(_narrow(flows, features))
-    if flows.storageLevel.useMemory:
-        return analyse(flows)
-    with held(_narrow(flows, features), rows) as kept:
-        return settle(analyse(kept))[0]
+def stored_features(flows: DataFrame, features: list[str]) -> DataFrame:
+    """Class and features as numbers, written once: the analyses read them several times."""
+    return materialize(flows.select(CLASS, *[named(f).cast("double").alias(f) for f in features]), "features")
 
 
 def position_of(feature: Column, features: list[str]) -> Column:
@@ -50,60 +46,36 @@ def position_of(feature: Column, features: list[str]) -> Column:
     return F.array_position(F.array(*[F.lit(f) for f in features]), feature)
 
 
-def cliffs_delta(
-    flows: DataFrame,
-    features: list[str] | None = None,
-    rows: int | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def cliffs_delta(flows: DataFrame, features: list[str] | None = None) -> DataFrame:
     """``attack_type, feature, cliff_delta``: P(benign > attack) - P(benign < attack).
 
     Comparing all pairs is quadratic. Equal values are counted first, and an attack value ``v`` then
     beats or loses to as many benign rows as lie below or above it, which a running count over the
-    sorted values gives. The sort is split into slices of the value range.
+    sorted values gives. The sort is a range partitioning.
     """
     features = profile_features(flows, features)
-    rows = flows.count() if rows is None else rows
-    return _over_held(
-        flows, features, rows, lambda held: _cliffs_delta(held, features, rows, rows_per_slice)
-    )
-
-
-def _cliffs_delta(
-    flows: DataFrame, features: list[str], rows: int, rows_per_slice: int
-) -> DataFrame:
-    slices = slices_for(flows, features, rows, rows_per_slice)
     counted = (
-        long_form(flows, features, slices, F.col(CLASS))
-        .groupBy("feature", "slice", "value", CLASS)
+        long_form(flows, features, Slices({}), F.col(CLASS))
+        .groupBy("feature", "value", CLASS)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("b", F.when(F.col(CLASS) == BENIGN, F.col("n")).otherwise(0))
     )
-    ordered = Window.partitionBy("feature", "slice").orderBy("value")
-    up_to = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    same = Window.partitionBy("feature", "slice", "value")
-    ranked = counted.withColumns({"upto": F.sum("b").over(up_to), "same": F.sum("b").over(same)})
-    attacks = ranked.filter(F.col(CLASS) != BENIGN)
-
-    per_slice = counted.groupBy("feature", "slice").agg(F.sum("b").alias("b"))
-    whole = Window.partitionBy("feature")
-    earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
-        "feature",
-        "slice",
-        F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("before"),
-        F.sum("b").over(whole).alias("benign"),
+    attack = F.when(F.col(CLASS) != BENIGN, F.struct(CLASS, "n"))
+    # one entry per class and value
+    values = counted.groupBy("feature", "value").agg(
+        F.sum(F.when(F.col(CLASS) == BENIGN, F.col("n")).otherwise(0)).alias("b"),
+        F.collect_list(attack).alias("attacks"),
+    )
+    ranked = with_running_sums(values, ["feature"], ["b"])
+    whole = ranked.groupBy("feature").agg(F.sum("b").alias("benign")).filter("benign > 0")
+    placed = join_sized(
+        ranked.select("feature", "b", "b_upto", F.inline("attacks")), whole, ["feature"], len(features)
     )
-    parts = min(MAX_SLICES, -(-rows // rows_per_slice)) + 1
-    placed = join_sized(attacks, offsets, ["feature", "slice"], len(features) * parts)
     benign = F.col("benign").cast("double")
-    below = (F.col("before") + F.col("upto") - F.col("same")).cast("double")
-    above = benign - F.col("before") - F.col("upto")
+    below = (F.col("b_upto") - F.col("b")).cast("double")
+    above = benign - F.col("b_upto")
     n = F.col("n").cast("double")
-    return (
-        placed.filter("benign > 0")
-        .groupBy(CLASS, "feature")
-        .agg((F.sum(n * (above - below)) / F.max(benign) / F.sum(n)).alias("cliff_delta"))
+    return placed.groupBy(CLASS, "feature").agg(
+        (F.sum(n * (above - below)) / F.max(benign) / F.sum(n)).alias("cliff_delta")
     )
 
 
@@ -115,15 +87,8 @@ def feature_statistics(
 ) -> DataFrame:
     """Medians, interquartile ranges, Cliff's delta and discrimination per attack class and feature."""
     features = profile_features(flows, features)
+    flows = stored_features(flows, features)
     rows = flows.count() if rows is None else rows
-    return _over_held(
-        flows, features, rows, lambda held: _feature_statistics(held, features, rows, rows_per_slice)
-    )
-
-
-def _feature_statistics(
-    flows: DataFrame, features: list[str], rows: int, rows_per_slice: int
-) -> DataFrame:
     quartiles = exact_quantiles(flows, features, [0.25, 0.5, 0.75], CLASS, rows, rows_per_slice)
     sides = quartiles.select(
         CLASS,
@@ -147,7 +112,7 @@ def _feature_statistics(
     )
     # one row per feature on the small side
     paired = join_sized(attack, benign, ["feature"], len(features))
-    deltas = cliffs_delta(flows, features, rows, rows_per_slice)
+    deltas = cliffs_delta(flows, features)
     widest = F.greatest("benign_range", "attack_range")
     apart = F.abs(F.col("attack_median") - F.col("benign_median"))
     return paired.join(deltas, [CLASS, "feature"]).select(
@@ -200,19 +165,17 @@ def feature_importance(
     features: list[str] | None = None,
     rows: int | None = None,
     top: int = TOP_IMPORTANCE,
+    min_rows: int = MIN_ROWS_IMPORTANCE,
 ) -> DataFrame:
     """``attack_type, rank, feature, importance``: mutual information of binned feature and class.
 
+    Classes of fewer than ``min_rows`` rows are left out; ``class_counts`` shows them.
+
     Bins do not depend on the class, so all classes come from one count per feature, bin and class.
     """
     features = profile_features(flows, features)
+    flows = stored_features(flows, features)
     rows = flows.count() if rows is None else rows
-    return _over_held(
-        flows, features, rows, lambda held: _feature_importance(held, features, rows, top)
-    )
-
-
-def _feature_importance(flows: DataFrame, features: list[str], rows: int, top: int) -> DataFrame:
     medians, edges = medians_and_bins(flows, features, rows)
     features = [f for f in features if f in medians]
     filled = fill_medians(flows, medians)
@@ -230,7 +193,7 @@ def _feature_importance(flows: DataFrame, features: list[str], rows: int, top: i
         counts.filter(F.col(CLASS) != BENIGN)
         .groupBy("feature", CLASS)
         .agg(F.sum("n").alias("in_class"))
-        .filter(F.col("in_class") >= MIN_ROWS_IMPORTANCE)
+        .filter(F.col("in_class") >= min_rows)
     )
     joint = (
         per_bin.join(per_class, "feature")
@@ -270,12 +233,8 @@ def correlation_matrix(
     A constant feature has no correlation (null), also not with itself.
     """
     features = profile_features(flows, features)
+    flows = stored_features(flows, features)
     rows = flows.count() if rows is None else rows
-    with held(_narrow(flows, features), rows) as kept:
-        return _correlation_matrix(kept, features, rows)
-
-
-def _correlation_matrix(flows: DataFrame, features: list[str], rows: int) -> DataFrame:
     medians = column_medians(flows, features, rows=rows)
     features = [f for f in features if f in medians]
     filled = fill_medians(flows, medians)
@@ -302,7 +261,7 @@ def suggested_rule(feature: Column, attack_median: Column, benign_median: Column
     return (
         F.when(attack_median > high, F.format_string("%s > %.2f", feature, high))
         .when(attack_median < low, F.format_string("%s < %.2f", feature, low))
-        .otherwise(F.concat(feature, F.lit(" in anomaly distribution")))
+        .otherwise(F.concat(feature, F.lit(IN_DISTRIBUTION)))
     )
 
 
@@ -353,13 +312,13 @@ def attribute_table(
     out = [
         F.col(CLASS),
         F.coalesce("key_features", F.lit("")).alias("key_features"),
-        F.when(missing, "N/A")
+        F.when(missing, NO_RANGE)
         .otherwise(span("%.0f±%.0f", "benign_median", "benign_iqr"))
         .alias("benign_range"),
-        F.when(missing, "N/A")
+        F.when(missing, NO_RANGE)
         .otherwise(span("%.0f±%.0f", "attack_median", "attack_iqr"))
         .alias("attack_range"),
-        F.when(missing, "No discriminative features").otherwise(rule).alias("suggested_rule"),
+        F.when(missing, NO_FEATURES).otherwise(rule).alias("suggested_rule"),
         F.col("support_percent"),
     ]
     if tree_metrics is not None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from edgewatch.functions.ordering import exact_quantiles
 from edgewatch.functions.scalar import finite, named
 from edgewatch.schemas import BENIGN, LABEL_CLASSES, NUMERIC_FEATURES, TIMESTAMP_FORMATS
+from edgewatch.session import materialize
 
 
 def trim_column_names(df: DataFrame) -> DataFrame:
@@ -100,7 +101,8 @@ def impute_medians(df: DataFrame, columns: list[str] | None = None, exact: bool
     columns = numeric_columns(df) if columns is None else columns
     if not columns:
         return df
-    numbers = coerce_numbers(df, columns)
+    # written once: parsing and coercion are not repeated by the passes of the quantiles
+    numbers = materialize(coerce_numbers(df, columns), "numbers")
     return fill_medians(numbers, column_medians(numbers, columns, exact))
 
 

@@ -21,16 +21,14 @@ from pyspark.sql import functions as F
 
 from edgewatch.config import ScorerConfig
 from edgewatch.functions.ordering import dense_ranks
-from edgewatch.functions.scalar import bucket_of, chi_squared_sql, named, tick_of
-from edgewatch.functions.sizing import join_measured, join_sized, settle
+from edgewatch.functions.scalar import chi_squared_sql, named, tick_of
+from edgewatch.functions.sizing import join_sized
 from edgewatch.operators.decay_fold import fold_counts
 from edgewatch.operators.sketch import cell_ids
-from edgewatch.session import materialize
+from edgewatch.session import materialize, release
 
 SLICE_ROWS = 1_000_000
-MAX_CUTS = 100_000
-MAX_CUTS_PER_TICK = 20_000
-ARRIVAL_BLOCK = 1 << 20
+TICK_BLOCK = 4096
 
 KINDS = ("edge", "src", "dst")
 #: The columns of a scored event, in order.
@@ -71,26 +69,22 @@ class StreamProfile:
     first: int
     low: int
     high: int
-    low_id: int
-    high_id: int
 
 
 def profile_events(events: DataFrame, cfg: ScorerConfig) -> StreamProfile:
     """Row count and extents; ``first`` is the timestamp of the first event in stream order."""
-    first = F.min("timestamp") if cfg.order == "event_time" else F.min_by("timestamp", "event_id")
+    first = F.min("timestamp") if cfg.order == "event_time" else F.min_by("timestamp", cfg.arrival)
     row = events.agg(
         F.count(F.lit(1)).alias("rows"),
         first.alias("first"),
         F.min("timestamp").alias("low"),
         F.max("timestamp").alias("high"),
-        F.min("event_id").alias("low_id"),
-        F.max("event_id").alias("high_id"),
     ).first()
     return StreamProfile(**{k: (0 if v is None else int(v)) for k, v in row.asDict().items()})
 
 
 def stream_order(cfg: ScorerConfig) -> list[str]:
-    return ["timestamp", "event_id"] if cfg.order == "event_time" else ["event_id"]
+    return ["timestamp", "event_id"] if cfg.order == "event_time" else [cfg.arrival]
 
 
 def assign_ticks(
@@ -104,80 +98,87 @@ def assign_ticks(
     newest = F.greatest(F.col("tick"), F.lit(clock.max_tick))
     if cfg.order == "event_time":
         return ticked.withColumn("_at", newest.cast("bigint"))
-    # running maximum in arrival order: inside blocks of ids, and over the blocks before
-    block = bucket_of(F.col("event_id"), profile.low_id, ARRIVAL_BLOCK)
-    ticked = ticked.withColumn("_block", block)
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = ticked.groupBy("_block").agg(F.max("tick").alias("_top"))
-    blocks = blocks.select(
-        "_block", F.coalesce(F.max("_top").over(earlier), F.lit(0)).alias("_before")
-    )
-    within = (
-        Window.partitionBy("_block")
-        .orderBy("event_id")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _with_newest_tick(ticked, cfg, profile, clock)
+
+
+def _with_newest_tick(
+    ticked: DataFrame, cfg: ScorerConfig, profile: StreamProfile, clock: Clock
+) -> DataFrame:
+    """Arrival order: ``_at`` is the running maximum of the ticks.
+
+    An event is late if the first event of a later tick came before it, which the first arrivals of the
+    ticks tell. Only late events are put in order, by range partitioning, together with the first event
+    of each tick that was the newest when it came.
+    """
+    firsts = ticked.groupBy("tick").agg(F.min(cfg.arrival).alias("_first"))
+    firsts = firsts.withColumn("_block", F.floor(F.col("tick") / TICK_BLOCK))
+    later = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_block").orderBy(F.desc("tick")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = firsts.groupBy("_block").agg(F.min("_first").alias("_low"))
+    blocks = blocks.select("_block", F.min("_low").over(later).alias("_beyond"))
+    overtaken = F.least(F.min("_first").over(inside), F.col("_beyond"))
+    ticks = firsts.join(blocks, "_block").select("tick", "_first", overtaken.alias("_overtaken"))
+    ticks = materialize(ticks, "ticks")
+    bound = (profile.high - profile.low) // cfg.tick_seconds + 2
+    joined = join_sized(ticked, ticks.select("tick", "_overtaken"), ["tick"], bound)
+    is_late = F.coalesce(F.col(cfg.arrival) > F.col("_overtaken"), F.lit(False))
+    open_tick = F.lit(clock.max_tick)
+    punctual = joined.filter(~is_late).withColumn("_at", F.greatest("tick", open_tick).cast("bigint"))
+
+    newest = ticks.filter(F.col("_overtaken").isNull() | (F.col("_first") < F.col("_overtaken")))
+    marks = newest.select(F.col("_first").alias(cfg.arrival), F.col("tick").alias("_top"))
+    late = joined.filter(is_late).unionByName(marks, allowMissingColumns=True)
+    late = late.repartitionByRange(cfg.arrival).withColumn("_part", F.spark_partition_id())
+    late = materialize(late, "late")
+    upto = Window.partitionBy("_part").orderBy(cfg.arrival).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    bound = (profile.high_id - profile.low_id) // ARRIVAL_BLOCK + 1
-    running = ticked.withColumn("_top", F.max("tick").over(within))
-    joined = join_sized(running, blocks, ["_block"], bound)
-    at = F.greatest(F.col("_top"), F.col("_before"), F.lit(clock.max_tick))
-    return joined.withColumn("_at", at.cast("bigint")).drop("_block", "_top", "_before")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    tops = late.groupBy("_part").agg(F.max("_top").alias("_top"))
+    tops = tops.select("_part", F.max("_top").over(earlier).alias("_before"))
+    running = F.greatest(F.max("_top").over(upto), F.col("_before"), F.col("tick"), open_tick)
+    # one row per range partition
+    late = late.join(F.broadcast(tops), "_part").withColumn("_at", running.cast("bigint"))
+    columns = [*ticked.columns, "_at"]
+    return punctual.select(columns).unionByName(late.filter("_top IS NULL").select(columns))
 
 
 def with_slices(events: DataFrame, cfg: ScorerConfig, profile: StreamProfile) -> DataFrame:
-    """Add ``_slice``: ticks with many events are cut into consecutive runs of stream order.
+    """Add ``_slice``: ticks with more than ``SLICE_ROWS`` events are cut into runs of stream order.
 
-    The cuts are quantiles of a number that grows with stream order, so any two events in order fall
-    into the same or into consecutive slices. There are at most ``rows / SLICE_ROWS`` of them and
-    never more than about ``MAX_CUTS``.
+    The events of such ticks are sorted by range partitioning and numbered inside their tick: by place
+    in the partition, after the partitions before. The slice is the number over ``SLICE_ROWS``.
     """
-    per_slice = max(SLICE_ROWS, profile.rows // MAX_CUTS)
-    if profile.rows <= per_slice:
+    if profile.rows <= SLICE_ROWS:  # then no tick has more
         return events.withColumn("_slice", F.lit(0))
-    span = float(profile.high_id - profile.low_id + 1)
-    place = (F.col("event_id") - profile.low_id).cast("double") / F.lit(span)
-    if cfg.order == "event_time":
-        place = (F.col("timestamp") - profile.low).cast("double") + place
-    events = events.withColumn("_place", place)
-    busy = (
-        events.groupBy("_at").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > per_slice)
-    )
-    busy, _ = settle(busy)
-    most = busy.agg(F.max("_rows")).first()[0]
-    if most is None:
-        return events.withColumn("_slice", F.lit(0)).drop("_place")
-    points = min(MAX_CUTS_PER_TICK, -(-most // per_slice))
-    grid = [i / points for i in range(1, points)]
-    hot = join_measured(events.select("_at", "_place"), busy, ["_at"])
-    steps = F.ceil(F.max("_rows") / F.lit(per_slice)).cast("int")
-    spread = hot.groupBy("_at").agg(
-        F.percentile_approx("_place", grid, max(10_000, 10 * points)).alias("_grid"),
-        F.least(steps, F.lit(points)).alias("_steps"),
-    )
-    picked = F.transform(
-        F.sequence(F.lit(1), F.col("_steps") - 1),
-        lambda i: F.element_at(
-            "_grid", F.greatest(F.lit(1), (i * points / F.col("_steps")).cast("int"))
-        ),
-    )
-    cuts = spread.select("_at", picked.alias("_cuts"))
-    sliced = join_measured(events, cuts, ["_at"], how="left")
-    inside = F.size(F.filter("_cuts", lambda c: c < F.col("_place")))
-    return sliced.withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(inside)).drop(
-        "_place", "_cuts"
-    )
+    busy = events.groupBy("_at").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > SLICE_ROWS)
+    busy = materialize(busy.select("_at"), "busy-ticks")
+    if busy.isEmpty():
+        return events.withColumn("_slice", F.lit(0))
+    order = ["_at", *stream_order(cfg)]
+    hot = events.join(busy, "_at").repartitionByRange(*order).sortWithinPartitions(*order)
+    hot = hot.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    hot = materialize(hot, "busy")
+    part = ["_at", "_part"]
+    earlier = Window.partitionBy("_at").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = hot.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_low"))
+    parts = parts.select(*part, "_low", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("_row") - F.col("_low")
+    hot = hot.join(parts, part).withColumn("_slice", F.floor(number / SLICE_ROWS).cast("int"))
+    quiet = events.join(busy, "_at", "left_anti").withColumn("_slice", F.lit(0))
+    return quiet.unionByName(hot.select(*quiet.columns))
 
 
 def _ranked(counts: DataFrame, ranks: DataFrame, bound: int) -> DataFrame:
     return join_sized(counts, ranks, ["_at"], bound)
 
 
-def _tick_ranks(counts: DataFrame, clock: Clock, bound: int) -> DataFrame:
+def _tick_ranks(counts: DataFrame, clock: Clock) -> DataFrame:
     """Rank of every observed tick. A tick already open keeps the rank it has."""
     # the (always true) test on the sums keeps this on the shuffled counts instead of a new scan
     seen = counts.groupBy("_at").agg(F.sum(F.col("n_cur") + F.col("n_tot")).alias("n"))
     seen = seen.filter((F.col("n") > 0) & (F.col("_at") > clock.max_tick)).select("_at")
-    fresh = dense_ranks(seen, "_at", bound)
+    fresh = dense_ranks(seen, "_at")
     ranks = fresh.select("_at", (F.col("_rank") + clock.max_rank).cast("bigint").alias("_rank"))
     if clock.max_rank == 0:
         return ranks
@@ -188,15 +189,30 @@ def _tick_ranks(counts: DataFrame, clock: Clock, bound: int) -> DataFrame:
     return ranks.unionByName(open_tick)
 
 
+def _earlier(at: int, number: int) -> Column:
+    """Before a slice of a tick, in stream order."""
+    return (F.col("_at") < at) | (F.col("_at") == at) & (F.col("_slice") < number)
+
+
+COUNTER_KEYS = ["kind", "key1", "key2", "cell"]
+
+
 @dataclass(frozen=True)
 class Scoring:
-    """A scored set of events and the counters it leaves behind."""
+    """A scored set of events and the counters it leaves behind.
+
+    ``earlier`` are counters of entities that were settled before the events of ``folds``.
+    """
 
     scored: DataFrame
     folds: dict[str, tuple[list[str], DataFrame]]
+    earlier: DataFrame | None = None
+
+    def counters(self, until: tuple[int, int] | None = None) -> DataFrame:
+        """``(kind, key1, key2, cell, rank, current, total)`` after the last event of each entity.
 
-    def counters(self) -> DataFrame:
-        """``(kind, key1, key2, cell, rank, current, total)`` after the last event of each entity."""
+        ``until`` takes only the events before that tick and slice.
+        """
         parts = []
         for kind, (keys, fold) in self.folds.items():
             after = F.struct(
@@ -204,6 +220,8 @@ class Scoring:
                 (F.col("cur0") + F.col("n_cur")).alias("current"),
                 (F.col("tot0") + F.col("n_tot")).alias("total"),
             )
+            if until is not None:
+                fold = fold.filter(_earlier(*until))
             last = fold.groupBy(*keys).agg(
                 F.max_by(after, F.struct("_rank", "_slice")).alias("s")
             )
@@ -222,7 +240,12 @@ class Scoring:
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)
-        return out
+        if self.earlier is None:
+            return out
+        # an entity's own events come after what was settled
+        both = out.withColumn("_new", F.lit(1)).unionByName(self.earlier.withColumn("_new", F.lit(0)))
+        newest = F.max_by(F.struct("rank", "current", "total"), "_new").alias("s")
+        return both.groupBy(*COUNTER_KEYS).agg(newest).select(*COUNTER_KEYS, "s.*")
 
 
 def _with_state(counts: DataFrame, keys: list[str], kind: str, state: DataFrame | None) -> DataFrame:
@@ -309,7 +332,7 @@ def _score_exact(
     edges = events.groupBy("src", "dst", "_at", "_slice").agg(
         F.count(F.lit(1)).alias("n_cur"), F.count_if("_keep").alias("n_tot")
     )
-    ranks = _tick_ranks(edges, clock, bound)
+    ranks = _tick_ranks(edges, clock)
     floor = cfg.decay == "floor"
     folds = {}
     for kind, keys in (("edge", ["src", "dst"]), ("src", ["src"]), ("dst", ["dst"])):
@@ -330,7 +353,7 @@ def _score_sketch(
     edges = events.groupBy("src", "dst", "_at", "_slice").agg(
         F.count(F.lit(1)).alias("n_cur"), F.count_if("_keep").alias("n_tot")
     )
-    ranks = _tick_ranks(edges, clock, bound)
+    ranks = _tick_ranks(edges, clock)
     cells = F.explode(_event_cells(cfg)).alias("_cell")
     # hashed once per edge and tick, then summed into at most 3 * depth * width cells per tick
     counts = _sums(edges.select("_at", "_slice", "n_cur", "n_tot", cells), ["_cell"])
@@ -392,27 +415,65 @@ def score_batch(
 def _filter_to_fixed_point(ticked, cfg, clock, state, bound, payload, kernel) -> Scoring:
     """Leave events that score above the cut-off out of the totals that later events see.
 
-    Which events those are depends on the scores of earlier ones only, so repeating the scoring with
-    the last pass's choice settles at least one more event per pass, in stream order, and the choice
-    that repeats itself is the sequential one. Each pass is written to the shared folder once; the
-    next pass and the comparison read it from there.
+    Which events those are depends on the scores of earlier ones only. A pass scores with the last
+    pass's choice; everything before the first (tick, slice) in which the choice changes is then final.
+    It is kept, its counters become state, and only the rest is scored again. Each pass settles at least
+    one more event, is written to the shared folder once, and replaces the one before it.
     """
     inner = ["_at", "_slice", "_keep"]
     inputs = ["src", "dst", "timestamp", "tick", "_at", "_slice", *payload]
-    current = ticked.withColumn("_keep", F.lit(True))
+    outputs = [*SCORE_COLUMNS, *payload]
+    current, last = ticked.withColumn("_keep", F.lit(True)), None
     keep = F.col("score") <= F.lit(float(cfg.filter_cutoff))
+    settled, earlier = [], None
     while True:
         result = kernel(current, cfg, clock, state, bound, [*payload, *inner])
         scored = materialize(result.scored.withColumn("_next", keep), "filter")
-        if not scored.filter(F.col("_next") != F.col("_keep")).limit(1).count():
-            return Scoring(scored.select(*SCORE_COLUMNS, *payload), result.folds)
-        current = scored.select(*[named(c) for c in inputs], F.col("_next").alias("_keep"))
+        changed = scored.filter(F.col("_next") != F.col("_keep"))
+        first = changed.agg(F.min(F.struct("_at", "_slice")).alias("f")).first().f
+        if first is None:
+            final = scored.select(*outputs)
+            for part in settled:
+                final = final.unionByName(part)
+            return Scoring(final, result.folds, earlier)
+        at, number = first
+        before, rest = scored.filter(_earlier(at, number)), scored.filter(~_earlier(at, number))
+        if not before.isEmpty():
+            settled.append(materialize(before.select(*outputs), "settled"))
+            counters = Scoring(result.scored, result.folds, earlier).counters((at, number))
+            earlier = materialize(counters, "settled-counters")
+            state = _over(state, earlier)
+            clock = _clock_after(result.folds, clock, (at, number))
+            rest = materialize(rest, "filter")
+            release(scored)
+            scored = rest
+        if last is not None:
+            release(last)
+        last = scored
+        current = rest.select(*[named(c) for c in inputs], F.col("_next").alias("_keep"))
+
+
+def _over(state: DataFrame | None, newer: DataFrame) -> DataFrame:
+    """Counters of ``newer`` in place of those of ``state``."""
+    if state is None:
+        return newer
+    both = newer.withColumn("_new", F.lit(1)).unionByName(state.select(newer.columns).withColumn("_new", F.lit(0)))
+    newest = F.max_by(F.struct("rank", "current", "total"), "_new").alias("s")
+    return both.groupBy(*COUNTER_KEYS).agg(newest).select(*COUNTER_KEYS, "s.*")
+
+
+def _clock_after(folds: dict, clock: Clock, until: tuple[int, int]) -> Clock:
+    """The clock at a (tick, slice): the newest tick with events before it, and that tick's rank."""
+    _, fold = next(iter(folds.values()))
+    ranks = fold.filter((F.col("_slice") >= 0) & _earlier(*until))
+    row = ranks.agg(F.max(F.struct("_at", "_rank")).alias("t")).first().t
+    return clock if row is None else Clock(clock.start, max(row[0], clock.max_tick), max(row[1], clock.max_rank))
 
 
 def score_edges(events: DataFrame, cfg: ScorerConfig | None = None) -> DataFrame:
     """Score ``events(src, dst, timestamp, event_id, ...)``.
 
-    ``event_id`` is a unique bigint that grows with arrival (an offset or row index); further columns
-    such as ``label`` are passed through.
+    ``event_id`` is a unique bigint; with ``order="arrival"`` events are ordered by the column that
+    ``cfg.arrival`` names. Further columns such as ``label`` are passed through.
     """
     return score_batch(events, cfg or ScorerConfig())[0].scored

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgewatch.functions.scalar import named
-from edgewatch.operators.attributes import CLASS, profile_features
+from edgewatch.operators.attributes import CLASS, profile_features, stored_features
 from edgewatch.operators.clean import column_medians, fill_medians
 from edgewatch.schemas import BENIGN
+from edgewatch.session import materialize
 
 MIN_POSITIVES = 20
 MAX_DEPTH = 3
@@ -45,14 +45,20 @@ def tree_splits(model: DecisionTreeClassificationModel, max_depth: int = RULE_DE
 
 
 def decision_trees(
-    flows: DataFrame, features: list[str] | None = None, rows: int | None = None
+    flows: DataFrame,
+    features: list[str] | None = None,
+    rows: int | None = None,
+    min_positives: int = MIN_POSITIVES,
+    max_bins: int = 32,
 ) -> Trees:
-    """Fit one tree per attack class that has at least 20 rows.
+    """Fit one tree per attack class that has at least ``min_positives`` rows.
 
-    Thresholds are chosen among binned values, so they can differ from an exhaustive search. The
-    assembled features are kept for the fits, and all trees are scored in a single pass.
+    Thresholds lie between bins of a feature's values; with at least as many ``max_bins`` as distinct
+    values they lie halfway between neighbouring values, as in an exhaustive search. The assembled
+    features are stored for the fits, and all trees are scored in a single pass.
     """
     features = profile_features(flows, features)
+    flows = stored_features(flows, features)
     medians = column_medians(flows, features, rows=rows)
     features = [f for f in features if f in medians]
     plain = [f"_c{i}" for i in range(len(features))]
@@ -60,49 +66,47 @@ def decision_trees(
         CLASS, *[named(f).cast("double").alias(p) for f, p in zip(features, plain)]
     )
     data = VectorAssembler(inputCols=plain, outputCol="features").transform(filled)
-    data = data.select(CLASS, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sizes = data.groupBy(CLASS).agg(F.count(F.lit(1)).alias("n")).collect()
-        attacks = sorted(r[CLASS] for r in sizes if r[CLASS] != BENIGN and r.n >= MIN_POSITIVES)
-        models, rules, sums = {}, [], []
-        scored = data
+    data = materialize(data.select(CLASS, "features"), "vectors")
+    sizes = data.groupBy(CLASS).agg(F.count(F.lit(1)).alias("n")).collect()
+    attacks = sorted(r[CLASS] for r in sizes if r[CLASS] != BENIGN and r.n >= min_positives)
+    models, rules, sums = {}, [], []
+    scored = data
+    for i, attack in enumerate(attacks):
+        label, predicted = f"_label_{i}", f"_predicted_{i}"
+        own = data.select("features", (F.col(CLASS) == attack).cast("double").alias(label))
+        learner = DecisionTreeClassifier(
+            featuresCol="features",
+            labelCol=label,
+            predictionCol=predicted,
+            probabilityCol=f"_probability_{i}",
+            rawPredictionCol=f"_raw_{i}",
+            maxDepth=MAX_DEPTH,
+            maxBins=max_bins,
+            minInstancesPerNode=MIN_LEAF,
+            impurity="gini",
+            seed=42,
+        )
+        model = learner.fit(own)
+        models[attack] = model
+        for position, (index, threshold) in enumerate(tree_splits(model)):
+            rules.append((attack, 2 * position, features[index], float(threshold), "<="))
+            rules.append((attack, 2 * position + 1, features[index], float(threshold), ">"))
+        scored = model.transform(scored).drop(f"_raw_{i}", f"_probability_{i}")
+        truth, guess = F.col(CLASS) == attack, F.col(predicted) == 1.0
+        sums += [
+            F.count_if(truth & guess).alias(f"tp_{i}"),
+            F.count_if(guess).alias(f"p_{i}"),
+            F.count_if(truth).alias(f"t_{i}"),
+            F.count_if(truth == guess).alias(f"ok_{i}"),
+        ]
+    metrics = []
+    if attacks:
+        row = scored.agg(F.count(F.lit(1)).alias("n"), *sums).first()
         for i, attack in enumerate(attacks):
-            label, predicted = f"_label_{i}", f"_predicted_{i}"
-            own = data.select("features", (F.col(CLASS) == attack).cast("double").alias(label))
-            learner = DecisionTreeClassifier(
-                featuresCol="features",
-                labelCol=label,
-                predictionCol=predicted,
-                probabilityCol=f"_probability_{i}",
-                rawPredictionCol=f"_raw_{i}",
-                maxDepth=MAX_DEPTH,
-                minInstancesPerNode=MIN_LEAF,
-                impurity="gini",
-                seed=42,
+            tp, p, t = row[f"tp_{i}"], row[f"p_{i}"], row[f"t_{i}"]
+            metrics.append(
+                (attack, row[f"ok_{i}"] / row.n, tp / p if p else 0.0, tp / t if t else 0.0)
             )
-            model = learner.fit(own)
-            models[attack] = model
-            for position, (index, threshold) in enumerate(tree_splits(model)):
-                rules.append((attack, 2 * position, features[index], float(threshold), "<="))
-                rules.append((attack, 2 * position + 1, features[index], float(threshold), ">"))
-            scored = model.transform(scored).drop(f"_raw_{i}", f"_probability_{i}")
-            truth, guess = F.col(CLASS) == attack, F.col(predicted) == 1.0
-            sums += [
-                F.count_if(truth & guess).alias(f"tp_{i}"),
-                F.count_if(guess).alias(f"p_{i}"),
-                F.count_if(truth).alias(f"t_{i}"),
-                F.count_if(truth == guess).alias(f"ok_{i}"),
-            ]
-        metrics = []
-        if attacks:
-            row = scored.agg(F.count(F.lit(1)).alias("n"), *sums).first()
-            for i, attack in enumerate(attacks):
-                tp, p, t = row[f"tp_{i}"], row[f"p_{i}"], row[f"t_{i}"]
-                metrics.append(
-                    (attack, row[f"ok_{i}"] / row.n, tp / p if p else 0.0, tp / t if t else 0.0)
-                )
-    finally:
-        data.unpersist()
     spark = flows.sparkSession
     return Trees(
         spark.createDataFrame(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,9 +35,38 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
 
 
+_SCOPES: list[list[str]] = []
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, which cuts its lineage for good."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/edgewatch/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def release(stored: DataFrame) -> None:
+    """Delete the folder of a frame that ``materialize`` returned and that nothing reads any more."""
+    _delete(stored.sparkSession, stored._stored_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes what ``materialize`` writes inside, once everything that reads it has been written."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            _delete(spark, path)

@@ -51,9 +51,14 @@ def malformed_events(raw: DataFrame) -> DataFrame:
 
 
 def kafka_edges(
-    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest", **options: str
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting_offsets: str = "earliest",
+    malformed: str = "fail",
+    **options: str,
 ) -> DataFrame:
-    """Edge events of a topic. ``event_id`` combines partition and offset, which grow with arrival.
+    """Edge events of a topic, with ``event_id`` and ``arrival`` (see ``topic_events``).
 
     Offsets are kept in the query's checkpoint. Needs the Kafka connector on the class path.
     """
@@ -64,8 +69,25 @@ def kafka_edges(
         .option("startingOffsets", starting_offsets)
         .options(**options)
     )
+    return topic_events(reader.load(), malformed)
+
+
+def topic_events(raw: DataFrame, malformed: str = "fail") -> DataFrame:
+    """Records of a topic as edge events.
+
+    ``event_id`` combines partition and offset and only identifies the event. Arrival order over all
+    partitions is that of ``arrival``: record time, then partition and offset
+    (``ScorerConfig(order="arrival", arrival="arrival")``).
+    """
     place = F.shiftleft(F.col("partition").cast("bigint"), OFFSET_BITS) + F.col("offset")
-    return decode_events(reader.load()).select("e.*", place.alias("event_id"))
+    arrived = F.struct(
+        F.unix_micros(F.col("_record.timestamp")).alias("at"),
+        F.col("partition").cast("int").alias("partition"),
+        F.col("offset").cast("bigint").alias("offset"),
+    )
+    record = F.struct("timestamp").alias("_record")
+    events = decode_events(raw.select("value", "partition", "offset", record), malformed)
+    return events.select("e.*", place.alias("event_id"), arrived.alias("arrival"))
 
 
 def file_edges(

@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from edgewatch.config import ScorerConfig
 from edgewatch.operators.alerts import alert_messages, alert_rows, score_rows
-from edgewatch.operators.scoring import profile_events, score_batch
-from edgewatch.session import shared_dir
+from edgewatch.operators.scoring import StreamProfile, profile_events, score_batch
+from edgewatch.session import scratch_scope, shared_dir
 from edgewatch.sinks.messages import write_message_files
 from edgewatch.sinks.tables import write_table
 from edgewatch.streaming.state import StateStore
@@ -24,8 +24,8 @@ class ScoringJob:
     """Scores micro-batches with the batch kernel, starting from the counters of the batch before.
 
     Output folders are keyed by batch id and state is versioned with it, so a batch that is run again
-    after a failure leaves the same rows once. ``publish`` receives the alert messages of a batch;
-    without it they are written to files under ``path``.
+    after a failure leaves the same rows once. ``publish`` receives the alert messages of a batch, again
+    if the batch is run again (at least once); without it they are written to files under ``path``.
     """
 
     path: str
@@ -42,20 +42,24 @@ class ScoringJob:
             profile = profile_events(events, self.cfg)
             if profile.rows == 0:
                 return
-            clock, state = store.load(batch_id)
-            scoring, clock = score_batch(events, self.cfg, clock, state, profile)
-            # scores and counters both come from the folds
-            folds = [fold.persist(StorageLevel.MEMORY_AND_DISK) for _, fold in scoring.folds.values()]
-            try:
-                write_table(score_rows(scoring.scored), f"{self.path}/scores", batch_id)
-                store.save(batch_id, scoring.counters(), clock)
-            finally:
-                for fold in folds:
-                    fold.unpersist()
+            with scratch_scope(spark):
+                self._score(store, events, profile, batch_id)
             self._raise_alerts(spark, batch_id)
         finally:
             events.unpersist()
 
+    def _score(self, store: StateStore, events: DataFrame, profile: StreamProfile, batch_id: int) -> None:
+        clock, state = store.load(batch_id)
+        scoring, clock = score_batch(events, self.cfg, clock, state, profile)
+        # scores and counters both come from the folds
+        folds = [fold.persist(StorageLevel.MEMORY_AND_DISK) for _, fold in scoring.folds.values()]
+        try:
+            write_table(score_rows(scoring.scored), f"{self.path}/scores", batch_id)
+            store.save(batch_id, scoring.counters(), clock)
+        finally:
+            for fold in folds:
+                fold.unpersist()
+
     def _raise_alerts(self, spark: SparkSession, batch_id: int) -> None:
         # from the rows just written, so nothing is scored twice
         scores = spark.read.parquet(f"{self.path}/scores/batch_id={batch_id}")

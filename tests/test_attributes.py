@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from edgewatch.functions import ordering, sizing
+from edgewatch.functions import ordering
 from edgewatch.operators import attributes
 from edgewatch.operators.trees import decision_trees, tree_splits
 
@@ -30,9 +31,8 @@ def values(kind, at):
     return np.array([r[at] for r in table() if r[0] == kind and r[at] is not None])
 
 
-@pytest.mark.parametrize("per_slice", [1_000_000, 50])
-def test_cliffs_delta_equals_all_pairs(flows, per_slice):
-    found = attributes.cliffs_delta(flows, FEATURES, 600, per_slice).collect()
+def test_cliffs_delta_equals_all_pairs(flows):
+    found = attributes.cliffs_delta(flows, FEATURES).collect()
     assert len(found) == 12
     for r in found:
         at = FEATURES.index(r.feature) + 1
@@ -123,25 +123,29 @@ def test_suggested_rules(spark):
     assert [r.r for r in rules] == ["f > 6.00", "f < 2.00", "f in anomaly distribution", "f > 1.00"]
 
 
-def test_large_tables_take_the_same_steps(spark, tmp_path, monkeypatch):
-    """The way for tables too large to hold gives what the way for small ones gives."""
-    schema = "attack_type string, `Flow Duration` double, `Flow Packets/s` double, `SYN Flag Count` double, Constant double"
-    spark.createDataFrame(table(), schema).write.parquet(str(tmp_path / "flows"))
-    stored = spark.read.parquet(str(tmp_path / "flows"))
-
+def test_slices_decide_the_balance_only(flows, monkeypatch):
     def results():
         frames = (
-            attributes.feature_statistics(stored, FEATURES, 600, 50),
-            attributes.feature_importance(stored, FEATURES, 600),
-            attributes.correlation_matrix(stored, FEATURES, 600),
+            attributes.feature_statistics(flows, FEATURES, 600, ordering.ROWS_PER_SLICE),
+            attributes.feature_importance(flows, FEATURES, 600),
+            attributes.correlation_matrix(flows, FEATURES, 600),
         )
         return [
             sorted(tuple(round(x, 9) if isinstance(x, float) else str(x) for x in r) for r in f.collect())
             for f in frames
         ]
 
-    small = results()
-    monkeypatch.setattr(sizing, "SMALL_ROWS", 0)
-    monkeypatch.setattr(ordering, "ONE_PASS", 0)
-    monkeypatch.setattr(ordering, "ROWS_PER_SLICE", 50)
-    assert results() == small
+    whole = results()
+    monkeypatch.setattr(ordering, "ROWS_PER_SLICE", 5)
+    assert results() == whole
+
+
+def test_nan_is_a_gap_like_null(spark):
+    rows = [("Benign" if i % 2 else "A", float(i % 7) if i % 5 else None, float(i)) for i in range(200)]
+    nulls = spark.createDataFrame(rows, "attack_type string, x double, y double")
+    nans = nulls.withColumn("x", F.coalesce("x", F.lit(float("nan"))))
+    for analyse in (attributes.feature_importance, attributes.correlation_matrix):
+        pair = [sorted(map(tuple, analyse(f, ["x", "y"]).collect())) for f in (nulls, nans)]
+        assert pair[0] == pair[1]
+    pair = [sorted(map(tuple, decision_trees(f, ["x", "y"]).metrics.collect())) for f in (nulls, nans)]
+    assert pair[0] == pair[1] and pair[0]

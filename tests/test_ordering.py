@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edgewatch.functions import ordering
-from edgewatch.functions.sizing import join_measured, join_sized
+from edgewatch.functions.sizing import join_sized
 from edgewatch.operators.replay import sample_per_file, sample_rows
 
 
@@ -29,9 +29,8 @@ def test_quantiles_equal_interpolation(spark, per_slice):
             assert r[f"q{i}"] == pytest.approx(np.quantile(values, p))
 
 
-def test_quantiles_of_empty_column(spark, monkeypatch):
+def test_quantiles_of_empty_column(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
-    monkeypatch.setattr(ordering, "ONE_PASS", 0)
     for per_slice in (100, 1):
         found = ordering.exact_quantiles(df, ["a", "b"], [0.5], rows=2, rows_per_slice=per_slice)
         assert [(r.feature, r.q0) for r in found.collect()] == [("b", 1.5)]
@@ -44,10 +43,11 @@ def test_prefix_sums(spark, monkeypatch):
     assert got == {3 * i: i * (i + 1) // 2 for i in range(30)}
 
 
-@pytest.mark.parametrize("bound", [10, 10_000_000])
-def test_dense_ranks(spark, bound):
+@pytest.mark.parametrize("block", [4, 4096])
+def test_dense_ranks(spark, monkeypatch, block):
+    monkeypatch.setattr(ordering, "POSITION_BLOCK", block)
     df = spark.createDataFrame([(p,) for p in [5, 9, 9, 70_000, 2, 5]], "p long")
-    got = {r.p: r._rank for r in ordering.dense_ranks(df, "p", bound).collect()}
+    got = {r.p: r._rank for r in ordering.dense_ranks(df, "p").collect()}
     assert got == {2: 1, 5: 2, 9: 3, 70_000: 4}
 
 
@@ -95,13 +95,16 @@ def test_sample_rows(spark):
     assert sample_rows(df, 5000, ["id"]).count() == 1000
 
 
-@pytest.mark.parametrize("limit", [1, 100])
-def test_join_measured_both_ways(spark, limit):
-    left = spark.range(50).selectExpr("id", "id % 5 AS k")
-    right = spark.range(5).selectExpr("id AS k", "id * 10 AS v")
-    joined = join_measured(left, right, ["k"], limit=limit)
-    assert {(r.k, r.v) for r in joined.collect()} == {(k, 10 * k) for k in range(5)}
-    assert joined.count() == 50
+def test_running_sums_over_range_partitions(spark):
+    rows = [(k, float(v), v % 4) for k in ("hot", "b", None) for v in range(500 if k == "hot" else 7)]
+    df = spark.createDataFrame(rows, "k string, value double, n long").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ordering.with_running_sums(df.filter("k IS NOT NULL"), ["k"], ["n"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == 507
+    assert all(r.n_upto == sum(v % 4 for v in range(int(r.value) + 1)) for r in got)
 
 
 def test_join_sized_broadcasts_within_its_bound_only(spark):

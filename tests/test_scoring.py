@@ -2,11 +2,13 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from edgewatch.config import ScorerConfig
 from edgewatch.operators import scoring
 from edgewatch.operators.replay import burst_traffic
 from edgewatch.operators.scoring import SCORE_COLUMNS, score_edges
+from edgewatch.sources.streams import topic_events
 from model import score_all
 
 SCHEMA = "src string, dst string, timestamp bigint, event_id bigint"
@@ -69,11 +71,42 @@ def test_equals_event_by_event(spark, cfg):
     ids=["late", "late-filtered"],
 )
 def test_late_events_in_arrival_order(spark, monkeypatch, cfg):
-    monkeypatch.setattr(scoring, "ARRIVAL_BLOCK", 64)
+    monkeypatch.setattr(scoring, "TICK_BLOCK", 3)
     rows = stream(2, late=90)
     assert_same(score_edges(spark.createDataFrame(rows, SCHEMA), cfg), rows, cfg)
 
 
+def test_spread_ids_give_the_same_arrival_order(spark):
+    cfg = ScorerConfig(tick_seconds=10, alpha=0.6, order="arrival")
+    rows = [(*r[:3], r[3] << 22) for r in stream(2, late=90)]
+    assert_same(score_edges(spark.createDataFrame(rows, SCHEMA), cfg), rows, cfg)
+
+
+def test_records_of_two_partitions_in_time_order_are_not_late(spark):
+    rows = [
+        (f'{{"src": "a", "dst": "b{i % 3}", "timestamp": {1000 + i}, "label": 0}}', i % 2, i // 2, i) for i in range(60)
+    ]
+    raw = spark.createDataFrame(rows, "value string, partition int, offset long, ms int")
+    raw = raw.withColumn("timestamp", F.timestamp_millis("ms")).drop("ms")
+    events = topic_events(raw)
+    scored = score_edges(events, ScorerConfig(tick_seconds=10, order="arrival", arrival="arrival"))
+    by_time = score_edges(events.drop("arrival"), ScorerConfig(tick_seconds=10)).collect()
+    got = {r.event_id: (r.score, r.tick, r.edge_total) for r in scored.collect()}
+    assert got == {r.event_id: (r.score, r.tick, r.edge_total) for r in by_time}
+
+
+def test_null_ids_keep_their_state(spark):
+    rows = [(None if i % 3 else "a", "b", 1000 + i, i) for i in range(40)]
+    cfg = ScorerConfig(tick_seconds=10, alpha=0.5)
+    whole = {r.event_id: r.score for r in score_edges(spark.createDataFrame(rows, SCHEMA), cfg).collect()}
+    first, clock = scoring.score_batch(spark.createDataFrame(rows[:20], SCHEMA), cfg)
+    state = first.counters()
+    clock = scoring.Clock(clock.start, clock.max_tick, state.agg({"rank": "max"}).first()[0])
+    second, _ = scoring.score_batch(spark.createDataFrame(rows[20:], SCHEMA), cfg, clock, state)
+    got = {r.event_id: r.score for part in (first, second) for r in part.scored.collect()}
+    assert got == whole
+
+
 def test_event_before_the_start_scores_zero(spark):
     cfg = ScorerConfig(tick_seconds=10, order="arrival")
     rows = [("a", "b", 1000, 0), ("a", "b", 1050, 1), ("a", "b", 10, 2)]

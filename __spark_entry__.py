@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,12 @@ from edgewatch.operators.scoring import Clock, assign_ticks, profile_events, sco
 from edgewatch.operators.trees import decision_trees
 from edgewatch.plans.detection import compare_detectors, evaluate_batch
 from edgewatch.schemas import LABEL_CLASSES
+from edgewatch.session import shared_dir
+from edgewatch.sinks import reports, tables
+from edgewatch.sources import edge_files, flow_files, streams
+from edgewatch.sources import tables as stored_tables
 from edgewatch.sources.edge_files import attach_labels
+from edgewatch.streaming.job import scoring_job
 
 try:
     from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
@@ -464,33 +471,188 @@ def attribute_table(spark, sf_dir):
 
 
 def _tree_flows(spark, sf_dir):
-    """Flows in which the class depends on two features, so that trees have something to find."""
-    lines = _table(spark, sf_dir, "lineitem")
+    """Flows in which the class depends on whole-number features, so that trees have something to find."""
+    discount, tax = (F.round(F.col(c) * 100) for c in ("l_discount", "l_tax"))
     kind = (
-        F.when((F.col("l_quantity") > 40) & (F.col("l_discount") > 0.05), "DDoS")
-        .when(F.col("l_tax") > 0.06, "PortScan")
+        F.when((F.col("l_quantity") > 40) & (discount > 5), "DDoS")
+        .when(tax > 6, "PortScan")
         .otherwise("Benign")
     )
-    return lines.select(
+    return _table(spark, sf_dir, "lineitem").select(
         kind.alias("attack_type"), F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("extendedprice"), F.col("l_discount").alias("discount"),
-        F.col("l_tax").alias("tax"),
+        F.col("l_extendedprice").alias("extendedprice"), discount.alias("discount"), tax.alias("tax"),
     )
 
 
+#: More than any of the whole-number features has distinct values, so splits lie halfway between them.
+TREE_BINS = 64
+
+
 def decision_tree_rules(spark, sf_dir):
-    return decision_trees(_tree_flows(spark, sf_dir), FEATURES).rules
+    rules = decision_trees(_tree_flows(spark, sf_dir), FEATURES, max_bins=TREE_BINS).rules
+    return _round(rules, "threshold")
 
 
 def decision_tree_metrics(spark, sf_dir):
-    return decision_trees(_tree_flows(spark, sf_dir), FEATURES).metrics
+    return decision_trees(_tree_flows(spark, sf_dir), FEATURES, max_bins=TREE_BINS).metrics
 
 
 def attribute_table_with_trees(spark, sf_dir):
     flows = _tree_flows(spark, sf_dir)
-    trees = decision_trees(flows, FEATURES)
+    trees = decision_trees(flows, FEATURES, max_bins=TREE_BINS)
     stats = attributes.feature_statistics(flows, FEATURES)
-    return attributes.attribute_table(flows, stats, trees.metrics, FEATURES)
+    table = attributes.attribute_table(flows, stats, trees.metrics, FEATURES)
+    return _round(table, "support_percent")
+
+
+def _nan_flows(spark, sf_dir):
+    """The flows with NaN where they have gaps."""
+    return _flows(spark, sf_dir).withColumn(
+        "extendedprice", F.coalesce("extendedprice", F.lit(float("nan")))
+    )
+
+
+def feature_importance_with_nan(spark, sf_dir):
+    found = attributes.feature_importance(_nan_flows(spark, sf_dir), FEATURES)
+    return _round(found, "importance", digits=8)
+
+
+def correlation_matrix_with_nan(spark, sf_dir):
+    return _round(attributes.correlation_matrix(_nan_flows(spark, sf_dir), FEATURES), "correlation")
+
+
+def trees_with_nan(spark, sf_dir):
+    """Gaps in a feature that no perfect tree uses change nothing."""
+    gap = F.when(F.pmod(F.round(F.col("extendedprice") * 100).cast("long"), F.lit(19)) == 0, F.lit(float("nan")))
+    flows = _tree_flows(spark, sf_dir).withColumn("extendedprice", F.coalesce(gap, "extendedprice"))
+    return decision_trees(flows, FEATURES, max_bins=TREE_BINS).metrics
+
+
+# --- tables written to the session's shared folder and read back ---------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/edgewatch/{name}-{uuid.uuid4().hex}"
+
+
+def _edge_text(spark, sf_dir):
+    return _events(spark, sf_dir).select("src", "dst", "timestamp", "label", "event_id")
+
+
+def headed_edges(spark, sf_dir):
+    path = _scratch(spark, "headed")
+    rows = _edge_text(spark, sf_dir).select("label", F.col("timestamp"), F.col("dst").alias("Destination"), F.col("src").alias("Source"))
+    rows.write.option("header", True).csv(path)
+    return edge_files.read_edges(spark, path).select("src", "dst", "timestamp", "label")
+
+
+def headerless_edges(spark, sf_dir):
+    path = _scratch(spark, "headerless")
+    _edge_text(spark, sf_dir).drop("event_id").write.csv(path)
+    return edge_files.read_edges(spark, path).select("src", "dst", "timestamp", "label")
+
+
+def _untidy_lines(spark, sf_dir) -> str:
+    """Edge lines of which some are short, some have no time and some have a field too many."""
+    path = _scratch(spark, "untidy")
+    kind = F.pmod("event_id", F.lit(50))
+    line = (
+        F.when(kind == 1, F.concat_ws(",", "src", "dst"))
+        .when(kind == 2, F.concat_ws(",", "src", "dst", F.lit("soon"), "label"))
+        .when(kind == 3, F.concat_ws(",", "src", "dst", "timestamp", "label", F.lit("more")))
+        .otherwise(F.concat_ws(",", "src", "dst", "timestamp", "label"))
+    )
+    # the first line decides the number of fields
+    rows = _edge_text(spark, sf_dir).select(line.alias("value"))
+    header = spark.createDataFrame([("src,dst,timestamp,label",)], "value string")
+    header.unionByName(rows).repartition(1).sortWithinPartitions(F.desc(F.col("value") == "src,dst,timestamp,label")).write.text(path)
+    return path
+
+
+def quarantined_edges(spark, sf_dir):
+    found = edge_files.read_edges(spark, _untidy_lines(spark, sf_dir), malformed="quarantine")
+    return found.select("src", "dst", "timestamp", "label")
+
+
+def malformed_lines(spark, sf_dir):
+    return edge_files.malformed_rows(spark, _untidy_lines(spark, sf_dir)).select("line")
+
+
+def _messages(spark, sf_dir):
+    """Event messages as a topic has them, some cut off."""
+    message = F.to_json(F.struct("src", "dst", "timestamp", "label"))
+    broken = F.pmod("event_id", F.lit(40)) == 0
+    return _edge_text(spark, sf_dir).select(
+        F.when(broken, F.substring(message, 1, 20)).otherwise(message).alias("value"), "event_id"
+    )
+
+
+def quarantined_messages(spark, sf_dir):
+    return streams.decode_events(_messages(spark, sf_dir), "quarantine").select("e.*", "event_id")
+
+
+def malformed_messages(spark, sf_dir):
+    return streams.malformed_events(_messages(spark, sf_dir))
+
+
+def stacked_flow_files(spark, sf_dir):
+    """Two folders of CSV files with other column orders and padded names, found by three patterns."""
+    path = _scratch(spark, "flows")
+    flows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    odd = F.pmod("l_linenumber", F.lit(2)) == 1
+    flows.filter(odd).toDF(" l_orderkey", "l_partkey ", "l_suppkey", "l_linenumber").write.option("header", True).csv(f"{path}/odd")
+    flows.filter(~odd).select(*reversed(flows.columns)).write.option("header", True).csv(f"{path}/even")
+    stacked = flow_files.read_flow_files(spark, f"{path}/odd/*.csv", f"{path}/even/*.csv", f"{path}/none/*.csv")
+    tidy = clean.require_columns(clean.trim_column_names(stacked), *flows.columns)
+    return tidy.select(*[F.col(c).cast("bigint").alias(c) for c in flows.columns])
+
+
+def stored_flows(spark, sf_dir):
+    path = _scratch(spark, "flows")
+    tables.write_flows(_flows(spark, sf_dir).select("attack_type", *FEATURES), path)
+    return flow_files.read_flows(spark, path)
+
+
+def stored_scores(spark, sf_dir):
+    path = _scratch(spark, "scores")
+    scored = score_edges(_events(spark, sf_dir), SELECTIVE)
+    tables.write_table(alert_ops.score_rows(scored, _ingested_at()), path, 3)
+    rows = _round(stored_tables.read_scores(spark, path), "anomaly_score")
+    seconds = {c: F.unix_seconds(c) for c in ("event_time", "ingested_at")}
+    return rows.withColumns(seconds).withColumn("event_date", F.col("event_date").cast("string"))
+
+
+def streamed_scores(spark, sf_dir):
+    """Four micro-batches with state between them give what one batch gives."""
+    job = scoring_job(spark, f"edgewatch/job-{uuid.uuid4().hex}", SELECTIVE)
+    events = _events(spark, sf_dir)
+    low, high = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+    step = (high - low) // 4 + 1
+    for batch in range(4):
+        start = low + batch * step
+        job.process(events.filter(F.col("timestamp").between(start, start + step - 1)), batch)
+    rows = _round(stored_tables.read_scores(spark, f"{job.path}/scores"), "anomaly_score")
+    return rows.select("id", "src", "dst", F.unix_seconds("event_time").alias("event_time"), "anomaly_score", "is_alert", "label")
+
+
+def report_file(spark, sf_dir):
+    path = _scratch(spark, "report")
+    reports.write_csv_report(clean.class_counts(_flows(spark, sf_dir)), path)
+    return spark.read.option("header", True).csv(path).withColumn("rows", F.col("rows").cast("bigint"))
+
+
+def without_test_rows(spark, sf_dir):
+    own = F.when(F.pmod("event_id", F.lit(10)) == 0, F.lit(alert_ops.TEST_SOURCE)).otherwise(F.col("src"))
+    return alert_ops.without_test_rows(_edge_text(spark, sf_dir).withColumn("src", own))
+
+
+def sketch_bound(spark, sf_dir):
+    """Items in all, and the overestimate that a share of ``1 - delta`` of the keys stays within."""
+    items = _events(spark, sf_dir).count()
+    epsilon, delta = sketch.error_bounds(SMALL_SKETCH)
+    row = (items, epsilon, delta, sketch.max_overestimate(SMALL_SKETCH, items))
+    found = spark.createDataFrame([row], "items bigint, epsilon double, delta double, bound double")
+    return _round(found, "epsilon", "delta", "bound")
 
 
 _QUERIES = (
@@ -504,6 +666,10 @@ _QUERIES = (
     median_impute, parse_timestamps, dedupe_keep_first, class_counts, dataset_summary, quantiles,
     feature_statistics, cliffs_delta, feature_importance, correlation_matrix, attribute_table,
     decision_tree_rules, decision_tree_metrics, attribute_table_with_trees,
+    feature_importance_with_nan, correlation_matrix_with_nan, trees_with_nan, headed_edges,
+    headerless_edges, quarantined_edges, malformed_lines, quarantined_messages, malformed_messages,
+    stacked_flow_files, stored_flows, stored_scores, streamed_scores, report_file,
+    without_test_rows, sketch_bound,
 )
 
 
@@ -766,6 +932,58 @@ def _cell_rows(cfg: ScorerConfig, source: str) -> str:
     )
 
 
+#: The trees that separate the classes of the tree flows, read from the data's own neighbouring values.
+_TREE_FLOWS = """flows AS (SELECT CASE WHEN quantity > 40 AND discount > 5 THEN 'DDoS'
+    WHEN tax > 6 THEN 'PortScan' ELSE 'Benign' END AS attack_type, * FROM (
+  SELECT l_quantity AS quantity, l_extendedprice AS extendedprice, round(l_discount * 100) AS discount,
+         round(l_tax * 100) AS tax FROM lineitem))"""
+_TREE_RULES = f"""WITH {_TREE_FLOWS}, cuts AS (SELECT
+  (max(quantity) FILTER (quantity <= 40) + min(quantity) FILTER (quantity > 40)) / 2 AS quantity,
+  (max(discount) FILTER (discount <= 5) + min(discount) FILTER (discount > 5)) / 2 AS discount,
+  (max(tax) FILTER (tax <= 6) + min(tax) FILTER (tax > 6)) / 2 AS tax FROM flows),
+splits AS (SELECT 'DDoS' AS attack_type, 0 AS place, 'quantity' AS feature, quantity AS threshold FROM cuts
+  UNION ALL SELECT 'DDoS', 1, 'discount', discount FROM cuts
+  UNION ALL SELECT 'PortScan', 0, 'tax', tax FROM cuts
+  UNION ALL SELECT 'PortScan', 1, 'quantity', quantity FROM cuts
+  UNION ALL SELECT 'PortScan', 2, 'discount', discount FROM cuts)
+SELECT attack_type, CAST(2 * place + side AS INT) AS position, feature, round(threshold, 6) AS threshold,
+  CASE side WHEN 0 THEN '<=' ELSE '>' END AS direction
+FROM splits, (SELECT unnest([0, 1]) AS side)"""
+_TREE_METRICS = f"""WITH {_TREE_FLOWS} SELECT attack_type, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS precision,
+  1.0::DOUBLE AS recall FROM flows WHERE attack_type <> 'Benign' GROUP BY attack_type"""
+
+
+def _read_back_sql(score: str) -> dict[str, str]:
+    """SQL of the tables that are written and read back."""
+    edges_read = f"WITH {_EV} SELECT src, dst, timestamp, label FROM ev"
+    epsilon, delta = math.e / SMALL_SKETCH.width, math.exp(-SMALL_SKETCH.depth)
+    scores = f"""WITH RECURSIVE {score} SELECT event_id AS id, src, dst, timestamp AS event_time,
+  round(score, 6) AS anomaly_score, is_alert, label"""
+    return {
+        "headed_edges": edges_read,
+        "headerless_edges": edges_read,
+        "quarantined_edges": f"{edges_read} WHERE event_id % 50 NOT IN (1, 2)",
+        "malformed_lines": f"""WITH {_EV} SELECT CASE event_id % 50 WHEN 1 THEN src || ',' || dst
+  ELSE src || ',' || dst || ',soon,' || label END AS line FROM ev WHERE event_id % 50 IN (1, 2)""",
+        "quarantined_messages": f"""WITH {_EV} SELECT src, dst, timestamp, label, event_id FROM ev
+WHERE event_id % 40 <> 0""",
+        "malformed_messages": f"""WITH {_EV} SELECT substr('{{"src":"' || src || '","dst":"' || dst, 1, 20) AS value,
+  event_id FROM ev WHERE event_id % 40 = 0""",
+        "stacked_flow_files": "SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem",
+        "stored_flows": f"WITH {_FLOWS} SELECT * FROM flows",
+        "stored_scores": f"""{scores}, timestamp + event_id % 7 AS ingested_at,
+  strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d') AS event_date, 3 AS batch_id FROM scored""",
+        "streamed_scores": f"{scores} FROM scored",
+        "report_file": f"WITH {_FLOWS} SELECT attack_type, count(*) AS rows FROM flows GROUP BY attack_type",
+        "without_test_rows": f"WITH {_EV} SELECT * FROM ev WHERE event_id % 10 <> 0",
+        "sketch_bound": f"""SELECT count(*) AS items, round({epsilon!r}, 6) AS epsilon, round({delta!r}, 6) AS delta,
+  round({epsilon!r} * count(*), 6) AS bound FROM events""",
+        "decision_tree_rules": _TREE_RULES,
+        "decision_tree_metrics": _TREE_METRICS,
+        "trees_with_nan": _TREE_METRICS,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     base = _baseline_ctes(_EV, DAY)
     score = _score_ctes(_EV, SELECTIVE)
@@ -968,4 +1186,10 @@ SELECT r.attack_type, key_features,
         / (SELECT count(*) FROM flows), 6) AS support_percent
 FROM ranked r JOIN top USING (attack_type) WHERE place = 1""",
     }
+    sql |= _read_back_sql(score)
+    sql["feature_importance_with_nan"] = sql["feature_importance"]
+    sql["correlation_matrix_with_nan"] = sql["correlation_matrix"]
+    trees = sql["attribute_table"].replace(_FLOWS, _TREE_FLOWS)
+    sql["attribute_table_with_trees"] = f"""SELECT *, 1.0::DOUBLE AS rule_precision, 1.0::DOUBLE AS rule_recall
+FROM ({trees})"""
     return sql | _CORPUS_SQL

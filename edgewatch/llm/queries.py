@@ -60,14 +60,14 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
         return F.concat_ws(",", text)
 
+    def of_kind(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
     base = F.filter("spans", lambda s: s["kind"] != "model")
     return found.select(
-        "doc_id",
-        *(F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-          for k in ("assign", "access", "hex")),
-        F.sha2(listed(base), 256).alias("base_sha256"),
-        listed(F.col("spans")).alias("spans"),
-    )
+        "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,9 +90,9 @@ def test_windows_cover_long_tokens():
 def test_empty_table_and_query(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert secret_scan.find_secrets(docs, secret_scan.train(docs, labelled=300)).count() == 0
-    rows = queries.op4_secret_scan(spark, "/root/testdata/sf0.001").collect()
-    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
-    assert len(rows) == len(texts)
+    rows = queries.op4_secret_scan(spark, "/root/testdata/sf0.01").collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert len(rows) == len(texts) and sum(r.n_assign for r in rows) > 5
     for row in rows:
         spans = _base(texts[row.doc_id])
         listed = ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in spans)

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edgewatch.config import ScorerConfig
 from edgewatch.functions.ordering import dense_ranks
@@ -25,6 +26,7 @@ from edgewatch.functions.scalar import chi_squared_sql, named, tick_of
 from edgewatch.functions.sizing import join_sized
 from edgewatch.operators.decay_fold import fold_counts
 from edgewatch.operators.sketch import cell_ids
+from edgewatch.operators.sketch_fold import place_batches
 from edgewatch.session import materialize, release
 
 SLICE_ROWS = 1_000_000
@@ -359,20 +361,17 @@ def _score_sketch(
     counts = _sums(edges.select("_at", "_slice", "n_cur", "n_tot", cells), ["_cell"])
     counts = _with_state(_ranked(counts, ranks, bound), ["_cell"], "cell", state)
     fold = fold_counts(counts, ["_cell"], cfg.alpha, cfg.decay == "floor")
-    order = stream_order(cfg)
-    narrow = events.select(
-        *dict.fromkeys(["event_id", *order]), "_at", "_slice", "_keep", cells
-    )
-    placed = _place_events(narrow, [("cell", ["_cell"], fold)], order, not cfg.filter_anomalies)
-    kind = F.floor(F.col("_cell") / F.lit(cfg.depth * cfg.width))
-    estimates = []
-    for i, name in enumerate(KINDS):
-        for counter in ("current", "total"):
-            own = F.when(kind == i, F.col(f"cell_{counter}"))
-            estimates.append(F.min(own).alias(f"{name}_{counter}"))
-    estimated = placed.groupBy("event_id").agg(*estimates)
-    scored = _score_columns(events.join(estimated, "event_id"), cfg, payload)
-    return Scoring(scored, {"cell": (["_cell"], fold)})
+    # one shuffle of the events: a slice's cells travel with it and sort before its events
+    starts = fold.filter("_slice >= 0").select("_at", "_slice", F.lit(0).alias("_mark"), "_cell", "cur0", "tot0")
+    mixed = events.select("*", F.lit(1).alias("_mark"), _event_cells(cfg).alias("_cells"))
+    mixed = mixed.unionByName(starts, allowMissingColumns=True).repartition("_at", "_slice")
+    mixed = mixed.sortWithinPartitions("_at", "_slice", "_mark", *stream_order(cfg))
+    counter = T.LongType() if cfg.decay == "floor" else T.DoubleType()
+    kinds = {"current": counter, "total": T.LongType()}
+    added = [T.StructField(f"{kind}_{c}", t) for kind in KINDS for c, t in kinds.items()]
+    place = place_batches(events.columns, KINDS, cfg.depth, cfg.width, cfg.decay == "floor")
+    placed = mixed.mapInArrow(place, T.StructType([*events.schema.fields, *added]))
+    return Scoring(_score_columns(placed, cfg, payload), {"cell": (["_cell"], fold)})
 
 
 def _event_cells(cfg: ScorerConfig) -> Column:

@@ -211,3 +211,16 @@ def test_sketch_state_is_bounded(spark):
     rows = [(f"s{i}", f"d{i}", i, i) for i in range(500)]
     result, _ = scoring.score_batch(spark.createDataFrame(rows, SCHEMA), cfg)
     assert result.counters().count() <= 3 * 2 * 16
+
+
+def test_sketch_places_across_batches_and_chunks(spark, monkeypatch):
+    """Chunks end inside groups and groups inside batches."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    cfg = ScorerConfig(tick_seconds=10, alpha=0.6, counts="sketch", width=8, depth=2, hash_fn="md5")
+    events = spark.createDataFrame(stream(9), SCHEMA)
+    try:
+        small = {r.event_id: r for r in score_edges(events, cfg).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert {r.event_id: r for r in score_edges(events, cfg).collect()} == small

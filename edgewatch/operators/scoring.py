@@ -31,6 +31,7 @@ from edgewatch.session import materialize, release
 
 SLICE_ROWS = 1_000_000
 TICK_BLOCK = 4096
+SETTLED_SHARE = 0.2
 
 KINDS = ("edge", "src", "dst")
 #: The columns of a scored event, in order.
@@ -197,6 +198,7 @@ def _earlier(at: int, number: int) -> Column:
 
 
 COUNTER_KEYS = ["kind", "key1", "key2", "cell"]
+VALUES = ["rank", "current", "total"]
 
 
 @dataclass(frozen=True)
@@ -256,19 +258,25 @@ def _with_state(counts: DataFrame, keys: list[str], kind: str, state: DataFrame
         return counts
     sources = {"edge": ["key1", "key2"], "src": ["key1"], "dst": ["key1"], "cell": ["cell"]}[kind]
     carried = state.filter(F.col("kind") == kind).select(
-        *[F.col(s).alias(k) for s, k in zip(sources, keys)],
-        F.lit(0).cast("bigint").alias("_at"),
-        F.lit(-1).alias("_slice"),
-        F.col("current").alias("n_cur"),
-        F.col("total").alias("n_tot"),
-        F.col("rank").alias("_rank"),
+        *[F.col(s).alias(k) for s, k in zip(sources, keys)], *VALUES, *(["batch"] if "batch" in state.columns else [])
     )
     # only entities of this batch are needed; the rest keep the counters they have
     touched = counts.select(*[F.col(k).alias(f"_touched_{k}") for k in keys]).distinct()
     same = F.lit(True)
     for k in keys:  # a null id is an entity like any other
         same &= F.col(k).eqNullSafe(F.col(f"_touched_{k}"))
-    return counts.unionByName(carried.join(touched, same, "left_semi"))
+    carried = carried.join(touched, same, "left_semi")
+    if "batch" in carried.columns:  # the counters of several batches: the newest hold
+        carried = carried.groupBy(*keys).agg(F.max_by(F.struct(*VALUES), "batch").alias("s")).select(*keys, "s.*")
+    carried = carried.select(
+        *keys,
+        F.lit(0).cast("bigint").alias("_at"),
+        F.lit(-1).alias("_slice"),
+        F.col("current").alias("n_cur"),
+        F.col("total").alias("n_tot"),
+        F.col("rank").alias("_rank"),
+    )
+    return counts.unionByName(carried)
 
 
 def _sums(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -424,7 +432,7 @@ def _filter_to_fixed_point(ticked, cfg, clock, state, bound, payload, kernel) ->
     outputs = [*SCORE_COLUMNS, *payload]
     current, last = ticked.withColumn("_keep", F.lit(True)), None
     keep = F.col("score") <= F.lit(float(cfg.filter_cutoff))
-    settled, earlier = [], None
+    settled, earlier, given = [], None, state
     while True:
         result = kernel(current, cfg, clock, state, bound, [*payload, *inner])
         scored = materialize(result.scored.withColumn("_next", keep), "filter")
@@ -436,19 +444,19 @@ def _filter_to_fixed_point(ticked, cfg, clock, state, bound, payload, kernel) ->
                 final = final.unionByName(part)
             return Scoring(final, result.folds, earlier)
         at, number = first
-        before, rest = scored.filter(_earlier(at, number)), scored.filter(~_earlier(at, number))
-        if not before.isEmpty():
+        before, rest = scored.filter(_earlier(at, number)), scored
+        # settling costs a few small jobs: worth it when a good part of what is left has become final
+        if SETTLED_SHARE * scored.count() <= before.count():
             settled.append(materialize(before.select(*outputs), "settled"))
             counters = Scoring(result.scored, result.folds, earlier).counters((at, number))
             earlier = materialize(counters, "settled-counters")
-            state = _over(state, earlier)
+            state = _over(given, earlier)
             clock = _clock_after(result.folds, clock, (at, number))
-            rest = materialize(rest, "filter")
+            rest = materialize(scored.filter(~_earlier(at, number)), "filter")
             release(scored)
-            scored = rest
         if last is not None:
             release(last)
-        last = scored
+        last = rest
         current = rest.select(*[named(c) for c in inputs], F.col("_next").alias("_keep"))
 
 
@@ -456,9 +464,8 @@ def _over(state: DataFrame | None, newer: DataFrame) -> DataFrame:
     """Counters of ``newer`` in place of those of ``state``."""
     if state is None:
         return newer
-    both = newer.withColumn("_new", F.lit(1)).unionByName(state.select(newer.columns).withColumn("_new", F.lit(0)))
-    newest = F.max_by(F.struct("rank", "current", "total"), "_new").alias("s")
-    return both.groupBy(*COUNTER_KEYS).agg(newest).select(*COUNTER_KEYS, "s.*")
+    age = F.col("batch") if "batch" in state.columns else F.lit(0).cast("bigint")
+    return newer.withColumn("batch", F.lit(2**62)).unionByName(state.withColumn("batch", age))
 
 
 def _clock_after(folds: dict, clock: Clock, until: tuple[int, int]) -> Clock:

@@ -52,10 +52,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def release(stored: DataFrame) -> None:
     """Delete the folder of a frame that ``materialize`` returned and that nothing reads any more."""
-    _delete(stored.sparkSession, stored._stored_at)
+    delete_folder(stored.sparkSession, stored._stored_at)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the package's own, wherever the session's file systems keep it."""
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
@@ -69,4 +70,4 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _SCOPES.pop():
-            _delete(spark, path)
+            delete_folder(spark, path)

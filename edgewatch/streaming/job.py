@@ -42,6 +42,7 @@ class ScoringJob:
             profile = profile_events(events, self.cfg)
             if profile.rows == 0:
                 return
+            store.clean_up(batch_id)
             with scratch_scope(spark):
                 self._score(store, events, profile, batch_id)
             self._raise_alerts(spark, batch_id)

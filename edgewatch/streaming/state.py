@@ -1,22 +1,25 @@
-"""Scorer state between micro-batches, as Parquet folders keyed by batch id.
+"""Scorer state between micro-batches, as Parquet folders named by batch id.
 
-Each batch writes the counters it touched; every ``compact_every`` batches all counters are merged
-into a base. The clock is written last, so a batch without a clock never happened, and a batch that
-runs again reads the same earlier state and replaces its own folders.
+Each batch writes the counters it touched (a delta); every ``compact_every`` batches all counters are
+merged into a base. The clock is written last and names the folders that the state consists of, so a
+batch without a clock never happened, a batch that runs again reads the same earlier state and replaces
+its own folders, and no folder is ever searched for. Folders that only clocks before the last base name
+are deleted once the next batch has begun.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgewatch.operators.scoring import Clock
+from edgewatch.operators.scoring import COUNTER_KEYS, VALUES, Clock
+from edgewatch.session import delete_folder
 
-KEYS = ["kind", "key1", "key2", "cell"]
-CLOCK_SCHEMA = "start bigint, max_tick bigint, max_rank bigint, base bigint, batch bigint"
+CLOCK_SCHEMA = "start bigint, max_tick bigint, max_rank bigint, base bigint, deltas array<bigint>, batch bigint"
 
 
 @dataclass(frozen=True)
@@ -25,48 +28,83 @@ class StateStore:
     path: str
     compact_every: int = 20
 
-    def _clock_before(self, batch_id: int):
+    def _clocks(self) -> list:
+        """The clocks, oldest first: at most those since the base before the last."""
         try:
             clocks = self.spark.read.schema(CLOCK_SCHEMA).parquet(f"{self.path}/clock")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-        earlier = clocks.filter(F.col("batch") < batch_id)
-        return earlier.orderBy(F.desc("batch")).limit(1).first()
+            return []
+        return clocks.orderBy("batch").collect()
+
+    def _clock_before(self, batch_id: int):
+        return next((c for c in reversed(self._clocks()) if c.batch < batch_id), None)
 
     def load(self, batch_id: int) -> tuple[Clock | None, DataFrame | None]:
-        """Clock and counters as they were before ``batch_id``."""
+        """Clock and counters as they were before ``batch_id``.
+
+        An entity has a row per batch that touched it since the base; the highest ``batch`` holds. The
+        scorer takes the rows of the entities it needs before it compares them.
+        """
         row = self._clock_before(batch_id)
         if row is None:
             return None, None
         clock = Clock(row.start, row.max_tick, row.max_rank)
-        return clock, self._counters(row.base, row.batch)
-
-    def _counters(self, base: int, last: int) -> DataFrame:
-        deltas = self.spark.read.parquet(f"{self.path}/delta").filter(
-            (F.col("batch") > base) & (F.col("batch") <= last)
-        )
-        if base >= 0:
-            whole = self.spark.read.parquet(f"{self.path}/base").filter(F.col("batch") == base)
-            deltas = deltas.unionByName(whole)
-        newest = F.max_by(F.struct("rank", "current", "total"), "batch").alias("s")
-        return deltas.groupBy(*KEYS).agg(newest).select(*KEYS, "s.*")
+        return clock, self._rows(row.base, row.deltas)
+
+    def _rows(self, base: int, deltas: list[int]) -> DataFrame:
+        parts = [(b, f"delta/batch={b}") for b in deltas] + ([(base, f"base/batch={base}")] if base >= 0 else [])
+        frames = [self.spark.read.parquet(f"{self.path}/{p}").withColumn("batch", F.lit(b).cast("bigint")) for b, p in parts]
+        return reduce(DataFrame.unionByName, frames)
+
+    def counters(self, batch_id: int) -> DataFrame:
+        """All counters as they were before ``batch_id``, one row per entity."""
+        row = self._clock_before(batch_id)
+        return self._merged(self._rows(row.base, row.deltas))
+
+    @staticmethod
+    def _merged(rows: DataFrame) -> DataFrame:
+        newest = F.max_by(F.struct(*VALUES), "batch").alias("s")
+        return rows.groupBy(*COUNTER_KEYS).agg(newest).select(*COUNTER_KEYS, "s.*")
 
     def save(self, batch_id: int, counters: DataFrame, clock: Clock) -> Clock:
         """Write what a batch left behind and return the clock with the ranks it used."""
         delta = f"{self.path}/delta/batch={batch_id}"
-        counters.write.mode("overwrite").parquet(delta)
+        self._write(counters, delta)
         rank = self.spark.read.parquet(delta).agg(F.max("rank")).first()[0]
         row = self._clock_before(batch_id)
-        base = row.base if row is not None else -1
+        base, deltas = (row.base, list(row.deltas)) if row is not None else (-1, [])
         clock = Clock(clock.start, clock.max_tick, max(int(rank or 0), clock.max_rank))
-        if batch_id - base >= self.compact_every:
-            merged = self._counters(base, batch_id)
-            merged.write.mode("overwrite").parquet(f"{self.path}/base/batch={batch_id}")
-            base = batch_id
-        values = [(clock.start, clock.max_tick, clock.max_rank, base)]
-        columns = "start bigint, max_tick bigint, max_rank bigint, base bigint"
+        deltas.append(batch_id)
+        if len(deltas) >= self.compact_every:
+            self._write(self._merged(self._rows(base, deltas)), f"{self.path}/base/batch={batch_id}")
+            base, deltas = batch_id, []
+        values = [(clock.start, clock.max_tick, clock.max_rank, base, deltas)]
+        columns = "start bigint, max_tick bigint, max_rank bigint, base bigint, deltas array<bigint>"
         state = self.spark.createDataFrame(values, columns).coalesce(1)
         state.write.mode("overwrite").parquet(f"{self.path}/clock/batch={batch_id}")
         return clock
+
+    @staticmethod
+    def _write(counters: DataFrame, path: str) -> None:
+        # a folder per kind: the scorer reads one kind at a time
+        counters.write.mode("overwrite").partitionBy("kind").parquet(path)
+
+    def clean_up(self, batch_id: int) -> None:
+        """Delete what no clock from the last one before ``batch_id`` on can need.
+
+        To be called when ``batch_id`` begins: earlier batches cannot run again then.
+        """
+        clocks = [c for c in self._clocks() if c.batch < batch_id]
+        if not clocks:
+            return
+        last = clocks[-1]
+        for old in clocks[:-1]:
+            delete_folder(self.spark, f"{self.path}/clock/batch={old.batch}")
+            for b in {*old.deltas, old.batch}.difference(last.deltas):
+                delete_folder(self.spark, f"{self.path}/delta/batch={b}")
+            if old.base >= 0 and old.base != last.base:
+                delete_folder(self.spark, f"{self.path}/base/batch={old.base}")
+        if last.batch not in last.deltas:
+            delete_folder(self.spark, f"{self.path}/delta/batch={last.batch}")

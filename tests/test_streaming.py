@@ -112,3 +112,21 @@ def test_decoding_json(spark):
     row = decode_events(raw).select("e.*").first()
     assert tuple(row) == ("a", "b", 5, None)
     assert EVENT_SCHEMA.fieldNames() == ["src", "dst", "timestamp", "label", "event_id"]
+
+
+def test_state_folders_do_not_pile_up(spark, tmp_path):
+    cfg = CONFIGS["exact"]
+    rows = sorted(stream(11, n=120), key=lambda r: (r[2], r[3]))
+    job = ScoringJob(str(tmp_path), cfg, compact_every=3)
+    seen = []
+    for batch in range(10):
+        part = spark.createDataFrame(rows[12 * batch : 12 * (batch + 1)], SCHEMA)
+        job.process(part, batch)
+        folders = {k: os.listdir(tmp_path / "state" / k) for k in ("clock", "delta", "base") if (tmp_path / "state" / k).exists()}
+        seen.append({k: len([f for f in v if f.startswith("batch=")]) for k, v in folders.items()})
+    assert max(s["clock"] for s in seen) <= 2
+    assert max(s["delta"] for s in seen) <= 4 and max(s.get("base", 0) for s in seen) <= 2
+    job.process(part, batch)  # the last batch again
+    expected = score_all(rows, cfg)
+    scores = read_scores(spark, f"{tmp_path}/scores").collect()
+    assert {r.id: round(r.anomaly_score, 9) for r in scores} == {i: round(e["score"], 9) for i, e in expected.items()}

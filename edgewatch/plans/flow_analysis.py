@@ -42,6 +42,7 @@ class FlowAnalysis:
     correlation: DataFrame
     trees: Trees
     table: DataFrame
+    features: list[str]
 
     def write(self, path: str) -> str:
         """CSV reports under ``path``; returns the Markdown findings."""
@@ -49,7 +50,14 @@ class FlowAnalysis:
         write_csv_report(self.statistics, f"{path}/feature_statistics")
         write_csv_report(self.importance, f"{path}/feature_importance")
         write_csv_report(self.correlation, f"{path}/feature_correlation")
-        return markdown_report(self.summary, self.statistics, self.importance, self.trees.metrics)
+        return markdown_report(
+            self.summary,
+            self.statistics,
+            self.importance,
+            self.trees.metrics,
+            table=self.table,
+            features=self.features,
+        )
 
 
 def analyze_flows(flows: DataFrame, features: list[str] | None = None) -> FlowAnalysis:
@@ -63,5 +71,5 @@ def analyze_flows(flows: DataFrame, features: list[str] | None = None) -> FlowAn
     trees = decision_trees(narrow, features, rows)
     table = attribute_table(narrow, statistics, trees.metrics, features)
     return FlowAnalysis(
-        summary, statistics, importance, correlation_matrix(narrow, features, rows), trees, table
+        summary, statistics, importance, correlation_matrix(narrow, features, rows), trees, table, features
     )

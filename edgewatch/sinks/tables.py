@@ -17,12 +17,16 @@ def write_table(rows: DataFrame, path: str, batch_id: int = 0) -> None:
     dated.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/batch_id={batch_id}")
 
 
+def flat_columns(rows: DataFrame) -> DataFrame:
+    """Arrays as JSON text, for databases without arrays."""
+    arrays = [f.name for f in rows.schema.fields if f.dataType.typeName() == "array"]
+    return rows.withColumns({c: F.to_json(c) for c in arrays}) if arrays else rows
+
+
 def write_jdbc(rows: DataFrame, url: str, table: str, batch_size: int = 10_000, **options: str) -> None:
     """Append to a database table in batches; arrays are sent as JSON text."""
-    arrays = [f.name for f in rows.schema.fields if f.dataType.typeName() == "array"]
-    flat = rows.withColumns({c: F.to_json(c) for c in arrays}) if arrays else rows
     (
-        flat.write.format("jdbc")
+        flat_columns(rows).write.format("jdbc")
         .mode("append")
         .option("url", url)
         .option("dbtable", table)

@@ -5,8 +5,8 @@ from collections import Counter
 import pytest
 
 from edgewatch.operators import baseline, edges
-from edgewatch.operators.replay import burst_traffic
 from edgewatch.plans.detection import evaluate_batch
+from traffic import burst_traffic
 
 SCHEMA = "src string, dst string, timestamp bigint, label smallint"
 

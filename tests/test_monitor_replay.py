@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edgewatch.operators import alerts, evaluate, monitor, replay
+from traffic import burst_traffic, steady_traffic
 
 ALERT = "src string, dst string, timestamp bigint, event_id bigint, score double, is_alert boolean"
 
@@ -121,12 +122,12 @@ def test_edge_json(spark):
 
 
 def test_generated_traffic(spark):
-    df = replay.burst_traffic(spark)
+    df = burst_traffic(spark)
     assert df.count() == 540
     assert df.select("event_id").distinct().count() == 540
     attack = df.filter("label = 1").agg(F.count("*"), F.min("timestamp"), F.max("timestamp")).first()
     assert attack[0] == 40 and attack[2] - attack[1] <= 5
-    assert {tuple(r) for r in df.collect()} == {tuple(r) for r in replay.burst_traffic(spark).collect()}
-    steady = replay.steady_traffic(spark, events=10_000, burst_start=5_000, burst_length=100)
+    assert {tuple(r) for r in df.collect()} == {tuple(r) for r in burst_traffic(spark).collect()}
+    steady = steady_traffic(spark, events=10_000, burst_start=5_000, burst_length=100)
     assert steady.filter("src = '192.168.1.255' AND dst = '10.0.0.255'").count() == 100
     assert steady.groupBy("timestamp").count().filter("count = 100").count() == 100

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from edgewatch.config import ScorerConfig
 from edgewatch.operators import scoring
-from edgewatch.operators.replay import burst_traffic
 from edgewatch.operators.scoring import SCORE_COLUMNS, score_edges
 from edgewatch.sources.streams import topic_events
 from model import score_all
+from traffic import burst_traffic
 
 SCHEMA = "src string, dst string, timestamp bigint, event_id bigint"
 

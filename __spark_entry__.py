@@ -976,8 +976,8 @@ WHERE event_id % 40 <> 0""",
         "streamed_scores": f"{scores} FROM scored",
         "report_file": f"WITH {_FLOWS} SELECT attack_type, count(*) AS rows FROM flows GROUP BY attack_type",
         "without_test_rows": f"WITH {_EV} SELECT * FROM ev WHERE event_id % 10 <> 0",
-        "sketch_bound": f"""SELECT count(*) AS items, round({epsilon!r}, 6) AS epsilon, round({delta!r}, 6) AS delta,
-  round({epsilon!r} * count(*), 6) AS bound FROM events""",
+        "sketch_bound": f"""SELECT count(*) AS items, round({epsilon!r}::DOUBLE, 6) AS epsilon,
+  round({delta!r}::DOUBLE, 6) AS delta, round({epsilon!r}::DOUBLE * count(*), 6) AS bound FROM events""",
         "decision_tree_rules": _TREE_RULES,
         "decision_tree_metrics": _TREE_METRICS,
         "trees_with_nan": _TREE_METRICS,

@@ -227,14 +227,15 @@ def owned_segments(rows: DataFrame) -> DataFrame:
     while True:
         a, b = jumps.alias("a"), jumps.alias("b")
         hop = (F.col("a.file") == F.col("b.file")) & (F.col("a.to") == F.col("b.offset"))
-        found = seen.select("file", "offset").join(a, ["file", "offset"]).join(b, hop).select("b.*")
+        found = seen.select("file", "offset").join(a.hint("merge"), ["file", "offset"])
+        found = found.join(b.hint("merge"), hop).select("b.*")
         new = found.select("file", "offset").join(seen, ["file", "offset"], "left_anti")
-        new = materialize(new.join(followed, ["file", "offset"]), "reached")
+        new = materialize(new.join(followed.hint("merge"), ["file", "offset"]), "reached")
         if new.isEmpty():
             break
         seen = seen.unionByName(new.select("file", "offset", "block", F.col("exit").alias("to")))
         seen = materialize(seen.dropDuplicates(["file", "offset"]), "reached")
-        doubled = a.join(b, hop, "left")
+        doubled = a.join(b.hint("merge"), hop, "left")
         jumps = materialize(
             doubled.select("a.file", "a.offset", "a.block", F.coalesce("b.to", "a.to").alias("to")), "jumps"
         )
@@ -260,7 +261,8 @@ def read_records(spark: SparkSession, path: str, payload: bool = False) -> DataF
     rows = candidates(spark, path)
     by = ["file", "block", "turn"]
     owned = materialize(owned_segments(rows), "owned")
-    kept = materialize(owned.filter("record").drop("record").join(rows, by), "records")
+    # merged: these tables are small files of many rows, too many to be broadcast by their file size
+    kept = materialize(owned.filter("record").drop("record").hint("merge").join(rows, by), "records")
     pieces = kept if payload else kept.filter("NOT whole")
     if payload or not pieces.isEmpty():
         wanted = pieces.select("file", "succ", "head", "body", "size")

@@ -22,6 +22,7 @@ from edgewatch.llm.char_cnn import Network, windows
 from edgewatch.llm.rows import column, keyed_texts, pieces
 
 SAMPLE_DOCS = 500
+CONTEXT_BYTES = 20_000
 LABELLED = 6_000
 RECALL = 0.95
 MIN_CANDIDATE = 12
@@ -174,13 +175,15 @@ def train(
     labelled: int = LABELLED,
     recall: float = RECALL,
 ) -> Network:
-    """A network from ``labelled`` generated findings in contexts of at most ``sample_docs`` texts.
+    """A network from ``labelled`` generated findings in contexts of about ``sample_docs`` texts.
 
-    The texts are those of the smallest hashes of ids among texts of at most 20,000 bytes.
+    The texts are drawn by a hash of their ids among those of at most ``CONTEXT_BYTES``.
     """
-    rows = keyed_texts(docs, id_col, text_col).filter(F.octet_length("text").between(1, 20_000))
-    drawn = rows.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), "text").limit(sample_docs)
-    texts = [r["text"] for r in drawn.select("text").collect()]
+    rows = keyed_texts(docs, id_col, text_col)
+    share = F.lit(-(-1_000_000 * sample_docs // max(rows.count(), 1)))
+    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), F.lit(1_000_000)) < share
+    sized = F.octet_length("text").between(1, CONTEXT_BYTES)
+    texts = sorted(r["text"] for r in rows.filter(drawn & sized).select("text").collect())
     return Network().fit(*labelled_findings(texts, labelled), recall)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgewatch.llm import bpe_matrix, line_dedup, positional_index, ppm_language, shingle_join
-from edgewatch.llm.rows import without
+from edgewatch.llm.rows import bounded_batches, without
 from edgewatch.session import materialize
 
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
@@ -20,6 +20,7 @@ SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: null texts and texts without a letter."""
+    bounded_batches(spark)
     found = ppm_language.identify_language(docs, ppm_language.train(docs), carry=docs.columns)
     kept = found.filter(F.col("lang") != ppm_language.UNDETERMINED)
     return kept.select(*(F.col("carried").getField(c).alias(c) for c in docs.columns))
@@ -27,6 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that a document of a larger id keeps; ``n_chars`` follows the text."""
+    bounded_batches(spark)
     kept = line_dedup.drop_repeated_lines(docs, carry=docs.columns)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return kept.select(*(new.get(c, F.col("carried").getField(c)).alias(c) for c in docs.columns))
@@ -34,6 +36,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group."""
+    bounded_batches(spark)
     groups = shingle_join.near_duplicate_groups(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
     others = groups.filter("doc_id != component_id").select("doc_id").distinct()
     return without(docs, materialize(others, "copies"))
@@ -41,6 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
+    bounded_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = positional_index.contamination(docs, items)
     hit = found.filter(F.size("items") > 0).select("doc_id").distinct()
@@ -49,6 +53,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every kept text and the bytes that they decode to."""
+    bounded_batches(spark)
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe_matrix.encode_texts(docs, vocabulary, public_tokenizers.PATTERN)
     return bpe_matrix.decode_ids(encoded, vocabulary, public_tokenizers.PATTERN).select(

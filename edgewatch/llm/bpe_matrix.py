@@ -21,8 +21,8 @@ from edgewatch.llm.rows import keyed_texts, pieces, strings
 from edgewatch.llm.word_split import Splitter
 
 NO_PAIR = np.int32(2**31 - 1)
-MEMO_WORDS = 300_000
-MATRIX_CELLS = 1 << 19
+MEMO_WORDS = 200_000
+MATRIX_CELLS = 1 << 18
 WIDE = 256
 VOCABULARY_BYTES = 64 << 20
 

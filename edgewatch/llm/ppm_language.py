@@ -26,7 +26,7 @@ ORDER = 4
 WIDTH = ORDER + 1
 PAD = b"\n" * ORDER
 TRAIN_DOCS = 1_000
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 MODEL_BYTES = 256 << 20
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")

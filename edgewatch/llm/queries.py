@@ -18,10 +18,12 @@ from edgewatch.llm import (
     warc,
     wrapper_induction,
 )
+from edgewatch.llm.rows import bounded_batches
 from edgewatch.session import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

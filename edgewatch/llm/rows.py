@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES``, unless the session asks for smaller ones.
+
+    The default lets a batch grow to 64 MB, which a task holds several times while it works on it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", spark.conf.get(name))) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def column(df: DataFrame, name: str) -> Column:

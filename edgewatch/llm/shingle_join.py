@@ -6,8 +6,8 @@ in at most ``k`` shingles, where ``k`` follows from the smaller size, so of ``k
 the same in both: each class enters the tiles (band, part, content of the part) of its first ``k + 1``
 filled parts. A tile thus holds documents that already share a whole part.
 
-In a tile every class is compared with the smallest and the greatest id, then, in blocks, the classes that
-are still in different components with each other. A comparison first bounds the overlap from above with
+In a tile every class is compared with the smallest and the greatest id, then, in blocks and rounds, the
+classes that are still in different components with each other, until no untried pair is left. A comparison first bounds the overlap from above with
 bit counts of hashed bitmaps (a bit that only one side has is a shingle that the other lacks); only the
 pairs whose bound allows a link get their sorted arrays, which are intersected exactly.
 """
@@ -15,6 +15,7 @@ pairs whose bound allows a link get their sorted arrays, which are intersected e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -203,37 +204,56 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, words: int, limit: Limit)
     return _sides(pairs, arrays, "shingles").mapInArrow(verify, "a long, b long")
 
 
-def block_pairs(members: DataFrame, bitmaps: DataFrame, limit: Limit) -> DataFrame:
-    """Pairs ``a, b`` of different components that meet in a tile and could be linked.
+def block_pairs(members: DataFrame, bitmaps: DataFrame, tried: DataFrame, limit: Limit, quota: int) -> DataFrame:
+    """``id, other``: untried pairs of different components that meet in a tile and could be linked.
 
-    ``members`` has ``tile, id, component``. A tile is cut into blocks by hash; every pair of its blocks
-    is one group, in which documents of one component are not compared with each other.
+    ``members`` has ``tile, members, id, component``, the second being the tile's size; ``tried`` has
+    pairs that were compared. A tile is cut into blocks by hash; every pair of its blocks is one group.
+    Without a quota a group gives a spanning forest of its possible links, which is enough where they
+    are links; otherwise up to ``quota`` of them for each document. No group without such a pair: none.
     """
-    sizes = members.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "tile").withColumn("own", F.pmod(F.xxhash64("id", "tile"), F.col("blocks")).cast("int"))
+    dealt = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id", "tile"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.withColumn("other", every).select(
         "tile", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), "id", "component"
     )
+    # a document has few entries: the ends of its tiles, and what it was given in earlier rounds
+    partners = tried.groupBy("id").agg(F.collect_set("other").alias("tried"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         bits = [np.frombuffer(b, np.uint64) for b in frame["bitmap"]]
-        ids, roots, sizes = (frame[c].to_numpy() for c in ("id", "component", "n"))
+        ids, sizes = frame["id"].to_numpy(), frame["n"].to_numpy()
+        roots = frame["component"].to_numpy().copy()
         words = min(len(b) for b in bits)
         folded = np.stack([_folded(b, words) for b in bits])
+        place = {x: i for i, x in enumerate(ids.tolist())}
+        done = np.zeros((len(ids), len(ids)), bool)
+        for i, others in enumerate(frame["tried"]):
+            known = [place[x] for x in (others if others is not None else ()) if x in place]
+            done[i, known] = done[known, i] = True
         found = [np.empty((0, 2), np.int64)]
         for i in range(len(ids) - 1):
             rest = np.arange(i + 1, len(ids))
-            rest = rest[roots[rest] != roots[i]]
+            rest = rest[(roots[rest] != roots[i]) & ~done[i, rest]]
             needed = limit.needed(sizes[rest], sizes[i])
             mine = sizes[i] - np.bitwise_count(folded[i] & ~folded[rest]).sum(axis=1, dtype=np.int64)
             theirs = sizes[rest] - np.bitwise_count(folded[rest] & ~folded[i]).sum(axis=1, dtype=np.int64)
             rest = rest[np.minimum(mine, theirs) >= needed]
-            found.append(np.stack((np.minimum(ids[i], ids[rest]), np.maximum(ids[i], ids[rest])), axis=1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
-
-    grouped = dealt.join(bitmaps, "id").groupBy("tile", "row", "col").applyInPandas(compare, "a long, b long")
-    return grouped.distinct()
+            if quota:
+                rest = rest[:quota]
+            else:
+                chosen = []
+                for j in rest.tolist():
+                    if roots[j] != roots[i]:
+                        chosen.append(j)
+                        roots[roots == roots[j]] = roots[i]
+                rest = np.array(chosen, np.int64)
+            found.append(np.stack((np.full(len(rest), ids[i]), ids[rest]), axis=1))
+        return pd.DataFrame(np.concatenate(found), columns=["id", "other"])
+
+    shown = dealt.join(bitmaps, "id").join(partners, "id", "left")
+    return shown.groupBy("tile", "row", "col").applyInPandas(compare, "id long, other long").distinct()
 
 
 # --- the join ----------------------------------------------------------------------------------
@@ -273,10 +293,9 @@ def near_duplicate_groups(
     shared = materialize(shared.select("tile", "least", "most", "members"), "shared-tiles")
     few = shared.count() <= BROADCAST_ROWS
     inside = materialize(held.join(F.broadcast(shared) if few else shared, "tile"), "tile-members")
-    ends = F.explode(F.array("least", "most")).alias("end")
-    stars = inside.select("id", ends).filter("id != end").select(
-        F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")
-    )
+    ends = F.explode(F.array("least", "most")).alias("other")
+    tried = materialize(inside.select("id", ends).filter("id != other").distinct(), "tried")
+    stars = tried.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
     stars = materialize(stars.distinct(), "stars")
     ids = materialize(inside.select("id").distinct(), "tile-ids")
     bitmaps = _for_ids(texts, ids, words, "bitmap", bitmap)
@@ -284,15 +303,21 @@ def near_duplicate_groups(
     links = materialize(verified_pairs(possible, texts, words, limit), "links")
     groups = components(links)
     # up to three members have all been compared; larger tiles may hold links that no star has shown
-    named = inside.filter("members > 3").join(groups, F.col("id") == F.col("a"), "left")
-    named = named.select("tile", "id", F.coalesce("b", "id").alias("component"))
-    split = named.groupBy("tile").agg(F.min("component").alias("first"), F.max("component").alias("last"))
-    split = split.filter("first != last").select("tile")
-    more = block_pairs(named.join(split, "tile"), bitmaps, limit).join(stars, ["a", "b"], "left_anti")
-    more = materialize(more, "possible")
-    if not more.isEmpty():
-        links = materialize(verified_pairs(more, texts, words, limit), "links")
+    large = inside.filter("members > 3").select("tile", "members", "id")
+    for turn in count():
+        named = large.join(groups, F.col("id") == F.col("a"), "left")
+        named = named.select("tile", "members", "id", F.coalesce("b", "id").alias("component"))
+        split = named.groupBy("tile").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+        split = split.filter("first != last").select("tile")
+        # first a spanning forest of each block, then ever more of what has failed to connect it
+        more = block_pairs(named.join(split, "tile"), bitmaps, tried, limit, 4**turn if turn else 0)
+        more = materialize(more, "possible")
+        if more.isEmpty():
+            break
+        pairs = more.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        links = verified_pairs(pairs, texts, words, limit)
         groups = components(groups.unionByName(links))
+        tried = materialize(tried.unionByName(more), "tried")
     of_class = classes.join(groups, F.col("id") == F.col("a"), "left").select(
         *alike, F.coalesce("b", "id").alias("component_id")
     )

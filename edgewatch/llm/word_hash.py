@@ -14,8 +14,8 @@ SPACE_BYTES[[0x20, *range(0x09, 0x0E)]] = True
 _LETTERS = np.random.default_rng(20_260_101).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
-_KEPT_POWERS = 1 << 21
-GROUP_BYTES = 1 << 20
+_KEPT_POWERS = 1 << 20
+GROUP_BYTES = 1 << 19
 _TABLES: dict[int, np.ndarray] = {}
 
 

@@ -227,10 +227,12 @@ def block_pairs(members: DataFrame, bitmaps: DataFrame, tried: DataFrame, limit:
         roots = frame["component"].to_numpy().copy()
         words = min(len(b) for b in bits)
         folded = np.stack([_folded(b, words) for b in bits])
-        place = {x: i for i, x in enumerate(ids.tolist())}
+        places: dict[int, list[int]] = {}
+        for i, x in enumerate(ids.tolist()):
+            places.setdefault(x, []).append(i)
         done = np.zeros((len(ids), len(ids)), bool)
         for i, others in enumerate(frame["tried"]):
-            known = [place[x] for x in (others if others is not None else ()) if x in place]
+            known = [j for x in (others if others is not None else ()) for j in places.get(x, ())]
             done[i, known] = done[known, i] = True
         found = [np.empty((0, 2), np.int64)]
         for i in range(len(ids) - 1):
@@ -273,13 +275,14 @@ def near_duplicate_groups(
     """
     limit = Limit(percent)
     texts = keyed_texts(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
-    sets = materialize(document_sets(texts, words, limit), "sets")
+    sets = document_sets(texts, words, limit).withColumn("row", F.monotonically_increasing_id())
+    sets = materialize(sets, "sets")
     alike = ["high", "low", "n"]
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = materialize(filled.groupBy(*alike).agg(F.min("doc_id").alias("id")), "classes")
-    # all members of a class have the same tiles
-    firsts = classes.withColumn("doc_id", F.col("id"))
-    held = filled.filter("size(tiles) > 0").join(firsts, ["doc_id", *alike])
+    classes = filled.groupBy(*alike).agg(F.min("doc_id").alias("id"), F.min_by("row", "doc_id").alias("row"))
+    classes = materialize(classes, "classes")
+    # all members of a class have the same tiles; one row of it enters them, however often it is repeated
+    held = filled.filter("size(tiles) > 0").join(classes.select("id", "row"), "row")
     held = materialize(held.select("id", F.explode("tiles").alias("tile")), "tiles")
     shared = held.groupBy("tile").agg(
         F.count(F.lit(1)).alias("members"),
@@ -321,7 +324,7 @@ def near_duplicate_groups(
     of_class = classes.join(groups, F.col("id") == F.col("a"), "left").select(
         *alike, F.coalesce("b", "id").alias("component_id")
     )
-    result = sets.drop("tiles").join(of_class, alike, "left")
+    result = sets.drop("tiles", "row").join(of_class, alike, "left")
     return result.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),

@@ -68,6 +68,19 @@ def test_equals_all_pairs(spark, monkeypatch, words, percent, block):
     assert sorted(map(tuple, got), key=str) == _model(rows, words, percent)
 
 
+def test_repeated_table_with_pairs_just_below_the_limit_ends(spark, monkeypatch):
+    def turns():
+        yield from range(6)
+        raise AssertionError("the same pairs are compared again and again")
+
+    monkeypatch.setattr(shingle_join, "count", turns)
+    texts = [" ".join([*(f"w{i}" for i in range(35)), *(f"own{doc}x{i}" for i in range(5))]) for doc in range(12)]
+    rows = [*enumerate(texts), (12, texts[11] + " more")]  # 35 of 45 words: 0.78; the last two are linked
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    got = shingle_join.near_duplicate_groups(docs, 1, 80).collect()
+    assert sorted(map(tuple, got), key=str) == _model(rows * 2, 1, 80)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert shingle_join.near_duplicate_groups(docs).count() == 0

@@ -5,7 +5,9 @@ alignment of two sequences of children that maximises the number of matched node
 siblings of one label are one template node (a list). Each template node counts its pages, the text that
 is not in links, and how constant its text is. Constant nodes are template. Of the rest, the container
 that holds the varying text of the host's pages is the content; what it holds is the page's text, in
-order, without template nodes and without parts whose element or name says that they are boilerplate.
+order, without template nodes and without parts whose element says that they are boilerplate. A name is
+only a hint: outside the content its node does not count, inside it goes if the template has it as a small
+or constant part. A form that holds most of a page's text is a frame and not a form.
 
 Templates are induced from all pages: every task folds its pages into partial templates, which are merged
 per host in two salted steps. A template has at most ``MAX_NODES`` nodes and ``MAX_DEPTH`` levels; nodes
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgewatch.llm.html_tree import Node, parse, tidy
+from edgewatch.llm.html_tree import INLINE, Node, parse, tidy
 from edgewatch.llm.rows import column, pieces
 from edgewatch.session import materialize
 
@@ -50,6 +52,9 @@ HEADER_WORDS = frozenset(["header", "topbar"])
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 CONTAINERS = frozenset("root html body div section main article table tbody tr td center dl".split())
 WHOLE = frozenset(["article", "main"])
+FRAMES = frozenset(["root", "html", "body"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CODE = frozenset(["pre", "code", "samp", "kbd"])
 
 
 def _words(name: str) -> set[str]:
@@ -60,28 +65,68 @@ def _words(name: str) -> set[str]:
 _ROLES: dict[tuple, str] = {}
 
 
-def boilerplate(node: Node, inside: bool) -> bool:
-    """Whether element, role or name mark the node; page headers only outside an article."""
+def _role(node: Node) -> str:
+    """``drop``, ``header``, the kind of a name after a colon (its element and words, # for an id), or nothing."""
     a = node.attributes
     key = (node.tag, a.get("class"), a.get("id"), a.get("role"), a.get("style"), a.get("aria-hidden"), "hidden" in a)
     found = _ROLES.get(key)
     if found is None:
-        names = _words(f"{a.get('class', '')} {a.get('id', '')}")
-        words = names if node.tag not in ("html", "body", *WHOLE) and not names & NOT_THE_PART else set()
+        of_class, names = _words(a.get("class", "")), _words(f"{a.get('class', '')} {a.get('id', '')}")
+        words = names if node.tag not in (*FRAMES, *WHOLE) and not names & NOT_THE_PART else set()
         style = a.get("style", "").replace(" ", "").lower()
         hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in style
         if hidden or node.tag in DROP_TAGS or a.get("role") in DROP_ROLES:
             found = "drop"
         elif words & DROP_WORDS:
-            found = "named"
+            marked = words & of_class & DROP_WORDS
+            found = " ".join([f":{node.tag}", *(sorted(marked) or ["#", *sorted(words & DROP_WORDS)])])
         else:
             found = "header" if node.tag == "header" or words & HEADER_WORDS else ""
         if len(_ROLES) > 10_000:
             _ROLES.clear()
         _ROLES[key] = found
-    if found == "named":  # a page's frame can have such a name and hold the article
-        return not _find_whole(node)
-    return found == "drop" or found == "header" and not inside
+    return found
+
+
+def marked(node: Node, inside: bool) -> bool:
+    """Whether element or role mark the node as boilerplate; page headers only outside an article."""
+    role = _role(node)
+    return role == "drop" or role == "header" and not inside
+
+
+def named(node: Node) -> str:
+    """The kind of a boilerplate name; a page's frame can have such a name and hold the article."""
+    role = _role(node)
+    return role if role.startswith(":") and not _find_whole(node) else ""
+
+
+def boilerplate(node: Node, inside: bool) -> bool:
+    """Whether element, role or name mark the node."""
+    return marked(node, inside) or bool(named(node))
+
+
+def page_tree(page: str) -> Node:
+    """The parsed page; forms that hold most of its text are plain containers."""
+    root = parse(page)
+    if not _FORM.search(page):
+        return root
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [n for n in node.nodes() if n.tag == "form" or n.tag not in DROP_TAGS]
+    sizes: dict[int, int] = {}
+    for node in reversed(order):
+        own = sum(len(tidy(c)) for c in node.children if isinstance(c, str))
+        sizes[id(node)] = own + sum(sizes.get(id(n), 0) for n in node.nodes())
+    for node in order:
+        if node.tag == "form" and 2 * sizes[id(node)] > sizes[id(root)]:
+            node.tag, node.label = "div", f"div{node.label[len('form') :]}"
+            node.attributes = {k: v for k, v in node.attributes.items() if k != "role" or v != "form"}
+    return root
+
+
+_FORM = re.compile("<form", re.I)
 
 
 def _find_whole(root: Node) -> list[Node]:
@@ -97,12 +142,16 @@ def _find_whole(root: Node) -> list[Node]:
 
 
 class Slot:
-    """A template node. ``kept`` is the candidate for a constant text, ``margin`` its lead over others."""
+    """A template node. ``kept`` is the candidate for a constant text, ``margin`` its lead over others.
 
-    __slots__ = ("children", "kept", "label", "margin", "mass", "pages")
+    ``named`` has a leaf for each kind of boilerplate name below it, counted but not aligned.
+    """
+
+    __slots__ = ("children", "kept", "label", "margin", "mass", "named", "pages")
 
     def __init__(self, label: str):
         self.label, self.children = label, []
+        self.named: dict[str, Slot] = {}
         self.pages = self.mass = self.margin = self.kept = 0
 
     def vote(self, text_hash: int, weight: int) -> None:
@@ -114,13 +163,15 @@ class Slot:
             self.margin -= weight
 
     def dump(self) -> list:
-        return [self.label, self.pages, self.mass, self.kept, self.margin, [c.dump() for c in self.children]]
+        below = [[c.dump() for c in own] for own in (self.children, self.named.values())]
+        return [self.label, self.pages, self.mass, self.kept, self.margin, *below]
 
     @classmethod
     def load(cls, row: list) -> Slot:
         slot = cls(row[0])
         slot.pages, slot.mass, slot.kept, slot.margin = row[1:5]
         slot.children = [cls.load(c) for c in row[5]]
+        slot.named = {c[0]: cls.load(c) for c in row[6]}
         return slot
 
 
@@ -199,13 +250,23 @@ def _slots_for(template: Slot, runs: list, room: list[int]) -> list[Slot | None]
 def add_page(template: Slot, root: Node, room: list[int]) -> None:
     """Align a page with the template and count it."""
     touched: dict[int, list] = {id(template): [template, 0, []]}
+    apart: list[tuple[Node, bool]] = []
     stack = [(template, root, False, 0)]
     while stack:
         slot, node, inside, depth = stack.pop()
         if depth >= MAX_DEPTH:
             continue
         inside = inside or node.tag in WHOLE
-        runs = _runs([n for n in node.nodes() if not boilerplate(n, inside)])
+        below = []
+        for n in node.nodes():
+            kind = "" if marked(n, inside) else named(n)
+            if kind:
+                leaf = slot.named.setdefault(kind, Slot(kind))
+                touched.setdefault(id(leaf), [leaf, 0, []])[2].append(n)
+                apart.append((n, inside))
+            elif not marked(n, inside):
+                below.append(n)
+        runs = _runs(below)
         for found, (_, nodes) in zip(_slots_for(slot, runs, room), runs, strict=True):
             if found is not None:
                 entry = touched.setdefault(id(found), [found, 0, []])
@@ -231,7 +292,8 @@ def add_page(template: Slot, root: Node, room: list[int]) -> None:
             texts[id(n)] = "".join(parts), n.links + sum(texts[id(c)][1] for c in own)
         return texts[id(node)]
 
-    text_of(root, False)
+    for node, inside in ((root, False), *apart):
+        text_of(node, inside)
     touched[id(template)][2].append(root)
     for slot, _, nodes in touched.values():
         raw = " ".join(texts[id(n)][0] for n in nodes if id(n) in texts)
@@ -249,6 +311,10 @@ def merge(into: Slot, other: Slot, room: list[int]) -> None:
         a, b = stack.pop()
         a.pages, a.mass = a.pages + b.pages, a.mass + b.mass
         a.vote(b.kept, b.margin)
+        for kind, leaf in b.named.items():
+            own = a.named.setdefault(kind, Slot(kind))
+            own.pages, own.mass = own.pages + leaf.pages, own.mass + leaf.mass
+            own.vote(leaf.kept, leaf.margin)
         runs = [(c.label, [c]) for c in b.children]
         for slot, (_, nodes) in zip(_slots_for(a, runs, room), runs, strict=True):
             if slot is not None:
@@ -280,17 +346,51 @@ def constant(slot: Slot, content: Slot) -> bool:
     return same and not copies and slot.mass <= SMALL_PART * content.mass
 
 
+def template_part(node: Node, leaf: Slot, content: Slot) -> bool:
+    """Whether the host's pages confirm the name of a node in the content: constant, or small and recurring.
+
+    Headings and inline elements stay, whatever their names; an id can be an anchor, only a class says
+    what a small varying part is.
+    """
+    if node.tag in HEADINGS or node.tag in INLINE or node.tag in CODE:
+        return False
+    if constant(leaf, content):
+        return True
+    recurs = leaf.pages >= min(MIN_PAGES, content.pages)
+    small = leaf.mass * content.pages <= SMALL_PART * content.mass * leaf.pages
+    return recurs and small and " # " not in leaf.label
+
+
+def _named_blocks(root: Node) -> set[int]:
+    """In a whole page, where the content has no container of its own: what has a boilerplate name."""
+    found, stack = set(), [root]
+    while stack:
+        for n in stack.pop().nodes():
+            if n.tag not in HEADINGS and n.tag not in CODE and named(n):
+                found.add(id(n))
+            elif n.tag not in CODE and n.tag not in WHOLE:
+                stack.append(n)
+    return found
+
+
 def extract(root: Node, template: Slot, content: Slot) -> str:
     """The text of the page's nodes that are aligned with the content slot."""
     chosen: list[tuple[Node, bool]] = []
     gone: set[int] = set()
+    framed = content.label.split(".")[0] in FRAMES
     stack = [(template, root, False, template is content)]
     if template is content:
         chosen.append((root, False))
     while stack:
         slot, node, inside, within = stack.pop()
         inside = inside or node.tag in WHOLE
-        runs = _runs([n for n in node.nodes() if not boilerplate(n, inside)])
+        below = [n for n in node.nodes() if not marked(n, inside)]
+        kinds = [named(n) for n in below]
+        if within and (not framed or inside):
+            for n, kind in zip(below, kinds, strict=True):
+                if kind in slot.named and template_part(n, slot.named[kind], content):
+                    gone.add(id(n))
+        runs = _runs([n for n, kind in zip(below, kinds, strict=True) if not kind])
         for i, (_, nodes) in zip(align(slot.children, runs), runs, strict=True):
             if i is None:
                 continue
@@ -305,10 +405,18 @@ def extract(root: Node, template: Slot, content: Slot) -> str:
             stack += [(found, n, inside, deeper) for n in nodes]
     if not chosen:  # a page unlike its host's: its own article, or all that is not boilerplate
         chosen = [(n, True) for n in _find_whole(root)] or [(root, False)]
-    parts = [
-        n.raw(lambda c, deep=inside or n.tag in WHOLE: id(c) in gone or boilerplate(c, deep)) for n, inside in chosen
-    ]
-    return tidy(" ".join(parts))
+    blocks = set()
+    for n, _ in chosen:
+        if n.tag in FRAMES:
+            blocks |= _named_blocks(n)
+    for out in (gone | blocks, gone) if blocks else (gone,):  # a page that is all in named blocks keeps them
+        parts = [
+            n.raw(lambda c, deep=inside or n.tag in WHOLE, out=out: id(c) in out or marked(c, deep)) for n, inside in chosen
+        ]
+        text = tidy(" ".join(parts))
+        if text:
+            break
+    return text
 
 
 # --- jobs ---------------------------------------------------------------------------------------
@@ -343,7 +451,7 @@ def induce(pages: DataFrame) -> DataFrame:
                 if len(held) >= MAX_HOSTS and host not in held:
                     yield flush()
                 template, room = held.setdefault(host, (Slot("root"), [MAX_NODES]))
-                add_page(template, parse(page or ""), room)
+                add_page(template, page_tree(page or ""), room)
         if held:
             yield flush()
 
@@ -398,7 +506,7 @@ def extract_text(
                         ready.clear()
                     template = Slot.load(json.loads(shared.value[host] if shared else packed[i]))
                     ready[host] = template, content_slot(template)
-                texts.append(extract(parse(page), *ready[host]))
+                texts.append(extract(page_tree(page), *ready[host]))
             yield pa.RecordBatch.from_arrays([piece["page_id"], piece["url"], pa.array(texts)], ["page_id", "url", "text"])
 
     return rows.mapInArrow(extract_pages, "page_id long, url string, text string")

@@ -51,6 +51,39 @@ def test_template_and_names_leave_the_story(spark):
         assert found[i] == want
 
 
+def _texts(spark, pages):
+    rows = [(i, f"http://one.example/{i}", page) for i, page in enumerate(pages)]
+    got = wrap.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(got)]
+
+
+def test_page_in_one_form_keeps_its_text(spark):
+    search = "<form role=search>Search this site</form>"
+    story = [f"<h1>Title {i}</h1><p>story {i} of some words and more of them</p>" for i in range(12)]
+    want = [f"Title {i} story {i} of some words and more of them" for i in range(12)]
+    for start, end in (("<article>", "</article>"), ("<div class=text>", "</div>")):
+        pages = [f"<body><form id=aspnet><nav>Home</nav>{start}{s}{end}{search}</form></body>" for s in story]
+        assert _texts(spark, pages) == want
+        pages = [f"<body>{start}<form role=form>{s}</form>{end}{search}</body>" for s in story]
+        assert _texts(spark, pages) == want
+
+
+def test_names_inside_the_content_need_the_template(spark):
+    rng = random.Random(9)
+    pages, want = [], []
+    for i in range(12):
+        a, b, c, d = (" ".join(rng.choices("alpha beta gamma delta epsilon zeta".split(), k=15)) for _ in range(4))
+        pages.append(
+            f'<body><nav>n</nav><article><h1>T{i}</h1><p>{a}</p><h2 id="social-history">Social {i}</h2><p>{b}</p>'
+            f'<section id="related-work"><p>{c}</p></section><p id="advertising">{d}</p>'
+            f'<pre>x = {i} <span class="comment"># note {i}</span></pre><div class="share">Share this {i % 2}</div>'
+            f'<div id="newsletter">Get our letter</div></article><div class="comments">{a} {i}</div></body>'
+        )
+        want.append(f"T{i} {a} Social {i} {b} {c} {d} x = {i} # note {i}")
+    assert _texts(spark, pages) == want
+    assert _texts(spark, ['<div id="comments">all there is</div>']) == ["all there is"]
+
+
 def test_copies_of_one_page_keep_their_text(spark):
     page = "<body><nav>n</nav><article><h1>Same</h1><p>all the same text</article></body>"
     rows = [(i, f"http://copies.net/{i}", page) for i in range(30)]

@@ -10,14 +10,17 @@ only a hint: outside the content its node does not count, inside it goes if the
 or constant part. A form that holds most of a page's text is a frame and not a form.
 
 Templates are induced from all pages: every task folds its pages into partial templates, which are merged
-per host in two salted steps. A template has at most ``MAX_NODES`` nodes and ``MAX_DEPTH`` levels; nodes
-beyond that are not aligned and count as part of what is above them.
+per host in two salted steps. No run is ever refused a slot. Whenever ``MAX_NODES`` slots are new, those
+go that at most a share ``RARE`` of the host's pages can have had, what was lost of them before included
+(lossy counting); so at any size and in any order a slot of a greater share stays, and its counts lack at
+most that share.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,12 +29,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgewatch.llm.html_tree import INLINE, Node, parse, tidy
+from edgewatch.llm.html_tree import INLINE, MAX_DEPTH, Node, parse, tidy
 from edgewatch.llm.rows import column, pieces
 from edgewatch.session import materialize
 
 MAX_NODES = 3_000
-MAX_DEPTH = 40
+RARE = 0.02
 MAX_HOSTS = 500
 SALTS = 32
 BROADCAST_BYTES = 16 << 20
@@ -141,18 +144,23 @@ def _find_whole(root: Node) -> list[Node]:
     return out
 
 
+# two calls for each level of a tree
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * MAX_DEPTH))
+
+
 class Slot:
     """A template node. ``kept`` is the candidate for a constant text, ``margin`` its lead over others.
 
-    ``named`` has a leaf for each kind of boilerplate name below it, counted but not aligned.
+    ``named`` has a leaf for each kind of boilerplate name below it, counted but not aligned. ``lost`` of the
+    root bounds the pages that a slot can have lost by pruning; ``early`` is what an older slot has not lost.
     """
 
-    __slots__ = ("children", "kept", "label", "margin", "mass", "named", "pages")
+    __slots__ = ("children", "early", "kept", "label", "lost", "margin", "mass", "named", "pages")
 
     def __init__(self, label: str):
         self.label, self.children = label, []
         self.named: dict[str, Slot] = {}
-        self.pages = self.mass = self.margin = self.kept = 0
+        self.pages = self.mass = self.margin = self.kept = self.lost = self.early = 0
 
     def vote(self, text_hash: int, weight: int) -> None:
         if text_hash == self.kept:
@@ -164,7 +172,7 @@ class Slot:
 
     def dump(self) -> list:
         below = [[c.dump() for c in own] for own in (self.children, self.named.values())]
-        return [self.label, self.pages, self.mass, self.kept, self.margin, *below]
+        return [self.label, self.pages, self.mass, self.kept, self.margin, *below, self.lost, self.early]
 
     @classmethod
     def load(cls, row: list) -> Slot:
@@ -172,6 +180,7 @@ class Slot:
         slot.pages, slot.mass, slot.kept, slot.margin = row[1:5]
         slot.children = [cls.load(c) for c in row[5]]
         slot.named = {c[0]: cls.load(c) for c in row[6]}
+        slot.lost, slot.early = row[7:9]
         return slot
 
 
@@ -232,30 +241,53 @@ def align(slots: list[Slot], runs: list) -> list[int | None]:
     return out
 
 
-def _slots_for(template: Slot, runs: list, room: list[int]) -> list[Slot | None]:
-    """The template's slots of the runs; runs without one get a new slot while there is room."""
+def _slots_for(template: Slot, runs: list, room: list[int]) -> list[Slot]:
+    """The template's slots of the runs; runs without one get a new slot, which takes from the room."""
     matched = align(template.children, runs)
     found: list[Slot | None] = [None if i is None else template.children[i] for i in matched]
     at = len(template.children)
     for number in range(len(runs) - 1, -1, -1):
         if matched[number] is not None:
             at = matched[number]
-        elif room[0] > 0:
+        else:
             room[0] -= 1
             found[number] = Slot(runs[number][0])
             template.children.insert(at, found[number])
     return found
 
 
+def prune(template: Slot, room: list[int]) -> None:
+    """Take out what a share of at most ``RARE`` of the pages can have had; new room for as many as stay."""
+    limit, left = max(int(RARE * template.pages), template.lost), 0
+    more, stack = limit - template.lost, [template]
+    while stack:
+        slot = stack.pop()
+        slot.children = [c for c in slot.children if c.pages + template.lost - c.early > limit]
+        for child in slot.children:
+            child.early += more
+        left += len(slot.children)
+        stack += slot.children
+    template.lost = limit
+    room[0] = max(MAX_NODES, left)
+
+
+def settle(template: Slot) -> Slot:
+    """The text that slots can have lost is added to them."""
+    stack = list(template.children)
+    while stack:
+        slot = stack.pop()
+        slot.mass += slot.mass * (template.lost - slot.early) // max(slot.pages, 1)
+        stack += slot.children
+    return template
+
+
 def add_page(template: Slot, root: Node, room: list[int]) -> None:
     """Align a page with the template and count it."""
     touched: dict[int, list] = {id(template): [template, 0, []]}
     apart: list[tuple[Node, bool]] = []
-    stack = [(template, root, False, 0)]
+    stack = [(template, root, False)]
     while stack:
-        slot, node, inside, depth = stack.pop()
-        if depth >= MAX_DEPTH:
-            continue
+        slot, node, inside = stack.pop()
         inside = inside or node.tag in WHOLE
         below = []
         for n in node.nodes():
@@ -268,11 +300,10 @@ def add_page(template: Slot, root: Node, room: list[int]) -> None:
                 below.append(n)
         runs = _runs(below)
         for found, (_, nodes) in zip(_slots_for(slot, runs, room), runs, strict=True):
-            if found is not None:
-                entry = touched.setdefault(id(found), [found, 0, []])
-                for n in nodes:
-                    entry[2].append(n)
-                    stack.append((found, n, inside, depth + 1))
+            entry = touched.setdefault(id(found), [found, 0, []])
+            for n in nodes:
+                entry[2].append(n)
+                stack.append((found, n, inside))
     texts: dict[int, tuple[str, int]] = {}
 
     def text_of(node: Node, inside: bool) -> tuple[str, int]:
@@ -302,6 +333,8 @@ def add_page(template: Slot, root: Node, room: list[int]) -> None:
         slot.pages += 1
         slot.mass += max(len(text) - links, 0)
         slot.vote(xxhash.xxh3_64_intdigest(text) >> 1, 1)
+    if room[0] <= 0:
+        prune(template, room)
 
 
 def merge(into: Slot, other: Slot, room: list[int]) -> None:
@@ -310,6 +343,7 @@ def merge(into: Slot, other: Slot, room: list[int]) -> None:
     while stack:
         a, b = stack.pop()
         a.pages, a.mass = a.pages + b.pages, a.mass + b.mass
+        a.lost, a.early = a.lost + b.lost, a.early + b.early
         a.vote(b.kept, b.margin)
         for kind, leaf in b.named.items():
             own = a.named.setdefault(kind, Slot(kind))
@@ -317,8 +351,9 @@ def merge(into: Slot, other: Slot, room: list[int]) -> None:
             own.vote(leaf.kept, leaf.margin)
         runs = [(c.label, [c]) for c in b.children]
         for slot, (_, nodes) in zip(_slots_for(a, runs, room), runs, strict=True):
-            if slot is not None:
-                stack.append((slot, nodes[0]))
+            stack.append((slot, nodes[0]))
+    if room[0] <= 0:
+        prune(into, room)
 
 
 # --- from template to text ----------------------------------------------------------------------
@@ -504,7 +539,7 @@ def extract_text(
                 if host not in ready:
                     if len(ready) >= MAX_HOSTS:
                         ready.clear()
-                    template = Slot.load(json.loads(shared.value[host] if shared else packed[i]))
+                    template = settle(Slot.load(json.loads(shared.value[host] if shared else packed[i])))
                     ready[host] = template, content_slot(template)
                 texts.append(extract(page_tree(page), *ready[host]))
             yield pa.RecordBatch.from_arrays([piece["page_id"], piece["url"], pa.array(texts)], ["page_id", "url", "text"])

@@ -107,6 +107,41 @@ def test_edges(spark):
     assert wrap.extract_text(docs.limit(0)).count() == 0
 
 
+def test_frequent_slots_outlive_any_number_of_rare_ones(monkeypatch):
+    monkeypatch.setattr(wrap, "MAX_NODES", 100)
+    rng = random.Random(10)
+
+    def page(i):
+        words = " ".join(rng.choices("alpha beta gamma delta".split(), k=20))
+        rare = "".join(f'<p id="{"".join(rng.choices("abcdefgh", k=9))}">{i} {words}</p>' for _ in range(4))
+        if i < 60:  # an older layout first
+            return f'<body><div class="old">{rare}</div></body>', None
+        notice = "<div class=hint>Always the same hint</div>"
+        deep = "<div>" * 60
+        return f'<body><div class="new">{rare}{deep}<h1>T{i}</h1>{notice}<p>{words}</p></div></body>', notice
+
+    pages = [page(i)[0] for i in range(600)]
+    halves = []
+    for part in (pages[::2], pages[1::2]):
+        room = [wrap.MAX_NODES]
+        halves.append(wrap.Slot("root"))
+        for p in part:
+            wrap.add_page(halves[-1], parse(p), room)
+    for order in (halves, halves[::-1]):
+        total, room = wrap.Slot("root"), [wrap.MAX_NODES]
+        for half in order:
+            wrap.merge(total, wrap.Slot.load(half.dump()), room)
+        wrap.settle(total)
+        texts = [wrap.extract(parse(p), total, wrap.content_slot(total)) for p in pages]
+        assert all(f"T{i}" in t and "hint" not in t for i, t in enumerate(texts) if i >= 60)
+        assert all(len(t.split()) == 84 for t in texts[:60])
+        size, stack = 0, [total]
+        while stack:
+            below = stack.pop().children
+            size, stack = size + len(below), stack + below
+        assert size < 1200  # of more than 2,400 labels
+
+
 def test_alignment_matches_most_nodes():
     template = wrap.Slot("root")
     room = [wrap.MAX_NODES]

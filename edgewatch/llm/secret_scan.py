@@ -1,6 +1,8 @@
 """Secrets in texts: fixed patterns, and a character network for the tokens that no pattern names.
 
-Candidates are runs of token characters that could be a secret. Runs are found for many texts at once by
+Candidates are all runs of at least ``MIN_CANDIDATE`` token characters, with or without digits, that do not
+lie in one pattern's finding; a run that is longer than the finding it holds is one. Shorter runs, and
+secrets with other characters than ``+/_.=-``, letters and digits, can only be found by the patterns. Runs are found for many texts at once by
 byte masks; the patterns run only on texts that hold their fixed letters. The network sees each candidate
 with its surroundings. It is trained on labelled findings: generated tokens of known kinds, secret and
 harmless, put into contexts from a bounded sample of texts, and the patterns' own findings there.
@@ -39,8 +41,6 @@ _TOKEN = np.zeros(256, bool)
 _TOKEN[list(b"+/_.=-" + string.ascii_letters.encode() + string.digits.encode())] = True
 _HEX = np.zeros(256, bool)
 _HEX[list(b"0123456789abcdef")] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[list(b"0123456789")] = True
 
 #: Shapes of labelled tokens; {alphabet:length} or {alphabet:least-most} is drawn at random.
 SECRET_SHAPES = (
@@ -90,15 +90,12 @@ def _pattern_spans(text: str, lowered: str) -> list[tuple[int, int, int]]:
 def scan(texts: list[bytes]) -> tuple[list[list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
     """Per text the base spans ``(start, kind, end)``; and candidates ``(text number, start, end)``.
 
-    Offsets count code points. Candidates do not overlap base spans.
+    Offsets count code points. No candidate lies in one base span, but it can hold some.
     """
     raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
     hexes = _runs(_HEX[raw], MIN_HEX)
     runs = _runs(_TOKEN[raw], MIN_CANDIDATE)
-    digits = np.concatenate(([0], np.cumsum(_DIGIT[raw])))
-    has_digit = digits[runs[1]] > digits[runs[0]]
-    runs = runs[0][has_digit], runs[1][has_digit]
     hex_of, run_of = (np.searchsorted(starts, x[0], side="right") - 1 for x in (hexes, runs))
     busy = set(hex_of.tolist()) | set(run_of.tolist())
     base, candidates = [], []
@@ -124,7 +121,7 @@ def scan(texts: list[bytes]) -> tuple[list[list[tuple[int, int, int]]], list[tup
         begun = np.array([s for s, _, _ in spans])
         for a, b in places.get(("run", i), ()):
             a, b = int(point[a]), int(point[b])
-            if reach[np.searchsorted(begun, b)] <= a:
+            if reach[np.searchsorted(begun, a, side="right")] < b:
                 candidates.append((i, a, b))
     return base, candidates
 
@@ -140,10 +137,9 @@ def _draw(shape: str, rng: random.Random) -> str:
     return re.sub(r"\{(\w):([\d-]+)\}", part, shape)
 
 
-def labelled_findings(texts: list[str], n: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and labels: generated tokens in contexts from the texts, and findings inside the texts."""
-    rng = random.Random(seed)
-    x, y = [], []
+def generated(texts: list[str], n: int, rng: random.Random) -> list[tuple[str, int, int, bool]]:
+    """``text, start, end, secret`` of tokens of known kinds in contexts from the texts; every other is secret."""
+    out = []
     for i in range(n):
         secret = i % 2 == 0
         token = _draw(rng.choice(SECRET_SHAPES if secret else HARMLESS_SHAPES), rng)
@@ -151,7 +147,31 @@ def labelled_findings(texts: list[str], n: int, seed: int = 3) -> tuple[np.ndarr
         around = rng.choice(texts) if texts else ""
         at = rng.randrange(len(around) + 1)
         before = around[max(at - 40, 0) : at] + lead
-        own = windows(before + token + rng.choice((" ", '"', "\n", ".", ") ")) + around[at : at + 40], len(before), len(before) + len(token))
+        text = before + token + rng.choice((" ", '"', "\n", ".", ") ")) + around[at : at + 40]
+        out.append((text, len(before), len(before) + len(token), secret))
+    return out
+
+
+def _covering(made: list[tuple[str, int, int, bool]]) -> tuple[list[bool], list[tuple[int, int] | None]]:
+    """For each finding whether a base span covers it, and the candidate that does."""
+    base, candidates = scan([text.encode() for text, *_ in made])
+    runs: list[tuple[int, int] | None] = [None] * len(made)
+    for i, s, e in candidates:
+        if s <= made[i][1] and made[i][2] <= e:
+            runs[i] = s, e
+    known = [any(s <= m[1] and m[2] <= e for s, _, e in spans) for m, spans in zip(made, base, strict=True)]
+    return known, runs
+
+
+def labelled_findings(texts: list[str], n: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and labels: generated tokens in contexts from the texts, and findings inside the texts.
+
+    A generated token is seen as the scan sees it, with the whole run that it is part of.
+    """
+    made = generated(texts, n, random.Random(seed))
+    x, y = [], []
+    for (text, s, e, secret), run in zip(made, _covering(made)[1], strict=True):
+        own = windows(text, *(run or (s, e)))
         x += own
         y += [secret] * len(own)
     base, candidates = scan([t.encode() for t in texts])
@@ -160,13 +180,32 @@ def labelled_findings(texts: list[str], n: int, seed: int = 3) -> tuple[np.ndarr
         x += own
         y += [True] * len(own)
     for i, s, e in candidates:
-        if _HARMLESS.fullmatch(texts[i][s:e]):
+        if _HARMLESS.fullmatch(texts[i][s:e]) and not any(a < e and s < b for a, _, b in base[i]):
             own = windows(texts[i], s, e)
             x += own
             y += [False] * len(own)
     return np.array(x), np.array(y, np.float32)
 
 
+def scores(made: list[tuple[str, int, int, bool]], model: Network) -> np.ndarray:
+    """For each finding, end to end: 1 if a base span covers it, else its candidate's score, 0 without one."""
+    known, runs = _covering(made)
+    out = np.array(known, np.float64)
+    for i, run in enumerate(runs):
+        if run and not known[i]:
+            out[i] = model.probabilities(np.array(windows(made[i][0], *run))).max()
+    return out
+
+
+def threshold(model: Network, texts: list[str], n: int, recall: float, seed: int = 17) -> float:
+    """The greatest that gives fresh secrets without a base span the recall, those that are no candidates as missed."""
+    made = [m for m in generated(texts, n, random.Random(seed)) if m[3]]
+    unnamed = [m for m, known in zip(made, _covering(made)[0], strict=True) if not known]
+    found = np.sort(scores(unnamed, model))
+    least = float(found[int((1 - recall) * len(found))]) if len(found) else 0.0
+    return least or model.threshold
+
+
 def train(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -184,7 +223,9 @@ def train(
     drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), F.lit(1_000_000)) < share
     sized = F.octet_length("text").between(1, CONTEXT_BYTES)
     texts = sorted(r["text"] for r in rows.filter(drawn & sized).select("text").collect())
-    return Network().fit(*labelled_findings(texts, labelled), recall)
+    model = Network().fit(*labelled_findings(texts, labelled), recall)
+    model.threshold = threshold(model, texts, labelled // 2, recall)
+    return model
 
 
 # --- scanning -----------------------------------------------------------------------------------

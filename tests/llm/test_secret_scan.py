@@ -71,6 +71,30 @@ def test_recall_and_calibration_on_fresh_findings(model):
     assert abs(p.mean() - y.mean()) < 0.05
 
 
+def test_candidates_need_no_digit_and_can_hold_base_spans(spark, model):
+    whole = [
+        "Bearer abcdefGHIJKLmnopQRSTuvwx", "pwd=QwertyUiopAsdf", "xoxp-12345678901-12345678901-" + "0a1b2c3d" * 4,
+        "key-" + "0a1b2c3d" * 4, "dop_v1_" + "0a1b2c3d" * 8,
+    ]
+    for text in whole:
+        start = text.find(" ") + 1
+        assert secret_scan.scan([text.encode()])[1] == [(0, start, len(text))], text
+    assert secret_scan.scan([b"password=abcdefgh1234 token: abcdefghijkl " + b"0a" * 20])[1] == []
+    docs = spark.createDataFrame([(i, f"the {t} here") for i, t in enumerate(whole[2:])], "doc_id long, text string")
+    for row in secret_scan.find_secrets(docs, model).collect():
+        token = whole[2 + row.doc_id]
+        assert [(s.kind, s.end - s.start) for s in row.spans if s.start == 4] == [("model", len(token))]
+
+
+def test_recall_end_to_end(model):
+    texts = ["some plain text around it with extraordinarily long, uncharacteristically lettered words " * 3]
+    limit = secret_scan.threshold(model, texts, 2000, secret_scan.RECALL)
+    made = secret_scan.generated(texts, 2000, random.Random(77))
+    p, secret = secret_scan.scores(made, model), np.array([m[3] for m in made])
+    assert (p[secret] >= limit).mean() >= 0.92
+    assert (p[~secret] >= limit).mean() <= 0.03
+
+
 def test_windows_cover_long_tokens():
     text = "x" * 10 + "".join(chr(97 + i % 26) for i in range(500)) + " "
     own = windows(text, 10, 510)

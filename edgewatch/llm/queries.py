@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from edgewatch.llm import (
     bpe_matrix,
+    importance_planes,
     line_dedup,
     paragraph_sketch,
     positional_index,
     ppm_language,
     secret_scan,
     shingle_join,
+    square_catchers,
     token_counts,
     warc,
     wrapper_induction,
@@ -124,6 +126,35 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = square_catchers.collapse_runs(
+        _table(spark, sf_dir, "documents"), least_length=24, edit=square_catchers.with_period
+    )
+
+    def before(a, b):
+        """Whether run ``a`` comes first: greater length / period, then smaller start, then period."""
+        left, right = a["length"] * b["period"], b["length"] * a["period"]
+        tie = (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["period"] < b["period"]))
+        return (left > right) | ((left == right) & tie)
+
+    best = F.try_element_at(F.array_sort("runs", lambda a, b: F.when(before(a, b), -1).when(before(b, a), 1).otherwise(0)), F.lit(1))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col("best").getField(c).alias(c) for c in ("start", "length", "period")),
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_planes.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -135,6 +166,8 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
 #: Stripped at both ends and lower-cased as the operators do it, A-Z only.
@@ -142,6 +175,15 @@ _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _NOT_WORD = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes: every byte is added, then eight bits are shifted out."""
+    byte = f"CAST(concat('0x', substr(hex(encode({text})), 2 * i - 1, 2)) AS BIGINT)"
+    bytes_of = f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: {byte})"
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295, {bytes_of}), lambda c, b: {step}), 4294967295)"
+
+
 ORACLE_SQL = {
     "op1_line_dedup": f"""WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
@@ -189,6 +231,53 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_periodic_runs": f"""WITH
+cut AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+  lambda x: x <> '') AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+sized AS (SELECT *, len(w) AS n, h // 10 AS g FROM cut),
+placed AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM sized),
+cycled AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed),
+texts AS MATERIALIZED (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+  list_transform(range(0, n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM cycled),
+words AS MATERIALIZED (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM texts),
+equal AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i),
+grouped AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM grouped GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS MATERIALIZED (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY ALL),
+listed AS (SELECT doc_id, count(*) AS n_runs,
+  string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+  max(CAST(length AS HUGEINT) * 1000000000000 // period) AS most FROM runs GROUP BY doc_id),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id
+  ORDER BY CAST(length AS HUGEINT) * 1000000000000 // period DESC, start, period) AS place FROM runs) WHERE place = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op12_importance_resampling": f"""WITH
+doc_words AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
+  {_NOT_WORD}), lambda x: x <> '') AS w FROM documents),
+features AS MATERIALIZED (SELECT doc_id, unnest(w) AS word FROM doc_words),
+targets AS MATERIALIZED (SELECT unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
+  {_NOT_WORD}), lambda x: x <> '')) AS word FROM benchmark),
+spelled AS (SELECT DISTINCT word FROM (SELECT word FROM features UNION ALL SELECT word FROM targets)),
+hashed AS MATERIALIZED (SELECT word, {_crc32("word")} % 10000 AS bucket FROM spelled),
+corpus AS (SELECT bucket, count(*) AS s FROM features JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM targets JOIN hashed USING (word) GROUP BY bucket),
+gains AS MATERIALIZED (SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT count(*) FROM features) + 10000)
+  AS DOUBLE) / CAST((coalesce(s, 0) + 1) * ((SELECT count(*) FROM targets) + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM corpus FULL JOIN target USING (bucket)),
+weights AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM features JOIN hashed USING (word)
+  JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS MATERIALIZED (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(concat('0x', substr(sha256('2024:' || doc_id), 1, 8)) AS BIGINT) + 0.5::DOUBLE)
+  / 4294967296::DOUBLE))) AS BIGINT) AS score FROM doc_words LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20),
+drawn AS (SELECT * FROM ranked WHERE rank <= 10 * (SELECT count(*) FROM ranked) // 100)
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN drawn USING (doc_id)""",
     "op9_warc": """WITH payloads AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
   FROM pages),

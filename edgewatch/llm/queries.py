@@ -10,6 +10,7 @@ from edgewatch.llm import (
     bpe_matrix,
     importance_planes,
     line_dedup,
+    minhash_forest,
     paragraph_sketch,
     positional_index,
     ppm_language,
@@ -155,6 +156,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -168,6 +173,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 #: Stripped at both ends and lower-cased as the operators do it, A-Z only.
@@ -184,6 +190,26 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295, {bytes_of}), lambda c, b: {step}), 4294967295)"
 
 
+def _similar(percent: int) -> str:
+    """CTEs ``sized`` and ``classes``: shingles of each document, and the smallest id that links reach."""
+    return f"""WITH RECURSIVE
+cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
+  '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2)) END) AS s FROM cut),
+sized AS (SELECT doc_id, len(s) AS n FROM sets),
+rows AS (SELECT doc_id, unnest(s) AS g FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM rows a JOIN rows b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sized
+  UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a),
+classes AS (SELECT r.a AS doc_id, any_value(n) AS n_shingles, min(r.b) AS component_id
+  FROM reach r JOIN sized ON sized.doc_id = r.a GROUP BY r.a)"""
+
+
 ORACLE_SQL = {
     "op1_line_dedup": f"""WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
@@ -196,22 +222,9 @@ marked AS (SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS dropped
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (dropped) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
-    "op5_ngram_jaccard_join": f"""WITH RECURSIVE
-cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
-  '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
-  ELSE list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2)) END) AS s FROM cut),
-sized AS (SELECT doc_id, len(s) AS n FROM sets),
-rows AS (SELECT doc_id, unnest(s) AS g FROM sets),
-pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
-  FROM rows a JOIN rows b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
-links AS (SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
-  WHERE 100 * c >= 90 * (x.n + y.n - c)),
-ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM sized
-  UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a)
-SELECT r.a AS doc_id, any_value(n) AS n_shingles, min(r.b) AS component_id
-FROM reach r JOIN sized ON sized.doc_id = r.a GROUP BY r.a""",
+    "op5_ngram_jaccard_join": f"{_similar(90)} SELECT doc_id, n_shingles, component_id FROM classes",
+    "op13_minhash_near_dedup": f"""{_similar(85)}
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM classes""",
     "op7_decontamination": f"""WITH
 doc_words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}),
   {_NOT_WORD}), lambda x: x <> '') AS w FROM documents),

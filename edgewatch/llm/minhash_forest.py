@@ -252,6 +252,23 @@ def leaf_links(members: DataFrame, groups: DataFrame, arrays: DataFrame, limit:
     return links
 
 
+def distinct_leaves(leaves: DataFrame) -> DataFrame:
+    """``tree, leaf, id``: the leaves of two members or more, each set of members in its first tree only."""
+    held = leaves.select("tree", "leaf", "id").distinct()
+    mixed_id = [F.xxhash64("id", F.lit(seed)) for seed in (1, 2)]
+    content = held.groupBy("leaf").agg(
+        F.min("tree").alias("tree"), F.count(F.lit(1)).alias("n"), F.sum(mixed_id[0] % (1 << 31)).alias("x"),
+        F.bit_xor(mixed_id[1]).alias("y"), F.min("id").alias("least"), F.max("id").alias("most"),
+    )
+    first = content.filter("n > 1").groupBy("n", "x", "y", "least", "most").agg(F.min(F.struct("tree", "leaf")).alias("f"))
+    return materialize(held.join(first.select("f.leaf"), "leaf"), "distinct-leaves")
+
+
+def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of the groups and further links."""
+    return groups if links.isEmpty() else components(groups.unionByName(links))
+
+
 def _with_roots(members: DataFrame, groups: DataFrame) -> DataFrame:
     named = members.join(groups, F.col("id") == F.col("a"), "left")
     return named.select("region", "id", F.coalesce("b", "id").alias("root")).distinct()
@@ -325,15 +342,16 @@ def near_duplicates(
         arrays = _built(_texts_of(texts, met), words, SETS.replace("labels", "shingles"), lambda s: s.tobytes())
         arrays = arrays.drop("doc_id").join(met.select("id", *alike), alike).dropDuplicates(["id"])
         arrays = materialize(arrays.select("id", "n", "shingles"), "arrays")
-        for first, last in ((0, 1), (1, 4), (4, forest.trees)):
-            members = leaves.filter(F.col("tree").between(first, last - 1)).select("leaf", "id")
-            groups = components(groups.unionByName(leaf_links(members, groups, arrays, limit)))
+        members = distinct_leaves(leaves)
+        # one order joins most copies, so that the others have little left to compare
+        for held in (members.filter("tree = 0"), members.filter("tree > 0")):
+            groups = _joined(groups, leaf_links(held.select("leaf", "id"), groups, arrays, limit))
         regions = parted_regions(leaves, groups)
         release(leaves)
         if regions.isEmpty():
             break
         if number == len(forests) - 1:
-            groups = components(groups.unionByName(leaf_links(remaining_leaves(regions), groups, arrays, limit)))
+            groups = _joined(groups, leaf_links(remaining_leaves(regions), groups, arrays, limit))
             break
         release(arrays)
         inside = materialize(regions.select("id").distinct().join(classes, "id"), "inside")

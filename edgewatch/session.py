@@ -62,6 +62,20 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def keep_after_scope(stored: DataFrame) -> DataFrame:
+    """Let a table outlive the innermost ``scratch_scope``; the scope around that one owns it then."""
+    for scope in _SCOPES[-1:]:
+        scope.remove(stored._stored_at)
+    for scope in _SCOPES[-2:-1]:
+        scope.append(stored._stored_at)
+    return stored
+
+
+def kept_after_scope(df: DataFrame, label: str) -> DataFrame:
+    """``df``, written now, as a table that the innermost ``scratch_scope`` leaves alone."""
+    return keep_after_scope(materialize(df, label))
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Deletes what ``materialize`` writes inside, once everything that reads it has been written."""

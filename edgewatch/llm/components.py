@@ -28,6 +28,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter(F.col("a") != F.col("b")).distinct()
 
 
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether all edges end at vertices from which none starts, one for each vertex that has any."""
+    ends = F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("starts")), F.struct(F.col("b").alias("v"), F.lit(0).alias("starts")))
+    vertices = edges.select(F.inline(ends)).groupBy("v").agg(F.sum("starts").alias("starts"), F.min("starts").alias("least"))
+    return vertices.filter("starts > 1 OR (starts > 0 AND least = 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``a, b``: every vertex that is not the least of its component, and that least vertex.
 
@@ -35,12 +42,6 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = materialize(edges.filter(F.col("a") != F.col("b")).distinct(), "edges")
-    state = None
-    while True:
+    while not _is_settled(edges):
         edges = materialize(_star(_star(edges, large=True), large=False), "stars")
-        now = edges.agg(
-            F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))
-        ).first()
-        if now == state or now[0] == 0:
-            return edges
-        state = now
+    return edges

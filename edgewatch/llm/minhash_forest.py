@@ -5,19 +5,23 @@ min-hash values of its shingles. Each tree is one sorted order of all labels, ke
 sorted slices. Labels that share their first ``base`` values are one region of the order; the classes of a
 small region are one leaf. A larger region is cut at the depth that it needs, where the longest common
 prefixes of neighbours are shorter, until its leaves are small; the neighbours on both sides of a cut stay
-candidates. Members of a leaf are compared exactly on their full sets, unless they are already connected.
+candidates. Members of a leaf that are not yet connected are first compared by all their min-hash values;
+those with a partner that could be similar enough are then compared exactly on their full sets.
 
-Deep cuts may part linked documents in all orders. So the members of every region that was cut, and that
-has not become one component, enter a forest of longer labels and more trees. What is still not connected
-in a cut region of the last forest is compared without labels. In every forest the base depth and the
-number of trees keep the chance to miss a link at the least similarity of 0.85 below 3 in 10 million, for
-pairs that no other chain of links connects.
+Deep cuts may part linked documents in all orders. So where a region was cut and has not become one
+component, its members outside the largest component are compared with all the others, in blocks. The
+members of very large regions of that kind first enter a forest of longer labels and more trees.
+
+In every forest the base depth and the number of trees keep the chance to miss a link at the least
+similarity of 0.85 below 3 in 10 million, for pairs that no other chain of links connects; the comparison by
+min-hash values adds less than 1 in 10 million.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from edgewatch.llm.components import components
 from edgewatch.llm.rows import keyed_texts, pieces
-from edgewatch.llm.shingle_join import Limit, common, shingle_sets
+from edgewatch.llm.shingle_join import Limit, common, dealt_blocks, shingle_sets
 from edgewatch.llm.word_hash import mixed
 from edgewatch.session import materialize, release
 
@@ -53,7 +57,12 @@ class Forest:
 
 
 FORESTS = (Forest(3, 8, 16), Forest(8, 14, 48), Forest(16, 24, 208))
-LEAF = 32
+LEAF = 256
+#: Members from which a cut region enters the next forest.
+LARGE_REGION = 50_000
+#: Values of a signature, which are those of the first trees' labels.
+SIGNATURE = 128
+BROADCAST_ROWS = 200_000
 SLICE_ROWS = 200_000
 BUNDLE_BYTES = 4 << 20
 CELLS = 1 << 18
@@ -96,8 +105,9 @@ def labelled_sets(docs: DataFrame, words: int, forest: Forest) -> DataFrame:
     return _built(docs, words, SETS, lambda s: labels_of(s, factors))
 
 
-def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    return texts.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+def _texts_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``texts`` with an id of ``classes``, a stored table."""
+    return texts.join(_small(classes.select("doc_id")), "doc_id", "left_semi")
 
 
 # --- sorted orders -----------------------------------------------------------------------------
@@ -229,15 +239,58 @@ def links_in_leaf(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], li
     return found
 
 
-def leaf_links(members: DataFrame, groups: DataFrame, arrays: DataFrame, limit: Limit) -> DataFrame:
-    """``a, b``: links inside the leaves of ``members`` (``leaf, id``) that join components of ``groups``."""
+def least_agreement(percent: int, values: int = SIGNATURE, risk: float = 1e-7) -> int:
+    """Common values that two sets of this similarity reach, but for a chance of less than ``risk``."""
+    p, below = percent / 100, 0.0
+    for k in range(values + 1):
+        below += comb(values, k) * p**k * (1 - p) ** (values - k)
+        if below > risk:
+            return k
+    return values
+
+
+def possible_members(roots: np.ndarray, signatures: np.ndarray, agreement: int) -> np.ndarray:
+    """Which members of a leaf agree in so many values with a member of another component."""
+    kept = np.zeros(len(roots), bool)
+    for i in range(len(roots) - 1):
+        near = np.count_nonzero(signatures[i + 1 :] == signatures[i], axis=1) >= agreement
+        near &= roots[i + 1 :] != roots[i]
+        if near.any():
+            kept[i] = True
+            kept[i + 1 :] |= near
+    return kept
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if its rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def leaf_links(
+    members: DataFrame, groups: DataFrame, signatures: DataFrame, classes: DataFrame, texts: DataFrame, words: int, limit: Limit
+) -> DataFrame | None:
+    """``a, b``: links inside the leaves of ``members`` (``leaf, id``) that join components of ``groups``, or None.
+
+    The leaves in which no two members can be linked are left behind with their signatures; only the rest
+    get their sets, made from the texts again.
+    """
     named = members.join(groups, F.col("id") == F.col("a"), "left").select("leaf", "id", F.coalesce("b", "id").alias("root"))
     split = named.groupBy("leaf").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    split = split.filter("least != most").select("leaf")
-    live = materialize(named.join(split, "leaf").distinct(), "live-leaves")
-    filled = live.join(arrays, "id")
-    size = filled.agg(F.sum("n").alias("n")).first()["n"] or 0
-    bundles = max(1, -(-8 * size // BUNDLE_BYTES))
+    live = named.join(split.filter("least != most").select("leaf"), "leaf").distinct()
+    def narrow(frame: pd.DataFrame) -> pd.DataFrame:
+        kept, agreement = [], least_agreement(limit.percent, len(frame["signature"].iloc[0]) // 2)
+        for _, own in frame.groupby("leaf", sort=False):
+            values = np.frombuffer(b"".join(own["signature"]), np.uint16).reshape(len(own), -1)
+            kept.append(own.loc[possible_members(own["root"].to_numpy(), values, agreement), ["leaf", "id", "root"]])
+        return pd.concat(kept)
+
+    live = materialize(live, "live-leaves")
+    compared = _bundled(live.join(signatures, "id"), live.count() * 2 * SIGNATURE)
+    kept = materialize(compared.applyInPandas(narrow, "leaf long, id long, root long"), "possible")
+    release(live)
+    if kept.isEmpty():
+        return None
+    arrays = sets_of(kept, classes, texts, words)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -246,12 +299,38 @@ def leaf_links(members: DataFrame, groups: DataFrame, arrays: DataFrame, limit:
             found += links_in_leaf(own["id"].to_numpy(), own["root"].to_numpy(), sets, limit)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    bundled = filled.withColumn("bundle", F.pmod(F.xxhash64("leaf"), F.lit(bundles)))
-    links = materialize(bundled.groupBy("bundle").applyInPandas(compare, "a long, b long").distinct(), "links")
-    release(live)
+    filled = kept.join(arrays, "id")
+    size = filled.agg(F.sum("n").alias("n")).first()["n"] or 0
+    links = materialize(_bundled(filled, 8 * size).applyInPandas(compare, "a long, b long").distinct(), "links")
+    release(kept)
+    release(arrays)
     return links
 
 
+def _bundled(filled: DataFrame, size: int):
+    """Leaves in groups of about ``BUNDLE_BYTES``; a leaf is bounded, and never cut."""
+    bundles = max(1, -(-size // BUNDLE_BYTES))
+    return filled.withColumn("bundle", F.pmod(F.xxhash64("leaf"), F.lit(bundles))).groupBy("bundle")
+
+
+def sets_of(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``id, n, shingles`` of the classes in ``members``, each once."""
+    alike = ["high", "low", "n"]
+    met = materialize(members.select("id").distinct().join(classes, "id"), "met")
+    built = _built(_texts_of(texts, met), words, SETS.replace("labels", "shingles"), lambda s: s.tobytes())
+    # one row of each class under the class's own id; repeated rows of that id give further ones
+    built = built.join(_small(met.select("id", "doc_id", *alike)), ["doc_id", *alike])
+    built = built.select("id", "n", "shingles", F.monotonically_increasing_id().alias("copy"))
+    stored = materialize(built, "arrays")
+    release(met)
+    copies = stored.groupBy("id").agg(F.min("copy").alias("copy"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = materialize(copies.select("id", F.col("copy").alias("first")), "copies")
+    if copies.isEmpty():
+        return stored
+    once = stored.join(_small(copies), "id", "left").filter("first IS NULL OR copy = first").drop("first")
+    return materialize(once, "arrays")
+
+
 def distinct_leaves(leaves: DataFrame) -> DataFrame:
     """``tree, leaf, id``: the leaves of two members or more, each set of members in its first tree only."""
     held = leaves.select("tree", "leaf", "id").distinct()
@@ -264,9 +343,9 @@ def distinct_leaves(leaves: DataFrame) -> DataFrame:
     return materialize(held.join(first.select("f.leaf"), "leaf"), "distinct-leaves")
 
 
-def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(groups: DataFrame, links: DataFrame | None) -> DataFrame:
     """Components of the groups and further links."""
-    return groups if links.isEmpty() else components(groups.unionByName(links))
+    return groups if links is None or links.isEmpty() else components(groups.unionByName(links))
 
 
 def _with_roots(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -282,29 +361,9 @@ def parted_regions(leaves: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def remaining_leaves(regions: DataFrame) -> DataFrame:
-    """``leaf, id``: every member beside all members of its region that may be in other components.
-
-    Outsiders are the members of all but a region's largest component; they and all members are dealt to
-    blocks by hash, and each block of outsiders meets each block of members.
-    """
-    half = LEAF // 2
-    sizes = regions.groupBy("region", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("region").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    main = main.select("region", "main", F.ceil(F.col("all") / half).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / half).alias("outer"))
-    held = regions.join(main, "region")
-
-    def placed(own: str, other: str, first: bool) -> list:
-        mine = F.pmod(F.xxhash64("id"), F.col(own))
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias("across")
-        return ["region", "id", mine.alias("mine"), every, F.lit(first).alias("outside")]
-
-    outside = held.filter("root != main").select(*placed("outer", "blocks", True))
-    inside = held.select(*placed("blocks", "outer", False))
-    both = outside.unionByName(inside)
-    pair = F.when(F.col("outside"), F.struct(F.col("mine").alias("o"), F.col("across").alias("m"))).otherwise(
-        F.struct(F.col("across").alias("o"), F.col("mine").alias("m"))
-    )
-    return both.select(F.xxhash64("region", pair.getField("o"), pair.getField("m")).alias("leaf"), "id").distinct()
+    """``leaf, id``: the members of parted regions in pairs of blocks, all but those inside one component."""
+    blocks = dealt_blocks(regions.select(F.col("region").alias("tile"), "id", F.col("root").alias("component")))
+    return blocks.select(F.xxhash64("tile", "row", "col").alias("leaf"), "id").distinct()
 
 
 # --- groups ------------------------------------------------------------------------------------
@@ -334,30 +393,31 @@ def near_duplicates(
     classes = materialize(classes, "classes")
     labelled = filled.select("row", "labels").join(classes.select(F.col("id").alias("row")), "row")
     labelled = materialize(labelled.select(F.col("row").alias("id"), "labels"), "labels")
+    signatures = labelled.select("id", F.substring("labels", 1, 2 * SIGNATURE).alias("signature"))
     groups = sets.sparkSession.createDataFrame([], "a long, b long")
     for number, forest in enumerate(forests):
         leaves = sorted_leaves(labelled, forest)
-        release(labelled)
-        met = materialize(leaves.select("id").distinct().join(classes, "id"), "met")
-        arrays = _built(_texts_of(texts, met), words, SETS.replace("labels", "shingles"), lambda s: s.tobytes())
-        arrays = arrays.drop("doc_id").join(met.select("id", *alike), alike).dropDuplicates(["id"])
-        arrays = materialize(arrays.select("id", "n", "shingles"), "arrays")
         members = distinct_leaves(leaves)
         # one order joins most copies, so that the others have little left to compare
         for held in (members.filter("tree = 0"), members.filter("tree > 0")):
-            groups = _joined(groups, leaf_links(held.select("leaf", "id"), groups, arrays, limit))
+            groups = _joined(groups, leaf_links(held.select("leaf", "id"), groups, signatures, classes, texts, words, limit))
         regions = parted_regions(leaves, groups)
         release(leaves)
+        release(members)
         if regions.isEmpty():
             break
-        if number == len(forests) - 1:
-            groups = _joined(groups, leaf_links(remaining_leaves(regions), groups, arrays, limit))
+        sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"))
+        large = sizes.filter(F.col("members") > (LARGE_REGION if number < len(forests) - 1 else 2**62)).select("region")
+        large = materialize(large, "large-regions")
+        rest = remaining_leaves(regions.join(_small(large), "region", "left_anti"))
+        groups = _joined(groups, leaf_links(rest, groups, signatures, classes, texts, words, limit))
+        if large.isEmpty():
             break
-        release(arrays)
-        inside = materialize(regions.select("id").distinct().join(classes, "id"), "inside")
+        inside = regions.join(_small(large), "region", "left_semi").select("id").distinct().join(classes, "id")
+        inside = materialize(inside, "inside")
         again = labelled_sets(_texts_of(texts, inside), words, forests[number + 1])
-        again = again.drop("doc_id").join(inside.select("id", *alike), alike).dropDuplicates(["id"])
-        labelled = materialize(again.select("id", "labels"), "labels")
+        again = again.join(_small(inside.select("id", "doc_id", *alike)), ["doc_id", *alike])
+        labelled = materialize(again.select("id", "labels").distinct(), "labels")
     roots = groups.unionByName(groups.select(F.col("b").alias("a"), "b")).distinct()
     roots = roots.join(classes.select(F.col("id").alias("a"), "doc_id"), "a")
     least = roots.groupBy("b").agg(F.min("doc_id").alias("component_id"))

@@ -71,8 +71,10 @@ def test_against_all_pairs(spark):
     assert groups_of(spark, rows, words=3, percent=85) == plain_groups(rows, 3, 85)
 
 
-def test_cut_regions_go_through_every_forest(spark, monkeypatch):
+@pytest.mark.parametrize("large", [5, 1000])
+def test_cut_regions_go_through_every_forest(spark, monkeypatch, large):
     monkeypatch.setattr(forest, "LEAF", 4)
+    monkeypatch.setattr(forest, "LARGE_REGION", large)
     monkeypatch.setattr(forest, "SLICE_ROWS", 500)
     rows = corpus(2)
     few = (Forest(1, 2, 2), Forest(2, 3, 2))  # too few trees: what they miss is found without labels
@@ -109,6 +111,22 @@ def test_one_region_of_near_copies_with_one_outsider_stays_linear(spark):
         assert len(leaves) <= 2 * n and leaves.groupby("leaf").size().max() <= forest.LEAF
 
 
+def test_least_agreement_is_a_safe_bound():
+    rng = np.random.default_rng(1)
+    agreed = rng.binomial(128, 0.85, 2_000_000)
+    assert 70 < forest.least_agreement(85) <= agreed.min() + 2
+    assert forest.least_agreement(85, 4) == 0
+
+
+def test_members_without_a_possible_partner_are_left_behind():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 1 << 16, (6, 128)).astype(np.uint16)
+    values[3, :100] = values[1, :100]
+    values[5] = values[4]
+    kept = forest.possible_members(np.array([0, 1, 2, 3, 4, 4]), values, 85)
+    assert kept.tolist() == [False, True, False, True, False, False]
+
+
 def test_forests_keep_their_promise():
     assert all(f.missed(0.85) < 3e-7 for f in forest.FORESTS)
 

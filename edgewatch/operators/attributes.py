@@ -46,6 +46,67 @@ def position_of(feature: Column, features: list[str]) -> Column:
     return F.array_position(F.array(*[F.lit(f) for f in features]), feature)
 
 
+class ValueCounts:
+    """How often each class has each value of each feature, sorted by value, with running counts per class.
+
+    Rows are counted per feature and value with a column for each class, so one table in one order has all
+    that quartiles, ranges and comparisons of classes need. Gaps are left out. The list of classes is the
+    only thing the driver gets.
+    """
+
+    def __init__(self, flows: DataFrame, features: list[str]):
+        self.features = features
+        self.classes = sorted(r[0] for r in flows.select(CLASS).distinct().collect() if r[0] is not None)
+        cells = long_form(flows, features, Slices({}), F.col(CLASS))
+        own = [F.count_if(F.col(CLASS) == c).alias(f"n{i}") for i, c in enumerate(self.classes)]
+        names = [f"n{i}" for i in range(len(self.classes))]
+        counted = cells.groupBy("feature", "value").agg(*own) if own else None
+        self.ranked = with_running_sums(counted, ["feature"], names) if own and features else None
+
+    def summary(self, *columns) -> DataFrame:
+        """``feature, attack_type, ...`` of the classes that have values; ``columns`` take a class's number and totals."""
+        totals = self.ranked.groupBy("feature").agg(*[F.sum(f"n{i}").alias(f"all{i}") for i in range(len(self.classes))])
+        placed = join_sized(self.ranked, totals, ["feature"], len(self.features))
+        numbers = range(len(self.classes))
+        flat = placed.groupBy("feature").agg(*[column(i).alias(f"{label}{i}") for i in numbers for label, column in columns])
+        per_class = [
+            F.struct(F.lit(name).alias(CLASS), *[F.col(f"{label}{i}").alias(label) for label, _ in columns])
+            for i, name in enumerate(self.classes)
+        ]
+        return flat.select("feature", F.inline(F.array(*per_class)))
+
+    def at_rank(self, i: int, rank: Column) -> Column:
+        """The value of class ``i`` at a rank, counted from 0."""
+        return F.min(F.when((F.col(f"n{i}") > 0) & (F.col(f"n{i}_upto") > rank), F.col("value")))
+
+    def quantile(self, probability: float):
+        def of(i: int) -> Column:
+            place = (F.col(f"all{i}") - 1) * F.lit(probability)
+            low, high = self.at_rank(i, F.floor(place)), self.at_rank(i, F.ceil(place))
+            return low + (high - low) * F.max(place - F.floor(place))
+
+        return of
+
+    def delta(self, i: int) -> Column:
+        """Cliff's delta of class ``i``: its values lose to the benign ones above and beat those below."""
+        if BENIGN not in self.classes:
+            return F.first(F.lit(None).cast("double"))
+        benign = self.classes.index(BENIGN)
+        below = (F.col(f"n{benign}_upto") - F.col(f"n{benign}")).cast("double")
+        above = (F.col(f"all{benign}") - F.col(f"n{benign}_upto")).cast("double")
+        n = F.col(f"n{i}").cast("double")
+        sizes = [F.nullif(F.max(f"all{k}"), F.lit(0)) for k in (benign, i)]
+        return F.sum(n * (above - below)) / sizes[0] / sizes[1]
+
+    def extent(self, i: int) -> Column:
+        value = F.when(F.col(f"n{i}") > 0, F.col("value"))
+        return F.max(value) - F.min(value)
+
+
+def _no_rows(flows: DataFrame, schema: str) -> DataFrame:
+    return flows.sparkSession.createDataFrame([], schema)
+
+
 def cliffs_delta(flows: DataFrame, features: list[str] | None = None) -> DataFrame:
     """``attack_type, feature, cliff_delta``: P(benign > attack) - P(benign < attack).
 
@@ -53,75 +114,39 @@ def cliffs_delta(flows: DataFrame, features: list[str] | None = None) -> DataFra
     beats or loses to as many benign rows as lie below or above it, which a running count over the
     sorted values gives. The sort is a range partitioning.
     """
-    features = profile_features(flows, features)
-    counted = (
-        long_form(flows, features, Slices({}), F.col(CLASS))
-        .groupBy("feature", "value", CLASS)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    attack = F.when(F.col(CLASS) != BENIGN, F.struct(CLASS, "n"))
-    # one entry per class and value
-    values = counted.groupBy("feature", "value").agg(
-        F.sum(F.when(F.col(CLASS) == BENIGN, F.col("n")).otherwise(0)).alias("b"),
-        F.collect_list(attack).alias("attacks"),
-    )
-    ranked = with_running_sums(values, ["feature"], ["b"])
-    whole = ranked.groupBy("feature").agg(F.sum("b").alias("benign")).filter("benign > 0")
-    placed = join_sized(
-        ranked.select("feature", "b", "b_upto", F.inline("attacks")), whole, ["feature"], len(features)
-    )
-    benign = F.col("benign").cast("double")
-    below = (F.col("b_upto") - F.col("b")).cast("double")
-    above = benign - F.col("b_upto")
-    n = F.col("n").cast("double")
-    return placed.groupBy(CLASS, "feature").agg(
-        (F.sum(n * (above - below)) / F.max(benign) / F.sum(n)).alias("cliff_delta")
-    )
+    counts = ValueCounts(flows, profile_features(flows, features))
+    if counts.ranked is None:
+        return _no_rows(flows, f"{CLASS} string, feature string, cliff_delta double")
+    found = counts.summary(("cliff_delta", counts.delta))
+    return found.filter((F.col(CLASS) != BENIGN) & F.col("cliff_delta").isNotNull()).select(CLASS, "feature", "cliff_delta")
 
 
-def feature_statistics(
-    flows: DataFrame,
-    features: list[str] | None = None,
-    rows: int | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """Medians, interquartile ranges, Cliff's delta and discrimination per attack class and feature."""
+def feature_statistics(flows: DataFrame, features: list[str] | None = None) -> DataFrame:
+    """Medians, interquartile ranges, Cliff's delta and discrimination per attack class and feature.
+
+    All of them come from one table of value counts. Features that a class or the benign rows have no value
+    of are left out.
+    """
     features = profile_features(flows, features)
-    flows = stored_features(flows, features)
-    rows = flows.count() if rows is None else rows
-    quartiles = exact_quantiles(flows, features, [0.25, 0.5, 0.75], CLASS, rows, rows_per_slice)
-    sides = quartiles.select(
-        CLASS,
-        "feature",
-        F.col("q1").alias("median"),
-        (F.col("q2") - F.col("q0")).alias("iqr"),
-        (F.col("high") - F.col("low")).alias("range"),
-    )
-    benign = sides.filter(F.col(CLASS) == BENIGN).select(
-        "feature",
-        F.col("median").alias("benign_median"),
-        F.col("iqr").alias("benign_iqr"),
-        F.col("range").alias("benign_range"),
-    )
-    attack = sides.filter(F.col(CLASS) != BENIGN).select(
+    counts = ValueCounts(flows, features)
+    if counts.ranked is None:
+        names = ("benign_median", "benign_iqr", "attack_median", "attack_iqr", "cliff_delta", "discrimination")
+        return _no_rows(flows, f"{CLASS} string, feature string, " + ", ".join(f"{n} double" for n in names))
+    quartiles = [(f"q{i}", counts.quantile(p)) for i, p in enumerate((0.25, 0.5, 0.75))]
+    found = counts.summary(*quartiles, ("range", counts.extent), ("cliff_delta", counts.delta)).filter("q1 IS NOT NULL")
+    sides = found.select(CLASS, "feature", F.col("q1").alias("median"), (F.col("q2") - F.col("q0")).alias("iqr"), "range", "cliff_delta")
+    # a row per feature and class: both sides of every pair in one small grouping
+    benign = F.max(F.when(F.col(CLASS) == BENIGN, F.struct("median", "iqr", "range"))).over(Window.partitionBy("feature"))
+    paired = sides.select("*", benign.alias("benign")).filter((F.col(CLASS) != BENIGN) & F.col("benign").isNotNull())
+    widest = F.greatest(F.col("benign.range"), F.col("range"))
+    apart = F.abs(F.col("median") - F.col("benign.median"))
+    return paired.select(
         CLASS,
         "feature",
+        F.col("benign.median").alias("benign_median"),
+        F.col("benign.iqr").alias("benign_iqr"),
         F.col("median").alias("attack_median"),
         F.col("iqr").alias("attack_iqr"),
-        F.col("range").alias("attack_range"),
-    )
-    # one row per feature on the small side
-    paired = join_sized(attack, benign, ["feature"], len(features))
-    deltas = cliffs_delta(flows, features)
-    widest = F.greatest("benign_range", "attack_range")
-    apart = F.abs(F.col("attack_median") - F.col("benign_median"))
-    return paired.join(deltas, [CLASS, "feature"]).select(
-        CLASS,
-        "feature",
-        "benign_median",
-        "benign_iqr",
-        "attack_median",
-        "attack_iqr",
         "cliff_delta",
         F.when(widest > 0, apart / widest).otherwise(F.lit(0.0)).alias("discrimination"),
     )
@@ -230,7 +255,8 @@ def correlation_matrix(
     """``feature_1, feature_2, correlation`` (Pearson) over median-filled features, all pairs.
 
     One distributed pass builds the matrix, whose size depends on the number of features only.
-    A constant feature has no correlation (null), also not with itself.
+    A constant feature has no correlation (null), also not with itself. Results are rounded to 12 digits,
+    because the last ones depend on how the rows were dealt to tasks.
     """
     features = profile_features(flows, features)
     flows = stored_features(flows, features)
@@ -248,7 +274,7 @@ def correlation_matrix(
     for i, a in enumerate(features):
         for j, b in enumerate(features):
             undefined = flat[i] or flat[j]
-            cells.append((a, b, None if undefined else float(matrix[i][j])))
+            cells.append((a, b, None if undefined else round(float(matrix[i][j]), 12)))
     return flows.sparkSession.createDataFrame(
         cells, "feature_1 string, feature_2 string, correlation double"
     )

@@ -66,7 +66,7 @@ def analyze_flows(flows: DataFrame, features: list[str] | None = None) -> FlowAn
     summary = dataset_summary(flows)
     narrow = materialize(flows.select(CLASS, *[named(f).cast("double").alias(f) for f in features]), "flows")
     rows = narrow.count()
-    statistics = materialize(feature_statistics(narrow, features, rows), "statistics")
+    statistics = materialize(feature_statistics(narrow, features), "statistics")
     importance = materialize(feature_importance(narrow, features, rows), "importance")
     trees = decision_trees(narrow, features, rows)
     table = attribute_table(narrow, statistics, trees.metrics, features)

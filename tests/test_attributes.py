@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from edgewatch.functions import ordering
 from edgewatch.operators import attributes
-from edgewatch.operators.trees import decision_trees, tree_splits
+from edgewatch.operators.trees import decision_trees
 
 FEATURES = ["Flow Duration", "Flow Packets/s", "SYN Flag Count", "Constant"]
 
@@ -41,9 +41,13 @@ def test_cliffs_delta_equals_all_pairs(flows):
         assert r.cliff_delta == pytest.approx(pairs.sum() / (len(x) * len(y)))
 
 
-@pytest.mark.parametrize("per_slice", [1_000_000, 50])
-def test_statistics(flows, per_slice):
-    found = attributes.feature_statistics(flows, FEATURES, 600, per_slice).collect()
+@pytest.mark.parametrize("partitions", ["4", "23"])
+def test_statistics(spark, flows, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = attributes.feature_statistics(flows, FEATURES).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(found) == 12
     for r in found:
         at = FEATURES.index(r.feature) + 1
@@ -57,6 +61,16 @@ def test_statistics(flows, per_slice):
         assert r.discrimination == pytest.approx(apart / widest if widest else 0.0)
 
 
+def test_statistics_without_classes_or_values(spark):
+    schema = "attack_type string, x double, y double"
+    assert attributes.feature_statistics(spark.createDataFrame([], schema), ["x"]).count() == 0
+    assert attributes.cliffs_delta(spark.createDataFrame([("A", 1.0, None)], schema), ["x"]).count() == 0
+    rows = [("A", 1.0, None), ("A", 4.0, None), ("Benign", 2.0, 3.0), (None, 9.0, 9.0)]
+    found = attributes.feature_statistics(spark.createDataFrame(rows, schema), ["x", "y"]).collect()
+    assert [tuple(r)[:4] for r in found] == [("A", "x", 2.0, 0.0)]
+    assert (found[0].attack_median, found[0].attack_iqr, found[0].cliff_delta) == (2.5, 1.5, 0.0)
+
+
 def test_importance(flows):
     found = attributes.feature_importance(flows, FEATURES, 600).collect()
     assert {r.attack_type for r in found} == {"DDoS", "PortScan"}  # the rare class has too few rows
@@ -103,7 +117,7 @@ def test_trees_and_table(flows):
     rules = trees.rules.orderBy("attack_type", "position").collect()
     first = [r for r in rules if r.attack_type == "PortScan"][:2]
     assert [(r.feature, r.direction) for r in first] == [("SYN Flag Count", "<="), ("SYN Flag Count", ">")]
-    assert len(tree_splits(trees.models["PortScan"], max_depth=0)) == 1
+    assert len(trees.trees["PortScan"].splits(max_depth=0)) == 1
     assert all(len([r for r in rules if r.attack_type == a]) <= 14 for a in quality)
 
     stats = attributes.feature_statistics(flows, FEATURES)
@@ -126,7 +140,7 @@ def test_suggested_rules(spark):
 def test_slices_decide_the_balance_only(flows, monkeypatch):
     def results():
         frames = (
-            attributes.feature_statistics(flows, FEATURES, 600, ordering.ROWS_PER_SLICE),
+            attributes.feature_statistics(flows, FEATURES),
             attributes.feature_importance(flows, FEATURES, 600),
             attributes.correlation_matrix(flows, FEATURES, 600),
         )

@@ -5,25 +5,28 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgewatch.config import ScorerConfig
-from edgewatch.functions.ordering import exact_quantiles, smallest_per_group, with_row_index
+from edgewatch.functions import quantile_sketch
+from edgewatch.functions.ordering import Slices, exact_quantiles, long_form, smallest_per_group, with_row_index
 from edgewatch.functions.scalar import event_seconds
 from edgewatch.operators import alerts as alert_ops
-from edgewatch.operators import attributes, baseline, clean, edges, evaluate, monitor, replay, sketch
+from edgewatch.operators import attributes, baseline, clean, curves, edges, evaluate, live_view, monitor, replay, sketch
 from edgewatch.operators.scoring import Clock, assign_ticks, profile_events, score_edges
 from edgewatch.operators.trees import decision_trees
 from edgewatch.plans.detection import compare_detectors, evaluate_batch
-from edgewatch.schemas import LABEL_CLASSES
+from edgewatch.schemas import ALERT_TABLE_SCHEMA, LABEL_CLASSES
 from edgewatch.session import shared_dir
-from edgewatch.sinks import reports, tables
-from edgewatch.sources import edge_files, flow_files, streams
+from edgewatch.sinks import compaction, reports, tables
+from edgewatch.sources import edge_files, edge_log, flow_files, streams
 from edgewatch.sources import tables as stored_tables
 from edgewatch.sources.edge_files import attach_labels
 from edgewatch.streaming.job import scoring_job
+from edgewatch.streaming.rates import RateTable
 
 try:
     from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
@@ -49,6 +52,8 @@ SKETCHED = ScorerConfig(
 )
 SMALL_SKETCH = ScorerConfig(width=64, depth=4, hash_fn="md5")
 FILTERED = ScorerConfig(tick_seconds=HOUR, alpha=0.5, filter_anomalies=True, filter_cutoff=80.0)
+LATE_ORDER = ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=80.0, order="arrival")
+LOG_PARTITIONS = 4
 FEATURES = ["quantity", "extendedprice", "discount", "tax"]
 RAW_FEATURES = ["Flow Duration", "Total Fwd Packets", "Flow Bytes/s"]
 
@@ -323,6 +328,26 @@ def alert_graph_nodes_all(spark, sf_dir):
     return monitor.alert_graph_nodes(_alerts(spark, sf_dir), None, None)
 
 
+def live_graph_edges(spark, sf_dir):
+    return _round(live_view.live_graph_edges(_alerts(spark, sf_dir), flush_seconds=HOUR), "score")
+
+
+def live_graph_nodes(spark, sf_dir):
+    return live_view.live_graph_nodes(_alerts(spark, sf_dir), flush_seconds=HOUR)
+
+
+def _judged(spark, sf_dir):
+    return _round(score_edges(_events(spark, sf_dir), SELECTIVE), "score")
+
+
+def threshold_curve(spark, sf_dir):
+    return _round(curves.threshold_curve(_judged(spark, sf_dir)), "precision", "recall")
+
+
+def score_separation(spark, sf_dir):
+    return _round(curves.separation(_judged(spark, sf_dir)), "auc", "average_precision")
+
+
 def positional_label_join(spark, sf_dir):
     """Row N of the event file with row N of a label column read separately."""
     events = with_row_index(_table(spark, sf_dir, "events").select("event_id", "user_id"), parquet=True)
@@ -451,6 +476,25 @@ def feature_statistics(spark, sf_dir):
     return _round(stats, *[c for c in stats.columns if c not in ("attack_type", "feature")])
 
 
+def sketched_medians(spark, sf_dir):
+    """Medians from sketches of two halves of the flows, and whether their ranks are as near as promised."""
+    flows = _flows(spark, sf_dir).withColumn("half", F.pmod(F.xxhash64("quantity", "extendedprice"), F.lit(2)))
+    halves = [quantile_sketch.feature_sketches(flows.filter(F.col("half") == i), FEATURES, "attack_type") for i in (0, 1)]
+    path = _scratch(spark, "sketches")
+    for i, half in enumerate(halves):
+        half.write.parquet(f"{path}/half={i}")
+    merged = quantile_sketch.merged_sketches(spark.read.parquet(path), "attack_type")
+    medians = quantile_sketch.sketch_quantiles(merged, "attack_type", [0.5])
+    cells = long_form(flows, FEATURES, Slices({}), F.col("attack_type"))
+    ranks = cells.join(F.broadcast(medians), ["attack_type", "feature"]).groupBy("attack_type", "feature", "n").agg(
+        (F.count_if(F.col("value") < F.col("q0")) / F.count(F.lit(1))).alias("below"),
+        (F.count_if(F.col("value") <= F.col("q0")) / F.count(F.lit(1))).alias("upto"),
+    )
+    error = 2 * quantile_sketch.rank_error()
+    near = (F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)
+    return ranks.select("attack_type", "feature", "n", near.alias("near"))
+
+
 def cliffs_delta(spark, sf_dir):
     return _round(attributes.cliffs_delta(_flows(spark, sf_dir), FEATURES), "cliff_delta")
 
@@ -484,22 +528,18 @@ def _tree_flows(spark, sf_dir):
     )
 
 
-#: More than any of the whole-number features has distinct values, so splits lie halfway between them.
-TREE_BINS = 64
-
-
 def decision_tree_rules(spark, sf_dir):
-    rules = decision_trees(_tree_flows(spark, sf_dir), FEATURES, max_bins=TREE_BINS).rules
+    rules = decision_trees(_tree_flows(spark, sf_dir), FEATURES).rules
     return _round(rules, "threshold")
 
 
 def decision_tree_metrics(spark, sf_dir):
-    return decision_trees(_tree_flows(spark, sf_dir), FEATURES, max_bins=TREE_BINS).metrics
+    return decision_trees(_tree_flows(spark, sf_dir), FEATURES).metrics
 
 
 def attribute_table_with_trees(spark, sf_dir):
     flows = _tree_flows(spark, sf_dir)
-    trees = decision_trees(flows, FEATURES, max_bins=TREE_BINS)
+    trees = decision_trees(flows, FEATURES)
     stats = attributes.feature_statistics(flows, FEATURES)
     table = attributes.attribute_table(flows, stats, trees.metrics, FEATURES)
     return _round(table, "support_percent")
@@ -521,11 +561,33 @@ def correlation_matrix_with_nan(spark, sf_dir):
     return _round(attributes.correlation_matrix(_nan_flows(spark, sf_dir), FEATURES), "correlation")
 
 
+def _priced_flows(spark, sf_dir):
+    """Flows in which the class follows the price, a feature of many thousand values, and no tree is perfect."""
+    price = F.col("l_extendedprice")
+    kind = (
+        F.when(price > 38_000 + 260_000 * F.col("l_discount"), "DDoS")
+        .when(price < 4_000 + 50_000 * F.col("l_tax"), "PortScan")
+        .otherwise("Benign")
+    )
+    return _table(spark, sf_dir, "lineitem").select(
+        kind.alias("attack_type"), F.col("l_quantity").alias("quantity"), price.alias("extendedprice"),
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"),
+    )
+
+
+def decision_tree_nodes(spark, sf_dir):
+    return _round(decision_trees(_priced_flows(spark, sf_dir), FEATURES).nodes, "threshold")
+
+
+def decision_tree_importances(spark, sf_dir):
+    return _round(decision_trees(_priced_flows(spark, sf_dir), FEATURES).importances, "importance")
+
+
 def trees_with_nan(spark, sf_dir):
     """Gaps in a feature that no perfect tree uses change nothing."""
     gap = F.when(F.pmod(F.round(F.col("extendedprice") * 100).cast("long"), F.lit(19)) == 0, F.lit(float("nan")))
     flows = _tree_flows(spark, sf_dir).withColumn("extendedprice", F.coalesce(gap, "extendedprice"))
-    return decision_trees(flows, FEATURES, max_bins=TREE_BINS).metrics
+    return decision_trees(flows, FEATURES).metrics
 
 
 # --- tables written to the session's shared folder and read back ---------------------------------
@@ -622,19 +684,93 @@ def stored_scores(spark, sf_dir):
     return rows.withColumns(seconds).withColumn("event_date", F.col("event_date").cast("string"))
 
 
-def streamed_scores(spark, sf_dir):
-    """Four micro-batches with state between them give what one batch gives."""
-    job = scoring_job(spark, f"edgewatch/job-{uuid.uuid4().hex}", SELECTIVE)
-    events = _events(spark, sf_dir)
-    low, high = events.agg(F.min("timestamp"), F.max("timestamp")).first()
-    step = (high - low) // 4 + 1
-    for batch in range(4):
-        start = low + batch * step
-        job.process(events.filter(F.col("timestamp").between(start, start + step - 1)), batch)
+STREAM_BATCHES = 4
+
+
+def _parts(events: DataFrame, column: str) -> list[DataFrame]:
+    """The events in ``STREAM_BATCHES`` ranges of a column, in order."""
+    low, high = events.agg(F.min(column), F.max(column)).first()
+    step = (high - low) // STREAM_BATCHES + 1
+    return [events.filter(F.col(column).between(low + i * step, low + (i + 1) * step - 1)) for i in range(STREAM_BATCHES)]
+
+
+def _streamed(spark, parts: list[DataFrame], job, after_each=None) -> None:
+    """Each part appears as files that the job's query then finds; the query is restarted for each."""
+    folder = _scratch(spark, "stream")
+    for part in parts:
+        part.write.mode("append").json(folder)
+        job.start(streams.file_edges(spark, folder), availableNow=True).awaitTermination()
+        if after_each:
+            after_each()
+
+
+def _job(spark, cfg, **options):
+    return scoring_job(spark, f"edgewatch/job-{uuid.uuid4().hex}", cfg, **options)
+
+
+def _stored_scores_of(spark, job):
     rows = _round(stored_tables.read_scores(spark, f"{job.path}/scores"), "anomaly_score")
     return rows.select("id", "src", "dst", F.unix_seconds("event_time").alias("event_time"), "anomaly_score", "is_alert", "label")
 
 
+def streamed_scores(spark, sf_dir):
+    """A streaming query over files that is stopped and started again, with state between its batches."""
+    job = _job(spark, SELECTIVE)
+    _streamed(spark, _parts(_edge_text(spark, sf_dir), "timestamp"), job)
+    return _stored_scores_of(spark, job)
+
+
+def compacted_alerts(spark, sf_dir):
+    """The alerts of a stream, three of four batches merged into days; what one half of the days holds."""
+    job = _job(spark, SELECTIVE)
+    events = _edge_text(spark, sf_dir)
+    _streamed(spark, _parts(events, "timestamp"), job)
+    compaction.compact_table(spark, f"{job.path}/alerts", STREAM_BATCHES - 2)
+    low, high = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+    middle = datetime.fromtimestamp((low + high) // 2, timezone.utc).date()
+    rows = _round(stored_tables.read_alerts(spark, f"{job.path}/alerts", last=middle), "score")
+    return rows.select("alert_id", "src", "dst", F.unix_seconds("event_time").alias("event_time"), "score", F.array_join("subgraph_nodes", ",").alias("subgraph_nodes"))
+
+
+def watermarked_scores(spark, sf_dir):
+    """Events that arrive by id and jump back in time; those an hour behind earlier batches are set aside."""
+    back = F.pmod(F.col("event_id") * 7919, F.lit(9000))
+    events = _edge_text(spark, sf_dir).withColumn("timestamp", F.col("timestamp") - back)
+    job = _job(spark, LATE_ORDER, delay_seconds=HOUR, late="divert")
+    _streamed(spark, _parts(events, "event_id"), job)
+    kept = _stored_scores_of(spark, job).select("id", "event_time", "anomaly_score", F.lit(False).alias("late"))
+    late = spark.read.schema("event_id long, timestamp long").parquet(f"{job.path}/late")
+    return kept.unionByName(
+        late.select(F.col("event_id").alias("id"), F.col("timestamp").alias("event_time"), F.lit(None).cast("double").alias("anomaly_score"), F.lit(True).alias("late"))
+    )
+
+
+def streamed_alert_rate(spark, sf_dir):
+    """The sliding rate of a stream over the alerts table, which another stream writes."""
+    job = _job(spark, SELECTIVE)
+    rates = RateTable(f"{job.path}/rates")
+
+    def follow():
+        alerts = spark.readStream.schema(ALERT_TABLE_SCHEMA).parquet(f"{job.path}/alerts")
+        rates.start(alerts, seconds=1, availableNow=True).awaitTermination()
+
+    _streamed(spark, _parts(_edge_text(spark, sf_dir), "timestamp"), job, follow)
+    return rates.read(spark)
+
+
+def logged_scores(spark, sf_dir):
+    """Messages appended to a log of four partitions, and scored in order of arrival by a query that follows it."""
+    job = _job(spark, ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=80.0, order="arrival", arrival="arrival"))
+    path = f"{job.path}/log"
+    for part in _parts(_edge_text(spark, sf_dir), "timestamp"):
+        message = part.withColumn("value", F.to_json(F.struct("src", "dst", "timestamp", "label")))
+        place = F.pmod("event_id", F.lit(LOG_PARTITIONS))
+        ordered = message.repartition(LOG_PARTITIONS, place).sortWithinPartitions("timestamp", "event_id")
+        edge_log.append_log(spark, edge_log.log_rows(ordered, place, F.timestamp_seconds("timestamp")), path)
+        job.start(streams.topic_events(edge_log.follow_log(spark, path)), availableNow=True).awaitTermination()
+    return _stored_scores_of(spark, job).drop("id")
+
+
 def report_file(spark, sf_dir):
     path = _scratch(spark, "report")
     reports.write_csv_report(clean.class_counts(_flows(spark, sf_dir)), path)
@@ -664,11 +800,14 @@ _QUERIES = (
     alert_graph_nodes, alert_graph_nodes_all, positional_label_join, replay_timeline,
     replay_events_json, replay_events, sample_per_group, label_normalize, unknown_labels,
     median_impute, parse_timestamps, dedupe_keep_first, class_counts, dataset_summary, quantiles,
-    feature_statistics, cliffs_delta, feature_importance, correlation_matrix, attribute_table,
-    decision_tree_rules, decision_tree_metrics, attribute_table_with_trees,
+    feature_statistics, sketched_medians, cliffs_delta, feature_importance, correlation_matrix, attribute_table,
+    decision_tree_rules, decision_tree_metrics, decision_tree_nodes, decision_tree_importances,
+    attribute_table_with_trees,
     feature_importance_with_nan, correlation_matrix_with_nan, trees_with_nan, headed_edges,
     headerless_edges, quarantined_edges, malformed_lines, quarantined_messages, malformed_messages,
     stacked_flow_files, stored_flows, stored_scores, streamed_scores, report_file,
+    compacted_alerts, watermarked_scores, streamed_alert_rate, logged_scores, live_graph_edges, live_graph_nodes,
+    threshold_curve, score_separation,
     without_test_rows, sketch_bound,
 )
 
@@ -953,6 +1092,73 @@ _TREE_METRICS = f"""WITH {_TREE_FLOWS} SELECT attack_type, 1.0::DOUBLE AS accura
   1.0::DOUBLE AS recall FROM flows WHERE attack_type <> 'Benign' GROUP BY attack_type"""
 
 
+def _tree_ctes(depth: int = 3, min_leaf: int = 10) -> str:
+    """``nodes(attack_type, node, n, p, feature, place, threshold)`` of trees by exhaustive search."""
+    purity = "(({p}) * ({p}) + (({n}) - ({p})) * (({n}) - ({p})))::DOUBLE / ({n})"
+    sides = [purity.format(n=n, p=p) for n, p in (("n", "p"), ("all_n - n", "all_p - p"))]
+    ctes = ["""flows AS (SELECT row_number() OVER () AS id, CASE WHEN l_extendedprice > 38000 + 260000 * l_discount THEN 'DDoS'
+    WHEN l_extendedprice < 4000 + 50000 * l_tax THEN 'PortScan' ELSE 'Benign' END AS kind, l_quantity AS quantity,
+  l_extendedprice AS extendedprice, l_discount AS discount, l_tax AS tax FROM lineitem)"""]
+    cells = " UNION ALL ".join(f"SELECT id, kind, {i} AS place, '{f}' AS feature, {f} AS value FROM flows" for i, f in enumerate(FEATURES))
+    ctes += [
+        f"cells AS MATERIALIZED ({cells})",
+        """attacks AS (SELECT kind AS attack_type FROM flows WHERE kind <> 'Benign' GROUP BY kind HAVING count(*) >= 20)""",
+        "at0 AS (SELECT id, attack_type, 1 AS node FROM flows, attacks)",
+    ]
+    for level in range(depth):
+        ctes += [
+            f"""counted{level} AS (SELECT attack_type, node, place, feature, value, count(*) AS own,
+  count(*) FILTER (kind = attack_type) AS hits FROM at{level} JOIN cells USING (id) GROUP BY ALL)""",
+            f"""cuts{level} AS (SELECT *, lead(value) OVER up AS after, sum(own) OVER up AS n, sum(hits) OVER up AS p,
+  sum(own) OVER whole AS all_n, sum(hits) OVER whole AS all_p FROM counted{level}
+  WINDOW whole AS (PARTITION BY attack_type, node, place),
+  up AS (PARTITION BY attack_type, node, place ORDER BY value ROWS UNBOUNDED PRECEDING))""",
+            f"""best{level} AS MATERIALIZED (SELECT * FROM cuts{level} WHERE n >= {min_leaf} AND all_n - n >= {min_leaf}
+  AND p * all_n <> all_p * n AND after IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY attack_type, node ORDER BY {sides[0]} + {sides[1]} DESC, place, value) = 1)""",
+            f"""at{level + 1} AS (SELECT a.id, a.attack_type,
+  CASE WHEN c.value <= (b.value + b.after) / 2 THEN 2 * a.node ELSE 2 * a.node + 1 END AS node FROM at{level} a
+  JOIN best{level} b USING (attack_type, node) JOIN cells c ON c.id = a.id AND c.place = b.place)""",
+        ]
+    every = " UNION ALL ".join(f"SELECT * FROM at{level}" for level in range(depth + 1))
+    split = " UNION ALL ".join(f"SELECT attack_type, node, feature, (value + after) / 2 AS threshold FROM best{level}" for level in range(depth))
+    ctes += [
+        f"""sizes AS (SELECT attack_type, node, count(*) AS n, count(*) FILTER (kind = attack_type) AS p
+  FROM ({every}) JOIN flows USING (id) GROUP BY ALL)""",
+        f"nodes AS (SELECT * FROM sizes LEFT JOIN ({split}) USING (attack_type, node))",
+    ]
+    return ",\n".join(ctes)
+
+
+_TREE_SEARCH = {
+    "decision_tree_nodes": f"""WITH {_tree_ctes()} SELECT attack_type, CAST(node AS INT) AS node, n AS rows, p AS positives,
+  feature, round(threshold, 6) AS threshold FROM nodes""",
+    "decision_tree_importances": f"""WITH {_tree_ctes()},
+pure AS (SELECT *, (p * p + (n - p) * (n - p))::DOUBLE / n AS purity FROM nodes),
+gains AS (SELECT a.attack_type, a.feature, sum(l.purity + r.purity - a.purity) AS gain FROM pure a
+  JOIN pure l ON l.attack_type = a.attack_type AND l.node = 2 * a.node
+  JOIN pure r ON r.attack_type = a.attack_type AND r.node = 2 * a.node + 1 GROUP BY ALL),
+used AS (SELECT attack_type, unnest({FEATURES!r}) AS feature FROM attacks)
+SELECT attack_type, feature, round(coalesce(gain, 0) / sum(gain) OVER (PARTITION BY attack_type), 6) AS importance
+FROM used LEFT JOIN gains USING (attack_type, feature)""",
+}
+
+
+def _live_ctes(alerts: str, keys: str, limit: int) -> str:
+    """``held(keys, scores)``: what a display shows after hourly flushes, replayed one after another."""
+    return f"""flushes AS (SELECT timestamp // {HOUR} AS flush, {keys}, arg_max(score, (timestamp, event_id)) AS score
+  FROM {alerts} GROUP BY ALL),
+steps AS (SELECT row_number() OVER (ORDER BY flush) AS step, list([src, dst] ORDER BY place) AS came,
+  list(score ORDER BY place) AS news FROM flushes GROUP BY flush),
+shown AS (SELECT 0::BIGINT AS step, []::VARCHAR[][] AS keys, []::DOUBLE[] AS scores
+  UNION ALL SELECT step, list_slice(k, greatest(len(k) - {limit}, 0) + 1, len(k)), list_slice(s, greatest(len(s) - {limit}, 0) + 1, len(s))
+  FROM (SELECT step, k, list_transform(k, lambda x: coalesce(news[list_position(came, x)], scores[list_position(keys, x)])) AS s
+    FROM (SELECT steps.step, came, news, keys, scores,
+        list_concat(keys, list_filter(came, lambda x: list_position(keys, x) IS NULL)) AS k
+      FROM shown JOIN steps ON steps.step = shown.step + 1))),
+held AS (SELECT keys, scores FROM shown ORDER BY step DESC LIMIT 1)"""
+
+
 def _read_back_sql(score: str) -> dict[str, str]:
     """SQL of the tables that are written and read back."""
     edges_read = f"WITH {_EV} SELECT src, dst, timestamp, label FROM ev"
@@ -974,6 +1180,18 @@ WHERE event_id % 40 <> 0""",
         "stored_scores": f"""{scores}, timestamp + event_id % 7 AS ingested_at,
   strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d') AS event_date, 3 AS batch_id FROM scored""",
         "streamed_scores": f"{scores} FROM scored",
+        "watermarked_scores": f"""WITH RECURSIVE {_LATE.replace("ev AS", "came AS", 1)},
+cut AS (SELECT *, (event_id - (SELECT min(event_id) FROM came)) // ((SELECT max(event_id) - min(event_id) FROM came)
+  // {STREAM_BATCHES} + 1) AS part FROM came),
+marks AS (SELECT part, max(max(timestamp)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  - {HOUR} AS mark FROM cut GROUP BY part),
+timed AS (SELECT cut.*, coalesce(timestamp < mark, false) AS late FROM cut JOIN marks USING (part)),
+{_score_ctes("ev AS (SELECT * FROM timed WHERE NOT late)", LATE_ORDER)}
+SELECT event_id AS id, timestamp AS event_time, round(score, 6) AS anomaly_score, false AS late FROM scored
+UNION ALL SELECT event_id, timestamp, NULL, true FROM timed WHERE late""",
+        "logged_scores": f"""WITH RECURSIVE {_EV.replace("ev AS", "came AS", 1)},
+{_score_ctes(f"ev AS (SELECT * REPLACE (event_id % {LOG_PARTITIONS} * 281474976710656 + event_id AS event_id) FROM came)", SELECTIVE)}
+SELECT src, dst, timestamp AS event_time, round(score, 6) AS anomaly_score, is_alert, label FROM scored""",
         "report_file": f"WITH {_FLOWS} SELECT attack_type, count(*) AS rows FROM flows GROUP BY attack_type",
         "without_test_rows": f"WITH {_EV} SELECT * FROM ev WHERE event_id % 10 <> 0",
         "sketch_bound": f"""SELECT count(*) AS items, round({epsilon!r}::DOUBLE, 6) AS epsilon,
@@ -981,6 +1199,7 @@ WHERE event_id % 40 <> 0""",
         "decision_tree_rules": _TREE_RULES,
         "decision_tree_metrics": _TREE_METRICS,
         "trees_with_nan": _TREE_METRICS,
+        **_TREE_SEARCH,
     }
 
 
@@ -989,6 +1208,11 @@ def oracle_sql() -> dict[str, str]:
     score = _score_ctes(_EV, SELECTIVE)
     cells = f"WITH {_EV}, hits AS ({_cell_rows(SMALL_SKETCH, 'ev')})"
     alerts = f"WITH RECURSIVE {score}, alerts AS (SELECT *, {_UUID} AS alert_id FROM scored WHERE is_alert)"
+    judged = f"""WITH RECURSIVE {score}, per AS (SELECT round(score, 6) AS score, count(*) AS n, count(*) FILTER (label = 1) AS p
+  FROM scored WHERE label IS NOT NULL GROUP BY ALL),
+summed AS (SELECT *, CAST(sum(n) OVER down AS BIGINT) AS flagged, CAST(sum(p) OVER down AS BIGINT) AS true_positives,
+  coalesce(sum(n - p) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM per
+  WINDOW down AS (ORDER BY score DESC))"""
     first_seen = """fe AS (SELECT src, dst, arg_max(score, (timestamp, event_id)) AS score,
   count(*) AS alerts, min((timestamp, event_id)) AS tk FROM alerts GROUP BY src, dst)"""
 
@@ -1083,6 +1307,26 @@ SELECT count(*) AS total_events, count(*) FILTER (is_alert) AS total_alerts,
   round(score, 6) AS score, src || ',' || dst AS subgraph_nodes FROM alerts""",
         "alert_rate": f"""{alerts}, s AS (SELECT timestamp AS second, count(*) AS n FROM alerts GROUP BY ALL)
 SELECT a.second, CAST(sum(b.n) AS BIGINT) AS alerts FROM s a JOIN s b
+ON b.second BETWEEN a.second - 1 AND a.second GROUP BY a.second""",
+        "live_graph_edges": f"""{alerts}, {_live_ctes("alerts", "src, dst, min((timestamp, event_id)) AS place", monitor.VISIBLE_EDGES)}
+SELECT CAST(spot - 1 AS INT) AS place, keys[spot][1] AS source, keys[spot][2] AS target, round(scores[spot], 6) AS score
+FROM held, unnest(range(1, len(keys) + 1)) AS u(spot)""",
+        "live_graph_nodes": f"""{alerts}, ends AS (SELECT event_id, timestamp, score, src AS node, 0 AS side FROM alerts
+  UNION ALL SELECT event_id, timestamp, score, dst, 1 FROM alerts),
+{_live_ctes("ends", "node AS src, '' AS dst, min((timestamp, event_id, side)) AS place", monitor.VISIBLE_NODES)}
+SELECT CAST(spot - 1 AS INT) AS place, keys[spot][1] AS node FROM held, unnest(range(1, len(keys) + 1)) AS u(spot)""",
+        "threshold_curve": f"""{judged}
+SELECT score AS threshold, flagged, true_positives, round(true_positives / flagged, 6) AS precision,
+  round(true_positives / (SELECT sum(p) FROM per), 6) AS recall FROM summed""",
+        "score_separation": f"""{judged}, whole AS (SELECT sum(p) AS positives, sum(n - p) AS negatives FROM per)
+SELECT CAST(any_value(positives) AS BIGINT) AS positives, CAST(any_value(negatives) AS BIGINT) AS negatives,
+  round(sum(p * (below + (n - p) / 2)) / any_value(positives) / any_value(negatives), 6) AS auc,
+  round(sum(p * true_positives / flagged) / any_value(positives), 6) AS average_precision FROM summed, whole""",
+        "compacted_alerts": f"""{alerts} SELECT alert_id, src, dst, timestamp AS event_time,
+  round(score, 6) AS score, src || ',' || dst AS subgraph_nodes FROM alerts
+WHERE timestamp // {DAY} <= (SELECT (min(timestamp) + max(timestamp)) // 2 FROM ev) // {DAY}""",
+        "streamed_alert_rate": f"""{alerts}, s AS (SELECT timestamp AS second, count(*) AS n FROM alerts GROUP BY ALL)
+SELECT a.second, CAST(sum(b.n) AS BIGINT) AS alerts FROM s a JOIN s b
 ON b.second BETWEEN a.second - 1 AND a.second GROUP BY a.second""",
         "alert_feed": f"""{alerts} SELECT alert_id, src, dst, round(score, 6) AS score, event_id
 FROM alerts ORDER BY timestamp DESC, event_id DESC LIMIT {monitor.FEED_SIZE}""",
@@ -1147,6 +1391,8 @@ FROM cells GROUP BY attack_type, feature""",
   round(benign_median, 6) AS benign_median, round(benign_iqr, 6) AS benign_iqr,
   round(attack_median, 6) AS attack_median, round(attack_iqr, 6) AS attack_iqr,
   round(cliff_delta, 6) AS cliff_delta, round(discrimination, 6) AS discrimination FROM stats""",
+        "sketched_medians": f"""WITH {_FLOWS}, {_CELLS} SELECT attack_type, feature, count(*) AS n, true AS near
+FROM cells GROUP BY ALL""",
         "cliffs_delta": f"""WITH {_FLOWS}, {_CELLS}, {_DELTAS}
 SELECT attack_type, feature, round(cliff_delta, 6) AS cliff_delta FROM deltas""",
         "feature_importance": f"""WITH {_FLOWS}, {_FILLED}, {_FILLED_CELLS},

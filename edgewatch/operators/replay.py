@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from edgewatch.functions.ordering import smallest_per_group
 from edgewatch.functions.scalar import named
@@ -28,6 +31,27 @@ def replay_timeline(
     return df.withColumn(column, F.lit(start).cast("bigint") + sent)
 
 
+def replay_live(
+    rows: DataFrame, rate: int, send: Callable[[DataFrame, int], None], checkpoint: str, row_idx: str = "row_idx"
+) -> StreamingQuery:
+    """Send ``rate`` rows a second, in the order of ``row_idx``, to ``send(rows, batch_id)`` as time passes.
+
+    A rate source says up to which number rows are due; a batch takes the rows of its numbers by a range
+    filter, which a table sorted by ``row_idx`` answers from few row groups. The query goes on where its
+    checkpoint says, and ends when it is stopped; numbers beyond the last row send nothing.
+    """
+    if rate <= 0:
+        raise ValueError("rate must be greater than zero")
+
+    def due(ticks: DataFrame, batch_id: int) -> None:
+        low, high = ticks.agg(F.min("value"), F.max("value")).first()
+        if low is not None:
+            send(rows.filter(F.col(row_idx).between(low, high)), batch_id)
+
+    ticks = rows.sparkSession.readStream.format("rate").option("rowsPerSecond", rate).load()
+    return ticks.writeStream.foreachBatch(due).option("checkpointLocation", checkpoint).start()
+
+
 def sample_rows(df: DataFrame, n: int, order: list[str], seed: int = 42) -> DataFrame:
     """``n`` rows picked by a seeded hash of ``order``, the same ones in every run."""
     grouped = df.withColumn("_group", F.lit(0))

@@ -1,5 +1,6 @@
 import json
 import random
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -131,3 +132,23 @@ def test_generated_traffic(spark):
     steady = steady_traffic(spark, events=10_000, burst_start=5_000, burst_length=100)
     assert steady.filter("src = '192.168.1.255' AND dst = '10.0.0.255'").count() == 100
     assert steady.groupBy("timestamp").count().filter("count = 100").count() == 100
+
+
+def test_live_replay_keeps_pace_and_order(spark, tmp_path):
+    rows = spark.range(120).select(F.col("id").alias("row_idx"), (F.col("id") * 7).alias("payload"))
+    out, began = [], time.monotonic()
+
+    def send(due, batch_id):
+        out.append((time.monotonic() - began, sorted(tuple(r) for r in due.collect())))
+
+    query = replay.replay_live(rows, 40, send, str(tmp_path / "at"))
+    try:
+        while sum(len(rows) for _, rows in out) < 120 and time.monotonic() - began < 60:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    sent = [r for _, rows in out for r in rows]
+    assert sent == [(i, 7 * i) for i in range(120)]
+    assert all(at >= max(r[0] for r in rows) // 40 for at, rows in out if rows)  # none before its second
+    with pytest.raises(ValueError):
+        replay.replay_live(rows, 0, send, str(tmp_path / "at"))

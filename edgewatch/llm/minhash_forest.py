@@ -63,6 +63,8 @@ LARGE_REGION = 50_000
 #: Values of a signature, which are those of the first trees' labels.
 SIGNATURE = 128
 BROADCAST_ROWS = 200_000
+#: Members of a parted region in a block; two blocks with their signatures and sets are one task's work.
+REGION_BLOCK = 1024
 SLICE_ROWS = 200_000
 BUNDLE_BYTES = 4 << 20
 CELLS = 1 << 18
@@ -362,7 +364,8 @@ def parted_regions(leaves: DataFrame, groups: DataFrame) -> DataFrame:
 
 def remaining_leaves(regions: DataFrame) -> DataFrame:
     """``leaf, id``: the members of parted regions in pairs of blocks, all but those inside one component."""
-    blocks = dealt_blocks(regions.select(F.col("region").alias("tile"), "id", F.col("root").alias("component")))
+    members = regions.select(F.col("region").alias("tile"), "id", F.col("root").alias("component"))
+    blocks = dealt_blocks(members, REGION_BLOCK)
     return blocks.select(F.xxhash64("tile", "row", "col").alias("leaf"), "id").distinct()
 
 

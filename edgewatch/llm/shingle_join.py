@@ -6,10 +6,14 @@ in at most ``k`` shingles, where ``k`` follows from the smaller size, so of ``k
 the same in both: each class enters the tiles (band, part, content of the part) of its first ``k + 1``
 filled parts. A tile thus holds documents that already share a whole part.
 
-In a tile every class is compared with the smallest and the greatest id, then, in blocks and rounds, the
-classes that are still in different components with each other, until no untried pair is left. A comparison first bounds the overlap from above with
-bit counts of hashed bitmaps (a bit that only one side has is a shingle that the other lacks); only the
-pairs whose bound allows a link get their sorted arrays, which are intersected exactly.
+In a tile every class is compared with the smallest and the greatest id. A large tile that is then still in
+several components is split again: of the first ``k + 2`` filled parts two linked sets have two in common,
+so each of its members enters the sub-tiles (tile, other part). Then the classes of a tile that are still in
+different components are compared with each other in blocks and rounds, until no untried pair is left. The
+largest component of a tile meets only the members outside it, never itself. A comparison first bounds the
+overlap from above with bit counts of hashed bitmaps (a bit that only one side has is a shingle that the
+other lacks); only the pairs whose bound allows a link get their sorted arrays, which are intersected
+exactly.
 """
 
 from __future__ import annotations
@@ -27,11 +31,13 @@ from pyspark.sql import functions as F
 from edgewatch.llm.components import components
 from edgewatch.llm.rows import keyed_texts, pieces
 from edgewatch.llm.word_hash import SPACE_BYTES, mixed, word_hashes
-from edgewatch.session import materialize
+from edgewatch.session import kept_after_scope, materialize, scratch_scope
 
 BLOCK = 256
-BROADCAST_ROWS = 1_000_000
-SETS = "doc_id long, n long, high long, low long, tiles array<bigint>"
+#: Members from which a tile in several components is split.
+HOT_TILE = 1024
+BROADCAST_ROWS = 200_000
+SETS = "doc_id long, n long, high long, low long, tiles array<bigint>, more array<bigint>"
 
 
 # --- sets --------------------------------------------------------------------------------------
@@ -77,26 +83,34 @@ class Limit:
         return -(-self.percent * (a + b) // (100 + self.percent))
 
 
-def tiles(shingles: np.ndarray, limit: Limit) -> np.ndarray:
-    """Tile numbers of a set; none for a set that only equal sets can link with."""
+def tiles(shingles: np.ndarray, limit: Limit) -> tuple[np.ndarray, np.ndarray]:
+    """Tile numbers of a set, and those by which its tiles are split; none if only equal sets can link with it."""
     size = len(shingles)
     k = limit.most_different(size)
     if not k:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
     band = size.bit_length()
     bands = [band] + ([band + 1] if 100 * size >= limit.percent << band else [])
-    return np.concatenate([_band_tiles(shingles, b, k, limit) for b in bands])
+    own = [_band_tiles(shingles, b, k, limit) for b in bands]
+    return np.concatenate([first for first, _ in own]), np.concatenate([more for _, more in own])
 
 
-def _band_tiles(shingles: np.ndarray, band: int, k: int, limit: Limit) -> np.ndarray:
+def _band_tiles(shingles: np.ndarray, band: int, k: int, limit: Limit) -> tuple[np.ndarray, np.ndarray]:
     n_parts = 5 * (limit.most_different((1 << band) - 1) + 1) // 4 + 4
     part = ((mixed(shingles + np.uint64(band)) >> np.uint64(32)) % np.uint64(n_parts)).astype(np.int64)
     sums = np.zeros(n_parts, np.uint64)
     np.add.at(sums, part, mixed(shingles))
     filled = np.flatnonzero(np.bincount(part, minlength=n_parts))
-    # too few filled parts: then all parts count, the empty ones as well
-    used = filled[: k + 1] if len(filled) > k else np.arange(n_parts)
-    return mixed(sums[used] + mixed(used.astype(np.uint64) + np.uint64(band << 32)))
+
+    def first(n: int) -> np.ndarray:
+        # too few filled parts: then all parts count, the empty ones as well
+        return filled[:n] if len(filled) >= n else np.arange(n_parts)
+
+    used, more = first(k + 1), first(k + 2)
+    more = more[~np.isin(more, used)]
+    place = np.concatenate((used, more))
+    numbers = mixed(sums[place] + mixed(place.astype(np.uint64) + np.uint64(band << 32)))
+    return numbers[: len(used)], numbers[len(used) :]
 
 
 def document_sets(docs: DataFrame, words: int, limit: Limit) -> DataFrame:
@@ -104,13 +118,15 @@ def document_sets(docs: DataFrame, words: int, limit: Limit) -> DataFrame:
         for piece in pieces(batches):
             sets = shingle_sets([t or b"" for t in piece["text"].to_pylist()], words)
             digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s) for s in sets), np.int64).reshape(-1, 2)
-            own = [tiles(s, limit).view(np.int64) for s in sets]
-            ends = np.concatenate(([0], np.cumsum([len(o) for o in own])))
-            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own)))
+            listed = []
+            for own in zip(*(tiles(s, limit) for s in sets), strict=True):
+                ends = np.concatenate(([0], np.cumsum([len(o) for o in own])))
+                values = pa.array(np.concatenate(own).view(np.int64))
+                listed.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
             sizes = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [piece["doc_id"], sizes, pa.array(digests[:, 0]), pa.array(digests[:, 1]), listed],
-                ["doc_id", "n", "high", "low", "tiles"],
+                [piece["doc_id"], sizes, pa.array(digests[:, 0]), pa.array(digests[:, 1]), *listed],
+                ["doc_id", "n", "high", "low", "tiles", "more"],
             )
 
     return docs.mapInArrow(build, SETS)
@@ -204,20 +220,41 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, words: int, limit: Limit)
     return _sides(pairs, arrays, "shingles").mapInArrow(verify, "a long, b long")
 
 
-def block_pairs(members: DataFrame, bitmaps: DataFrame, tried: DataFrame, limit: Limit, quota: int) -> DataFrame:
-    """``id, other``: untried pairs of different components that meet in a tile and could be linked.
+def dealt_blocks(members: DataFrame, block: int | None = None) -> DataFrame:
+    """``tile, row, col, id, component``: members of split tiles (``tile, id, component``) in pairs of blocks.
 
-    ``members`` has ``tile, members, id, component``, the second being the tile's size; ``tried`` has
-    pairs that were compared. A tile is cut into blocks by hash; every pair of its blocks is one group.
-    Without a quota a group gives a spanning forest of its possible links, which is enough where they
-    are links; otherwise up to ``quota`` of them for each document. No group without such a pair: none.
+    The members outside a tile's largest component are dealt to outer blocks by hash, those inside it to
+    inner blocks. Outer blocks meet all blocks, inner ones only outer blocks, so a tile of which all but a
+    few members are connected gives few rows more than it has members.
     """
-    dealt = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id", "tile"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", every).select(
+    block = block or BLOCK
+    sizes = members.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("n"))
+    blocks = sizes.groupBy("tile").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("inside"), F.sum("n").alias("all")
+    )
+    blocks = blocks.select(
+        "tile", "main", F.ceil((F.col("all") - F.col("inside")) / block).cast("int").alias("outer"),
+        F.ceil(F.col("inside") / block).cast("int").alias("inner"),
+    )
+    placed = F.xxhash64("id", "tile")
+    is_main = F.col("component") == F.col("main")
+    own = F.when(is_main, F.col("outer") + F.pmod(placed, F.col("inner"))).otherwise(F.pmod(placed, F.col("outer")))
+    others = F.when(is_main, F.col("outer")).otherwise(F.col("outer") + F.col("inner"))
+    dealt = members.join(blocks, "tile").select("tile", "id", "component", own.cast("int").alias("own"), others.alias("others"))
+    every = F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("other")
+    return dealt.select("tile", "own", every, "id", "component").select(
         "tile", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), "id", "component"
     )
+
+
+def block_pairs(members: DataFrame, bitmaps: DataFrame, tried: DataFrame, limit: Limit, quota: int) -> DataFrame:
+    """``id, other``: untried pairs of different components that meet in a tile and could be linked.
+
+    ``members`` has ``tile, id, component``; ``tried`` has pairs that were compared. Every pair of blocks is
+    one group. Without a quota a group gives a spanning forest of its possible links, which is enough where
+    they are links; otherwise up to ``quota`` of them for each document. No group without such a pair: none.
+    """
+    dealt = dealt_blocks(members)
     # a document has few entries: the ends of its tiles, and what it was given in earlier rounds
     partners = tried.groupBy("id").agg(F.collect_set("other").alias("tried"))
 
@@ -276,26 +313,31 @@ def near_duplicate_groups(
     limit = Limit(percent)
     texts = keyed_texts(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
     sets = document_sets(texts, words, limit).withColumn("row", F.monotonically_increasing_id())
-    sets = materialize(sets, "sets")
     alike = ["high", "low", "n"]
-    filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = filled.groupBy(*alike).agg(F.min("doc_id").alias("id"), F.min_by("row", "doc_id").alias("row"))
-    classes = materialize(classes, "classes")
+    with scratch_scope(docs.sparkSession):
+        sets = materialize(sets, "sets")
+        filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
+        classes = filled.groupBy(*alike).agg(F.min("doc_id").alias("id"), F.min_by("row", "doc_id").alias("row"))
+        classes = materialize(classes, "classes")
+        groups = _linked_classes(filled, classes, texts, words, limit)
+        of_class = classes.join(groups, F.col("id") == F.col("a"), "left").select(
+            *alike, F.coalesce("b", "id").alias("component_id")
+        )
+        result = sets.drop("tiles", "more", "row").join(of_class, alike, "left")
+        component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+        result = result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+        return kept_after_scope(result, "groups")
+
+
+def _linked_classes(filled: DataFrame, classes: DataFrame, texts: DataFrame, words: int, limit: Limit) -> DataFrame:
+    """``a, b``: classes by their ids and the least class that links reach from them, itself left out."""
     # all members of a class have the same tiles; one row of it enters them, however often it is repeated
-    held = filled.filter("size(tiles) > 0").join(classes.select("id", "row"), "row")
-    held = materialize(held.select("id", F.explode("tiles").alias("tile")), "tiles")
-    shared = held.groupBy("tile").agg(
-        F.count(F.lit(1)).alias("members"),
-        F.min("id").alias("least"),
-        F.max("id").alias("most"),
-        F.sum(F.xxhash64("id") % (1 << 31)).alias("x"),
-        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
-    )
-    # tiles with the same members are one
-    shared = shared.filter("members > 1").groupBy("members", "least", "most", "x", "y").agg(F.min("tile").alias("tile"))
-    shared = materialize(shared.select("tile", "least", "most", "members"), "shared-tiles")
-    few = shared.count() <= BROADCAST_ROWS
-    inside = materialize(held.join(F.broadcast(shared) if few else shared, "tile"), "tile-members")
+    entering = filled.filter("size(tiles) > 0").join(classes.select("id", "row"), "row")
+    entering = materialize(entering.select("id", "tiles", "more"), "entering")
+    held = entering.select("id", F.explode("tiles").alias("tile"))
+    shared = held.groupBy("tile").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("tile")
+    inside = materialize(_with_tiles(held, materialize(shared, "shared-tiles")), "tile-members")
+    inside = materialize(_distinct_tiles(inside), "tile-members")
     ends = F.explode(F.array("least", "most")).alias("other")
     tried = materialize(inside.select("id", ends).filter("id != other").distinct(), "tried")
     stars = tried.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
@@ -306,26 +348,53 @@ def near_duplicate_groups(
     links = materialize(verified_pairs(possible, texts, words, limit), "links")
     groups = components(links)
     # up to three members have all been compared; larger tiles may hold links that no star has shown
-    large = inside.filter("members > 3").select("tile", "members", "id")
+    large = _still_split(inside.filter("members > 3").select("tile", "members", "id"), groups)
+    large = materialize(large, "split-tiles")
+    hot = large.filter(F.col("members") > HOT_TILE).select("tile", "id")
+    if not hot.isEmpty():
+        further = F.explode(F.concat("tiles", "more")).alias("second")
+        second = hot.join(entering, "id").select("id", "tile", further).filter("second != tile")
+        second = second.select("id", F.xxhash64("tile", "second").alias("tile")).distinct()
+        found = second.groupBy("tile").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("tile")
+        second = materialize(_with_tiles(second, materialize(found, "shared-tiles")), "tile-members")
+        second = _distinct_tiles(second).select("tile", "members", "id")
+        cool = large.filter(F.col("members") <= HOT_TILE).select("tile", "members", "id")
+        large = materialize(cool.unionByName(second), "split-tiles")
     for turn in count():
-        named = large.join(groups, F.col("id") == F.col("a"), "left")
-        named = named.select("tile", "members", "id", F.coalesce("b", "id").alias("component"))
-        split = named.groupBy("tile").agg(F.min("component").alias("first"), F.max("component").alias("last"))
-        split = split.filter("first != last").select("tile")
+        named = _still_split(large, groups)
         # first a spanning forest of each block, then ever more of what has failed to connect it
-        more = block_pairs(named.join(split, "tile"), bitmaps, tried, limit, 4**turn if turn else 0)
+        more = block_pairs(named, bitmaps, tried, limit, 4**turn if turn else 0)
         more = materialize(more, "possible")
         if more.isEmpty():
-            break
+            return groups
         pairs = more.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        links = verified_pairs(pairs, texts, words, limit)
-        groups = components(groups.unionByName(links))
+        links = materialize(verified_pairs(pairs, texts, words, limit), "links")
+        if not links.isEmpty():
+            groups = components(groups.unionByName(links))
         tried = materialize(tried.unionByName(more), "tried")
-    of_class = classes.join(groups, F.col("id") == F.col("a"), "left").select(
-        *alike, F.coalesce("b", "id").alias("component_id")
+
+
+def _with_tiles(held: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``held`` whose tile is in the stored table ``wanted``."""
+    return held.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "tile")
+
+
+def _distinct_tiles(inside: DataFrame) -> DataFrame:
+    """``tile, id, members, least, most``; of tiles with the same members one stays."""
+    content = inside.groupBy("tile").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min("id").alias("least"),
+        F.max("id").alias("most"),
+        F.sum(F.xxhash64("id") % (1 << 31)).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
     )
-    result = sets.drop("tiles", "row").join(of_class, alike, "left")
-    return result.select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-    )
+    one = content.groupBy("members", "least", "most", "x", "y").agg(F.min("tile").alias("tile")).drop("x", "y")
+    return inside.join(one, "tile")
+
+
+def _still_split(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """``members`` with their ``component``, of the tiles that hold more than one."""
+    named = members.join(groups, F.col("id") == F.col("a"), "left")
+    named = named.select("tile", "members", "id", F.coalesce("b", "id").alias("component"))
+    split = named.groupBy("tile").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+    return named.join(split.filter("first != last").select("tile"), "tile")

@@ -75,6 +75,7 @@ def test_against_all_pairs(spark):
 def test_cut_regions_go_through_every_forest(spark, monkeypatch, large):
     monkeypatch.setattr(forest, "LEAF", 4)
     monkeypatch.setattr(forest, "LARGE_REGION", large)
+    monkeypatch.setattr(forest, "REGION_BLOCK", 7)
     monkeypatch.setattr(forest, "SLICE_ROWS", 500)
     rows = corpus(2)
     few = (Forest(1, 2, 2), Forest(2, 3, 2))  # too few trees: what they miss is found without labels

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from edgewatch.llm import shingle_join
 from edgewatch.llm.components import components
@@ -59,9 +60,10 @@ def _rows(seed):
     return rows
 
 
-@pytest.mark.parametrize(("words", "percent", "block"), [(3, 90, 256), (5, 80, 3), (2, 60, 4)])
-def test_equals_all_pairs(spark, monkeypatch, words, percent, block):
+@pytest.mark.parametrize(("words", "percent", "block", "hot"), [(3, 90, 256, 1024), (5, 80, 3, 1024), (2, 60, 4, 1024), (2, 60, 3, 4)])
+def test_equals_all_pairs(spark, monkeypatch, words, percent, block, hot):
     monkeypatch.setattr(shingle_join, "BLOCK", block)
+    monkeypatch.setattr(shingle_join, "HOT_TILE", hot)
     rows = _rows(words)
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n int").repartition(3)
     got = shingle_join.near_duplicate_groups(docs, words, percent).collect()
@@ -98,11 +100,34 @@ def test_linked_sets_share_a_tile(percent):
         a = np.sort(a)
         shared = shingle_join.common(a, b) if len(b) else 0
         if len(b) and limit.linked(shared, len(a), len(b)) and shared < max(len(a), len(b)):
-            assert set(shingle_join.tiles(a, limit).tolist()) & set(shingle_join.tiles(b, limit).tolist())
+            (x, more_x), (y, more_y) = shingle_join.tiles(a, limit), shingle_join.tiles(b, limit)
+            assert set(x.tolist()) & set(y.tolist())
+            assert len(set(np.concatenate((x, more_x)).tolist()) & set(np.concatenate((y, more_y)).tolist())) > 1
             bound = shingle_join.overlap_bound(shingle_join.bitmap(a), shingle_join.bitmap(b), len(a), len(b))
             assert bound >= shared
 
 
+def test_a_hot_tile_with_one_outsider_gives_few_rows(spark):
+    n = 20_000
+    ids = spark.range(n + 1).select(F.lit(1).alias("tile"), F.col("id"), (F.col("id") == n).cast("long").alias("component"))
+    rows = shingle_join.dealt_blocks(ids)
+    assert rows.count() <= n + n // shingle_join.BLOCK + 2
+    largest = rows.groupBy("tile", "row", "col").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    assert largest < 2 * shingle_join.BLOCK
+
+
+def test_every_pair_of_components_meets_in_a_block(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK", 5)
+    rng = random.Random(3)
+    members = [(t, i, rng.choice([0, 0, 0, 1, 2, i])) for t in range(3) for i in rng.sample(range(100, 200), 40)]
+    dealt = shingle_join.dealt_blocks(spark.createDataFrame(members, "tile long, id long, component long"))
+    groups = {}
+    for r in dealt.collect():
+        groups.setdefault((r.tile, r.row, r.col), set()).add(r.id)
+    met = {(t, a, b) for (t, _, _), ids in groups.items() for a in ids for b in ids}
+    assert all((t, i, j) in met for t, i, c in members for u, j, d in members if t == u and c != d)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(50, 90)] + [(200 + i, 300) for i in range(60)] + [(7, 7)]
     got = {r.a: r.b for r in components(spark.createDataFrame(path, "a long, b long")).collect()}

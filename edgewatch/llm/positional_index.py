@@ -2,9 +2,11 @@
 
 The index is partitioned by documents. One block of documents is one row of postings: for each indexed
 term the ascending places of its occurrences, places counted through the block with a gap between
-documents, so that no match crosses a document. Test terms are hashed; only terms that some test item
-uses are stored. A search starts from a phrase's rarest term and intersects the offset-adjusted lists of
-the others from rare to frequent, so it stops early for phrases that a block does not hold.
+documents, so that no match crosses a document. Terms are hashed; a bitmap of fixed size, made from all test
+items, leaves out most terms that no item uses. The index is built in one pass over the documents and
+stored, whatever the size of the test set; test items are searched in it block by block. A search starts
+from a phrase's rarest term and intersects the offset-adjusted lists of the others from rare to frequent, so
+it stops early for phrases that a block does not hold.
 """
 
 from __future__ import annotations
@@ -16,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgewatch.llm.rows import keyed_texts, pieces
+from edgewatch.llm.rows import keyed_texts, pieces, text_digest
 from edgewatch.llm.word_hash import word_hashes
+from edgewatch.session import keep_after_scope, kept_after_scope, materialize, scratch_scope
 
 BLOCK_BYTES = 8 << 20
 ITEM_BLOCK_BYTES = 8 << 20
+FILTER_BITS = 24
 POSTINGS = (
-    "doc_ids array<bigint>, firsts array<bigint>, words array<bigint>, terms array<bigint>, "
+    "rows array<bigint>, digests array<bigint>, doc_ids array<bigint>, firsts array<bigint>, words array<bigint>, terms array<bigint>, "
     "starts array<bigint>, places array<int>"
 )
 
@@ -52,30 +56,30 @@ class Phrases:
 class Block:
     """The postings of one block of documents."""
 
-    def __init__(self, doc_ids, firsts, words, terms, starts, places):
-        self.doc_ids, self.firsts, self.words = doc_ids, firsts, words
+    def __init__(self, rows, digests, doc_ids, firsts, words, terms, starts, places):
+        self.rows, self.digests, self.doc_ids, self.firsts, self.words = rows, digests, doc_ids, firsts, words
         self.terms, self.starts, self.places = terms, starts, places
 
     @classmethod
-    def of(cls, doc_ids: list[int | None], texts: list[bytes], vocabulary: np.ndarray, gap: int) -> Block:
+    def of(cls, rows: list[int], digests: list[int], doc_ids: list[int | None], texts: list[bytes], wanted: np.ndarray, gap: int) -> Block:
+        """``wanted`` is the bitmap of ``term_filter``."""
         hashes, counts = word_hashes(texts)
         firsts = np.cumsum(counts + gap) - counts - gap
-        at = np.searchsorted(vocabulary, hashes)
-        at[at == len(vocabulary)] = 0
-        known = np.flatnonzero(vocabulary[at] == hashes) if len(vocabulary) else np.empty(0, np.int64)
+        known = np.flatnonzero(_in_filter(hashes, wanted))
         place = known + np.repeat(np.arange(len(counts)) * gap, counts)[known]
-        term = at[known].astype(np.uint16 if len(vocabulary) <= 1 << 16 else np.int64)
-        order = np.argsort(term, kind="stable")
-        sizes = np.bincount(term, minlength=len(vocabulary))
-        terms = np.flatnonzero(sizes)
-        starts = np.concatenate(([0], np.cumsum(sizes[terms])))
-        return cls(doc_ids, firsts, counts, vocabulary[terms], starts, place[order].astype(np.int32))
+        terms, term = np.unique(hashes[known], return_inverse=True)
+        order = np.argsort(term.astype(np.uint16) if len(terms) <= 1 << 16 else term, kind="stable")
+        starts = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=len(terms)))))
+        return cls(rows, digests, doc_ids, firsts, counts, terms, starts, place[order].astype(np.int32))
 
     def lists(self, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and length of each vocabulary term's list; the last entry stands for no term."""
         starts, sizes = np.zeros((2, len(vocabulary) + 1), np.int64)
-        at = np.searchsorted(vocabulary, self.terms)
-        starts[at], sizes[at] = self.starts[:-1], np.diff(self.starts)
+        if len(self.terms):
+            at = np.searchsorted(self.terms, vocabulary)
+            at[at == len(self.terms)] = 0
+            held = np.flatnonzero(self.terms[at] == vocabulary)
+            starts[held], sizes[held] = self.starts[at[held]], np.diff(self.starts)[at[held]]
         return starts, sizes
 
     def searchable(self, phrases: Phrases) -> Iterator[tuple[int, list[tuple[int, np.ndarray]]]]:
@@ -119,24 +123,54 @@ class Block:
         return np.searchsorted(self.firsts, places, side="right") - 1
 
 
+def _in_filter(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    place = hashes >> np.uint64(64 - FILTER_BITS)
+    return (wanted[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+
+
+def term_filter(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> np.ndarray:
+    """A bitmap of ``2 ** FILTER_BITS`` bits over the leading bits of all test terms' hashes."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+        for piece in pieces(batches):
+            place = np.unique(word_hashes([t or b"" for t in piece["text"].to_pylist()])[0] >> np.uint64(64 - FILTER_BITS))
+            np.bitwise_or.at(own, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+        used = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(own[used].view(np.int64))], ["at", "bits"])
+
+    texts = keyed_texts(items, id_col, text_col).select(F.col("text").cast("binary").alias("text"))
+    marked = texts.mapInArrow(mark, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    whole = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    for at, bits in marked.collect():
+        whole[at] = np.int64(bits).view(np.uint64)
+    return whole
+
+
 def build_index(
-    docs: DataFrame, phrases: Phrases, gap: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, wanted: np.ndarray, gap: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The postings of the phrases' terms, one row per block of documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(phrases.vocabulary)
+    """The postings of the terms in the bitmap ``wanted``, one row per block of documents.
+
+    Every document row has a number of its own, so rows with a null id or with one id stay apart.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, limit=BLOCK_BYTES):
             texts = [t or b"" for t in piece["text"].to_pylist()]
-            b = Block.of(piece["doc_id"].to_pylist(), texts, shared.value, gap)
-            columns = [b.doc_ids, b.firsts, b.words, b.terms.view(np.int64), b.starts, b.places]
-            kinds = [pa.int64()] * 5 + [pa.int32()]
+            names = (piece[c].to_pylist() for c in ("row", "digest", "doc_id"))
+            b = Block.of(*names, texts, shared.value, gap)
+            columns = [b.rows, b.digests, b.doc_ids, b.firsts, b.words, b.terms.view(np.int64), b.starts, b.places]
+            kinds = [pa.int64()] * 7 + [pa.int32()]
             yield pa.RecordBatch.from_arrays(
                 [_one_list(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_ids", "firsts", "words", "terms", "starts", "places"],
+                ["rows", "digests", "doc_ids", "firsts", "words", "terms", "starts", "places"],
             )
 
-    rows = keyed_texts(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
+    rows = keyed_texts(docs, id_col, text_col).withColumns(
+        {"digest": text_digest(F.col("text")), "text": F.col("text").cast("binary"), "row": F.monotonically_increasing_id()}
+    )
     return rows.mapInArrow(index, POSTINGS)
 
 
@@ -148,17 +182,17 @@ def _one_list(values, kind: pa.DataType) -> pa.Array:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         for row in range(batch.num_rows):
-            ids, *lists = (batch.column(i)[row].values for i in range(6))
-            arrays = [x.to_numpy() for x in lists]
+            *names, firsts, words, terms, starts, places = (batch.column(i)[row].values for i in range(8))
+            arrays = [x.to_numpy() for x in (firsts, words, terms, starts, places)]
             arrays[2] = arrays[2].view(np.uint64)
-            yield Block(ids.to_pylist(), *arrays)
+            yield Block(*(x.to_pylist() for x in names), *arrays)
 
 
-MATCHES = "doc_id bigint, n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>"
+MATCHES = "row bigint, digest bigint, doc_id bigint, n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>"
 
 
 def find_phrases(index: DataFrame, phrases: Phrases) -> DataFrame:
-    """``doc_id, n_words, starts, ends, items`` of every document.
+    """``row, digest, doc_id, n_words, starts, ends, items`` of every document row.
 
     ``starts`` and ``ends`` bound the runs of words, counted from 0, that lie in matches; ``items`` are
     the test items with a matching window.
@@ -183,18 +217,18 @@ def find_phrases(index: DataFrame, phrases: Phrases) -> DataFrame:
             doc = block.doc_at(starts)
             at = np.searchsorted(doc, np.arange(len(block.doc_ids) + 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block.doc_ids, pa.int64()), pa.array(block.words),
+                [*(pa.array(x, pa.int64()) for x in (block.rows, block.digests, block.doc_ids)), pa.array(block.words),
                  *(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x - block.firsts[doc]))
                    for x in (starts, ends)),
                  pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                ["doc_id", "n_words", "starts", "ends", "items"],
+                ["row", "digest", "doc_id", "n_words", "starts", "ends", "items"],
             )
 
     return index.mapInArrow(search, MATCHES)
 
 
 def find_near(index: DataFrame, phrases: Phrases, span: int) -> DataFrame:
-    """``doc_id, items`` of documents with all terms of a window inside ``span`` words, in any order."""
+    """``row, doc_id, items`` of document rows with all terms of a window inside ``span`` words, in any order."""
     shared = index.sparkSession.sparkContext.broadcast(phrases)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,12 +239,13 @@ def find_near(index: DataFrame, phrases: Phrases, span: int) -> DataFrame:
                 for doc in set(block.doc_at(block.near(terms, span)).tolist()):
                     items.setdefault(doc, set()).update(sought.owners[number])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block.doc_ids[d] for d in items], pa.int64()),
+                [pa.array([block.rows[d] for d in items], pa.int64()),
+                 pa.array([block.doc_ids[d] for d in items], pa.int64()),
                  pa.array([sorted(x) for x in items.values()], pa.list_(pa.string()))],
-                ["doc_id", "items"],
+                ["row", "doc_id", "items"],
             )
 
-    return index.mapInArrow(search, "doc_id bigint, items array<string>")
+    return index.mapInArrow(search, "row bigint, doc_id bigint, items array<string>")
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, size: int, limit: int) -> Iterator[Phrases]:
@@ -233,26 +268,28 @@ def contamination(
     window: int = 10,
     block_bytes: int = ITEM_BLOCK_BYTES,
 ) -> DataFrame:
-    """``doc_id, n_words, starts, ends, items``: where documents hold windows of test items.
+    """``row, digest, doc_id, n_words, starts, ends, items``: where documents hold windows of test items.
 
     Words are runs of digits, letters a-z (A-Z lower-cased) and characters beyond ASCII. Null and empty
-    texts have no words. One row per document row; repeated rows give repeated results. Test items that
-    are larger than ``block_bytes`` together are searched block by block, each over all documents, and
-    the runs that the blocks find are united.
+    texts have no words. One row per document row, known by ``row``, ``digest`` tells texts apart: repeated rows give repeated results,
+    and rows with a null id or one id but different texts keep their own. The stored index is searched for
+    ``block_bytes`` of test items at a time, and the runs that the blocks find are united.
     """
-    found = [
-        find_phrases(build_index(docs, phrases, window, id_col, text_col), phrases)
-        for phrases in item_blocks(items, item_id_col, item_text_col, window, block_bytes)
-    ]
-    if len(found) == 1:
-        return found[0]
-    # the n-th of equal ids in one block is taken with the n-th in the others: equal rows, equal results
+    with scratch_scope(docs.sparkSession):
+        wanted = term_filter(items, item_id_col, item_text_col)
+        index = materialize(build_index(docs, wanted, window, id_col, text_col), "postings")
+        blocks = item_blocks(items, item_id_col, item_text_col, window, block_bytes)
+        found = [materialize(find_phrases(index, phrases), "matches") for phrases in blocks]
+        return kept_after_scope(_united(found), "contamination") if len(found) > 1 else keep_after_scope(found[0])
+
+
+def _united(found: list[DataFrame]) -> DataFrame:
+    """The runs and items that several blocks of test items have in each document row."""
     one = found[0]
     for other in found[1:]:
         one = one.unionByName(other)
     runs = F.zip_with("starts", "ends", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    united = one.groupBy("doc_id", "n_words").agg(
-        F.count(F.lit(1)).alias("rows"),
+    united = one.groupBy("row", "digest", "doc_id", "n_words").agg(
         F.array_sort(F.flatten(F.collect_list(runs))).alias("runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
@@ -268,7 +305,6 @@ def contamination(
             ),
         ).otherwise(F.concat(done, F.array(run))),
     )
-    copies = F.explode(F.sequence(F.lit(1), (F.col("rows") / len(found)).cast("int")))
-    return united.withColumn("runs", merged).withColumn("copy", copies).select(
-        "doc_id", "n_words", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends"), "items"
+    return united.withColumn("runs", merged).select(
+        "row", "digest", "doc_id", "n_words", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends"), "items"
     )

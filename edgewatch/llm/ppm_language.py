@@ -135,8 +135,8 @@ class Model:
         sums[starts == ends] = 0
         return sums
 
-    def identify(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, its share of the probability at equal priors, and bits a byte."""
+    def identify(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, its share of the probability at equal priors, bits a byte, and whether a text has a letter."""
         lettered = np.array([bool(t) and LETTER.search(t) is not None for t in texts])
         best, score, rate = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         rows = np.flatnonzero(lettered)
@@ -149,7 +149,7 @@ class Model:
             rate[rows] = least / [len(t) for t in coded]
             for i, w in zip(rows.tolist(), winner.tolist(), strict=True):
                 best[i] = self.langs[w]
-        return best, score, rate
+        return best, score, rate, lettered
 
 
 def held_out(doc_id: Column) -> Column:
@@ -190,7 +190,7 @@ def identify_language(
     text_col: str = "text",
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id, lang, score, bits_per_byte, carried`` of each row's whole text.
+    """``doc_id, lang, score, bits_per_byte, lettered, carried`` of each row's whole text.
 
     ``und`` with score 0 where the text is null or has no letter, or nothing was learned; of languages
     with equal code lengths the first by name. Repeated rows give repeated results. ``carried`` is a
@@ -202,12 +202,12 @@ def identify_language(
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, limit=PIECE_BYTES):
-            lang, score, rate = shared.value.identify(piece["text"].to_pylist())
+            lang, score, rate, lettered = shared.value.identify(piece["text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [piece["doc_id"], pa.array(lang), pa.array(score), pa.array(rate), piece["carried"]],
-                ["doc_id", "lang", "score", "bits_per_byte", "carried"],
+                [piece["doc_id"], pa.array(lang), pa.array(score), pa.array(rate), pa.array(lettered), piece["carried"]],
+                ["doc_id", "lang", "score", "bits_per_byte", "lettered", "carried"],
             )
 
     return rows.mapInArrow(
-        identify, f"doc_id long, lang string, score double, bits_per_byte double, carried {kind}"
+        identify, f"doc_id long, lang string, score double, bits_per_byte double, lettered boolean, carried {kind}"
     )

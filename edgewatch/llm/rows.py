@@ -79,3 +79,21 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", limit: int
     ids = ids.toDF(gone)
     ids = F.broadcast(ids) if ids.count() <= limit else ids
     return docs.join(ids, column(docs, id_col) == F.col(gone), "left_anti")
+
+
+def text_digest(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def without_texts(
+    docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = 1_000_000
+) -> DataFrame:
+    """Rows of ``docs`` whose id and text are not in ``rows`` (a written table ``doc_id, digest``); a null id is one like others."""
+    gone = "gone"
+    while any(c.lower().startswith(gone) for c in docs.columns):
+        gone += "_"
+    rows = rows.toDF(f"{gone}1", f"{gone}2")
+    rows = F.broadcast(rows) if rows.count() <= limit else rows
+    same = column(docs, id_col).eqNullSafe(F.col(f"{gone}1")) & (text_digest(column(docs, text_col)) == F.col(f"{gone}2"))
+    return docs.join(rows, same, "left_anti")

@@ -6,6 +6,7 @@ import re
 import public_tokenizers as public
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_line_dedup import _model as without_lines
@@ -88,3 +89,19 @@ def test_empty_tables(spark, tmp_path):
     )
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_without_labels_all_texts_with_letters_stay(spark):
+    rows = [(1, "some words", None), (2, "12 34 ?!", None), (3, None, None), (4, "Übung", None), (None, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 4, None]
+
+
+def test_a_clean_text_stays_beside_a_contaminated_one_of_its_id(spark, tmp_path):
+    dirty = " ".join(f"t{i}" for i in range(12))
+    spark.createDataFrame([(1, dirty)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(i, t) for i in (None, 4) for t in (dirty, "a clean text", "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("gone1", F.lit(1))
+    kept = corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted((r for r in rows if r[1] != dirty), key=str)

@@ -68,11 +68,36 @@ def test_near_finds_terms_in_any_order(spark):
         [(1, "b x a y c"), (2, "a b q q q q c"), (3, "c b a"), (4, "a c"), (5, "a b")], "doc_id long, text string"
     )
     phrases = positional_index.Phrases([(7, "a b c")], 10)
-    index = positional_index.build_index(docs.coalesce(1), phrases, 10)
+    items = spark.createDataFrame([(7, "a b c")], "item_id long, text string")
+    index = positional_index.build_index(docs.coalesce(1), positional_index.term_filter(items), 10)
     found = positional_index.find_near(index, phrases, 5).collect()
     assert {r.doc_id for r in found} == {1, 3} and all(list(r["items"]) == ["7"] for r in found)
 
 
+@pytest.mark.parametrize("block", [positional_index.ITEM_BLOCK_BYTES, 20])
+def test_rows_of_null_and_repeated_ids_keep_their_own(spark, block):
+    """A clean and a contaminated text of the same length, under no id and under one id."""
+    dirty, clean = " ".join(f"t{i}" for i in range(12)), " ".join(f"c{i}" for i in range(12))
+    docs = [(i, t) for i in (None, 4) for t in (dirty, clean, clean)]
+    items = [(1, dirty), (2, "x y"), (3, "p q r"), (4, " ".join(f"t{i}" for i in range(3, 12)))]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    out = positional_index.contamination(d, b, block_bytes=block).collect()
+    got = sorted(((r.doc_id, list(r.starts), list(r.ends), list(r["items"])) for r in out), key=str)
+    assert got == sorted(((i, [0], [12], ["1", "4"]) if t is dirty else (i, [], [], []) for i, t in docs), key=str)
+    assert len({r.row for r in out}) == len(docs)
+
+
+def test_filter_keeps_all_test_terms(spark):
+    words = [f"w{i}" for i in range(5000)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, None)], "item_id long, text string")
+    wanted = positional_index.term_filter(items)
+    hashes, _ = word_hash.word_hashes([" ".join(words).encode()])
+    others, _ = word_hash.word_hashes([" ".join(f"o{i}" for i in range(5000)).encode()])
+    assert positional_index._in_filter(hashes, wanted).all()
+    assert positional_index._in_filter(others, wanted).mean() < 0.01
+
+
 def test_empty_tables(spark):
     docs, items = _case()
     d = spark.createDataFrame(docs, "doc_id long, text string")

@@ -12,17 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgewatch.llm import bpe_matrix, line_dedup, positional_index, ppm_language, shingle_join
-from edgewatch.llm.rows import bounded_batches, without
+from edgewatch.llm.rows import bounded_batches, without, without_texts
 from edgewatch.session import materialize
 
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts and texts without a letter."""
+    """Drops documents without a language: null texts and texts without a letter.
+
+    Where no document has a label to learn from, all texts with a letter stay.
+    """
     bounded_batches(spark)
     found = ppm_language.identify_language(docs, ppm_language.train(docs), carry=docs.columns)
-    kept = found.filter(F.col("lang") != ppm_language.UNDETERMINED)
+    kept = found.filter(F.col("lettered"))
     return kept.select(*(F.col("carried").getField(c).alias(c) for c in docs.columns))
 
 
@@ -35,7 +38,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group."""
+    """Keeps the document of the smallest id of each group.
+
+    A row goes if its own text has a near copy under a smaller id. Rows with a null id stay. Where one id
+    has several texts, all rows of the id go with the one that is a copy.
+    """
     bounded_batches(spark)
     groups = shingle_join.near_duplicate_groups(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
     others = groups.filter("doc_id != component_id").select("doc_id").distinct()
@@ -43,12 +50,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
+    """Drops documents that hold a window of a benchmark item.
+
+    A null id or one id with several texts: each row goes or stays by its own text.
+    """
     bounded_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = positional_index.contamination(docs, items)
-    hit = found.filter(F.size("items") > 0).select("doc_id").distinct()
-    return without(docs, materialize(hit, "contaminated"))
+    hit = found.filter(F.size("items") > 0).select("doc_id", "digest").distinct()
+    return without_texts(docs, materialize(hit, "contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

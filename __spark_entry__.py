@@ -25,6 +25,7 @@ from edgewatch.sinks import compaction, reports, tables
 from edgewatch.sources import edge_files, edge_log, flow_files, streams
 from edgewatch.sources import tables as stored_tables
 from edgewatch.sources.edge_files import attach_labels
+from edgewatch.streaming.entity_clock import STATE_STORE, count_with_entity_clocks
 from edgewatch.streaming.job import scoring_job
 from edgewatch.streaming.rates import RateTable
 
@@ -54,6 +55,7 @@ SMALL_SKETCH = ScorerConfig(width=64, depth=4, hash_fn="md5")
 FILTERED = ScorerConfig(tick_seconds=HOUR, alpha=0.5, filter_anomalies=True, filter_cutoff=80.0)
 LATE_ORDER = ScorerConfig(tick_seconds=HOUR, alpha=0.5, threshold=80.0, order="arrival")
 LOG_PARTITIONS = 4
+FORGET = 5 * DAY
 FEATURES = ["quantity", "extendedprice", "discount", "tax"]
 RAW_FEATURES = ["Flow Duration", "Total Fwd Packets", "Flow Bytes/s"]
 
@@ -771,6 +773,23 @@ def logged_scores(spark, sf_dir):
     return _stored_scores_of(spark, job).drop("id")
 
 
+def entity_clock_counts(spark, sf_dir):
+    """Counts that fade per edge, kept in the state store of a query that is restarted for each part."""
+    path = _scratch(spark, "clocks")
+    before = spark.conf.get(STATE_STORE[0])
+    spark.conf.set(*STATE_STORE)
+    try:
+        for part in _parts(_edge_text(spark, sf_dir), "timestamp"):
+            part.write.mode("append").json(f"{path}/in")
+            counted = count_with_entity_clocks(streams.file_edges(spark, f"{path}/in"), SELECTIVE, FORGET)
+            writer = counted.writeStream.format("parquet").option("path", f"{path}/out")
+            writer.option("checkpointLocation", f"{path}/at").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE[0], before)
+    found = spark.read.parquet(f"{path}/out").select("event_id", "current", "total", "age_ticks", "score")
+    return _round(found, "current", "score")
+
+
 def report_file(spark, sf_dir):
     path = _scratch(spark, "report")
     reports.write_csv_report(clean.class_counts(_flows(spark, sf_dir)), path)
@@ -783,11 +802,14 @@ def without_test_rows(spark, sf_dir):
 
 
 def sketch_bound(spark, sf_dir):
-    """Items in all, and the overestimate that a share of ``1 - delta`` of the keys stays within."""
-    items = _events(spark, sf_dir).count()
+    """The bound on overestimates, and how the estimates of all sources and all edges keep it."""
+    events = _events(spark, sf_dir).withColumn("edge", F.concat_ws(">", "src", "dst"))
     epsilon, delta = sketch.error_bounds(SMALL_SKETCH)
-    row = (items, epsilon, delta, sketch.max_overestimate(SMALL_SKETCH, items))
-    found = spark.createDataFrame([row], "items bigint, epsilon double, delta double, bound double")
+    parts = [
+        sketch.estimate_quality(events, key, SMALL_SKETCH).select(F.lit(key).alias("key"), "*", F.lit(epsilon).alias("epsilon"), F.lit(delta).alias("delta"))
+        for key in ("src", "edge")
+    ]
+    found = parts[0].unionByName(parts[1]).withColumn("bound", F.col("epsilon") * F.col("items"))
     return _round(found, "epsilon", "delta", "bound")
 
 
@@ -806,7 +828,7 @@ _QUERIES = (
     feature_importance_with_nan, correlation_matrix_with_nan, trees_with_nan, headed_edges,
     headerless_edges, quarantined_edges, malformed_lines, quarantined_messages, malformed_messages,
     stacked_flow_files, stored_flows, stored_scores, streamed_scores, report_file,
-    compacted_alerts, watermarked_scores, streamed_alert_rate, logged_scores, live_graph_edges, live_graph_nodes,
+    compacted_alerts, watermarked_scores, streamed_alert_rate, logged_scores, entity_clock_counts, live_graph_edges, live_graph_nodes,
     threshold_curve, score_separation,
     without_test_rows, sketch_bound,
 )
@@ -1159,6 +1181,19 @@ shown AS (SELECT 0::BIGINT AS step, []::VARCHAR[][] AS keys, []::DOUBLE[] AS sco
 held AS (SELECT keys, scores FROM shown ORDER BY step DESC LIMIT 1)"""
 
 
+def _quality_ctes(key: str, epsilon: float) -> str:
+    """``<key>_quality``: estimates of all keys beside their true counts."""
+    cells = _cell_rows(SMALL_SKETCH, f"(SELECT {key} AS src FROM keyed)")
+    return f"""{key}_hits AS ({cells}), {key}_sums AS (SELECT row, col, count(*) AS cnt FROM {key}_hits GROUP BY ALL),
+{key}_estimates AS (SELECT src, min(cnt) AS estimate FROM (SELECT DISTINCT row, col, src FROM {key}_hits)
+  JOIN {key}_sums USING (row, col) GROUP BY src),
+{key}_counts AS (SELECT {key} AS src, count(*) AS cnt FROM keyed GROUP BY ALL),
+{key}_quality AS (SELECT '{key}' AS key, count(*) AS keys, CAST(sum(cnt) AS BIGINT) AS items,
+  count(*) FILTER (estimate < cnt) AS underestimated, max(estimate - cnt) AS largest_overestimate,
+  count(*) FILTER (estimate - cnt > {epsilon!r}::DOUBLE * (SELECT count(*) FROM keyed)) AS beyond_bound
+  FROM {key}_counts JOIN {key}_estimates USING (src))"""
+
+
 def _read_back_sql(score: str) -> dict[str, str]:
     """SQL of the tables that are written and read back."""
     edges_read = f"WITH {_EV} SELECT src, dst, timestamp, label FROM ev"
@@ -1189,13 +1224,25 @@ timed AS (SELECT cut.*, coalesce(timestamp < mark, false) AS late FROM cut JOIN
 {_score_ctes("ev AS (SELECT * FROM timed WHERE NOT late)", LATE_ORDER)}
 SELECT event_id AS id, timestamp AS event_time, round(score, 6) AS anomaly_score, false AS late FROM scored
 UNION ALL SELECT event_id, timestamp, NULL, true FROM timed WHERE late""",
+        "entity_clock_counts": f"""WITH {_EV},
+gaps AS (SELECT *, coalesce(timestamp - lag(timestamp) OVER own > {FORGET}, false) AS fresh FROM ev
+  WINDOW own AS (PARTITION BY src, dst ORDER BY timestamp, event_id)),
+lives AS (SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY src, dst ORDER BY timestamp, event_id) AS life FROM gaps),
+placed AS (SELECT *, row_number() OVER own AS total, (timestamp - min(timestamp) OVER own) // {SELECTIVE.tick_seconds} + 1 AS ticks
+  FROM lives WINDOW own AS (PARTITION BY src, dst, life ORDER BY timestamp, event_id)),
+summed AS (SELECT a.event_id, a.total, a.ticks, sum(pow({SELECTIVE.alpha}::DOUBLE, (a.timestamp - b.timestamp)::DOUBLE / {SELECTIVE.tick_seconds})) AS cur
+  FROM placed a JOIN placed b ON a.src = b.src AND a.dst = b.dst AND a.life = b.life AND b.total <= a.total GROUP BY ALL)
+SELECT event_id, round(cur, 6) AS current, total, ticks AS age_ticks, round(CASE WHEN ticks > 1 THEN (cur - total / ticks)
+  * (cur - total / ticks) * ticks * ticks / (total * (ticks - 1)) ELSE 0 END, 6) AS score FROM summed""",
         "logged_scores": f"""WITH RECURSIVE {_EV.replace("ev AS", "came AS", 1)},
 {_score_ctes(f"ev AS (SELECT * REPLACE (event_id % {LOG_PARTITIONS} * 281474976710656 + event_id AS event_id) FROM came)", SELECTIVE)}
 SELECT src, dst, timestamp AS event_time, round(score, 6) AS anomaly_score, is_alert, label FROM scored""",
         "report_file": f"WITH {_FLOWS} SELECT attack_type, count(*) AS rows FROM flows GROUP BY attack_type",
         "without_test_rows": f"WITH {_EV} SELECT * FROM ev WHERE event_id % 10 <> 0",
-        "sketch_bound": f"""SELECT count(*) AS items, round({epsilon!r}::DOUBLE, 6) AS epsilon,
-  round({delta!r}::DOUBLE, 6) AS delta, round({epsilon!r}::DOUBLE * count(*), 6) AS bound FROM events""",
+        "sketch_bound": f"""WITH {_EV}, keyed AS (SELECT *, src || '>' || dst AS edge FROM ev),
+{_quality_ctes("src", epsilon)}, {_quality_ctes("edge", epsilon)}
+SELECT *, round({epsilon!r}::DOUBLE, 6) AS epsilon, round({delta!r}::DOUBLE, 6) AS delta,
+  round({epsilon!r}::DOUBLE * items, 6) AS bound FROM (SELECT * FROM src_quality UNION ALL SELECT * FROM edge_quality)""",
         "decision_tree_rules": _TREE_RULES,
         "decision_tree_metrics": _TREE_METRICS,
         "trees_with_nan": _TREE_METRICS,

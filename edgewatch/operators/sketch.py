@@ -82,3 +82,24 @@ def error_bounds(cfg: ScorerConfig) -> tuple[float, float]:
 
 def max_overestimate(cfg: ScorerConfig, items: int) -> float:
     return error_bounds(cfg)[0] * items
+
+
+def estimate_quality(items: DataFrame, key: str, cfg: ScorerConfig) -> DataFrame:
+    """One row about all keys: ``keys, items, underestimated, largest_overestimate, beyond_bound``.
+
+    Every estimate is compared with its key's true count; null keys are left out. ``beyond_bound`` counts
+    the keys that exceed it by more than epsilon times the items.
+    """
+    items = items.filter(F.col(key).isNotNull())
+    counts = items.groupBy(key).agg(F.count(F.lit(1)).alias("true"))
+    whole = items.count()
+    estimates = estimate_counts(build_sketch(items, key, cfg), items, key, cfg)
+    compared = counts.join(estimates, key)
+    over = F.col("estimate") - F.col("true")
+    return compared.agg(
+        F.count(F.lit(1)).alias("keys"),
+        F.coalesce(F.sum("true"), F.lit(0)).alias("items"),
+        F.count_if(over < 0).alias("underestimated"),
+        F.max(over).alias("largest_overestimate"),
+        F.count_if(over > max_overestimate(cfg, whole)).alias("beyond_bound"),
+    )

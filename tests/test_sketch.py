@@ -60,3 +60,14 @@ def test_error_bounds():
     epsilon, delta = sketch.error_bounds(ScorerConfig())
     assert epsilon == pytest.approx(0.001359, abs=1e-6)
     assert delta == pytest.approx(0.006738, abs=1e-6)
+
+
+def test_quality_of_all_estimates(spark):
+    cfg = ScorerConfig(width=40, depth=4)
+    rows = [(f"k{i % 97}",) for i in range(3000)] + [(None,)] * 5
+    found = sketch.estimate_quality(spark.createDataFrame(rows, "k string"), "k", cfg).first()
+    assert (found["keys"], found["items"], found["underestimated"]) == (97, 3000, 0)
+    assert 0 <= found["largest_overestimate"] <= 3000
+    assert found["beyond_bound"] <= 97 * 4 * sketch.error_bounds(cfg)[1]
+    none = sketch.estimate_quality(spark.createDataFrame([], "k string"), "k", cfg).first()
+    assert (none["keys"], none["items"], none["beyond_bound"]) == (0, 0, 0)

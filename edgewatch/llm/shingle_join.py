@@ -6,11 +6,9 @@ in at most ``k`` shingles, where ``k`` follows from the smaller size, so of ``k
 the same in both: each class enters the tiles (band, part, content of the part) of its first ``k + 1``
 filled parts. A tile thus holds documents that already share a whole part.
 
-In a tile every class is compared with the smallest and the greatest id. A large tile that is then still in
-several components is split again: of the first ``k + 2`` filled parts two linked sets have two in common,
-so each of its members enters the sub-tiles (tile, other part). Then the classes of a tile that are still in
-different components are compared with each other in blocks and rounds, until no untried pair is left. The
-largest component of a tile meets only the members outside it, never itself. A comparison first bounds the
+In a tile every class is compared with the smallest and the greatest id. Then the classes of a tile that are
+still in different components are compared with each other in blocks and rounds, until no untried pair is
+left. The largest component of a tile meets only the members outside it, never itself. A comparison first bounds the
 overlap from above with bit counts of hashed bitmaps (a bit that only one side has is a shingle that the
 other lacks); only the pairs whose bound allows a link get their sorted arrays, which are intersected
 exactly.
@@ -34,10 +32,8 @@ from edgewatch.llm.word_hash import SPACE_BYTES, mixed, word_hashes
 from edgewatch.session import kept_after_scope, materialize, scratch_scope
 
 BLOCK = 256
-#: Members from which a tile in several components is split.
-HOT_TILE = 1024
 BROADCAST_ROWS = 200_000
-SETS = "doc_id long, n long, high long, low long, tiles array<bigint>, more array<bigint>"
+SETS = "doc_id long, n long, high long, low long, tiles array<bigint>"
 
 
 # --- sets --------------------------------------------------------------------------------------
@@ -83,34 +79,26 @@ class Limit:
         return -(-self.percent * (a + b) // (100 + self.percent))
 
 
-def tiles(shingles: np.ndarray, limit: Limit) -> tuple[np.ndarray, np.ndarray]:
-    """Tile numbers of a set, and those by which its tiles are split; none if only equal sets can link with it."""
+def tiles(shingles: np.ndarray, limit: Limit) -> np.ndarray:
+    """Tile numbers of a set; none for a set that only equal sets can link with."""
     size = len(shingles)
     k = limit.most_different(size)
     if not k:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return np.empty(0, np.uint64)
     band = size.bit_length()
     bands = [band] + ([band + 1] if 100 * size >= limit.percent << band else [])
-    own = [_band_tiles(shingles, b, k, limit) for b in bands]
-    return np.concatenate([first for first, _ in own]), np.concatenate([more for _, more in own])
+    return np.concatenate([_band_tiles(shingles, b, k, limit) for b in bands])
 
 
-def _band_tiles(shingles: np.ndarray, band: int, k: int, limit: Limit) -> tuple[np.ndarray, np.ndarray]:
+def _band_tiles(shingles: np.ndarray, band: int, k: int, limit: Limit) -> np.ndarray:
     n_parts = 5 * (limit.most_different((1 << band) - 1) + 1) // 4 + 4
     part = ((mixed(shingles + np.uint64(band)) >> np.uint64(32)) % np.uint64(n_parts)).astype(np.int64)
     sums = np.zeros(n_parts, np.uint64)
     np.add.at(sums, part, mixed(shingles))
     filled = np.flatnonzero(np.bincount(part, minlength=n_parts))
-
-    def first(n: int) -> np.ndarray:
-        # too few filled parts: then all parts count, the empty ones as well
-        return filled[:n] if len(filled) >= n else np.arange(n_parts)
-
-    used, more = first(k + 1), first(k + 2)
-    more = more[~np.isin(more, used)]
-    place = np.concatenate((used, more))
-    numbers = mixed(sums[place] + mixed(place.astype(np.uint64) + np.uint64(band << 32)))
-    return numbers[: len(used)], numbers[len(used) :]
+    # too few filled parts: then all parts count, the empty ones as well
+    used = filled[: k + 1] if len(filled) > k else np.arange(n_parts)
+    return mixed(sums[used] + mixed(used.astype(np.uint64) + np.uint64(band << 32)))
 
 
 def document_sets(docs: DataFrame, words: int, limit: Limit) -> DataFrame:
@@ -118,15 +106,13 @@ def document_sets(docs: DataFrame, words: int, limit: Limit) -> DataFrame:
         for piece in pieces(batches):
             sets = shingle_sets([t or b"" for t in piece["text"].to_pylist()], words)
             digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s) for s in sets), np.int64).reshape(-1, 2)
-            listed = []
-            for own in zip(*(tiles(s, limit) for s in sets), strict=True):
-                ends = np.concatenate(([0], np.cumsum([len(o) for o in own])))
-                values = pa.array(np.concatenate(own).view(np.int64))
-                listed.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
+            own = [tiles(s, limit).view(np.int64) for s in sets]
+            ends = np.concatenate(([0], np.cumsum([len(o) for o in own])))
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own)))
             sizes = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [piece["doc_id"], sizes, pa.array(digests[:, 0]), pa.array(digests[:, 1]), *listed],
-                ["doc_id", "n", "high", "low", "tiles", "more"],
+                [piece["doc_id"], sizes, pa.array(digests[:, 0]), pa.array(digests[:, 1]), listed],
+                ["doc_id", "n", "high", "low", "tiles"],
             )
 
     return docs.mapInArrow(build, SETS)
@@ -323,7 +309,7 @@ def near_duplicate_groups(
         of_class = classes.join(groups, F.col("id") == F.col("a"), "left").select(
             *alike, F.coalesce("b", "id").alias("component_id")
         )
-        result = sets.drop("tiles", "more", "row").join(of_class, alike, "left")
+        result = sets.drop("tiles", "row").join(of_class, alike, "left")
         component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
         result = result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
         return kept_after_scope(result, "groups")
@@ -333,7 +319,7 @@ def _linked_classes(filled: DataFrame, classes: DataFrame, texts: DataFrame, wor
     """``a, b``: classes by their ids and the least class that links reach from them, itself left out."""
     # all members of a class have the same tiles; one row of it enters them, however often it is repeated
     entering = filled.filter("size(tiles) > 0").join(classes.select("id", "row"), "row")
-    entering = materialize(entering.select("id", "tiles", "more"), "entering")
+    entering = materialize(entering.select("id", "tiles"), "entering")
     held = entering.select("id", F.explode("tiles").alias("tile"))
     shared = held.groupBy("tile").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("tile")
     inside = materialize(_with_tiles(held, materialize(shared, "shared-tiles")), "tile-members")
@@ -348,18 +334,8 @@ def _linked_classes(filled: DataFrame, classes: DataFrame, texts: DataFrame, wor
     links = materialize(verified_pairs(possible, texts, words, limit), "links")
     groups = components(links)
     # up to three members have all been compared; larger tiles may hold links that no star has shown
-    large = _still_split(inside.filter("members > 3").select("tile", "members", "id"), groups)
+    large = _still_split(inside.filter("members > 3").select("tile", "id"), groups)
     large = materialize(large, "split-tiles")
-    hot = large.filter(F.col("members") > HOT_TILE).select("tile", "id")
-    if not hot.isEmpty():
-        further = F.explode(F.concat("tiles", "more")).alias("second")
-        second = hot.join(entering, "id").select("id", "tile", further).filter("second != tile")
-        second = second.select("id", F.xxhash64("tile", "second").alias("tile")).distinct()
-        found = second.groupBy("tile").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("tile")
-        second = materialize(_with_tiles(second, materialize(found, "shared-tiles")), "tile-members")
-        second = _distinct_tiles(second).select("tile", "members", "id")
-        cool = large.filter(F.col("members") <= HOT_TILE).select("tile", "members", "id")
-        large = materialize(cool.unionByName(second), "split-tiles")
     for turn in count():
         named = _still_split(large, groups)
         # first a spanning forest of each block, then ever more of what has failed to connect it
@@ -395,6 +371,6 @@ def _distinct_tiles(inside: DataFrame) -> DataFrame:
 def _still_split(members: DataFrame, groups: DataFrame) -> DataFrame:
     """``members`` with their ``component``, of the tiles that hold more than one."""
     named = members.join(groups, F.col("id") == F.col("a"), "left")
-    named = named.select("tile", "members", "id", F.coalesce("b", "id").alias("component"))
+    named = named.select("tile", "id", F.coalesce("b", "id").alias("component"))
     split = named.groupBy("tile").agg(F.min("component").alias("first"), F.max("component").alias("last"))
     return named.join(split.filter("first != last").select("tile"), "tile")

@@ -339,7 +339,8 @@ def _linked_classes(filled: DataFrame, classes: DataFrame, texts: DataFrame, wor
     for turn in count():
         named = _still_split(large, groups)
         # first a spanning forest of each block, then ever more of what has failed to connect it
-        more = block_pairs(named, bitmaps, tried, limit, 4**turn if turn else 0)
+        quota = 16 * 4 ** (turn - 1) if turn else 0
+        more = block_pairs(named, bitmaps, tried, limit, quota)
         more = materialize(more, "possible")
         if more.isEmpty():
             return groups
@@ -347,6 +348,8 @@ def _linked_classes(filled: DataFrame, classes: DataFrame, texts: DataFrame, wor
         links = materialize(verified_pairs(pairs, texts, words, limit), "links")
         if not links.isEmpty():
             groups = components(groups.unionByName(links))
+        if quota and more.groupBy("id").count().filter(F.col("count") >= quota).isEmpty():
+            return groups  # no document had more possible partners than it was given
         tried = materialize(tried.unionByName(more), "tried")
 
 

@@ -178,11 +178,11 @@ def test_many_batches_read_no_more_than_few(spark, tmp_path):
     store = StateStore(spark, str(tmp_path), compact_every=4, buckets=16)
     touched = touched_buckets(spark.createDataFrame([("src1", "dst1")], "src string, dst string"), 16)
     files = []
-    for batch in range(24):
+    for batch in range(12):
         store.clean_up(batch)
         store.save(batch, counters(spark, [1, 2, 3]), Clock(0, batch, 1))
         files.append(len(store.load(batch + 1, touched)[1].inputFiles()))
-    assert max(files[16:]) <= max(files[4:12])
+    assert max(files[8:]) <= max(files[4:8])
 
 
 @pytest.mark.parametrize("policy", ["score", "drop", "divert"])

@@ -161,8 +161,7 @@ def test_a_batch_reads_and_rewrites_only_its_buckets(spark, tmp_path):
     folders = [f for f in os.listdir(tmp_path / "base" / "batch=3") if f.startswith("bucket=")]
     assert len(folders) <= 10 < len([f for f in os.listdir(tmp_path / "base" / "batch=1") if f.startswith("bucket=")])
     assert store.counters(4).count() == 8000
-    newest = own.filter("kind = 'src' AND key1 = 'src1'").agg({"batch": "max"}).first()[0]
-    assert newest == 3
+    assert own.filter("kind = 'src' AND key1 = 'src1'").count() == 1  # all of it is in the base
 
 
 def test_running_a_compaction_again_leaves_the_same_counters(spark, tmp_path):

@@ -6,34 +6,39 @@ in at most ``k`` shingles, where ``k`` follows from the smaller size, so of ``k
 the same in both: each class enters the tiles (band, part, content of the part) of its first ``k + 1``
 filled parts. A tile thus holds documents that already share a whole part.
 
-In a tile every class is compared with the smallest and the greatest id. Then the classes of a tile that are
-still in different components are compared with each other in blocks and rounds, until no untried pair is
-left. The largest component of a tile meets only the members outside it, never itself. A comparison first bounds the
-overlap from above with bit counts of hashed bitmaps (a bit that only one side has is a shingle that the
-other lacks); only the pairs whose bound allows a link get their sorted arrays, which are intersected
-exactly.
+The classes of a tile are compared with each other, in blocks where there are many; of a tile with more than a
+block of them, each is first compared with the smallest and the greatest id, and the largest component then meets
+only the members outside it, never itself. A comparison first bounds the overlap from above with bit counts of
+hashed bitmaps (a bit that only one side has is a shingle that the other lacks). Of the pairs whose bound allows a
+link, a spanning forest of each block gets its sorted arrays, which are intersected exactly. Blocks that this has
+not connected as far as their bounds allow then get the arrays of the members concerned, and all their pairs of
+different components are intersected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
+from itertools import count  # noqa: F401  a test bounds what is left to count by it
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgewatch.llm.components import components
 from edgewatch.llm.rows import keyed_texts, pieces
 from edgewatch.llm.word_hash import SPACE_BYTES, mixed, word_hashes
-from edgewatch.session import kept_after_scope, materialize, scratch_scope
+from edgewatch.session import kept_after_scope, materialize, release, scratch_scope
 
 BLOCK = 256
+#: Sorted arrays that a block may hold; classes of many shingles make smaller blocks.
+BLOCK_BYTES = 4 << 20
+BUNDLE_BYTES = 4 << 20
+BIT_COLUMNS = 4096
 BROADCAST_ROWS = 200_000
-SETS = "doc_id long, n long, high long, low long, tiles array<bigint>"
+SETS = "doc_id long, n long, high long, low long, tiles array<bigint>, bitmap binary"
 
 
 # --- sets --------------------------------------------------------------------------------------
@@ -110,9 +115,10 @@ def document_sets(docs: DataFrame, words: int, limit: Limit) -> DataFrame:
             ends = np.concatenate(([0], np.cumsum([len(o) for o in own])))
             listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own)))
             sizes = pa.array([len(s) for s in sets], pa.int64())
+            bits = pa.array([bitmap(s).tobytes() if len(o) else None for s, o in zip(sets, own, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [piece["doc_id"], sizes, pa.array(digests[:, 0]), pa.array(digests[:, 1]), listed],
-                ["doc_id", "n", "high", "low", "tiles"],
+                [piece["doc_id"], sizes, pa.array(digests[:, 0]), pa.array(digests[:, 1]), listed, bits],
+                ["doc_id", "n", "high", "low", "tiles", "bitmap"],
             )
 
     return docs.mapInArrow(build, SETS)
@@ -148,8 +154,8 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def _for_ids(docs: DataFrame, ids: DataFrame, words: int, kind: str, pack) -> DataFrame:
-    """``id, n, kind`` of the documents in ``ids``, computed from their texts again."""
+def sets_of_ids(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``id, n, shingles`` of the documents in ``ids``, computed from their texts again."""
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     wanted = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi")
@@ -159,12 +165,16 @@ def _for_ids(docs: DataFrame, ids: DataFrame, words: int, kind: str, pack) -> Da
             sets = shingle_sets([t or b"" for t in piece["text"].to_pylist()], words)
             yield pa.RecordBatch.from_arrays(
                 [piece["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([pack(s).tobytes() for s in sets], pa.binary())],
-                ["id", "n", kind],
+                 pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["id", "n", "shingles"],
             )
 
-    built = wanted.mapInArrow(build, f"id long, n long, {kind} binary").dropDuplicates(["id", kind])
-    return materialize(built, kind)
+    built = materialize(wanted.mapInArrow(build, "id long, n long, shingles binary"), "shingles")
+    if built.groupBy("id").count().filter("count > 1").isEmpty():
+        return built
+    once = materialize(built.dropDuplicates(["id", "shingles"]), "shingles")
+    release(built)
+    return once
 
 
 def _sides(pairs: DataFrame, own: DataFrame, kind: str) -> DataFrame:
@@ -194,7 +204,7 @@ def possible_pairs(pairs: DataFrame, bitmaps: DataFrame, limit: Limit) -> DataFr
 def verified_pairs(pairs: DataFrame, docs: DataFrame, words: int, limit: Limit) -> DataFrame:
     """The pairs that are linked, by exact intersection of their sorted arrays."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    arrays = _for_ids(docs, materialize(ids, "pair-ids"), words, "shingles", lambda s: s)
+    arrays = sets_of_ids(docs, materialize(ids, "pair-ids"), words)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,76 +219,131 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, words: int, limit: Limit)
 def dealt_blocks(members: DataFrame, block: int | None = None) -> DataFrame:
     """``tile, row, col, id, component``: members of split tiles (``tile, id, component``) in pairs of blocks.
 
-    The members outside a tile's largest component are dealt to outer blocks by hash, those inside it to
-    inner blocks. Outer blocks meet all blocks, inner ones only outer blocks, so a tile of which all but a
-    few members are connected gives few rows more than it has members.
+    A tile that fits a block is one group. Of others, the members outside a tile's largest component are dealt
+    to outer blocks by hash, those inside it to inner blocks. Outer blocks meet all blocks, inner ones only outer
+    blocks, so a tile of which all but a few members are connected gives few rows more than it has members. With
+    a column ``n``, which is passed on, blocks hold at most ``BLOCK_BYTES`` of shingles.
     """
-    block = block or BLOCK
-    sizes = members.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("n"))
-    blocks = sizes.groupBy("tile").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("inside"), F.sum("n").alias("all")
+    sized = ["n"] if "n" in members.columns else []
+    sizes = members.groupBy("tile", "component").agg(
+        F.count(F.lit(1)).alias("held"), *(F.max(c).alias("widest") for c in sized)
     )
+    blocks = sizes.groupBy("tile").agg(
+        F.max_by("component", F.struct("held", "component")).alias("main"), F.max("held").alias("inside"),
+        F.sum("held").alias("all"), *(F.max("widest").alias("widest") for _ in sized),
+    )
+    limit = F.lit(block or BLOCK)
+    if sized:
+        limit = F.greatest(F.lit(2), F.least(limit, F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("widest")))))
+    one = F.col("all") <= limit
     blocks = blocks.select(
-        "tile", "main", F.ceil((F.col("all") - F.col("inside")) / block).cast("int").alias("outer"),
-        F.ceil(F.col("inside") / block).cast("int").alias("inner"),
+        "tile", "main", F.when(one, 1).otherwise(F.ceil((F.col("all") - F.col("inside")) / limit)).cast("int").alias("outer"),
+        F.when(one, 0).otherwise(F.ceil(F.col("inside") / limit)).cast("int").alias("inner"),
     )
     placed = F.xxhash64("id", "tile")
-    is_main = F.col("component") == F.col("main")
-    own = F.when(is_main, F.col("outer") + F.pmod(placed, F.col("inner"))).otherwise(F.pmod(placed, F.col("outer")))
-    others = F.when(is_main, F.col("outer")).otherwise(F.col("outer") + F.col("inner"))
-    dealt = members.join(blocks, "tile").select("tile", "id", "component", own.cast("int").alias("own"), others.alias("others"))
+    in_main = (F.col("component") == F.col("main")) & (F.col("inner") > 0)
+    own = F.when(in_main, F.col("outer") + F.pmod(placed, F.greatest("inner", F.lit(1)))).otherwise(F.pmod(placed, F.col("outer")))
+    others = F.when(in_main, F.col("outer")).otherwise(F.col("outer") + F.col("inner"))
+    kept = ["id", "component", *sized]
+    dealt = members.join(blocks, "tile").select("tile", *kept, own.cast("int").alias("own"), others.alias("others"))
     every = F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("other")
-    return dealt.select("tile", "own", every, "id", "component").select(
-        "tile", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), "id", "component"
+    return dealt.select("tile", "own", every, *kept).select(
+        "tile", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), *kept
     )
 
 
-def block_pairs(members: DataFrame, bitmaps: DataFrame, tried: DataFrame, limit: Limit, quota: int) -> DataFrame:
-    """``id, other``: untried pairs of different components that meet in a tile and could be linked.
+def allowed_pairs(bits: list[np.ndarray], sizes: np.ndarray, limit: Limit) -> np.ndarray:
+    """For all members of a group, which two could be linked by their bitmaps; counts are products of the bits."""
+    words = min(map(len, bits))
+    bits = np.unpackbits(np.stack([_folded(b, words) for b in bits]).view(np.uint8), axis=1)
+    both = np.zeros((len(bits), len(bits)), np.float32)
+    for start in range(0, bits.shape[1], BIT_COLUMNS):
+        part = bits[:, start : start + BIT_COLUMNS].astype(np.float32)
+        both += part @ part.T
+    common_at_most = (sizes - np.count_nonzero(bits, axis=1))[:, None] + both.astype(np.int64)
+    return np.minimum(common_at_most, common_at_most.T) >= limit.needed(sizes[:, None], sizes)
+
+
+def _groups_in(frame: pd.DataFrame) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    """The leaves of a bundle, each with its columns."""
+    frame = frame.sort_values("leaf", kind="stable", ignore_index=True)
+    leaf = frame["leaf"].to_numpy()
+    ends = np.flatnonzero(np.concatenate((leaf[1:] != leaf[:-1], [True]))) + 1
+    columns = {c: frame[c].to_numpy() for c in frame.columns}
+    for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        yield int(leaf[start]), {c: v[start:end] for c, v in columns.items()}
 
-    ``members`` has ``tile, id, component``; ``tried`` has pairs that were compared. Every pair of blocks is
-    one group. Without a quota a group gives a spanning forest of its possible links, which is enough where
-    they are links; otherwise up to ``quota`` of them for each document. No group without such a pair: none.
+
+def _forest(
+    allowed: np.ndarray, roots: np.ndarray, test=lambda i, j: True
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Pairs of members of different components that are allowed, pass the test and connect what such pairs can.
+
+    Also the components that they leave.
     """
-    dealt = dealt_blocks(members)
-    # a document has few entries: the ends of its tiles, and what it was given in earlier rounds
-    partners = tried.groupBy("id").agg(F.collect_set("other").alias("tried"))
+    roots, found = roots.copy(), []
+    for i in range(len(roots) - 1):
+        rest = i + 1 + np.flatnonzero(allowed[i, i + 1 :])
+        for j in rest[roots[rest] != roots[i]].tolist():
+            if roots[j] != roots[i] and test(i, j):
+                found.append((i, j))
+                roots[roots == roots[j]] = roots[i]
+    return found, roots
+
+
+def _bundled(leaves: DataFrame, size: int):
+    """Leaves in groups of about ``BUNDLE_BYTES``; a leaf is bounded, and never cut."""
+    return leaves.withColumn("bundle", F.pmod(F.xxhash64("leaf"), F.lit(max(1, -(-size // BUNDLE_BYTES))))).groupBy("bundle")
+
+
+def possible_in_blocks(members: DataFrame, bitmaps: DataFrame, limit: Limit) -> DataFrame:
+    """``leaf, part, id, other``: in each pair of blocks, a spanning forest of the pairs that could be linked.
+
+    ``members`` has ``tile, id, component, n``. A member that could be linked with one of another component
+    is also there with itself. No members of different parts of a leaf could be linked.
+    """
+    dealt = dealt_blocks(members).select(F.xxhash64("tile", "row", "col").alias("leaf"), "id", "component", "n")
+    dealt = materialize(dealt, "dealt")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        bits = [np.frombuffer(b, np.uint64) for b in frame["bitmap"]]
-        ids, sizes = frame["id"].to_numpy(), frame["n"].to_numpy()
-        roots = frame["component"].to_numpy().copy()
-        words = min(len(b) for b in bits)
-        folded = np.stack([_folded(b, words) for b in bits])
-        places: dict[int, list[int]] = {}
-        for i, x in enumerate(ids.tolist()):
-            places.setdefault(x, []).append(i)
-        done = np.zeros((len(ids), len(ids)), bool)
-        for i, others in enumerate(frame["tried"]):
-            known = [j for x in (others if others is not None else ()) for j in places.get(x, ())]
-            done[i, known] = done[known, i] = True
-        found = [np.empty((0, 2), np.int64)]
-        for i in range(len(ids) - 1):
-            rest = np.arange(i + 1, len(ids))
-            rest = rest[(roots[rest] != roots[i]) & ~done[i, rest]]
-            needed = limit.needed(sizes[rest], sizes[i])
-            mine = sizes[i] - np.bitwise_count(folded[i] & ~folded[rest]).sum(axis=1, dtype=np.int64)
-            theirs = sizes[rest] - np.bitwise_count(folded[rest] & ~folded[i]).sum(axis=1, dtype=np.int64)
-            rest = rest[np.minimum(mine, theirs) >= needed]
-            if quota:
-                rest = rest[:quota]
-            else:
-                chosen = []
-                for j in rest.tolist():
-                    if roots[j] != roots[i]:
-                        chosen.append(j)
-                        roots[roots == roots[j]] = roots[i]
-                rest = np.array(chosen, np.int64)
-            found.append(np.stack((np.full(len(rest), ids[i]), ids[rest]), axis=1))
-        return pd.DataFrame(np.concatenate(found), columns=["id", "other"])
-
-    shown = dealt.join(bitmaps, "id").join(partners, "id", "left")
-    return shown.groupBy("tile", "row", "col").applyInPandas(compare, "id long, other long").distinct()
+        found = []
+        for leaf, own in _groups_in(frame):
+            allowed = allowed_pairs([np.frombuffer(b, np.uint64) for b in own["bitmap"]], own["n"], limit)
+            allowed &= own["component"][:, None] != own["component"]
+            met = np.flatnonzero(allowed.any(axis=1))
+            if len(met):
+                ids = own["id"].tolist()
+                pairs, parts = _forest(allowed, own["component"])
+                found += [(leaf, parts[i], ids[i], ids[j]) for i, j in [*zip(met, met, strict=True), *pairs]]
+        return pd.DataFrame(found, columns=["leaf", "part", "id", "other"], dtype="int64")
+
+    size = dealt.agg(F.sum("n").alias("n")).first()["n"] or 0
+    shown = dealt.join(bitmaps.select("id", "bitmap"), "id")
+    found = materialize(_bundled(shown, size).applyInPandas(compare, "leaf long, part long, id long, other long"), "possible")
+    release(dealt)
+    return found
+
+
+def links_in_blocks(members: DataFrame, docs: DataFrame, words: int, limit: Limit) -> DataFrame:
+    """``a, b``: links that connect the components in each group of ``members`` (``leaf, id, component``) as far as links do."""
+    arrays = sets_of_ids(docs, materialize(members.select("id").distinct(), "block-ids"), words)
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, own in _groups_in(frame):
+            sets = [np.frombuffer(s, np.uint64) for s in own["shingles"]]
+            allowed = allowed_pairs([bitmap(s) for s in sets], own["n"], limit)
+            linked, _ = _forest(
+                allowed, own["component"], lambda i, j: limit.linked(common(sets[i], sets[j]), len(sets[i]), len(sets[j]))
+            )
+            found += [(own["id"][i], own["id"][j]) for i, j in linked]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    filled = members.join(arrays, "id")
+    size = filled.agg(F.sum("n").alias("n")).first()["n"] or 0
+    links = materialize(_bundled(filled, 8 * size).applyInPandas(compare, "a long, b long").distinct(), "links")
+    release(arrays)
+    return links
 
 
 # --- the join ----------------------------------------------------------------------------------
@@ -319,43 +384,37 @@ def _linked_classes(filled: DataFrame, classes: DataFrame, texts: DataFrame, wor
     """``a, b``: classes by their ids and the least class that links reach from them, itself left out."""
     # all members of a class have the same tiles; one row of it enters them, however often it is repeated
     entering = filled.filter("size(tiles) > 0").join(classes.select("id", "row"), "row")
-    entering = materialize(entering.select("id", "tiles"), "entering")
+    entering = materialize(entering.select("id", "n", "tiles", "bitmap"), "entering")
     held = entering.select("id", F.explode("tiles").alias("tile"))
-    shared = held.groupBy("tile").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("tile")
-    inside = materialize(_with_tiles(held, materialize(shared, "shared-tiles")), "tile-members")
-    inside = materialize(_distinct_tiles(inside), "tile-members")
-    ends = F.explode(F.array("least", "most")).alias("other")
-    tried = materialize(inside.select("id", ends).filter("id != other").distinct(), "tried")
-    stars = tried.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-    stars = materialize(stars.distinct(), "stars")
-    ids = materialize(inside.select("id").distinct(), "tile-ids")
-    bitmaps = _for_ids(texts, ids, words, "bitmap", bitmap)
-    possible = materialize(possible_pairs(stars, bitmaps, limit), "possible")
-    links = materialize(verified_pairs(possible, texts, words, limit), "links")
-    groups = components(links)
-    # up to three members have all been compared; larger tiles may hold links that no star has shown
-    large = _still_split(inside.filter("members > 3").select("tile", "id"), groups)
-    large = materialize(large, "split-tiles")
-    for turn in count():
-        named = _still_split(large, groups)
-        # first a spanning forest of each block, then ever more of what has failed to connect it
-        quota = 16 * 4 ** (turn - 1) if turn else 0
-        more = block_pairs(named, bitmaps, tried, limit, quota)
-        more = materialize(more, "possible")
-        if more.isEmpty():
-            return groups
-        pairs = more.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        links = materialize(verified_pairs(pairs, texts, words, limit), "links")
-        if not links.isEmpty():
-            groups = components(groups.unionByName(links))
-        if quota and more.groupBy("id").count().filter(F.col("count") >= quota).isEmpty():
-            return groups  # no document had more possible partners than it was given
-        tried = materialize(tried.unionByName(more), "tried")
-
-
-def _with_tiles(held: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``held`` whose tile is in the stored table ``wanted``."""
-    return held.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "tile")
+    met = held.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("tile"))).filter("members > 1")
+    met = materialize(met.select("tile", "id"), "shared-tiles")
+    inside = materialize(_distinct_tiles(met), "tile-members")
+    release(met)
+    # what hangs together in a tile of many blocks is mostly found by its ends, and then need not meet itself
+    ends = inside.filter(F.col("members") > BLOCK).select("id", F.explode(F.array("least", "most")).alias("other"))
+    stars = _ordered(ends.filter("id != other"))
+    groups = _with_links(None, materialize(possible_pairs(stars, entering, limit), "possible"), texts, words, limit)
+    split = _still_split(inside.select("tile", "id"), groups).join(entering.select("id", "n"), "id")
+    split = materialize(split, "split-tiles")
+    possible = possible_in_blocks(split, entering, limit)
+    release(split)
+    groups = _with_links(groups, _ordered(possible.filter("id != other")), texts, words, limit)
+    left = possible.filter("id = other").select(F.xxhash64("leaf", "part").alias("tile"), "id").distinct()
+    left = materialize(_still_split(left, groups).withColumnRenamed("tile", "leaf"), "split-blocks")
+    if left.isEmpty():
+        return groups
+    links = links_in_blocks(left, texts, words, limit)
+    return groups if links.isEmpty() else components(groups.unionByName(links))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def _with_links(groups: DataFrame | None, pairs: DataFrame, texts: DataFrame, words: int, limit: Limit) -> DataFrame:
+    """Components of the groups and those of ``pairs`` that are links."""
+    links = materialize(verified_pairs(materialize(pairs, "pairs"), texts, words, limit), "links")
+    return components(links if groups is None else groups.unionByName(links))
 
 
 def _distinct_tiles(inside: DataFrame) -> DataFrame:

@@ -113,6 +113,34 @@ def test_a_hot_tile_with_one_outsider_gives_few_rows(spark):
     assert largest < 2 * shingle_join.BLOCK
 
 
+def test_a_tile_that_fits_a_block_is_one_group_of_its_members(spark):
+    ids = spark.range(200).select((F.col("id") % 2).alias("tile"), "id", F.col("id").alias("component"))
+    rows = shingle_join.dealt_blocks(ids)
+    assert rows.count() == 200
+    assert rows.select("tile", "row", "col").distinct().count() == 2
+
+
+def test_blocks_of_long_sets_hold_a_bounded_number_of_shingles(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK_BYTES", 8 * 20_000 * 10)
+    ids = spark.range(100).select(F.lit(1).alias("tile"), "id", F.col("id").alias("component"), F.lit(20_000).alias("n"))
+    rows = shingle_join.dealt_blocks(ids)
+    assert rows.groupBy("tile", "row", "col").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] < 4 * 20_000 * 10
+
+
+def test_bounds_of_a_group_are_those_of_its_pairs(monkeypatch):
+    monkeypatch.setattr(shingle_join, "BIT_COLUMNS", 100)
+    rng, limit = np.random.default_rng(4), shingle_join.Limit(80)
+    base = rng.integers(0, 2**63, 200).astype(np.uint64)
+    sets = [np.sort(rng.choice(base, n, replace=False)) for n in (3, 120, 150, 180, 190, 199, 200)]
+    bits, sizes = [shingle_join.bitmap(s) for s in sets], np.array([len(s) for s in sets])
+    words = min(map(len, bits))
+    short = [shingle_join._folded(b, words) for b in bits]
+    allowed = shingle_join.allowed_pairs(bits, sizes, limit)
+    for i, a in enumerate(short):
+        for j, b in enumerate(short):
+            assert allowed[i, j] == (shingle_join.overlap_bound(a, b, sizes[i], sizes[j]) >= limit.needed(sizes[i], sizes[j]))
+
+
 def test_every_pair_of_components_meets_in_a_block(spark, monkeypatch):
     monkeypatch.setattr(shingle_join, "BLOCK", 5)
     rng = random.Random(3)

@@ -399,14 +399,25 @@ def _linked_classes(filled: DataFrame, classes: DataFrame, texts: DataFrame, wor
     possible = possible_in_blocks(split, entering, limit)
     release(split)
     groups = _with_links(groups, _ordered(possible.filter("id != other")), texts, words, limit)
-    left = possible.filter("id = other").select(F.xxhash64("leaf", "part").alias("tile"), "id").distinct()
-    left = materialize(_still_split(left, groups).withColumnRenamed("tile", "leaf"), "split-blocks")
+    left = remaining_parts(possible, groups)
     if left.isEmpty():
         return groups
     links = links_in_blocks(left, texts, words, limit)
     return groups if links.isEmpty() else components(groups.unionByName(links))
 
 
+def remaining_parts(possible: DataFrame, groups: DataFrame) -> DataFrame:
+    """``leaf, id, component``: parts of blocks that may hold links no forest has shown, of equal ones one.
+
+    The forest of two members is their only pair.
+    """
+    parts = possible.filter("id = other").select(F.xxhash64("leaf", "part").alias("tile"), "id").distinct()
+    split = materialize(_still_split(parts, groups), "split-parts")
+    once = _distinct_tiles(split.select("tile", "id")).filter("members > 2").select("tile", "id")
+    left = once.join(split, ["tile", "id"]).select(F.col("tile").alias("leaf"), "id", "component")
+    return materialize(left, "split-blocks")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 

@@ -105,3 +105,10 @@ def test_a_clean_text_stays_beside_a_contaminated_one_of_its_id(spark, tmp_path)
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("gone1", F.lit(1))
     kept = corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted((r for r in rows if r[1] != dirty), key=str)
+
+
+def test_no_task_of_the_encoding_takes_two_workers(spark):
+    """Workers stay with the executor, each with a vocabulary and a memo."""
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    plan = corpus_pipeline.encode(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

@@ -141,6 +141,17 @@ def test_bounds_of_a_group_are_those_of_its_pairs(monkeypatch):
             assert allowed[i, j] == (shingle_join.overlap_bound(a, b, sizes[i], sizes[j]) >= limit.needed(sizes[i], sizes[j]))
 
 
+def test_only_parts_with_an_uncompared_pair_remain_and_equal_ones_once(spark):
+    parts = {(1, 1): (1, 2), (2, 1): (3, 4, 5), (3, 1): (3, 4, 5), (4, 1): (6, 7, 8), (4, 2): (3, 5, 9)}
+    rows = [(leaf, part, i, i) for (leaf, part), ids in parts.items() for i in ids] + [(2, 1, 3, 4), (1, 1, 1, 2)]
+    groups = spark.createDataFrame([(7, 6), (8, 6)], "a long, b long")
+    left = shingle_join.remaining_parts(spark.createDataFrame(rows, "leaf long, part long, id long, other long"), groups)
+    found = {}
+    for r in left.collect():
+        found.setdefault(r.leaf, set()).add(r.id)
+    assert sorted(map(sorted, found.values())) == [[3, 4, 5], [3, 5, 9]]
+
+
 def test_every_pair_of_components_meets_in_a_block(spark, monkeypatch):
     monkeypatch.setattr(shingle_join, "BLOCK", 5)
     rng = random.Random(3)

@@ -88,3 +88,10 @@ def test_empty_table_and_null_id(spark):
     assert bpe_matrix.encode_texts(docs.limit(0), RANKS, public.PATTERN).count() == 0
     nulls = docs.withColumn("doc_id", F.lit(None).cast("long"))
     assert [tuple(r) for r in token_counts.count_tokens(nulls, SPEC, public.PATTERN).collect()] == [(None, 1, 1)]
+
+
+def test_one_pass_gives_the_rows_of_two(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    two = bpe_matrix.decode_ids(bpe_matrix.encode_texts(docs, RANKS, public.PATTERN), RANKS, public.PATTERN)
+    one = bpe_matrix.encode_and_decode(docs, RANKS, public.PATTERN)
+    assert sorted(one.collect()) == sorted(two.collect())

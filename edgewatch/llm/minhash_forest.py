@@ -8,6 +8,10 @@ prefixes of neighbours are shorter, until its leaves are small; the neighbours o
 candidates. Members of a leaf that are not yet connected are first compared by all their min-hash values;
 those with a partner that could be similar enough are then compared exactly on their full sets.
 
+The first tree goes alone and joins most copies; each further round takes as many trees as all before it. In
+its orders every class carries its component so far, and a leaf that lies in one component is left behind
+where it is cut.
+
 Deep cuts may part linked documents in all orders. So where a region was cut and has not become one
 component, its members outside the largest component are compared with all the others, in blocks. The
 members of very large regions of that kind first enter a forest of longer labels and more trees.
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -69,7 +74,7 @@ SLICE_ROWS = 200_000
 BUNDLE_BYTES = 4 << 20
 CELLS = 1 << 18
 SETS = "doc_id long, n long, high long, low long, labels binary"
-ORDERED = "leaf long, region long, id long, border long, tree int, label binary"
+ORDERED = "leaf long, region long, id long, root long, open boolean, border long, tree int, label binary"
 
 
 # --- labels ------------------------------------------------------------------------------------
@@ -143,45 +148,60 @@ def region_of(tree: np.ndarray, values: np.ndarray, base: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _leaves(tree, label, ids, forest: Forest, number: int, borders: bool) -> pd.DataFrame:
-    """Rows of the leaves in one slice of the order, and those that touch its borders."""
+def _leaves(tree, label, ids, forest: Forest, number: int, borders: bool, roots=None) -> pd.DataFrame:
+    """Rows of the leaves in one slice of the order, and those that touch its borders.
+
+    ``roots`` are the components so far, at first the ids. A leaf is open if it holds more than one; rows of
+    others are there for their region only, and without one not at all.
+    """
+    roots = ids if roots is None else roots
     values = np.frombuffer(b"".join(label), ">u2").reshape(len(label), -1).astype(np.uint64)
     leaf, dense, shared = cut_order(tree, values, forest)
     region = region_of(tree, values, forest.base)
     at = np.arange(len(tree))
-    taken = dense | (np.bincount(leaf, minlength=len(leaf))[leaf] > 1)
+    # a leaf is named by its first row and ends where the next one begins
+    several = np.zeros(len(tree), bool)
+    several[leaf[1:][(leaf[1:] == leaf[:-1]) & (roots[1:] != roots[:-1])]] = True
+    several = several[leaf]
+    taken = dense | several
     # both sides of a cut inside a region are neighbours, too
-    cut = at[1:][(leaf[1:] != leaf[:-1]) & (shared[1:] >= forest.base)]
-    rows = [(leaf[taken] * 2, at[taken]), (cut * 2 + 1, cut - 1), (cut * 2 + 1, cut)]
+    cut = at[1:][(leaf[1:] != leaf[:-1]) & (shared[1:] >= forest.base) & (roots[1:] != roots[:-1])]
+    sides = np.ones(len(cut), bool)
+    rows = [(leaf[taken] * 2, at[taken], several[taken]), (cut * 2 + 1, cut - 1, sides), (cut * 2 + 1, cut, sides)]
     parts = [
-        {"leaf": (number << 34) + key, "row": row, "region": np.where(dense[row], region[row], 0), "border": -1}
-        for key, row in rows
+        {"leaf": (number << 34) + key, "row": row, "region": np.where(dense[row], region[row], 0), "open": held, "border": -1}
+        for key, row, held in rows
     ]
     if borders and len(at):
         near = shared >= forest.base
         head = at[: LEAF][np.cumprod(np.concatenate(([True], near[1:LEAF]))).astype(bool)]
         tail = at[::-1][:LEAF][np.cumprod(np.concatenate(([True], near[:0:-1][: LEAF - 1]))).astype(bool)]
         for row, border in ((head, number), (tail, number + 1)):
-            parts.append({"leaf": np.full(len(row), -1), "row": row, "region": np.zeros(len(row), np.int64), "border": border})
+            none = {"leaf": np.full(len(row), -1), "region": np.zeros(len(row), np.int64), "open": np.zeros(len(row), bool)}
+            parts.append({**none, "row": row, "border": border})
     frame = pd.concat([pd.DataFrame(p) for p in parts])
     row = frame.pop("row").to_numpy()
     at_border = (frame["border"] >= 0).to_numpy()
     names = [x if b else None for x, b in zip(np.asarray(label, object)[row], at_border, strict=True)]
-    return frame.assign(id=ids[row], tree=tree[row].astype(np.int32), label=names)[
-        ["leaf", "region", "id", "border", "tree", "label"]
+    return frame.assign(id=ids[row], root=roots[row], tree=tree[row].astype(np.int32), label=names)[
+        ["leaf", "region", "id", "root", "open", "border", "tree", "label"]
     ]
 
 
-def sorted_leaves(labelled: DataFrame, forest: Forest) -> DataFrame:
-    """``tree, leaf, region, id``: leaves of all orders; ``region`` is 0 where the base depth was enough.
+def sorted_leaves(labelled: DataFrame, forest: Forest, trees: range | None = None) -> DataFrame:
+    """``tree, leaf, region, id, root, open``: leaves of the orders; ``region`` is 0 where the base depth was enough.
 
-    ``labelled`` is a stored table of ``id, labels``. A slice is a contiguous part of all orders; what lies
-    at its ends is looked at again together with the end of the next slice.
+    ``labelled`` is a stored table of ``id``, the ``labels`` of these trees and, if there are components, ``root``.
+    A slice is a contiguous part of all orders; what lies at its ends is looked at again together with the end
+    of the next slice. Only open leaves hold more than one component.
     """
-    width = 2 * forest.depth
-    slices = max(1, -(-labelled.count() * forest.trees // SLICE_ROWS))
-    rows = labelled.select("id", "labels", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree"))
-    rows = rows.select("tree", F.expr(f"substring(labels, tree * {width} + 1, {width})").alias("label"), "id")
+    width, trees = 2 * forest.depth, trees or range(forest.trees)
+    slices = max(1, -(-labelled.count() * len(trees) // SLICE_ROWS))
+    if "root" not in labelled.columns:
+        labelled = labelled.withColumn("root", F.col("id"))
+    every = F.explode(F.sequence(F.lit(trees[0]), F.lit(trees[-1]))).alias("tree")
+    rows = labelled.select("id", "root", "labels", every)
+    rows = rows.select("tree", F.expr(f"substring(labels, (tree - {trees[0]}) * {width} + 1, {width})").alias("label"), "id", "root")
     keys = ("tree", "label", "id")
     ordered = rows.repartitionByRange(slices, *keys).sortWithinPartitions(*keys)
 
@@ -189,13 +209,13 @@ def sorted_leaves(labelled: DataFrame, forest: Forest) -> DataFrame:
         held = [b for b in batches if b.num_rows]
         if held:
             table = pa.Table.from_batches(held)
-            own = [table[c].to_numpy() for c in ("tree", "id")]
-            found = _leaves(own[0], table["label"].to_pylist(), own[1], forest, TaskContext.get().partitionId(), True)
+            tree, ids, roots = (table[c].to_numpy() for c in ("tree", "id", "root"))
+            found = _leaves(tree, table["label"].to_pylist(), ids, forest, TaskContext.get().partitionId(), True, roots)
             yield from pa.Table.from_pandas(found, leaf_schema, preserve_index=False).to_batches(1 << 16)
 
     leaf_schema = pa.schema(
-        [("leaf", pa.int64()), ("region", pa.int64()), ("id", pa.int64()), ("border", pa.int64()),
-         ("tree", pa.int32()), ("label", pa.binary())]
+        [("leaf", pa.int64()), ("region", pa.int64()), ("id", pa.int64()), ("root", pa.int64()), ("open", pa.bool_()),
+         ("border", pa.int64()), ("tree", pa.int32()), ("label", pa.binary())]
     )
     found = materialize(ordered.mapInArrow(cut, ORDERED), "order")
 
@@ -203,9 +223,10 @@ def sorted_leaves(labelled: DataFrame, forest: Forest) -> DataFrame:
         frame = frame.sort_values(["tree", "label", "id"])
         label = [bytes(x) for x in frame["label"]]
         number = -1 - int(frame["border"].iloc[0])
-        return _leaves(frame["tree"].to_numpy(), label, frame["id"].to_numpy(), forest, number, False)
+        tree, ids, roots = (frame[c].to_numpy() for c in ("tree", "id", "root"))
+        return _leaves(tree, label, ids, forest, number, False, roots)
 
-    columns = ["tree", "leaf", "region", "id"]
+    columns = ["tree", "leaf", "region", "id", "root", "open"]
     borders = found.filter("border >= 0").groupBy("border").applyInPandas(mend, ORDERED)
     inside = found.filter("border < 0").select(*columns)
     out = materialize(inside.unionByName(borders.select(*columns)), "leaves")
@@ -269,16 +290,14 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def leaf_links(
-    members: DataFrame, groups: DataFrame, signatures: DataFrame, classes: DataFrame, texts: DataFrame, words: int, limit: Limit
+    members: DataFrame, signatures: DataFrame, classes: DataFrame, texts: DataFrame, words: int, limit: Limit
 ) -> DataFrame | None:
-    """``a, b``: links inside the leaves of ``members`` (``leaf, id``) that join components of ``groups``, or None.
+    """``a, b``: links inside the leaves of ``members`` that join components, or None.
 
-    The leaves in which no two members can be linked are left behind with their signatures; only the rest
-    get their sets, made from the texts again.
+    ``members`` is a stored table of ``leaf, id, root``. The leaves in which no two members can be linked are
+    left behind with their signatures; only the rest get their sets, made from the texts again.
     """
-    named = members.join(groups, F.col("id") == F.col("a"), "left").select("leaf", "id", F.coalesce("b", "id").alias("root"))
-    split = named.groupBy("leaf").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    live = named.join(split.filter("least != most").select("leaf"), "leaf").distinct()
+
     def narrow(frame: pd.DataFrame) -> pd.DataFrame:
         kept, agreement = [], least_agreement(limit.percent, len(frame["signature"].iloc[0]) // 2)
         for _, own in frame.groupby("leaf", sort=False):
@@ -286,10 +305,8 @@ def leaf_links(
             kept.append(own.loc[possible_members(own["root"].to_numpy(), values, agreement), ["leaf", "id", "root"]])
         return pd.concat(kept)
 
-    live = materialize(live, "live-leaves")
-    compared = _bundled(live.join(signatures, "id"), live.count() * 2 * SIGNATURE)
+    compared = _bundled(members.join(signatures, "id"), members.count() * 2 * SIGNATURE)
     kept = materialize(compared.applyInPandas(narrow, "leaf long, id long, root long"), "possible")
-    release(live)
     if kept.isEmpty():
         return None
     arrays = sets_of(kept, classes, texts, words)
@@ -333,16 +350,29 @@ def sets_of(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int
     return materialize(once, "arrays")
 
 
-def distinct_leaves(leaves: DataFrame) -> DataFrame:
-    """``tree, leaf, id``: the leaves of two members or more, each set of members in its first tree only."""
-    held = leaves.select("tree", "leaf", "id").distinct()
+def distinct_leaves(leaves: DataFrame, earlier: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """``leaf, id, root``: the open leaves, of those with the same members one, and none that was there ``earlier``.
+
+    Also the contents of those leaves, a row each.
+    """
+    held = leaves.filter("open").select("leaf", "id", "root").distinct()
     mixed_id = [F.xxhash64("id", F.lit(seed)) for seed in (1, 2)]
     content = held.groupBy("leaf").agg(
-        F.min("tree").alias("tree"), F.count(F.lit(1)).alias("n"), F.sum(mixed_id[0] % (1 << 31)).alias("x"),
+        F.count(F.lit(1)).alias("n"), F.sum(mixed_id[0] % (1 << 31)).alias("x"),
         F.bit_xor(mixed_id[1]).alias("y"), F.min("id").alias("least"), F.max("id").alias("most"),
     )
-    first = content.filter("n > 1").groupBy("n", "x", "y", "least", "most").agg(F.min(F.struct("tree", "leaf")).alias("f"))
-    return materialize(held.join(first.select("f.leaf"), "leaf"), "distinct-leaves")
+    alike = ["n", "x", "y", "least", "most"]
+    once = content.groupBy(*alike).agg(F.min("leaf").alias("leaf"))
+    once = materialize(once if earlier is None else once.join(earlier, alike, "left_anti"), "contents")
+    return materialize(held.join(once.select("leaf"), "leaf"), "distinct-leaves"), once
+
+
+def rounds(trees: int) -> list[range]:
+    """The first tree, then as many as there were before."""
+    ends = [0, 1]
+    while ends[-1] < trees:
+        ends.append(min(2 * ends[-1], trees))
+    return [range(start, end) for start, end in zip(ends, ends[1:], strict=False)]
 
 
 def _joined(groups: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -350,23 +380,37 @@ def _joined(groups: DataFrame, links: DataFrame | None) -> DataFrame:
     return groups if links is None or links.isEmpty() else components(groups.unionByName(links))
 
 
-def _with_roots(members: DataFrame, groups: DataFrame) -> DataFrame:
-    named = members.join(groups, F.col("id") == F.col("a"), "left")
-    return named.select("region", "id", F.coalesce("b", "id").alias("root")).distinct()
+def _with_roots(labelled: DataFrame, groups: DataFrame, forest: Forest, trees: range) -> DataFrame:
+    """``id, labels, root``, stored: the classes with the labels of these trees and their components."""
+    width = 2 * forest.depth
+    own = labelled.select("id", F.substring("labels", trees[0] * width + 1, len(trees) * width).alias("labels"))
+    named = own.join(groups, F.col("id") == F.col("a"), "left")
+    return materialize(named.select("id", "labels", F.coalesce("b", "id").alias("root")), "rooted")
 
 
 def parted_regions(leaves: DataFrame, groups: DataFrame) -> DataFrame:
-    """``region, id, root`` of the regions that were cut and hold more than one component."""
-    dense = _with_roots(leaves.filter("region != 0"), groups)
-    split = dense.groupBy("region").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    return materialize(dense.join(split.filter("least != most").select("region"), "region"), "regions")
+    """``region, id, root`` of the regions that were cut and hold more than one component.
+
+    Components grew since the orders were made, so the roots that a region has there are looked up in
+    ``groups``; members are only named in regions that stay parted.
+    """
+    dense = leaves.filter("region != 0").select("region", "id", F.col("root").alias("was"))
+    named = dense.select("region", "was").distinct().join(groups, F.col("was") == F.col("a"), "left")
+    named = materialize(named.select("region", "was", F.coalesce("b", "was").alias("root")), "region-roots")
+    split = named.groupBy("region").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    parted = named.join(split.filter("least != most").select("region"), "region")
+    regions = materialize(dense.join(parted, ["region", "was"]).select("region", "id", "root").distinct(), "regions")
+    release(named)
+    return regions
 
 
 def remaining_leaves(regions: DataFrame) -> DataFrame:
-    """``leaf, id``: the members of parted regions in pairs of blocks, all but those inside one component."""
+    """``leaf, id, root``: the members of parted regions in pairs of blocks, all but those inside one component."""
     members = regions.select(F.col("region").alias("tile"), "id", F.col("root").alias("component"))
     blocks = dealt_blocks(members, REGION_BLOCK)
-    return blocks.select(F.xxhash64("tile", "row", "col").alias("leaf"), "id").distinct()
+    named = blocks.select(F.xxhash64("tile", "row", "col").alias("leaf"), "id", F.col("component").alias("root")).distinct()
+    split = named.groupBy("leaf").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    return materialize(named.join(split.filter("least != most").select("leaf"), "leaf"), "live-leaves")
 
 
 # --- groups ------------------------------------------------------------------------------------
@@ -399,21 +443,26 @@ def near_duplicates(
     signatures = labelled.select("id", F.substring("labels", 1, 2 * SIGNATURE).alias("signature"))
     groups = sets.sparkSession.createDataFrame([], "a long, b long")
     for number, forest in enumerate(forests):
-        leaves = sorted_leaves(labelled, forest)
-        members = distinct_leaves(leaves)
-        # one order joins most copies, so that the others have little left to compare
-        for held in (members.filter("tree = 0"), members.filter("tree > 0")):
-            groups = _joined(groups, leaf_links(held.select("leaf", "id"), groups, signatures, classes, texts, words, limit))
-        regions = parted_regions(leaves, groups)
-        release(leaves)
-        release(members)
+        orders, earlier = [], None
+        for trees in rounds(forest.trees):
+            rooted = _with_roots(labelled, groups, forest, trees)
+            orders.append(sorted_leaves(rooted, forest, trees))
+            release(rooted)
+            members, contents = distinct_leaves(orders[-1], earlier)
+            earlier = contents if earlier is None else earlier.unionByName(contents)
+            groups = _joined(groups, leaf_links(members, signatures, classes, texts, words, limit))
+            release(members)
+        regions = parted_regions(reduce(DataFrame.unionByName, orders), groups)
+        for order in orders:
+            release(order)
         if regions.isEmpty():
             break
         sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"))
         large = sizes.filter(F.col("members") > (LARGE_REGION if number < len(forests) - 1 else 2**62)).select("region")
         large = materialize(large, "large-regions")
         rest = remaining_leaves(regions.join(_small(large), "region", "left_anti"))
-        groups = _joined(groups, leaf_links(rest, groups, signatures, classes, texts, words, limit))
+        groups = _joined(groups, leaf_links(rest, signatures, classes, texts, words, limit))
+        release(rest)
         if large.isEmpty():
             break
         inside = regions.join(_small(large), "region", "left_semi").select("id").distinct().join(classes, "id")

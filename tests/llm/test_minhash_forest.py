@@ -112,6 +112,31 @@ def test_one_region_of_near_copies_with_one_outsider_stays_linear(spark):
         assert len(leaves) <= 2 * n and leaves.groupby("leaf").size().max() <= forest.LEAF
 
 
+def test_leaves_of_one_component_are_left_behind():
+    rng = np.random.default_rng(4)
+    label = np.concatenate([np.full((20, 8), k) for k in range(3)]).astype(">u2")
+    roots = np.repeat([0, 20, 40], 20)
+    roots[25] = 25
+    rows = forest._leaves(np.zeros(60, np.int64), [x.tobytes() for x in label], rng.permutation(60), Forest(3, 8, 1), 0, False, roots)
+    assert rows["open"].all() and sorted(rows["root"]) == [20] * 19 + [25]
+
+
+@pytest.mark.parametrize("trees", [1, 2, 3, 16, 208])
+def test_rounds_hold_every_tree_once(trees):
+    assert [t for r in forest.rounds(trees) for t in r] == list(range(trees))
+
+
+def test_near_copies_do_not_meet_in_every_order(spark, monkeypatch):
+    """Most trees find their leaves connected: few rows a member are compared, not one for each tree."""
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(3000)}" for _ in range(300)]
+    rows = [(i, " ".join(edited(base, rnd, 1))) for i in range(600)] + [(600, "some other text of a few words")]
+    compared, whole = [], forest.leaf_links
+    monkeypatch.setattr(forest, "leaf_links", lambda *a: compared.append(a[0].count()) or whole(*a))
+    assert {r[2] for r in groups_of(spark, rows, words=3, percent=85)} == {0, 600}
+    assert sum(compared) < 4 * len(rows)
+
+
 def test_least_agreement_is_a_safe_bound():
     rng = np.random.default_rng(1)
     agreed = rng.binomial(128, 0.85, 2_000_000)

@@ -20,7 +20,7 @@ from edgewatch.operators.scoring import Clock, assign_ticks, profile_events, sco
 from edgewatch.operators.trees import decision_trees
 from edgewatch.plans.detection import compare_detectors, evaluate_batch
 from edgewatch.schemas import ALERT_TABLE_SCHEMA, LABEL_CLASSES
-from edgewatch.session import shared_dir
+from edgewatch.session import materialize, shared_dir
 from edgewatch.sinks import compaction, reports, tables
 from edgewatch.sources import edge_files, edge_log, flow_files, streams
 from edgewatch.sources import tables as stored_tables
@@ -227,7 +227,9 @@ def midas_score_slow_decay(spark, sf_dir):
 
 
 def midas_score_sparse(spark, sf_dir):
-    return _scores(score_edges(_shipments(spark, sf_dir), DAILY))
+    # the join is run once, scoring reads the events several times
+    shipments = materialize(_shipments(spark, sf_dir), "shipments", drop_shuffles=True)
+    return _scores(score_edges(shipments, DAILY))
 
 
 def midas_score_late(spark, sf_dir):

@@ -9,7 +9,8 @@ destination, and each is scored. Here the same numbers come from
 3. the position of each event among the events of the same entity and tick.
 
 Work is split by (entity, tick), so an entity that holds much of the stream is spread over its
-ticks; a tick with more than ``SLICE_ROWS`` events is further cut into slices of stream order.
+ticks; a tick with more than ``SLICE_ROWS`` events is further cut into slices of stream order. Exact
+counters without a filter need slices only where one source or destination has that many in a tick.
 """
 
 from __future__ import annotations
@@ -336,23 +337,74 @@ def _place_events(
     return placed.filter(f"_mark = {last}").drop("_mark")
 
 
+ENTITIES = {"edge": ["src", "dst"], "src": ["src"], "dst": ["dst"]}
+
+
+def _edge_counts(events: DataFrame) -> DataFrame:
+    return events.groupBy("src", "dst", "_at", "_slice").agg(
+        F.count(F.lit(1)).alias("n_cur"), F.count_if("_keep").alias("n_tot")
+    )
+
+
 def _score_exact(
     events: DataFrame, cfg: ScorerConfig, clock: Clock, state: DataFrame | None, bound: int, payload: list[str]
 ) -> Scoring:
-    edges = events.groupBy("src", "dst", "_at", "_slice").agg(
-        F.count(F.lit(1)).alias("n_cur"), F.count_if("_keep").alias("n_tot")
-    )
+    edges = _edge_counts(events)
     ranks = _tick_ranks(edges, clock)
     floor = cfg.decay == "floor"
     folds = {}
-    for kind, keys in (("edge", ["src", "dst"]), ("src", ["src"]), ("dst", ["dst"])):
+    for kind, keys in ENTITIES.items():
         counts = edges if kind == "edge" else _sums(edges, keys)
         counts = _with_state(_ranked(counts, ranks, bound), keys, kind, state)
         folds[kind] = (keys, fold_counts(counts, keys, cfg.alpha, floor))
+    return _scored_exact(events, cfg, folds, payload)
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    return materialize(df, label, drop_shuffles=True)
+
+
+def _score_exact_large(
+    ticked: DataFrame, cfg: ScorerConfig, profile: StreamProfile, clock: Clock, state: DataFrame | None, bound: int, payload: list[str]
+) -> Scoring:
+    """``_score_exact`` step by step: counts and folds are written once, so that the shuffles of each step
+    are gone before the next one begins.
+
+    The events are cut into slices, which copies those of busy ticks, only if a source or destination has
+    more than ``SLICE_ROWS`` of them in a tick. An edge cannot have more than its source.
+    """
+    whole = ticked.withColumns({"_slice": F.lit(0), "_keep": F.lit(True)})
+    counts = _entity_counts(whole)
+    if any(not counts[kind].filter(F.col("n_cur") > SLICE_ROWS).isEmpty() for kind in ("src", "dst")):
+        for stored in counts.values():
+            release(stored)
+        whole = with_slices(ticked, cfg, profile).withColumn("_keep", F.lit(True))
+        counts = _entity_counts(whole)
+    ranks = _stored(_tick_ranks(counts["edge"], clock), "ranks")
+    folds = {}
+    for kind, keys in ENTITIES.items():
+        given = _with_state(_ranked(counts[kind], ranks, bound), keys, kind, state)
+        folds[kind] = (keys, _stored(fold_counts(given, keys, cfg.alpha, cfg.decay == "floor"), f"{kind}-fold"))
+        release(counts[kind])
+    release(ranks)
+    return _scored_exact(whole, cfg, folds, payload, stored=True)
+
+
+def _entity_counts(events: DataFrame) -> dict[str, DataFrame]:
+    edges = _stored(_edge_counts(events), "edge-counts")
+    return {"edge": edges} | {kind: _stored(_sums(edges, [kind]), f"{kind}-counts") for kind in ("src", "dst")}
+
+
+def _scored_exact(
+    events: DataFrame, cfg: ScorerConfig, folds: dict[str, tuple[list[str], DataFrame]], payload: list[str], stored: bool = False
+) -> Scoring:
+    """``stored`` writes the events once they have their places among sources and edges."""
     order = stream_order(cfg)
     every = not cfg.filter_anomalies
     nested = [("src", *folds["src"]), ("edge", *folds["edge"])]
     placed = _place_events(events, nested, order, every)
+    if stored:
+        placed = _stored(placed, "placed")
     placed = _place_events(placed, [("dst", *folds["dst"])], order, every)
     return Scoring(_score_columns(placed, cfg, payload), folds)
 
@@ -406,16 +458,18 @@ def score_batch(
     profile = profile or profile_events(events, cfg)
     clock = clock or Clock(profile.first)
     payload = [c for c in events.columns if c not in SCORE_COLUMNS]
-    ticked = with_slices(assign_ticks(events, cfg, profile, clock), cfg, profile)
+    ticked = assign_ticks(events, cfg, profile, clock)
     top = max(1, (profile.high - clock.start) // cfg.tick_seconds + 1, clock.max_tick)
     low = max(1, (profile.low - clock.start) // cfg.tick_seconds + 1, clock.max_tick)
     bound = top - low + 2
     kernel = _score_exact if cfg.counts == "exact" else _score_sketch
-    if not cfg.filter_anomalies:
-        kept = ticked.withColumn("_keep", F.lit(True))
-        result = kernel(kept, cfg, clock, state, bound, payload)
+    if cfg.filter_anomalies:
+        result = _filter_to_fixed_point(with_slices(ticked, cfg, profile), cfg, clock, state, bound, payload, kernel)
+    elif cfg.counts == "exact" and profile.rows > SLICE_ROWS:
+        result = _score_exact_large(ticked, cfg, profile, clock, state, bound, payload)
     else:
-        result = _filter_to_fixed_point(ticked, cfg, clock, state, bound, payload, kernel)
+        kept = with_slices(ticked, cfg, profile).withColumn("_keep", F.lit(True))
+        result = kernel(kept, cfg, clock, state, bound, payload)
     return result, Clock(clock.start, top, clock.max_rank)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,13 +36,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _SCOPES: list[list[str]] = []
+#: Spark's setting that removes the shuffle files of a query as soon as it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back, which cuts its lineage for good."""
+def materialize(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
+    """Write a frame to the shared folder and read it back, which cuts its lineage for good.
+
+    ``drop_shuffles`` removes the shuffle files of the write at its end; else they stay on disk until the
+    driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/edgewatch/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffle_cleanup(spark) if drop_shuffles else nullcontext():
+        df.write.parquet(path)
     for scope in _SCOPES[-1:]:
         scope.append(path)
     stored = spark.read.schema(df.schema).parquet(path)
@@ -50,6 +57,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return stored
 
 
+@contextmanager
+def _shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def release(stored: DataFrame) -> None:
     """Delete the folder of a frame that ``materialize`` returned and that nothing reads any more."""
     delete_folder(stored.sparkSession, stored._stored_at)

@@ -1,13 +1,14 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from edgewatch.config import ScorerConfig
 from edgewatch.operators.alerts import alert_rows, score_rows
 from edgewatch.operators.scoring import score_edges
 from edgewatch.plans.detection import compare_detectors
 from edgewatch.plans.flow_analysis import analyze_flows, ingest_flows
-from edgewatch.session import materialize, shared_dir
+from edgewatch.session import SHUFFLE_CLEANUP, materialize, shared_dir
 from edgewatch.sinks.messages import write_message_files
 from edgewatch.sinks.tables import flat_columns, write_table
 from edgewatch.sources.tables import read_scores
@@ -66,6 +67,17 @@ def test_tables_round_trip(spark, tmp_path):
     assert spark.read.text(f"{tmp_path}/m/batch_id=3").count() == alerts.count()
 
 
+def test_shuffles_of_a_written_frame_can_be_dropped(spark):
+    shuffles = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = set(shuffles.keySet().mkString(",").split(","))
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert materialize(counted, "t", drop_shuffles=True).count() == 7
+    left = set(shuffles.keySet().mkString(",").split(",")) - before
+    # the count of the written rows has one of its own
+    assert len(left) <= 1
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
 def test_materialized_frames_live_in_the_shared_folder(spark):
     df = materialize(spark.range(10), "t")
     assert df.count() == 10

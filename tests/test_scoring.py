@@ -123,6 +123,36 @@ def test_sliced_ticks_give_the_same_scores(spark, monkeypatch, order):
     assert_same(score_edges(spark.createDataFrame(rows, SCHEMA), cfg), rows, cfg)
 
 
+def test_busy_ticks_without_hot_entities_are_not_copied(spark, monkeypatch):
+    """Slices are for entities with many events in a tick, not for ticks with many entities."""
+    calls = []
+    cut = scoring.with_slices
+    monkeypatch.setattr(scoring, "with_slices", lambda *a: calls.append(1) or cut(*a))
+    monkeypatch.setattr(scoring, "SLICE_ROWS", 12)
+    cfg = ScorerConfig(tick_seconds=100, alpha=0.5)
+    rows = [(f"c{i % 41}", f"s{i % 37}", 1_000 + i, i) for i in range(600)]
+    assert_same(score_edges(spark.createDataFrame(rows, SCHEMA), cfg), rows, cfg)
+    assert not calls
+    rows += [("c1", f"s{i % 30}", 1_250, 1_000 + i) for i in range(13)]
+    assert_same(score_edges(spark.createDataFrame(rows, SCHEMA), cfg), rows, cfg)
+    assert calls
+
+
+@pytest.mark.parametrize("order", ["event_time", "arrival"])
+def test_large_batches_carry_their_state(spark, monkeypatch, order):
+    monkeypatch.setattr(scoring, "SLICE_ROWS", 50)
+    cfg = ScorerConfig(tick_seconds=5, alpha=0.5, order=order)
+    rows = sorted(stream(11), key=lambda r: (r[2], r[3]))
+    rows = [(s, d, at, i) for i, (s, d, at, _) in enumerate(rows)]
+    events = spark.createDataFrame(rows, SCHEMA)
+    half = len(rows) // 2
+    first, clock = scoring.score_batch(events.filter(events.event_id < half), cfg)
+    row = first.folds["edge"][1].agg({"_rank": "max"}).first()
+    clock = scoring.Clock(clock.start, clock.max_tick, row[0])
+    second, _ = scoring.score_batch(events.filter(events.event_id >= half), cfg, clock, first.counters())
+    assert_same(first.scored.unionByName(second.scored), rows, cfg)
+
+
 def test_slices_cut_a_tick_that_holds_everything(spark, monkeypatch):
     monkeypatch.setattr(scoring, "SLICE_ROWS", 50)
     rows = [("a", "b", 5, i) for i in range(1000)]

@@ -228,7 +228,7 @@ def midas_score_slow_decay(spark, sf_dir):
 
 def midas_score_sparse(spark, sf_dir):
     # the join is run once, scoring reads the events several times
-    shipments = materialize(_shipments(spark, sf_dir), "shipments", drop_shuffles=True)
+    shipments = materialize(_shipments(spark, sf_dir), "shipments", drop_shuffles=True, compression="zstd")
     return _scores(score_edges(shipments, DAILY))
 
 

@@ -361,7 +361,7 @@ def _score_exact(
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
-    return materialize(df, label, drop_shuffles=True)
+    return materialize(df, label, drop_shuffles=True, compression="zstd")
 
 
 def _score_exact_large(
@@ -387,7 +387,8 @@ def _score_exact_large(
         folds[kind] = (keys, _stored(fold_counts(given, keys, cfg.alpha, cfg.decay == "floor"), f"{kind}-fold"))
         release(counts[kind])
     release(ranks)
-    return _scored_exact(whole, cfg, folds, payload, stored=True)
+    tick = tick_of(F.col("timestamp"), clock.start, cfg.tick_seconds)
+    return _scored_exact(whole.drop("tick", "_keep"), cfg, folds, payload, tick)
 
 
 def _entity_counts(events: DataFrame) -> dict[str, DataFrame]:
@@ -396,16 +397,18 @@ def _entity_counts(events: DataFrame) -> dict[str, DataFrame]:
 
 
 def _scored_exact(
-    events: DataFrame, cfg: ScorerConfig, folds: dict[str, tuple[list[str], DataFrame]], payload: list[str], stored: bool = False
+    events: DataFrame, cfg: ScorerConfig, folds: dict[str, tuple[list[str], DataFrame]], payload: list[str], tick: Column | None = None
 ) -> Scoring:
-    """``stored`` writes the events once they have their places among sources and edges."""
+    """With ``tick``, which events then lack, they are written once they have their places among sources and edges."""
     order = stream_order(cfg)
     every = not cfg.filter_anomalies
     nested = [("src", *folds["src"]), ("edge", *folds["edge"])]
     placed = _place_events(events, nested, order, every)
-    if stored:
+    if tick is not None:
         placed = _stored(placed, "placed")
     placed = _place_events(placed, [("dst", *folds["dst"])], order, every)
+    if tick is not None:
+        placed = placed.withColumn("tick", tick)
     return Scoring(_score_columns(placed, cfg, payload), folds)
 
 

@@ -40,7 +40,7 @@ _SCOPES: list[list[str]] = []
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
+def materialize(df: DataFrame, label: str, drop_shuffles: bool = False, compression: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back, which cuts its lineage for good.
 
     ``drop_shuffles`` removes the shuffle files of the write at its end; else they stay on disk until the
@@ -49,7 +49,7 @@ def materialize(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataF
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/edgewatch/{label}-{uuid.uuid4().hex}"
     with _shuffle_cleanup(spark) if drop_shuffles else nullcontext():
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     for scope in _SCOPES[-1:]:
         scope.append(path)
     stored = spark.read.schema(df.schema).parquet(path)
